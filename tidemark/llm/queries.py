@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import find_overlap, word_total
 from tidemark.llm.quality_rules import quality_report
+from tidemark.llm.simhash import near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +21,31 @@ def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words found in every document."""
+    found = find_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        word_total("spans").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        "chars",
+    )
+
+
+def op9_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of every document and their components."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_compression_bands": op4_compression_bands,
+    "op5_aho_corasick": op5_aho_corasick,
+    "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
 }
 
 ORACLES: dict[str, str] = {}
