@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import find_overlap, word_total
+from tidemark.llm.packing import pack
 from tidemark.llm.quality_rules import quality_report
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.token_files import read_checks, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,16 +38,29 @@ def op5_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 ids, one row a piece."""
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op9_bit_sliced_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of every document and their components."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_fixed_size_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to Arrow files and read back."""
+    _, index = token_files(table(spark, sf_dir, "documents"))
+    return read_checks(index)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_compression_bands": op4_compression_bands,
     "op5_aho_corasick": op5_aho_corasick,
+    "op8_deficit_packing": op8_deficit_packing,
     "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
+    "op10_fixed_size_lists": op10_fixed_size_lists,
 }
 
 ORACLES: dict[str, str] = {}
