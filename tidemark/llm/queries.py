@@ -12,12 +12,26 @@ from tidemark.llm.packing import pack
 from tidemark.llm.quality_rules import quality_report
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_files import read_checks, token_files
+from tidemark.llm.toxicity import score_toxicity, train, training_fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_crf_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a chain trained on the labelled fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id",
+        (~training_fold()).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and the compression-band verdict of every document."""
     return quality_report(table(spark, sf_dir, "documents"))
@@ -56,6 +70,7 @@ def op10_fixed_size_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_crf_marginals": op2_crf_marginals,
     "op4_compression_bands": op4_compression_bands,
     "op5_aho_corasick": op5_aho_corasick,
     "op8_deficit_packing": op8_deficit_packing,
