@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import find_overlap, word_total
 from tidemark.llm.packing import pack
+from tidemark.llm.quality_model import score_quality
+from tidemark.llm.quality_model import train as train_quality
 from tidemark.llm.quality_rules import quality_report
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_files import read_checks, token_files
@@ -52,6 +54,13 @@ def op5_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a kernel ridge fit on the labelled fold."""
+    docs, fold = table(spark, sf_dir, "documents"), training_fold(folds=3, held=1)
+    model = train_quality(docs, table(spark, sf_dir, "labels"), fold)
+    return score_quality(docs, model).select("doc_id", (~fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids, one row a piece."""
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_crf_marginals": op2_crf_marginals,
     "op4_compression_bands": op4_compression_bands,
     "op5_aho_corasick": op5_aho_corasick,
+    "op6_fourier_ridge": op6_fourier_ridge,
     "op8_deficit_packing": op8_deficit_packing,
     "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
     "op10_fixed_size_lists": op10_fixed_size_lists,
