@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import find_overlap, word_total
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import score_quality
 from tidemark.llm.quality_model import train as train_quality
@@ -34,6 +35,12 @@ def op2_crf_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_covered")
+
+
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and the compression-band verdict of every document."""
     return quality_report(table(spark, sf_dir, "documents"))
@@ -80,6 +87,7 @@ def op10_fixed_size_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_crf_marginals": op2_crf_marginals,
+    "op3_host_suffix_array": op3_host_suffix_array,
     "op4_compression_bands": op4_compression_bands,
     "op5_aho_corasick": op5_aho_corasick,
     "op6_fourier_ridge": op6_fourier_ridge,
