@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import format_conversations, masked_text, read_turns, threads
 from tidemark.llm.decontaminate import find_overlap, word_total
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.packing import pack
@@ -68,6 +69,28 @@ def op6_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", (~fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in the template, and what is read back from it."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    made = format_conversations(threads(given.unionByName(own)))
+    read = made.select("conv_id", "formatted", read_turns().alias("turns"), masked_text().alias("masked"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("masked").cast("long").alias("loss_chars"),
+        F.sha2("masked", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_deficit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids, one row a piece."""
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
@@ -91,9 +114,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_compression_bands": op4_compression_bands,
     "op5_aho_corasick": op5_aho_corasick,
     "op6_fourier_ridge": op6_fourier_ridge,
+    "op7_reply_trees": op7_reply_trees,
     "op8_deficit_packing": op8_deficit_packing,
     "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
     "op10_fixed_size_lists": op10_fixed_size_lists,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words of the chat template: the escapes lengthen what they stand in for.
+ORACLES: dict[str, str] = {
+    "op7_reply_trees": r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (
+  select *, replace(replace(replace(replace(text, '\', '\b'), '</turn>', '\e'), '### ', '\h'), ': ', '\c') as body,
+    replace(replace(replace(replace(role, '\', '\b'), '</turn>', '\e'), '### ', '\h'), ': ', '\c') as head
+  from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(case when role = 'assistant' then length(text) end), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length(head) + length(body) + 14)::bigint as formatted_chars
+from e group by conv_id
+""",
+}
