@@ -205,16 +205,30 @@ def _signed(mask: int) -> F.Column:
     return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
 
 
+def grouped(docs: DataFrame, size: int, radius: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) of every row, and per fingerprint its component_id."""
+    marked = staged(fingerprints(docs, size, key, text), "fp")
+    groups = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "groups")
+    labels = smallest_labels(near_links(groups.select("fp"), radius, groups.count()))
+    reached = groups.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    least = reached.groupBy("label").agg(F.min("least").alias("component_id"))
+    return marked, reached.select("fp", "least", "label").join(least, "label").select("fp", "least", "component_id")
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, fp, component_id (the smallest key it reaches).
 
     Null and empty texts have fingerprint 0 and link like any other; repeated rows
     give repeated results; an empty table gives none; other columns are not read.
-    Keys should not be null.
+    A null key counts only where a component has no other.
     """
-    marked = staged(fingerprints(docs, size, key, text), "fp")
-    groups = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "groups")
-    labels = smallest_labels(near_links(groups.select("fp"), radius, groups.count()))
-    reached = groups.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    least = reached.groupBy("label").agg(F.min("least").alias("component_id"))
-    return marked.join(reached.select("fp", "label").join(least, "label").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    marked, components = grouped(docs, size, radius, key, text)
+    return marked.join(components.select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, size: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of the smallest key of each component, with every column as it was.
+    Of rows with an equal key, all of them or none stay; null keys go."""
+    _, components = grouped(docs, size, radius, key, text)
+    first = components.where(F.col("least") == F.col("component_id")).select(F.col("least").alias(key)).distinct()
+    return docs.join(first, key, "left_semi").select(*docs.columns)
