@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import format_conversations, masked_text, read_turns, threads
 from tidemark.llm.decontaminate import find_overlap, word_total
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import score_quality
 from tidemark.llm.quality_model import train as train_quality
@@ -23,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and license labels of every document."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op2_crf_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a chain trained on the labelled fold."""
     docs = table(spark, sf_dir, "documents")
@@ -109,6 +119,7 @@ def op10_fixed_size_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_signature_rules": op1_signature_rules,
     "op2_crf_marginals": op2_crf_marginals,
     "op3_host_suffix_array": op3_host_suffix_array,
     "op4_compression_bands": op4_compression_bands,
