@@ -32,11 +32,11 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
+def staged(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and lost
     executors cost no recomputation."""
     path = fresh_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

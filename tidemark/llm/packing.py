@@ -129,7 +129,7 @@ def encoded(docs: DataFrame, end_id: int, path: str | None = None, key: str = "d
                     names=schema.names,
                 )
 
-    return staged(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), queue.alias("queue")).mapInArrow(run, schema), "ids")
+    return staged(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), queue.alias("queue")).mapInArrow(run, schema), "ids", "snappy")
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string, ids binary"
@@ -230,14 +230,14 @@ def _cut(rows: pa.RecordBatch, mixture: Mixture, number: dict[str, int], with_id
     d, s, sequence, offset = d[head], s[head], sequence[head], offset[head]
     texts = raws.to_pylist()
     width = [len(x) // k for x, k in zip(texts, n.tolist(), strict=True)]
-    wide = [np.frombuffer(x, dtype="<u2" if w == 2 else "<u4").astype("<u4").tobytes() for x, w in zip(texts, width, strict=True)]
+    wide = [memoryview(np.frombuffer(x, dtype="<u2" if w == 2 else "<u4").astype("<u4")).cast("B") for x, w in zip(texts, width, strict=True)]
     spans = list(zip(d.tolist(), s.tolist(), (s + now).tolist(), strict=True))
     crc = [zlib.crc32(wide[i][4 * a : 4 * b]) for i, a, b in spans]
     out = [
         keys.take(pa.array(d)), pa.array(s), pa.array(now), pa.array(crc, pa.int64()), pa.array(n[d]),
         pa.array(sequence), pa.array(offset), queues.take(pa.array(d)),
     ]
-    return [*out, pa.array([wide[i][4 * a : 4 * b] for i, a, b in spans], pa.binary())] if with_ids else out
+    return [*out, pa.array([bytes(wide[i][4 * a : 4 * b]) for i, a, b in spans], pa.binary())] if with_ids else out
 
 
 def sequences(pieces: DataFrame, length: int = 1024) -> DataFrame:

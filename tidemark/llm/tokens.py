@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -41,6 +42,8 @@ class Encoder:
         for word, i in self.tokenizer.get_vocab().items():
             self.opens[i] = word.startswith("Ġ")
         self.most, self.memo, self.old = most, {}, {}
+        self.marks = dict(zip(".,", self._whole([".", ","]), strict=True))
+        gc.set_threshold(200_000, 20, 50)  # the memo is many small objects without cycles
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,17 +53,27 @@ class Encoder:
         up when met again, and the rest of it goes when the younger one is full."""
         if len(self.memo) + len(words) > self.most:
             self.old, self.memo = self.memo, {}
-        old, fresh = self.old, []
+        old, memo, fresh, pairs = self.old, self.memo, set(), []
         for w in words:
-            if (ids := old.get(w)) is None:
-                fresh.append(w)
+            if (ids := old.get(w)) is not None:
+                memo[w] = ids
+            elif w[-1] in ".," and w[-2:-1].isalpha():  # letters and the mark after them never join
+                pairs.append(w)
+                if (stem := w[:-1]) not in memo and stem not in words:
+                    if (ids := old.get(stem)) is None:
+                        fresh.add(stem)
+                    else:
+                        memo[stem] = ids
             else:
-                self.memo[w] = ids
+                fresh.add(w)
         if fresh:
+            fresh = list(fresh)
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(fresh)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             cuts = (np.flatnonzero(self.opens[ids]) * self.dtype.itemsize).tolist()
             raw = ids.tobytes()
-            self.memo.update(zip(fresh, [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
+            memo.update(zip(fresh, [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
+        for w in pairs:
+            memo[w] = memo[w[:-1]] + self.marks[w[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
