@@ -132,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: F.Column, label: str = "qual
 
         k = len(none)
         a, b = np.zeros((k, k)), np.zeros(k)
-        for row in measured.mapInArrow(sums, "a binary, b binary").toLocalIterator():  # one row for each of TASKS partitions
+        for row in measured.mapInArrow(sums, "a binary, b binary").collect():  # one row for each partition of the sample
             a += np.frombuffer(row["a"]).reshape(k, k)
             b += np.frombuffer(row["b"])
         model.weights = np.linalg.solve(a + ridge * np.trace(a) / k * np.eye(k), b)

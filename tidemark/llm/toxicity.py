@@ -207,7 +207,7 @@ def _suspects(sample: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.tobytes(), 1)]), pa.array([n[0]]), pa.array([n[1]])], names=["c", "n0", "n1"])
 
     counts, n = np.zeros((2, SPACE), dtype=np.int64), np.zeros(2)
-    for row in sample.mapInArrow(run, "c binary, n0 long, n1 long").toLocalIterator():  # TASKS rows at most
+    for row in sample.mapInArrow(run, "c binary, n0 long, n1 long").collect():  # TASKS rows
         counts += np.frombuffer(zlib.decompress(row["c"]), dtype=np.int32).reshape(2, SPACE)
         n += [row["n0"], row["n1"]]
     clean, toxic = counts[0], counts[1]
