@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,16 @@ def dest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SRC = "src as (select * from orders where o_orderkey % 17 <> 0), h as (select max(o_orderkey) // 2 as half from orders)"
 DST = "dst as (select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 5 = 0 then o_totalprice * 0.9 else o_totalprice end as o_totalprice, o_orderdate, o_orderpriority from orders, h where o_orderkey <= half)"
-KEY, MARK = F.col("o_orderkey"), F.col("o_orderdate")
+
+
+def okey() -> Column:
+    return F.col("o_orderkey")
+
+
+def odate() -> Column:
+    return F.col("o_orderdate")
+
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -98,7 +107,7 @@ def custom_query_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select max(o_orderkey) as high_int, max(md5(cast(o_orderkey as varchar))) as high_text, max(o_orderdate) as high_time from orders")
 def high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest key, whole number, text or time."""
-    orders = table(spark, sf_dir, "orders").withColumn("uuid", F.md5(KEY.cast("string").cast("binary")))
+    orders = table(spark, sf_dir, "orders").withColumn("uuid", F.md5(okey().cast("string").cast("binary")))
     return orders.agg(F.max("o_orderkey").alias("high_int"), F.max("uuid").alias("high_text"), F.max("o_orderdate").alias("high_time"))
 
 
@@ -116,15 +125,15 @@ def log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New whole-number keys."""
     source = source_orders(spark, sf_dir)
-    return source.where(select.new_rows(KEY, half(spark, sf_dir), select.high_water(source, "o_orderkey"))).select("o_orderkey", "o_orderdate")
+    return source.where(select.new_rows(okey(), half(spark, sf_dir), select.high_water(source, "o_orderkey"))).select("o_orderkey", "o_orderdate")
 
 
 @query("select o_orderkey, md5(cast(o_orderkey as varchar)) as uuid from orders where md5(cast(o_orderkey as varchar)) > '8' union all select o_orderkey, null from orders where o_orderdate > timestamp '2000-01-01'")
 def sync_inserts_other_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New text keys, and new time keys."""
-    orders = table(spark, sf_dir, "orders").withColumn("uuid", F.md5(KEY.cast("string").cast("binary")))
+    orders = table(spark, sf_dir, "orders").withColumn("uuid", F.md5(okey().cast("string").cast("binary")))
     by_text = orders.where(select.new_rows(F.col("uuid"), "8", select.high_water(orders, "uuid"))).select("o_orderkey", "uuid")
-    by_time = orders.where(select.new_rows(MARK, select.moment("2000-01-01"), F.lit(select.high_water(orders, "o_orderdate")).cast("timestamp_ntz")))
+    by_time = orders.where(select.new_rows(odate(), select.moment("2000-01-01"), F.lit(select.high_water(orders, "o_orderdate")).cast("timestamp_ntz")))
     return by_text.unionByName(by_time.select("o_orderkey", F.lit(None).cast("string").alias("uuid")))
 
 
@@ -132,13 +141,13 @@ def sync_inserts_other_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_updates_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moved rows changed since the last run, a day of grace."""
     mark = select.Watermark(LAST_RUN, half(spark, sf_dir))
-    return source_orders(spark, sf_dir).where(select.updated_rows(KEY, MARK, mark, DAY)).select("o_orderkey", "o_orderdate")
+    return source_orders(spark, sf_dir).where(select.updated_rows(okey(), odate(), mark, DAY)).select("o_orderkey", "o_orderdate")
 
 
 @query("select o_orderkey, o_orderdate from orders where o_orderkey <= 500 and o_orderdate > timestamp '2000-12-02' and o_orderdate <= timestamp '2001-01-01'")
 def sync_updates_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose bookmark lies in the month before the run."""
-    return table(spark, sf_dir, "orders").where(select.buffered_rows(KEY, MARK, RUN_AT, 30 * DAY, 500)).select("o_orderkey", "o_orderdate")
+    return table(spark, sf_dir, "orders").where(select.buffered_rows(okey(), odate(), RUN_AT, 30 * DAY, 500)).select("o_orderkey", "o_orderdate")
 
 
 @query(f"with {SRC} select o_orderkey, o_orderdate from src, h where o_orderkey > half and o_orderkey <= half + 2000 and o_orderdate > timestamp '1999-01-01'")
@@ -146,7 +155,7 @@ def sync_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a failed run had inserted and that changed since."""
     last = half(spark, sf_dir)
     mark = select.Watermark(LAST_RUN, last, last + 2000, "1999-01-01")
-    return source_orders(spark, sf_dir).where(select.recovered_rows(KEY, MARK, mark)).select("o_orderkey", "o_orderdate")
+    return source_orders(spark, sf_dir).where(select.recovered_rows(okey(), odate(), mark)).select("o_orderkey", "o_orderdate")
 
 
 @query(
@@ -158,7 +167,7 @@ def sync_update_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three kinds of updates in one scan."""
     last = half(spark, sf_dir)
     mark = select.Watermark(LAST_RUN, last, last + 2000, "1999-01-01")
-    return source_orders(spark, sf_dir).where(select.update_set(KEY, MARK, mark, RUN_AT, DAY, 30 * DAY, last + 4000)).select("o_orderkey", "o_orderdate")
+    return source_orders(spark, sf_dir).where(select.update_set(okey(), odate(), mark, RUN_AT, DAY, 30 * DAY, last + 4000)).select("o_orderkey", "o_orderdate")
 
 
 @query(
@@ -170,9 +179,9 @@ def improper_bookmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, mark = table(spark, sf_dir, "orders"), select.Watermark(LAST_RUN, 1 << 60)
     known = F.col("o_orderkey") % 11 != 0
     text = orders.withColumn("b", F.when(known, F.date_format("o_orderdate", "yyyy/MM/dd HH:mm:ss")))
-    epoch = orders.withColumn("b", F.when(known, objectid.epoch_seconds(MARK)))
-    a = text.where(select.updated_rows(KEY, typing.to_utc(F.col("b"), T.StringType()), mark, null_bookmark="keep"))
-    b = epoch.where(select.updated_rows(KEY, typing.to_utc(F.col("b"), T.LongType()), mark))
+    epoch = orders.withColumn("b", F.when(known, objectid.epoch_seconds(odate())))
+    a = text.where(select.updated_rows(okey(), typing.to_utc(F.col("b"), T.StringType()), mark, null_bookmark="keep"))
+    b = epoch.where(select.updated_rows(okey(), typing.to_utc(F.col("b"), T.LongType()), mark))
     return a.select("o_orderkey", F.lit("text").alias("kind")).unionByName(b.select("o_orderkey", F.lit("epoch").alias("kind")))
 
 
@@ -320,10 +329,10 @@ def compact_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "case when o_orderkey % 7 = 3 then 'None' else cast(o_custkey + 10 as varchar) end || case when o_orderkey % 7 <> 3 and o_orderkey % 3 = 0 then ']' else ')' end end as r from orders"
 )
 def range_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = KEY % 7
+    m = okey() % 7
     r = F.struct(
         F.when(m != 2, F.col("o_custkey")).alias("lower"), F.when(m != 3, F.col("o_custkey") + 10).alias("upper"),
-        (KEY % 2 == 0).alias("lower_inc"), (KEY % 3 == 0).alias("upper_inc"), (m == 1).alias("is_empty"),
+        (okey() % 2 == 0).alias("lower_inc"), (okey() % 3 == 0).alias("upper_inc"), (m == 1).alias("is_empty"),
     )
     made = table(spark, sf_dir, "orders").select("o_orderkey", F.when(m != 0, r).alias("r"))
     return made.select("o_orderkey", typing.range_text(F.col("r")).alias("r"))
@@ -415,7 +424,7 @@ def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table kept by months, with no last month."""
     held = Table(spark, scratch_path(spark, "months"), ["month"])
-    held.replace(table(spark, sf_dir, "orders").select("o_orderkey", project.month_of(MARK).alias("month")))
+    held.replace(table(spark, sf_dir, "orders").select("o_orderkey", project.month_of(odate()).alias("month")))
     return held.read().groupBy(F.col("month").cast("timestamp_ntz").alias("month")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -460,7 +469,7 @@ def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates given twice, once with an older price: the last one counts; those without a
     match become inserts."""
-    new = source_orders(spark, sf_dir).where(KEY > half(spark, sf_dir) - 3000).withColumn("seq", F.lit(2))
+    new = source_orders(spark, sf_dir).where(okey() > half(spark, sf_dir) - 3000).withColumn("seq", F.lit(2))
     old = new.withColumn("o_totalprice", F.lit(-1.0)).withColumn("seq", F.lit(1))
     updates = new.unionByName(old)
     dest = dest_orders(spark, sf_dir).withColumn("seq", F.lit(0))
@@ -488,10 +497,10 @@ def upsert_partition_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     written again; rows that moved leave their old month."""
     held = Table(spark, scratch_path(spark, "scoped"), ["month"])
     held.replace(monthly(dest_orders(spark, sf_dir)))
-    shifted = F.when(KEY % 2 == 0, MARK + F.expr("interval 31 day")).otherwise(MARK)
-    updates = source_orders(spark, sf_dir).where((KEY % 50 == 1) & (half(spark, sf_dir) >= KEY)).withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("o_orderdate", shifted)
+    shifted = F.when(okey() % 2 == 0, odate() + F.expr("interval 31 day")).otherwise(odate())
+    updates = source_orders(spark, sf_dir).where((okey() % 50 == 1) & (half(spark, sf_dir) >= okey())).withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("o_orderdate", shifted)
     before = held.read()
-    held.replace_partitions(change.upsert_touched(before.withColumn("month", F.col("month").cast("string")), monthly(updates), ["o_orderkey"], ["month"], [MARK]))
+    held.replace_partitions(change.upsert_touched(before.withColumn("month", F.col("month").cast("string")), monthly(updates), ["o_orderkey"], ["month"], [odate()]))
     return held.read().select("o_orderkey", "o_totalprice", F.col("month").cast("string").alias("month"))
 
 
@@ -628,8 +637,8 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     source = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 5")
-    dest = source.where("o_orderkey % 10 <> 1").withColumn("o_totalprice", F.when(KEY % 10 == 2, F.col("o_totalprice") + 5).otherwise(F.col("o_totalprice") + 0.0))
-    dest = dest.withColumn("o_orderstatus", F.when(KEY % 10 == 3, "?").otherwise(F.col("o_orderstatus"))).withColumn("o_orderdate", F.when(KEY % 10 == 4, MARK + F.expr("interval 1 day")).otherwise(MARK))
+    dest = source.where("o_orderkey % 10 <> 1").withColumn("o_totalprice", F.when(okey() % 10 == 2, F.col("o_totalprice") + 5).otherwise(F.col("o_totalprice") + 0.0))
+    dest = dest.withColumn("o_orderstatus", F.when(okey() % 10 == 3, "?").otherwise(F.col("o_orderstatus"))).withColumn("o_orderdate", F.when(okey() % 10 == 4, odate() + F.expr("interval 1 day")).otherwise(odate()))
     extra = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 6 and o_orderkey % 10 = 0")
     return source, dest.unionByName(extra)
 
@@ -656,8 +665,8 @@ def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("with h as (select max(o_orderkey) // 2 as half from orders) select o_orderkey from orders, h where o_orderkey <= half and (o_orderkey % 11 = 0 or o_orderdate < timestamp '1998-05-31')")
 def reconcile_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a run must have moved; a null bookmark stays."""
-    orders = table(spark, sf_dir, "orders").withColumn("b", F.when(KEY % 11 != 0, MARK))
-    return orders.where(reconcile.due(KEY, F.col("b"), half(spark, sf_dir), LAST_RUN, DAY)).select("o_orderkey")
+    orders = table(spark, sf_dir, "orders").withColumn("b", F.when(okey() % 11 != 0, odate()))
+    return orders.where(reconcile.due(okey(), F.col("b"), half(spark, sf_dir), LAST_RUN, DAY)).select("o_orderkey")
 
 
 @query(None)
@@ -675,8 +684,8 @@ def job_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of statistics of a sync, counted in the one pass that reads the changes."""
     source, last = source_orders(spark, sf_dir), half(spark, sf_dir)
     mark = select.Watermark(LAST_RUN, last)
-    fresh = select.new_rows(KEY, last, select.high_water(source, "o_orderkey"))
-    stale = select.updated_rows(KEY, MARK, mark, DAY)
+    fresh = select.new_rows(okey(), last, select.high_water(source, "o_orderkey"))
+    stale = select.updated_rows(okey(), odate(), mark, DAY)
     return source.agg(F.count_if(fresh).alias("insertions"), F.count_if(stale).alias("updations"), F.count(F.lit(1)).alias("total_records")).select(F.lit("orders").alias("table_name"), "insertions", "updations", "total_records", F.lit(True).alias("status"))
 
 
@@ -696,7 +705,7 @@ def estimated_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select strftime(o_orderdate, '%Y-%m') as month, count(*) as n_updates from orders where o_orderdate > timestamp '1998-06-01' group by 1")
 def updates_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.per_partition(monthly(table(spark, sf_dir, "orders").where(MARK > select.moment(LAST_RUN))), ["month"])
+    return metrics.per_partition(monthly(table(spark, sf_dir, "orders").where(odate() > select.moment(LAST_RUN))), ["month"])
 
 
 @query("select count(*) as n_records, 0::bigint as n_absent from orders")

@@ -53,11 +53,11 @@ def per_record(process: Callable[[dict], dict], schema: T.StructType | str) -> C
     """A plain Python function of one record as a transform. It runs in Python workers over
     Arrow batches: prefer column expressions."""
 
+    names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fieldNames()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         for batch in batches:
-            rows = [process(dict(r)) for r in batch.to_dict("records")]
-            yield pd.DataFrame(rows, columns=kind.fieldNames())
+            yield pd.DataFrame([process(dict(r)) for r in batch.to_dict("records")], columns=names)
 
     return lambda df: df.mapInPandas(run, schema)
 
