@@ -36,8 +36,11 @@ def features(word: str) -> list[int]:
 
 #: Marginals from which tokens add up in a text's score.
 LIKELY = 0.2
-#: How much oftener than elsewhere a suspect feature stands in toxic documents.
-LIFT = 25
+#: What makes a feature suspect: toxic documents that hold it, its log-likelihood gain, and
+#: how much oftener than elsewhere it stands in toxic documents.
+LEAST, GAIN, LIFT = 4, 16, 25
+#: Of how many of the best features a further one must share documents, and its gain.
+SPREAD, SPREAD_GAIN = 3, 20
 STEMS = (4, 5, 6, 7, 8)
 N_FEATURES = len(STEMS) + 3
 
@@ -184,14 +187,16 @@ def training_fold(key: str = "doc_id", folds: int = 4, held: int = 2) -> F.Colum
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: F.Column, most: int = MOST_DOCS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(text, y) of at most `most` labelled documents of the training fold, chosen by
-    a hash of their ids; staged. Repeated labels of an id count as their maximum."""
+    a hash of their ids; staged. Repeated labels of an id count as their maximum, and
+    copies of a text once."""
     chosen = (
         labels.where(fold & F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(key).agg(F.max(label).alias("y"))
         .orderBy(F.xxhash64(key), key).limit(most)
     )
     # At most `most` pairs of numbers: small enough to send to every task.
-    return staged(docs.select(key, F.col(text).alias("text")).join(F.broadcast(chosen), key).select("text", F.col("y").cast("int").alias("y")).repartition(TASKS), "labelled")
+    found = docs.select(key, F.col(text).alias("text")).join(F.broadcast(chosen), key).select("text", F.col("y").cast("int").alias("y"))
+    return staged(found.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_same", "y"]).drop("_same").repartition(TASKS), "labelled")
 
 
 def _suspects(sample: DataFrame) -> tuple[np.ndarray, int]:
@@ -218,7 +223,48 @@ def _suspects(sample: DataFrame) -> tuple[np.ndarray, int]:
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = 2 * (np.where(toxic > 0, toxic * np.log(toxic / np.maximum(expected, 1e-9)), 0) + np.where(clean > 0, clean * np.log(clean / np.maximum(clean + toxic - expected, 1e-9)), 0))
     lift = ((toxic + 0.5) / (n[1] + 1)) / ((clean + 0.5) / (n[0] + 1))
-    return np.flatnonzero((toxic >= 4) & (gain >= 16) & (lift >= LIFT)), int(n[1])
+    candidates = np.flatnonzero((toxic >= LEAST) & (gain >= GAIN) & (lift >= LIFT))
+    return _explaining(sample, candidates, clean, n, gain), int(n[1])
+
+
+def _explaining(sample: DataFrame, candidates: np.ndarray, clean: np.ndarray, n: np.ndarray, first_gain: np.ndarray) -> np.ndarray:
+    """The candidates that tell toxic documents which no better one tells already, or whose
+    documents several better ones tell.
+
+    What else stands in a toxic document that was copied with changes is as telling as
+    its toxic word, but not for other documents; so the best feature is taken, its
+    documents leave, and what remains has to be told by the others. What only goes with
+    one of the best is left out; what goes with several stands on its own."""
+    known = set(candidates.tolist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [sorted(known.intersection(f for w in set(tokens(t)) for f in features(w)[:-2])) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if y]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], names=["f"])
+
+    rows = [np.array(r["f"], dtype=np.int64) for r in sample.mapInArrow(run, "f array<int>").collect() if r["f"]]  # toxic ones of the sample
+    left = np.zeros(SPACE, dtype=np.int64)
+    holders: dict[int, list[int]] = {}
+    for i, own in enumerate(rows):
+        left[own] += 1
+        for f in own.tolist():
+            holders.setdefault(f, []).append(i)
+    told, taken = np.full(len(rows), -1), []
+    while len(candidates):
+        t, c = left[candidates], clean[candidates]
+        expected = np.maximum((t + c) * n[1] / n.sum(), 1e-9)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = 2 * (np.where(t > 0, t * np.log(t / expected), 0) + np.where(c > 0, c * np.log(c / np.maximum(t + c - expected, 1e-9)), 0))
+        best = int(np.argmax(np.where(t >= LEAST, gain, 0)))
+        if t[best] < LEAST or gain[best] < GAIN:
+            break
+        taken.append(int(candidates[best]))
+        for i in holders[taken[-1]]:
+            if told[i] < 0:
+                told[i] = len(taken)
+                left[rows[i]] -= 1
+    spread = [f for f, own in holders.items() if first_gain[f] >= SPREAD_GAIN and len(set(told[own].tolist())) >= SPREAD]
+    return np.array(sorted({*taken, *spread}), dtype=np.int64)
 
 
 def _segments(sample: DataFrame, suspects: np.ndarray) -> tuple[list[list[str]], list[list[int]], list[int]]:
