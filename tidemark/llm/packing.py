@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SLICE_ROWS, staged
-from tidemark.llm.tokens import Encoder, vocabulary_path
+from tidemark.llm.tokens import process_encoder, vocabulary_path
 
 #: More sources than this share queues, by a hash of their names.
 MOST_QUEUES = 1024
@@ -113,7 +113,7 @@ def encoded(docs: DataFrame, end_id: int, path: str | None = None, key: str = "d
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), *T.StructType.fromDDL(ENCODED).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at, part = Encoder(path), {}, TaskContext.get().partitionId()
+        encoder, at, part = process_encoder(path), {}, TaskContext.get().partitionId()
         ending = np.array([end_id], dtype=encoder.dtype).tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):

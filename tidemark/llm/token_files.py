@@ -2,7 +2,7 @@
 
 A file holds sequences of one length as rows of two fixed-size lists, ids and mask,
 so the ids of row i stand at i * length of one buffer: a memory map gives any
-sequence without copying. Files follow the order of the keys; the last row of each
+sequence without copying; the mask takes a bit an id. Files follow the order of the keys; the last row of each
 is filled up and masked. An index table says where each document's ids are.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SLICE_ROWS, fresh_path, staged
-from tidemark.llm.tokens import Encoder, vocabulary_path
+from tidemark.llm.tokens import process_encoder, vocabulary_path
 
 #: Sequences in a record batch.
 BATCH_ROWS = 512
@@ -30,14 +30,14 @@ def file_schema(length: int, dtype: np.dtype) -> pa.Schema:
     item = pa.uint16() if dtype.itemsize == 2 else pa.uint32()
     return pa.schema([
         pa.field("ids", pa.list_(pa.field("item", item, nullable=False), length), nullable=False),
-        pa.field("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length), nullable=False),
+        pa.field("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length), nullable=False),
     ])
 
 
 def fixed_batch(flat: np.ndarray, filled: int, length: int, schema: pa.Schema) -> pa.RecordBatch:
     """A batch of sequences from ids that already fill whole rows."""
-    mask = np.zeros(len(flat), dtype=np.uint8)
-    mask[:filled] = 1
+    mask = np.zeros(len(flat), dtype=bool)
+    mask[:filled] = True
     lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((flat, mask), schema, strict=True)]
     return pa.RecordBatch.from_arrays(lists, schema=schema)
 
@@ -89,28 +89,33 @@ class TokenFile:
     def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         if self.kept is None or self.kept[0] != k:
             b = self.reader.get_batch(k)
-            flat = [b.column(i).flatten().to_numpy(zero_copy_only=True) for i in range(2)]
-            self.kept = (k, *flat)
+            ids, mask = (b.column(i).flatten() for i in range(2))
+            self.kept = (k, ids.to_numpy(zero_copy_only=True), np.frombuffer(mask.buffers()[1], dtype=np.uint8))
         return self.kept[1:]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         k, at = divmod(i * self.length, self.per_batch)
-        ids, mask = self._batch(k)
-        return ids[at : at + self.length], mask[at : at + self.length]
+        ids, bits = self._batch(k)
+        return ids[at : at + self.length], _unpacked(bits, at, at + self.length)
 
     def span(self, start: int, end: int) -> np.ndarray:
         parts = []
         while start < end:
             k, at = divmod(start, self.per_batch)
-            ids, mask = self._batch(k)
+            ids, bits = self._batch(k)
             now = min(end - start, len(ids) - at)
-            if now <= 0 or not mask[at : at + now].all():
+            if now <= 0 or not _unpacked(bits, at, at + now).all():
                 raise ValueError("the span goes beyond the file's ids")
             parts.append(ids[at : at + now])
             start += now
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint16)
 
 
+def _unpacked(bits: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Mask from its packed bits, of which only those bytes are read."""
+    return np.unpackbits(bits[start >> 3 : (end + 7) >> 3], bitorder="little")[start & 7 :][: end - start].astype(bool)
+
+
 INDEX = "part int, file string, at long, n_tokens long"
 
 
@@ -127,7 +132,7 @@ def write_tokens(docs: DataFrame, folder: str, length: int = 2048, end_id: int =
     ranged = docs.select(key, text).repartitionByRange(key).sortWithinPartitions(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(path), TaskContext.get()
+        encoder, task = process_encoder(path), TaskContext.get()
         ending = np.array([end_id], dtype=encoder.dtype)
         part, at, writer = task.partitionId(), 0, None
         name = f"{folder}/part-{part:06d}-{task.taskAttemptId()}.arrow"

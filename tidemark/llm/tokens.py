@@ -20,6 +20,20 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class Memo(dict):
+    """Ids by word; words asked for and not held are put aside."""
+
+    def __init__(self):
+        self.unknown: set[str] = set()
+
+    def __missing__(self, word: str) -> None:
+        self.unknown.add(word)
+
+    def take(self) -> set[str]:
+        found, self.unknown = self.unknown, set()
+        return found
+
+
 class Encoder:
     """Ids of whole texts, as little-endian uint16 bytes (uint32 if the vocabulary
     needs it).
@@ -30,7 +44,7 @@ class Encoder:
     space. Other texts are encoded whole. Both give the library's own ids.
     """
 
-    def __init__(self, path: str | None = None, most: int = 600_000):
+    def __init__(self, path: str | None = None, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -41,7 +55,7 @@ class Encoder:
         self.opens = np.zeros(size, dtype=bool)
         for word, i in self.tokenizer.get_vocab().items():
             self.opens[i] = word.startswith("Ġ")
-        self.most, self.memo, self.old = most, {}, {}
+        self.most, self.memo, self.old = most, Memo(), Memo()
         self.marks = dict(zip(".,", self._whole([".", ","]), strict=True))
         gc.set_threshold(200_000, 20, 50)  # the memo is many small objects without cycles
 
@@ -52,7 +66,7 @@ class Encoder:
         """Put words into the memo. It has two generations: words of the older one move
         up when met again, and the rest of it goes when the younger one is full."""
         if len(self.memo) + len(words) > self.most:
-            self.old, self.memo = self.memo, {}
+            self.old, self.memo = self.memo, Memo()
         old, memo, fresh, pairs = self.old, self.memo, set(), []
         for w in words:
             if (ids := old.get(w)) is not None:
@@ -84,16 +98,28 @@ class Encoder:
             out[i] = ids
         split = [(i, t.split(" ")) for i, t in enumerate(texts) if not tied[i]]
         heads = self._whole([words.pop(0) for _, words in split])
-        known = [list(map(self.memo.get, words)) for _, words in split]
-        unknown: set[str] = set()
-        for (_, words), ids in zip(split, known, strict=True):
-            if None in ids:
-                unknown.update([w for w, x in zip(words, ids, strict=True) if x is None])
-        if unknown:
-            self._learn(unknown)
+        known = [list(map(self.memo.__getitem__, words)) for _, words in split]
+        if self.memo.unknown:
+            self._learn(self.memo.take())
         get = self.memo.get
         for (i, words), head, ids in zip(split, heads, known, strict=True):
-            if None in ids:
-                ids = [get(w) if x is None else x for w, x in zip(words, ids, strict=True)]
+            at = -1
+            try:
+                while True:
+                    at = ids.index(None, at + 1)
+                    ids[at] = get(words[at])
+            except ValueError:  # no more words to fill in
+                pass
             out[i] = head + b"".join(ids)
         return out
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def process_encoder(path: str) -> Encoder:
+    """The encoder of this worker process: its memo serves all tasks that run there."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
