@@ -68,7 +68,6 @@ def op5_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
-        "chars",
     )
 
 
@@ -131,8 +130,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fixed_size_lists": op10_fixed_size_lists,
 }
 
-#: Words of the chat template: the escapes lengthen what they stand in for.
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: SQL for the contracts that it can express.
 ORACLES: dict[str, str] = {
+    "op5_aho_corasick": f"""
+with b as (select item_id, {WORDS_SQL} as w from benchmark),
+wins as (select distinct item_id, least(10, len(w)) as n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as k
+  from b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as t(i) where len(w) > 0),
+d as (select row_number() over () as rid, doc_id, {WORDS_SQL} as w from documents),
+places as (select rid, i, n, array_to_string(w[i : i + n - 1], ' ') as k
+  from d, (select distinct n from wins) s, unnest(range(1, len(w) - n + 2)) as t(i)),
+hits as (select rid, i, n, item_id from places join wins using (n, k)),
+words as (select rid, count(distinct p) as n_hit from (select rid, unnest(range(i, i + n)) as p from hits) group by rid),
+items as (select rid, count(distinct item_id) as n_items, sha256(string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar))) as h from hits group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, coalesce(h, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (rid) left join items using (rid)
+""",
     "op7_reply_trees": r"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
