@@ -28,6 +28,8 @@ from tidemark.llm.tokens import process_encoder, vocabulary_path
 
 #: More sources than this share queues, by a hash of their names.
 MOST_QUEUES = 1024
+#: Rows of (task, queue) offsets that may be broadcast.
+MOST_BASES = 1_000_000
 #: Parts of an id in which credits are counted.
 UNIT = 1024
 
@@ -166,7 +168,10 @@ def pack(
     totals = {r["queue"]: r["n"] for r in before.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MOST_QUEUES rows
     mixture = Mixture.of(totals, weights, grain, length)
     number = {n: i for i, n in enumerate(mixture.names)}
-    dealt = rows.join(before.select("part", "queue", "base"), ["part", "queue"]).select("key", "queue", (F.col("at") + F.col("base")).alias("at"), "ids", "n")
+    bases = before.select("part", "queue", "base")
+    # Some 40 bytes a row: sent to every task while that is little, else joined by a shuffle.
+    bases = F.broadcast(bases) if bases.count() <= MOST_BASES else bases
+    dealt = rows.join(bases, ["part", "queue"]).select("key", "queue", (F.col("at") + F.col("base")).alias("at"), "ids", "n")
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *[f for f in T.StructType.fromDDL(PIECES).fields if with_ids or f.name != "ids"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
