@@ -33,14 +33,17 @@ class StateLog:
     def get(self, job: str) -> Watermark:
         """The job's watermark; keys come back as they were put. A job without one starts
         from EPOCH and no key."""
-        row = self._last(job)
+        return self._mark(self._last(job))
+
+    @staticmethod
+    def _mark(row) -> Watermark:
         if row is None:
             return Watermark()
         load = lambda x: None if x is None else json.loads(x)
         return Watermark(row["last_run"] or EPOCH, load(row["last_key"]), load(row["recovery_key"]), row["recovery_time"])
 
-    def _put(self, job: str, mark: Watermark) -> None:
-        row = self._last(job)
+    def _put(self, job: str, mark: Watermark, row) -> None:
+        """Append a state after `row`, the last one."""
         dump = lambda x: None if x is None else json.dumps(x if isinstance(x, (int, float, str)) else str(x))
         time = lambda x: None if x is None else str(x)
         values = (job, (row["seq"] if row else 0) + 1, time(mark.last_run), dump(mark.last_key), dump(mark.recovery_key), time(mark.recovery_time))
@@ -50,15 +53,16 @@ class StateLog:
 
     def commit(self, job: str, run_at: object, last_key: object) -> None:
         """After the data: the new watermark; the recovery point is gone."""
-        before = self.get(job)
-        self._put(job, Watermark(str(run_at), before.last_key if last_key is None else last_key))
+        row = self._last(job)
+        self._put(job, Watermark(str(run_at), self._mark(row).last_key if last_key is None else last_key), row)
 
     def mark_recovery(self, job: str, key: object, at: object) -> None:
         """Before an insert: from when and up to where rows may be half moved. The earliest
         time is kept until a run commits."""
-        before = self.get(job)
+        row = self._last(job)
+        before = self._mark(row)
         first = min(str(at), str(before.recovery_time)) if before.recovery_time else str(at)
-        self._put(job, Watermark(before.last_run, before.last_key, key, first))
+        self._put(job, Watermark(before.last_run, before.last_key, key, first), row)
 
     def reset(self, job: str) -> None:
-        self._put(job, Watermark())
+        self._put(job, Watermark(), self._last(job))

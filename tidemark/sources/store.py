@@ -36,7 +36,8 @@ class Table:
         return f"{self.path}/version={version or self.version():08d}"
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.data_path()) if self.exists() else None
+        version = self.version()
+        return self.spark.read.option("mergeSchema", "true").parquet(self.data_path(version)) if version else None
 
     def _writer(self, df: DataFrame, mode: str):
         if self.parts:
@@ -65,7 +66,8 @@ class Table:
     def replace_partitions(self, df: DataFrame) -> None:
         """Only the partitions that df holds; others stay. df may come from this table: it is
         staged first, so nothing is read while it is overwritten."""
-        stage = f"{self.path}/_stage/{self.version():08d}"
+        version = self.version()
+        stage = f"{self.path}/_stage/{version:08d}"
         df.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.schema(df.schema).parquet(stage)
-        self._writer(staged, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path())
+        self._writer(staged, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path(version))
