@@ -125,6 +125,9 @@ PAGE = """<html><head><title>T</title></head><body><header><h1>Site</h1></header
         (None, ""),
         ("", ""),
         ("<p>loose <i>te</i>xt", "loose text"),
+        ("<div>top</div><div class='post-content'><div>a</div><div class='share'>s</div><p>b</div><div>end</div>", "a b"),
+        ("<div id='content'><p>by me</p><article>text</article></div>", "text"),
+        ("<div role=main>x<section>y</section></div>z", "x y"),
         ("<article>5 < 6 &am x</article>", "5 < 6 &am x"),
     ],
 )
