@@ -49,7 +49,7 @@ class Scanner:
                 owners[w].add(item)
         self.automaton = ahocorasick.Automaton()
         for w, who in owners.items():
-            self.automaton.add_word(f" {w} ", (w.count(" ") + 1, tuple(sorted(who))))
+            self.automaton.add_word(f" {w} ", (w.count(" ") + 1, tuple(who)))
         self.empty = not owners
         if not self.empty:
             self.automaton.make_automaton()
@@ -110,7 +110,8 @@ def item_blocks(items: DataFrame, key: str, text: str, most: int = AUTOMATON_BYT
     for a, b in zip([None, *cuts], [*cuts, None], strict=True):
         part = items.select(key, text)
         part = part.where(F.col(key) > a) if a is not None else part
-        part = part.where(F.col(key) <= b) if b is not None else part
+        if b is not None:
+            part = part.where(F.col(key) <= b if a is not None else F.col(key).isNull() | (F.col(key) <= b))
         blocks.append([(r[0], r[1]) for r in part.collect()])
     return [b for b in blocks if b]
 
