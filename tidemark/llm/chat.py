@@ -54,12 +54,12 @@ def branch_jumps(messages: DataFrame) -> list[DataFrame]:
     while live and 1 << (len(tables) - 1) <= total:
         last = tables[-1]
         above = last.select("conv", F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("score").alias("gain"))
-        longer = last.join(above, ["conv", "up"], "left").select(
-            "conv", "id", F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"),
-        )
-        tables.append(staged(longer, "jump"))
+        longer = (
+            last.where("up is not null")  # what has reached its root is carried on without a join
+            .join(above, ["conv", "up"])
+            .select("conv", "id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("score") + F.col("gain")).alias("score"))
+        )
+        tables.append(staged(longer.unionByName(last.where("up is null")), "jump"))
         live = tables[-1].where("up is not null").count()
     return tables
 
@@ -76,16 +76,14 @@ def best_paths(messages: DataFrame, n_best: int = 1) -> DataFrame:
         "conv", F.col("id").alias("path"), "rank", F.col("mean").alias("branch_score"), "depth",
         F.col("id").alias("at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("depth") - 1)).alias("above"),
     )
-    # The message `above` steps up is reached by the jumps of that number's binary digits.
+    # The message `above` steps up is reached by the jumps of that number's binary digits;
+    # only rows that take a jump are joined.
     for k in reversed(range(len(jumps))):
-        hop = jumps[k].select("conv", F.col("id").alias("from"), F.col("up").alias("to"))
+        held = staged(steps, "steps")
         takes = F.shiftright("above", k).bitwiseAND(F.lit(1).cast("long")) == 1
-        steps = (
-            steps.withColumn("from", F.when(takes, F.col("at")))
-            .join(hop, ["conv", "from"], "left")
-            .withColumn("at", F.when(F.col("from").isNotNull(), F.col("to")).otherwise(F.col("at")))
-            .drop("from", "to")
-        )
+        hop = jumps[k].where("up is not null").select("conv", F.col("id").alias("at"), F.col("up").alias("to"))
+        moved = held.where(takes).join(hop, ["conv", "at"]).withColumn("at", F.col("to")).select(*held.columns)
+        steps = held.where(~takes).unionByName(moved)
     return steps.select("conv", "path", "rank", "branch_score", (F.col("depth") - 1 - F.col("above")).alias("position"), F.col("at").alias("id"))
 
 
