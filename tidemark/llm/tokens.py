@@ -44,7 +44,7 @@ class Encoder:
     space. Other texts are encoded whole. Both give the library's own ids.
     """
 
-    def __init__(self, path: str | None = None, most: int = 900_000):
+    def __init__(self, path: str | None = None, most: int = 750_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

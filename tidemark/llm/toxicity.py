@@ -116,7 +116,7 @@ class Model:
     start: np.ndarray
     scale: float = 1.0
     shift: float = 0.0
-    most: int = 400_000
+    most: int = 250_000
     memo: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
