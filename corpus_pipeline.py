@@ -13,7 +13,7 @@ from tidemark.llm.common import staged
 from tidemark.llm.decontaminate import keep_clean
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_rules import keep_good
-from tidemark.llm.simhash import keep_first
+from tidemark.llm.simhash import keep_distinct
 from tidemark.llm.toxicity import keep_civil, train
 
 
@@ -28,8 +28,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    return keep_first(docs)
+    """One document, that of the smallest id, of each group of near duplicates: texts whose
+    five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return keep_distinct(docs, size=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
