@@ -32,3 +32,10 @@ def test_stage_against_all_pairs(spark, monkeypatch, cell_rows):
             label[a] = label[b] = min(label[a], label[b])
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
     assert {r["doc_id"] for r in kept.collect()} == set(label)
+
+
+def test_forest_of_unequal_sizes_is_empty():
+    """Pairs near by their fingerprints of which none can have the similarity."""
+    one = np.arange(1, 9, dtype=np.uint64)
+    u, v = simhash.similar_forest(np.zeros(2, np.uint64), np.zeros(2, np.int64), [one, one[:3]], 0.8)
+    assert not len(u) and not len(v)

@@ -291,6 +291,8 @@ def similar_forest(fp: np.ndarray, cell: np.ndarray, sets: list[np.ndarray], sim
         most = np.minimum(size[i], size[j])
         open_ = (root[i] != root[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-9)
         i, j = i[open_], j[open_]
+        if not len(i):
+            continue
         order = np.lexsort((j, i))
         i, j = i[order], j[order]
         for a, b in zip(starts := np.flatnonzero(np.diff(i, prepend=-1)), np.append(starts[1:], len(i)), strict=True):
