@@ -8,6 +8,9 @@ phrases, word by word, are counted beside them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +22,14 @@ PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights r
 WORD, ANY_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-S = r"\s{1,4}"  # white space between two words, line breaks included
+S = r"\s+"  # white space between two words, line breaks included
 LIC = r"licen[cs]e"
-#: A license: label, keyword that gates it, what its name looks like, SPDX id pattern.
+#: A license: label, keywords of which one stands in every form of its name, what its name looks like, SPDX id pattern.
 FAMILIES = (
-    ("mit", "mit", rf"(?:mit|expat|x11){S}{LIC}", r"mit(?:-0)?"),
+    ("mit", "mit|expat|x11", rf"(?:mit|expat|x11){S}{LIC}", r"mit(?:-0)?"),
     ("apache", "apache", rf"apache(?:{S}software)?{S}{LIC}", r"apache-[12]\.\d"),
     ("gpl", "general", rf"(?<!lesser\s|affero\s|library\s)(?:gnu{S})?general{S}public{S}{LIC}", r"gpl-[123]\.\d(?:-only|-or-later|\+)?"),
-    ("lgpl", "lesser", rf"(?:gnu{S})?(?:lesser|library){S}general{S}public{S}{LIC}", r"lgpl-[23]\.\d(?:-only|-or-later|\+)?"),
+    ("lgpl", "lesser|library", rf"(?:gnu{S})?(?:lesser|library){S}general{S}public{S}{LIC}", r"lgpl-[23]\.\d(?:-only|-or-later|\+)?"),
     ("agpl", "affero", rf"(?:gnu{S})?affero{S}general{S}public{S}{LIC}", r"agpl-[13]\.\d(?:-only|-or-later|\+)?"),
     ("gfdl", "documentation", rf"(?:gnu{S})?free{S}documentation{S}{LIC}", r"gfdl-1\.\d(?:-only|-or-later)?"),
     ("bsd", "bsd", rf"(?:[234]-clause{S}|new{S}|modified{S}|simplified{S}|revised{S})?bsd(?:[ -]style)?{S}{LIC}", r"bsd-[0234]-clause(?:-clear|-patent)?"),
@@ -45,8 +48,8 @@ FAMILIES = (
     ("ruby", "ruby", rf"ruby{S}{LIC}", r"ruby"),
     ("php", "php", rf"php{S}{LIC}", r"php-3\.\d+"),
     ("w3c", "w3c", rf"w3c{S}(?:software{S})?(?:notice{S}and{S})?{LIC}", r"w3c"),
-    ("unlicense", "unlicense", r"the\s{1,4}unlicense", r"unlicense"),
-    ("wtfpl", "wtfpl", rf"wtfpl|do{S}what{S}the{S}f\w{{1,6}}{S}you{S}want{S}to{S}public{S}{LIC}", r"wtfpl"),
+    ("unlicense", "unlicense", rf"the{S}unlicense", r"unlicense"),
+    ("wtfpl", "wtfpl|want", rf"wtfpl|do{S}what{S}the{S}f\w{{1,6}}{S}you{S}want{S}to{S}public{S}{LIC}", r"wtfpl"),
     ("ofl", "open", rf"(?:sil{S})?open{S}font{S}{LIC}", r"ofl-1\.\d"),
     ("osl", "open", rf"open{S}software{S}{LIC}", r"osl-[123]\.\d"),
     ("odbl", "open", rf"open{S}(?:data{S}commons{S}open{S})?database{S}{LIC}", r"odbl-1\.\d"),
@@ -66,7 +69,7 @@ FAMILIES = (
     ("vim", "vim", rf"vim{S}{LIC}", r"vim"),
     ("openssl", "openssl", rf"openssl{S}{LIC}", r"openssl"),
     ("postgresql", "postgresql", rf"postgresql{S}{LIC}", r"postgresql"),
-    ("ncsa", "illinois", rf"(?:university{S}of{S}illinois|ncsa){S}open{S}source{S}{LIC}", r"ncsa"),
+    ("ncsa", "illinois|ncsa", rf"(?:university{S}of{S}illinois|ncsa){S}open{S}source{S}{LIC}", r"ncsa"),
     ("mulan", "mulan", rf"mulan{S}(?:permissive{S}software|psl){S}{LIC}", r"mulanpsl-[12]\.\d"),
     ("cecill", "cecill", rf"cecill(?:-[bc])?{S}(?:free{S}software{S})?{LIC}", r"cecill-(?:[bc]|[12]\.\d)"),
     ("sspl", "server", rf"server{S}side{S}public{S}{LIC}", r"sspl-1\.\d"),
@@ -86,18 +89,18 @@ FAMILIES = (
 VERSION = rf",?{S}(?:version{S}|v\.?\s?)?\d{{1,2}}(?:\.\d{{1,2}})?"
 #: Forms that a license is told in: name, priority, confidence, pattern around {name} or {spdx}.
 FORMS = (
-    ("identifier", 5, 1.0, r"spdx-licen[cs]e-identifier:\s{0,4}(?:{spdx})"),
+    ("identifier", 5, 1.0, r"spdx-licen[cs]e-identifier:\s*(?:{spdx})"),
     ("grant", 4, 0.95, r"(?:licensed|released|distributed|published|available|redistributed){s}under{s}(?:the{s}terms{s}of{s})?(?:the{s}|an?{s})?(?:{name})(?:{version})?"),
     ("version", 3, 0.85, r"(?:{name}){version}"),
     ("mention", 2, 0.7, r"(?:see|under|of|per|with){s}(?:the{s}|an?{s})(?:{name})"),
     ("name", 1, 0.5, r"(?:{name})"),
 )
-#: Rules of no one license: label, keyword, priority, confidence, pattern.
+#: Rules of no one license: label, keywords, priority, confidence, pattern.
 PLAIN = (
     ("reserved", "reserved", 2, 0.8, rf"all{S}rights{S}(?:are{S})?reserved"),
     ("some-rights", "reserved", 2, 0.7, rf"some{S}rights{S}reserved"),
-    ("copyright", "copyright", 2, 0.5, rf"copyright{S}(?:\(c\)\s{{0,4}}|©\s{{0,4}})?(?:19|20)\d\d(?:\s?[-–,]\s?(?:19|20)?\d\d){{0,8}}"),
-    ("copyright", "copyright", 1, 0.3, r"copyright(?:ed)?\s{1,4}(?:\(c\)|©|by)"),
+    ("copyright", "copyright", 2, 0.5, rf"copyright{S}(?:\(c\)\s*|©\s*)?(?:19|20)\d\d(?:\s?[-–,]\s?(?:19|20)?\d\d){{0,8}}"),
+    ("copyright", "copyright", 1, 0.3, r"copyright(?:ed)?\s+(?:\(c\)|©|by)"),
     ("public-domain", "domain", 3, 0.8, rf"(?:released|placed|dedicated){S}(?:in|into|to){S}the{S}public{S}domain"),
     ("public-domain", "domain", 1, 0.4, rf"public{S}domain"),
     ("no-warranty", "warrant", 2, 0.6, rf"without{S}(?:any{S})?warrant(?:y|ies){S}(?:of{S}any{S}kind|or{S}conditions)"),
@@ -109,11 +112,11 @@ PLAIN = (
     ("copyleft", "free", 2, 0.6, rf"free{S}software[;:,]?{S}you{S}can{S}redistribute{S}it"),
 )
 #: What a text must hold for any rule to match; checked before anything else.
-GATE = r"(?i)licen[cs]e|copyright|reserved|cc[ -]by|cc0|wtfpl|public\s{1,4}domain|warrant|as[ -]is\b|proprietary|permission|redistribut"
+GATE = r"(?i)licen[cs]e|copyright|reserved|cc[ -]by|cc0|wtfpl|creative\s+commons|public\s+domain|warrant|as[ -]is|proprietary|permission|redistribut"
 
 
 def rule_list() -> list[tuple[int, str, str, int, float, str]]:
-    """(number, label, keyword, priority, confidence, pattern) of all rules, in order."""
+    """(number, label, keywords, priority, confidence, pattern) of all rules, in order."""
     rules = []
     for form, priority, confidence, around in FORMS:
         for label, keyword, name, spdx in FAMILIES:
@@ -158,7 +161,7 @@ def detections(texts: DataFrame) -> DataFrame:
     texts (row, low: lower-cased), without the suppressed ones."""
     rules = rule_table(texts.sparkSession)
     keywords = sorted({r[2] for r in rule_list()})
-    held = F.explode(F.array_compact(F.array(*[F.when(F.contains(F.col("low"), F.lit(k)), F.lit(k)) for k in keywords])))
+    held = F.explode(F.array_compact(F.array(*[F.when(reduce(or_, [F.contains(F.col("low"), F.lit(w)) for w in k.split("|")]), F.lit(k)) for k in keywords])))
     tried = texts.select("row", "low", held.alias("keyword")).join(F.broadcast(rules), "keyword")
     hits = F.regexp_extract_all("low", F.col("pattern"), F.lit(0))
     sizes = F.transform(F.arrays_zip(F.split("low", F.col("pattern"), F.lit(-1)).alias("gap"), hits.alias("hit")), lambda x: F.struct(F.char_length(x["gap"]).alias("gap"), F.char_length(x["hit"]).alias("hit")))
