@@ -39,3 +39,12 @@ def test_forest_of_unequal_sizes_is_empty():
     one = np.arange(1, 9, dtype=np.uint64)
     u, v = simhash.similar_forest(np.zeros(2, np.uint64), np.zeros(2, np.int64), [one, one[:3]], 0.8)
     assert not len(u) and not len(v)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    """A null id loses no document of its own, and repeated rows stay once."""
+    own = " ".join(f"o{i}" for i in range(30))
+    copy = " ".join(f"c{i}" for i in range(30))
+    rows = [(None, own), (None, copy), (7, copy), (7, copy), (9, "other words"), (9, "other words")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept.collect()) == [(0, own), (7, copy), (9, "other words")]
