@@ -187,6 +187,53 @@ def test_bands_reject_noise_and_repeats():
     assert not quality_rules.ratio_verdict(b"word " * 4000, bands, pack)[2]
 
 
+def plain_verdict(raw):
+    """The bands, read off their table one chunk at a time."""
+    import zstandard
+
+    bands, ratio = quality_rules.Bands(), lambda x: len(x) / len(zstandard.compress(x, 3))
+    if not raw:
+        return False
+    low, high = [(a, b) for most, a, b in bands.whole if len(raw) < most][0]
+    if not low <= ratio(raw) <= high:
+        return False
+    rules = [r for r in bands.chunks if len(raw) >= r[0]]
+    if not rules:
+        return True
+    _, size, low, high = rules[-1]
+    parts, rest = [], raw
+    while len(rest) >= size:
+        parts.append(rest[:size])
+        rest = rest[size:]
+    if rest:
+        parts.append(raw[-size:])
+    return sum(not low <= ratio(p) <= high for p in parts) <= bands.chunk_share * len(parts)
+
+
+def test_verdicts_against_a_plain_version(spark):
+    rng, plain = np.random.default_rng(3), random.Random(3)
+    noise = lambda n: rng.integers(33, 127, n).astype(np.uint8).tobytes().decode()
+    prose = lambda n: " ".join("".join(plain.choice(["an", "the", "or", "in", "st", "re", "o", "ly"]) for _ in range(plain.randint(1, 4))) for _ in range(n))
+    texts = [prose(n) for n in (5, 30, 150, 700, 3000, 9000)]
+    texts += [noise(n) for n in (90, 600, 1500, 5000, 40_000)] + ["so it goes " * n for n in (9, 60, 400, 5000)]
+    texts += [prose(n) + noise(m) for n in (150, 400, 700, 1500, 4000) for m in (400, 1500, 4000)]  # the end counts as well
+    rows = by_key(quality_rules.quality_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    want = [plain_verdict(t.encode()) for t in texts]
+    assert [r["kept"] for r in rows] == [w and not r["base_failed"] for w, r in zip(want, rows, strict=True)]
+    assert 5 < sum(want) < len(want) - 10
+
+
+@pytest.mark.parametrize("n", [1100, 2500, 4000, 8000, 12_200, 30_000])
+def test_noise_at_the_end_is_seen(n):
+    import zstandard
+
+    plain = random.Random(n)
+    raw = " ".join("".join(plain.choice(["an", "the", "or", "in", "st", "re", "o", "ly"]) for _ in range(plain.randint(1, 4))) for _ in range(n)).encode()[: n - n // 3]
+    end = np.random.default_rng(n).integers(33, 127, n // 3).astype(np.uint8).tobytes()
+    pack, bands = zstandard.ZstdCompressor(level=3), quality_rules.Bands()
+    assert quality_rules.ratio_verdict(raw, bands, pack)[2] and not quality_rules.ratio_verdict(raw + end, bands, pack)[2]
+
+
 # --- decontamination
 
 

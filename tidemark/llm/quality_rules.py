@@ -24,9 +24,11 @@ class Bands:
     """Limits on zstandard ratios (bytes before / bytes after).
 
     whole: (bytes below which the row holds, lowest ratio, highest ratio), by
-    length, since a short text can't compress well. chunk_low and chunk_high hold
-    for whole chunks of chunk_bytes; a document falls if more than chunk_share of
-    its chunks lie outside.
+    length, since a short text can't compress well. chunks: (bytes from which the row
+    holds, bytes of a chunk, lowest, highest ratio of a chunk). Chunks cover the whole
+    text; what is left after the last whole one is judged as a chunk that ends with the
+    text. A document falls if more than chunk_share of its chunks lie outside. Texts
+    shorter than the first row are one chunk, which `whole` judges.
     """
 
     whole: tuple[tuple[float, float, float], ...] = (
@@ -38,9 +40,7 @@ class Bands:
         (32768, 1.50, 4.0),
         (float("inf"), 1.50, 4.5),
     )
-    chunk_bytes: int = 4096
-    chunk_low: float = 1.35
-    chunk_high: float = 4.0
+    chunks: tuple[tuple[int, int, float, float], ...] = ((1024, 512, 1.20, 3.0), (4096, 1024, 1.35, 3.3), (16384, 4096, 1.50, 4.0))
     chunk_share: float = 0.25
     level: int = 3
 
@@ -59,7 +59,11 @@ def repeated_words(words: list[bytes], size: int = 8) -> int:
     twice = order[1:][order[1:] == order[:-1]]
     if not len(twice):
         return 0
-    starts = np.flatnonzero(np.isin(w, twice))
+    # Equal sums may still be of different words: the few windows that have them are compared.
+    starts, seen = np.flatnonzero(np.isin(w, twice)), {}
+    for i in starts.tolist():
+        seen.setdefault(tuple(words[i : i + size]), []).append(i)
+    starts = np.array([i for own in seen.values() if len(own) > 1 for i in own], dtype=np.int64)
     edge = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + size, -1)
@@ -73,14 +77,11 @@ def ratio_verdict(raw: bytes, bands: Bands, pack: zstandard.ZstdCompressor) -> t
         return 0.0, 0.0, False
     ratio = n / len(pack.compress(raw))
     low, high = next((a, b) for most, a, b in bands.whole if n < most)
-    size = bands.chunk_bytes
-    outside = total = 0
-    if n >= 2 * size:
-        for i in range(0, n - size + 1, size):
-            r = size / len(pack.compress(raw[i : i + size]))
-            total += 1
-            outside += not bands.chunk_low <= r <= bands.chunk_high
-    share = outside / total if total else 0.0
+    outside, starts = 0, []
+    for _, size, least, most in [row for row in bands.chunks if row[0] <= n][-1:]:
+        starts = [*range(0, n - size + 1, size), *([n - size] if n % size else [])]
+        outside = sum(not least <= size / len(pack.compress(raw[i : i + size])) <= most for i in starts)
+    share = outside / len(starts) if starts else 0.0
     return ratio, share, low <= ratio <= high and share <= bands.chunk_share
 
 
