@@ -282,6 +282,57 @@ def test_quality_model(spark, docs, empty, labelled):
     assert quality_model.score_quality(docs, one_kind).where("score = 1").count() == 8
 
 
+def plain_statistics(text):
+    raw = (text or "").encode()
+    own = [w.encode() for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    if not own:
+        return [0.0] * 17
+    n, chars = len(own), b"".join(own)
+    lines = [x for x in raw.split(b"\n") if x]
+    share = lambda kept: sum(b in kept for b in chars) / len(chars)
+    sizes, kinds = [len(w) for w in own], len(set(own))
+    mean = sum(sizes) / n
+    packed = sum(len(zlib.compress(raw[i : i + 65536], 1)) for i in range(0, len(raw), 65536))
+    return [
+        np.log(1 + n), len(chars) / n, (sum((x - mean) ** 2 for x in sizes) / n) ** 0.5, kinds / n, np.log(kinds) / np.log(n + 1),
+        *(share(k) ** 0.5 for k in (range(65, 91), range(48, 58), b".,;:!?", b"#*$%&|<>=~^_", b"!|")), sum(w.isupper() for w in own) / n,
+        np.log(1 + len(lines)), len(set(lines)) / len(lines), len(raw) / packed, np.log(1 + len(raw) / len(lines)), sizes.count(1) / n, sum(b > 127 for b in chars) / len(chars),
+    ]
+
+
+def test_quality_model_against_a_plain_fit(spark, docs, labelled):
+    """Statistics, features, summed normal equations, ridge weights and calibration."""
+    fold = toxicity.training_fold(folds=3, held=1)
+    given = labelled.select("doc_id", "text").unionByName(spark.createDataFrame([(5000 + i, t) for i, t in enumerate(["Éa b\n\nEIN 1 ! |", "x", "", None])], "doc_id long, text string"))
+    labels = labelled.select("doc_id", "quality").unionByName(spark.createDataFrame([(5000, 0), (5001, 1), (5002, 0), (5003, 0), (77777, 1), (3, 0), (4, 1), (None, 1)], "doc_id long, quality int"))
+    model = quality_model.train(given, labels, fold)
+    sample = toxicity.labelled_sample(given, labels, "quality", fold).collect()
+    assert {r["y"] for r in sample} == {0, 1} and len(sample) == len({(r["text"], r["y"]) for r in sample})
+    x, y = np.array([plain_statistics(r["text"]) for r in sample]), np.array([r["y"] for r in sample])
+    assert np.allclose(x, [quality_model.statistics(r["text"]) for r in sample])
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
+    rng = np.random.default_rng(6)
+    freq, phase = rng.normal(0, np.sqrt(0.12), (17, 256)), rng.uniform(0, 2 * np.pi, 256)
+    z = np.clip((x - mean) / scale, -6, 6)
+    wide = np.column_stack([np.sqrt(2 / 256) * np.cos(z @ freq + phase), z, np.ones(len(z))])
+    part = np.array([zlib.crc32((r["text"] or "").encode()) % 5 for r in sample])
+    fit, share = part > 0, y.mean()
+    w = np.where(y > 0, 0.5 / share, 0.5 / (1 - share))
+    a, b = np.zeros((274, 274)), np.zeros(274)
+    for row, t, k in zip(wide[fit], y[fit], w[fit], strict=True):
+        a, b = a + k * np.outer(row, row), b + k * (2 * t - 1) * row
+    weights = np.linalg.solve(a + 1e-3 * np.trace(a) / 274 * np.eye(274), b)
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    # Isotonic levels by their min-max formula.
+    raw, own = wide[~fit] @ weights, y[~fit]
+    order = np.argsort(raw, kind="stable")
+    raw, own = raw[order], own[order]
+    level = [max(min(own[i : j + 1].mean() for j in range(k, len(own))) for i in range(k + 1)) for k in range(len(own))]
+    pools = [np.flatnonzero(np.isclose(level, v)) for v in sorted(set(np.round(level, 12)))]
+    assert np.allclose(model.knots[1:-1], [raw[p].mean() for p in pools], atol=1e-6)
+    assert np.allclose(model.levels[1:-1], [(own[p].sum() + 0.5) / (len(p) + 1) for p in pools])
+
+
 def test_isotonic_rises():
     x, y = quality_model.isotonic(np.array([3.0, 1, 2, 4, 5, 6]), np.array([0.0, 0, 1, 1, 0, 1]))
     assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all()

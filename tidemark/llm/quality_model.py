@@ -76,8 +76,9 @@ class Model:
         return np.interp(self.raw(texts), self.knots, self.levels)
 
 
-def isotonic(x: np.ndarray, y: np.ndarray, most: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators of labels y sorted by x: knots and rising levels."""
+def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators of labels y sorted by x: one knot, the mean score, and one
+    rising level for each pool. There are no more pools than labelled rows of the sample."""
     order = np.argsort(x, kind="stable")
     x, y = x[order], y[order]
     pools: list[list[float]] = []  # sum of labels, rows, sum of scores
@@ -89,9 +90,6 @@ def isotonic(x: np.ndarray, y: np.ndarray, most: int = 400) -> tuple[np.ndarray,
     levels = np.array([(s + 0.5) / (n + 1) for s, n, _ in pools])
     knots = np.array([t / n for _, n, t in pools])
     levels = np.maximum.accumulate(levels)
-    if len(knots) > most:
-        pick = np.unique(np.linspace(0, len(knots) - 1, most).astype(int))
-        knots, levels = knots[pick], levels[pick]
     # A small slope keeps the order of scores within a level and beyond the ends.
     wide = np.concatenate([[knots[0] - 1], knots, [knots[-1] + 1]])
     high = np.concatenate([[levels[0] * 0.5], levels, [1 - (1 - levels[-1]) * 0.5]])
