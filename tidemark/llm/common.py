@@ -79,3 +79,24 @@ def filter_slices(
                 yield part.filter(pa.array(f(part.column(at).to_pylist()), type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """The rows of sorted batches by runs of equal values in the first n_keys columns. One
+    run is held at a time."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(i).to_pylist() for i in range(n_keys)), strict=True))
+        at = 0
+        for i, key in enumerate(keys):
+            if key != last:
+                if i > at:
+                    kept.append(batch.slice(at, i - at))
+                if kept:
+                    yield pa.Table.from_batches(kept)
+                kept, at, last = [], i, key
+        if at < batch.num_rows:
+            kept.append(batch.slice(at))
+    if kept:
+        yield pa.Table.from_batches(kept)

@@ -49,7 +49,7 @@ def op2_crf_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = extract_text(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_covered")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_covered", "n_cut")
 
 
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
