@@ -125,19 +125,23 @@ def _blocks(page: str, by_name: bool) -> list[tuple[str, str]]:
     unclosed: set[str] = set()
 
     def close() -> None:
-        raw = "".join(text)
+        if not text:
+            return
+        raw = text[0] if len(text) == 1 else "".join(text)
         text.clear()
         if words := " ".join((html.unescape(raw) if "&" in raw else raw).split()):
             found.append((place, words))
 
-    while m := MARKUP.search(page, at):
-        if m.start() > at:
-            text.append(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    search = MARKUP.search
+    while m := search(page, at):
+        begins, past = m.span()
+        if begins > at:
+            text.append(page[at:begins])
+        at = past
+        end, tag, _ = m.groups()
         if not tag:
             continue
-        ends = bool(m["end"])
+        ends, tag = bool(end), tag.lower()
         if not ends and tag not in unclosed and (tag in TO_THE_END or tag in IF_CLOSED and not m["rest"].endswith("/")):
             if close_tag := re.compile(rf"</{tag}\s*>", re.I).search(page, at):
                 at = close_tag.end()
@@ -238,12 +242,17 @@ def suffix_array(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def window_keys(codes: np.ndarray, depth: int) -> np.ndarray:
-    """One number for each run of `depth` words."""
-    n = max(len(codes) - depth + 1, 0)
-    key, codes = np.zeros(n, dtype=np.uint64), codes.astype(np.uint64)
+    """One number for each run of `depth` words: keys of half as many words, put together."""
+    n = len(codes) - depth + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    key, reach = codes.astype(np.uint64) * MIX, 1
     with np.errstate(over="ignore"):
-        for k in range(depth if n else 0):
-            key = (key ^ (key >> np.uint64(31))) * MIX + codes[k : n + k]
+        while reach < depth:
+            step = min(reach, depth - reach)
+            low = key[: len(key) - step]
+            odd = np.uint64((int(MIX) * (2 * reach + 1)) & 0xFFFFFFFFFFFFFFFF)  # another one for every reach, so that halves can't change places
+            key, reach = (low ^ (low >> np.uint64(31))) * odd + key[step:], reach + step
     return key.view(np.int64)
 
 
@@ -271,20 +280,65 @@ def repeats(streams: list[np.ndarray], depth: int, least: int) -> tuple[np.ndarr
     return np.array(keys, dtype=np.int64), pages[pages >= least]
 
 
-class Coder:
-    """Codes of words, remembered while there are not too many."""
-
-    def __init__(self, most: int = 300_000):
-        self.memo: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        memo = self.memo
-        if len(memo) > self.most:
-            memo.clear()
-        for w in set(words).difference(memo):
-            memo[w] = xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(memo.__getitem__, words), dtype=np.uint32, count=len(words))
+#: Bytes that word codes are computed from at once, and the base of their polynomials.
+CODE_BYTES = 1 << 20
+BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = []
+
+
+def powers() -> list[np.ndarray]:
+    """Powers of BASE and of its inverse, for CODE_BYTES places and one more."""
+    if not _powers:
+        for x in (BASE, pow(BASE, -1, 1 << 64)):
+            _powers.append(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(CODE_BYTES, x, np.uint64)])))
+    return _powers
+
+
+def pieces(raw: bytes) -> Iterator[bytes]:
+    """A text of words in pieces of CODE_BYTES at most, cut between words; a word that is
+    longer still is cut itself."""
+    at = 0
+    while len(raw) - at > CODE_BYTES:
+        cut = raw.rfind(b" ", at, at + CODE_BYTES)
+        yield raw[at : cut if cut > at else at + CODE_BYTES]
+        at = cut + 1 if cut > at else at + CODE_BYTES
+    if at < len(raw):
+        yield raw[at:]
+
+
+def word_codes(texts: list[str]) -> list[np.ndarray]:
+    """For each text of words with one space between, the codes of its words: polynomials
+    over their bytes, all read off one running sum."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    place, inverse = powers()
+    found: list[list[np.ndarray]] = [[] for _ in raw]
+    held: list[tuple[int, bytes]] = []
+
+    def flush() -> None:
+        line = b" ".join(x for _, x in held) + b" "
+        values = np.frombuffer(line, dtype=np.uint8)
+        with np.errstate(over="ignore"):
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * place[: len(values)], dtype=np.uint64)])
+            ends = np.flatnonzero(values == 32)
+            starts = np.append(0, ends[:-1] + 1)
+            code = (total[ends] - total[starts]) * inverse[starts]
+            code = ((code ^ (code >> np.uint64(32))) * MIX) >> np.uint64(32)
+        at = np.cumsum([0, *(x.count(b" ") + 1 for _, x in held)])
+        for (i, _), a, b in zip(held, at[:-1], at[1:], strict=True):
+            found[i].append(code[a:b].astype(np.uint32))
+        held.clear()
+
+    size = 0
+    for i, x in enumerate(raw):
+        for piece in pieces(x):
+            if held and size + len(piece) + 1 > CODE_BYTES:
+                flush()
+                size = 0
+            held.append((i, piece))
+            size += len(piece) + 1
+    if held:
+        flush()
+    return [x[0] if len(x) == 1 else np.concatenate(x) if x else np.zeros(0, np.uint32) for x in found]
 
 
 # --- what the host tells of a page
@@ -314,30 +368,36 @@ def covered(keys: np.ndarray, known: np.ndarray, n: int, depth: int) -> np.ndarr
     return np.cumsum(edge[:-1]) > 0
 
 
-def verdict(blocks: list[tuple[str, list[str]]], repeated: np.ndarray, wide: np.ndarray, trust_main: bool) -> tuple[str, int, int]:
-    """(text, words that repeats cover and that are not in it, words that only the repeats took out).
+def verdict(blocks: list[tuple[str, str]], sizes: list[int], repeated: np.ndarray, wide: np.ndarray, trust_main: bool) -> tuple[str, int, int]:
+    """(text, words that repeats cover and that are not in it, words that only the repeats
+    took out). sizes: words of each block.
 
     Blocks of a declared region stand or go whole: they go if wide runs cover half of
     their words. Of other blocks the words that repeats cover go. Runs that would take
     most of what there is away are no boilerplate: such a page is a copy of others, and
     stays as it is."""
-    ends = np.cumsum([0, *(len(w) for _, w in blocks)])
+    ends = np.cumsum([0, *sizes])
     kinds = [k for k, _ in blocks]
     region = next((k for k in ("main", "named") if k in kinds), "") if trust_main else ""
-    kept, mine = np.zeros(ends[-1], dtype=bool), np.zeros(ends[-1], dtype=bool)
-    for k, a, b in zip(kinds, ends[:-1], ends[1:], strict=True):
-        mine[a:b] = k == region if region else k != "out"
-    if region:
-        for k, a, b in zip(kinds, ends[:-1], ends[1:], strict=True):
-            kept[a:b] = k == region and 2 * wide[a:b].sum() < b - a
-        if 2 * kept.sum() < mine.sum():
-            kept = mine
-    else:
-        kept = mine & ~wide
-        if 5 * (unique := kept & ~repeated).sum() >= kept.sum():
-            kept = unique
-    words = [w for _, own in blocks for w in own]
-    return " ".join(w for w, k in zip(words, kept.tolist(), strict=True) if k), int((repeated & ~kept).sum()), int((mine & ~kept).sum())
+    mine = np.repeat(np.array([k == region if region else k != "out" for k in kinds], dtype=bool), sizes)
+    kept = mine
+    if len(repeated) and repeated.any():
+        if region:
+            goes = [2 * int(wide[a:b].sum()) >= b - a for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            stay = mine & ~np.repeat(goes, sizes)
+            kept = stay if 2 * stay.sum() >= mine.sum() else mine
+        else:
+            kept = mine & ~wide
+            unique = kept & ~repeated
+            kept = unique if 5 * unique.sum() >= kept.sum() else kept
+    texts = []
+    for (_, t), a, b in zip(blocks, ends[:-1], ends[1:], strict=True):
+        own = kept[a:b]
+        if own.all():
+            texts.append(t)
+        elif own.any():
+            texts.append(" ".join(w for w, k in zip(t.split(" "), own.tolist(), strict=True) if k))
+    return " ".join(texts), int((repeated & ~kept).sum()), int((mine & ~kept).sum())
 
 
 PAGE = ("host", "part", "key", "url", "page")
@@ -384,11 +444,10 @@ def with_repeats(rows: DataFrame, table: DataFrame, make: Callable, schema: T.St
     return both.repartition("host", "part").sortWithinPartitions("host", "part", "kind").mapInArrow(run_sorted, schema)
 
 
-def _read(batch: pa.RecordBatch, code: Coder) -> Iterator[tuple[list[tuple[str, list[str]]], np.ndarray]]:
-    """The blocks of each page as words, and the codes of its stream."""
-    for page in batch.column(PAGE.index("page")).to_pylist():
-        blocks = [(k, t.split(" ")) for k, t in blocks_of(page)]
-        yield blocks, code([w for _, own in blocks for w in own])
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[str, str]], np.ndarray]]:
+    """The blocks of each page, and the word codes of its stream."""
+    blocks = [blocks_of(page) for page in batch.column(PAGE.index("page")).to_pylist()]
+    return zip(blocks, word_codes([" ".join(t for _, t in own) for own in blocks]), strict=True)
 
 
 def host_repeats(rows: DataFrame, limits: Limits) -> DataFrame:
@@ -396,11 +455,10 @@ def host_repeats(rows: DataFrame, limits: Limits) -> DataFrame:
     depth, share = limits.depth, limits.repeated
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Coder()
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(i, SLICE_ROWS)
-                raw = [c.tobytes() for _, c in _read(part, code)]
+                raw = [c.tobytes() for _, c in _read(part)]
                 digest = np.array([xxhash.xxh64_intdigest(x) for x in raw], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(5), pa.array(digest), pa.array(raw, pa.binary())], names=["host", "part", "parts", "digest", "words"])
 
@@ -424,13 +482,11 @@ def host_repeats(rows: DataFrame, limits: Limits) -> DataFrame:
         table = staged(table, "named")
 
         def make():
-            code = Coder()
-
             def f(batch: pa.RecordBatch, lookup: Callable) -> pa.RecordBatch:
                 hosts, digests, keys = [], [], []
-                for host, (_, codes) in zip(batch.column(0).to_pylist(), _read(batch, code), strict=True):
-                    own = np.unique(window_keys(codes, depth))
-                    own = own[np.isin(own, lookup(host)[0])]
+                for host, (_, codes) in zip(batch.column(0).to_pylist(), _read(batch), strict=True):
+                    own, known = window_keys(codes, depth), lookup(host)[0]
+                    own = np.unique(own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own]) if len(known) else own[:0]
                     hosts += [host] * len(own)
                     digests.append(np.full(len(own), xxhash.xxh64_intdigest(codes.tobytes()), dtype=np.uint64).view(np.int64))
                     keys.append(own)
@@ -477,13 +533,12 @@ def extract_text(pages: DataFrame, limits: Limits | None = None, trust_main: boo
     schema = T.StructType([T.StructField(key, pages.schema[key].dataType), T.StructField(url, pages.schema[url].dataType), *T.StructType.fromDDL("text string, n_covered long, n_cut long").fields])
 
     def make():
-        code = Coder()
-
         def f(batch: pa.RecordBatch, lookup: Callable) -> pa.RecordBatch:
             out = []
-            for host, (blocks, codes) in zip(batch.column(0).to_pylist(), _read(batch, code), strict=True):
+            for host, (blocks, codes) in zip(batch.column(0).to_pylist(), _read(batch), strict=True):
                 keys = window_keys(codes, limits.depth)
-                out.append(verdict(blocks, *[covered(keys, x, len(codes), limits.depth) for x in lookup(host)], trust_main))
+                sizes = [t.count(" ") + 1 for _, t in blocks]
+                out.append(verdict(blocks, sizes, *[covered(keys, x, len(codes), limits.depth) for x in lookup(host)], trust_main))
             kinds = (pa.string(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]], names=schema.names)
 
