@@ -3,9 +3,11 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import flatten, metrics
 from tidemark.sources import jdbc, readers
+from tidemark.sources.scratch import names
 from tidemark.sources.store import Table
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -20,14 +22,25 @@ def test_wall_clock_times(spark):
     assert jdbc.wall_clock(df, "Asia/Kolkata").first()["t"] == dt.datetime(2024, 7, 1, 17, 30)
 
 
-def test_merge_through_a_stage(spark, tmp_path):
+def test_merge_inside_the_database(spark, tmp_path):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     jdbc.write_jdbc(old, url(tmp_path), "t", mode="overwrite", limits={"v": 8}, options=DERBY)
-    held = readers.read_jdbc(spark, url(tmp_path), "t", options=DERBY)
-    new = spark.createDataFrame([(2, "B"), (3, "c")], "k long, v string")
-    jdbc.merge_jdbc(new, held, ["k"], url(tmp_path), "t", stage=str(tmp_path / "stage"), order=[F.col("v")], limits={"v": 8}, options=DERBY)
+    new = spark.createDataFrame([(2, "A"), (2, "B"), (3, "c")], "k long, v string")
+    for _ in range(2):  # done again, it leaves the same
+        jdbc.merge_jdbc(new, ["k"], url(tmp_path), "t", [F.col("v")], limits={"v": 8}, options=DERBY)
     back = readers.read_jdbc(spark, url(tmp_path), "t", "k", 2, DERBY)
     assert sorted(tuple(r) for r in back.collect()) == [(1, "a"), (2, "B"), (3, "c")] and back.rdd.getNumPartitions() == 2
+    with pytest.raises(Exception, match="NOWHERE|nowhere"):
+        jdbc.statements(spark, url(tmp_path), ['DELETE FROM t WHERE "k" = 1', "DELETE FROM nowhere"], DERBY)
+    assert readers.read_jdbc(spark, url(tmp_path), "t", options=DERBY).count() == 3  # nothing of a failed transaction stays
+
+
+def test_bounds_of_keys():
+    for low, high, kind in [(0, 100, T.LongType()), ("00ab", "ffee", T.StringType()), ("Zed", "abc", T.StringType()), (dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 9), T.TimestampNTZType()), (dt.date(2020, 1, 1), dt.date(2020, 1, 9), T.DateType()), (5, 5, T.LongType())]:
+        found = readers.cuts(low, high, kind, 4)
+        assert found == sorted(found) and len(found) == 3
+    assert readers.ranges("k", ["1", "1", "5"]) == ["(k < 1 OR k IS NULL)", "(k >= 1 AND k < 5)", "k >= 5"]
+    assert readers.shown("it's", T.StringType()) == "'it''s'" and readers.shown(dt.date(2020, 1, 1), T.DateType()) == "{d '2020-01-01'}"
 
 
 def test_lengths_of_text_columns(spark):
@@ -59,9 +72,29 @@ def test_store_reads_columns_of_all_appends(spark, tmp_path):
     assert held.read() is None and metrics.n_records(held.read()) == 0
     held.append(spark.createDataFrame([(1,)], "k long"))
     held.append(spark.createDataFrame([(2, "x")], "k long, v string"))
-    assert sorted((r["k"], r["v"]) for r in held.read().collect()) == [(1, None), (2, "x")] and held.version() == 1
+    assert sorted((r["k"], r["v"]) for r in held.read().collect()) == [(1, None), (2, "x")] and held.version() == 2
     held.replace(held.read().where("k = 2"))  # from itself
-    assert held.version() == 2 and held.read().count() == 1
+    assert held.version() == 3 and held.read().count() == 1
+    with pytest.raises(ValueError):
+        held.append(spark.createDataFrame([("x",)], "k string"))
+    held.vacuum(1)
+    assert held.version() == 3 and held.read().count() == 1 and len(names(spark, f"{held.path}/data")) == 1
+    held.drop()
+    assert held.read() is None
+
+
+def test_partitions_of_a_table(spark, tmp_path):
+    held = Table(spark, str(tmp_path / "t"), ["p", "q"])
+    held.replace(spark.createDataFrame([(1, "a b", 1.5), (2, "x/y=%", 2.0), (3, None, None)], "k long, p string, q double"))
+    assert held.partitions() == {("a b", "1.5"), ("x/y=%", "2.0"), (None, None)} == held.values_of(held.read())
+    assert [r["k"] for r in held.read({("x/y=%", "2.0")}).collect()] == [2] and held.read(set()).count() == 0
+    before = held.state().dirs
+    held.replace_partitions(spark.createDataFrame([(5, "new", 0.0)], "k long, p string, q double"), {("a b", "1.5")})
+    assert sorted((r["k"], r["p"], r["q"]) for r in held.read().where("k <> 3").collect()) == [(2, "x/y=%", 2.0), (5, "new", 0.0)]
+    assert set(before) & set(held.state().dirs) == {d for d in before if "p=a" not in d}  # others are not written again
+    held.drop_partitions(held.partitions())
+    assert held.read().count() == 0 and held.read().dtypes == [("k", "bigint"), ("p", "string"), ("q", "double")]
+    assert Table(spark, str(tmp_path / "t")).parts == ["p", "q"]
 
 
 def test_actions_take_the_last_of_a_type(spark):

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.objectid import created_at
+
 RECORD_KEY = "unique_migration_record_id"
 SNAPSHOT = "migration_snapshot_date"
 PARTITION = "parquet_format_"
@@ -54,12 +56,14 @@ def with_snapshot(df: DataFrame, run_at: Column) -> DataFrame:
 
 
 def partition_columns(df: DataFrame, parts: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
-    """Add partition columns: of a datetime its year, month and day; of a text, int
-    (null: 0) or float the value. Returns the frame and the names in order."""
+    """Add partition columns: of a datetime, or of the creation time in an object id
+    ('objectid'), its year, month and day; of a text, int (null: 0) or float the value.
+    Returns the frame and the names in order."""
     out: dict[str, Column] = {}
     for c, kind in parts.items():
         col, name = F.col(f"`{c}`"), f"{PARTITION}{c}"
-        if kind == "datetime":
+        if kind in ("datetime", "objectid"):
+            col = created_at(col) if kind == "objectid" else col
             out |= {f"{name}_year": F.year(col).cast("bigint"), f"{name}_month": F.month(col).cast("bigint"), f"{name}_day": F.dayofmonth(col).cast("bigint")}
         elif kind == "int":
             out[name] = F.coalesce(col.cast("bigint"), F.lit(0).cast("bigint"))

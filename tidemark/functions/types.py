@@ -75,7 +75,9 @@ def to_utc(c: Column, kind: T.DataType, zone: str = "UTC", text_zone: str = "UTC
     if isinstance(kind, T.DateType):
         return to_utc(c.cast("timestamp_ntz"), T.TimestampNTZType(), zone)
     if isinstance(kind, T.NumericType):
-        return F.timestamp_add("MICROSECOND", (c * 1000000).try_cast("bigint"), F.lit("1970-01-01").cast("timestamp_ntz"))
+        million = F.lit(1_000_000).cast("bigint")  # 32 bits can't hold the microseconds of a time
+        micros = F.try_multiply(c.cast("bigint"), million) if isinstance(kind, T.IntegralType) else (c.cast("double") * 1e6 if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else F.try_multiply(c, million)).try_cast("bigint")
+        return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
     text = F.trim(c.cast("string"))
     text = F.regexp_replace(text, r"^(\d{4})/(\d\d)/(\d\d)", "$1-$2-$3")
     text = F.regexp_replace(text, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,30 +43,39 @@ def next_state(state: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The last row of each key by the order given; arrival has none in Spark."""
-    w = Window.partitionBy(*keys).orderBy(*[o.desc() for o in order])
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The last row of each key by the order given; arrival has none in Spark. Rows with a
+    null in their key match no other, so each of them stays."""
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    alone = df.withColumn("_alone", F.when(~whole, F.monotonically_increasing_id()))  # no two rows with nulls meet
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys], "_alone").orderBy(*[o.desc() for o in order])
+    return alone.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_alone")
 
 
-def upsert(dest: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def merge(dest: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The destination with whole rows replaced by key, and rows without a match added.
-    Updates with null keys are added as they are."""
-    fresh = latest(updates, keys, order)
+    fresh holds a key once; rows with a null in their key are added as they are."""
     return dest.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
-def upsert_touched(dest: DataFrame, updates: DataFrame, keys: Sequence[str], parts: Sequence[str], order: Sequence[Column], moved: bool = True) -> DataFrame:
-    """Only the partitions that an upsert changes, whole, for a dynamic overwrite.
+def upsert(dest: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """merge() of the last row of each key. Updates with null keys are added as they are."""
+    return merge(dest, latest(updates, keys, order), keys)
+
+
+def touched_rows(dest: DataFrame, fresh: DataFrame, keys: Sequence[str], parts: Sequence[str], moved: bool = True) -> DataFrame:
+    """Partition values that an upsert changes. With moved, those that hold an old copy of an
+    updated key are among them, so that a row that changes its partition leaves the old one."""
+    own = fresh.select(*parts)
+    return own.unionByName(dest.select(*dict.fromkeys([*keys, *parts])).join(fresh.select(*keys), list(keys), "left_semi").select(*parts)) if moved else own
+
 
-    With moved, partitions that hold an old copy of an updated key are among them, so
-    that a row that changes its partition leaves the old one.
-    """
+def upsert_touched(dest: DataFrame, updates: DataFrame, keys: Sequence[str], parts: Sequence[str], order: Sequence[Column], moved: bool = True) -> DataFrame:
+    """Rows of the partitions that an upsert changes, whole. A partition that loses its last
+    row has none here: tell the writer of touched_rows() as well."""
     fresh = latest(updates, keys, order)
-    touched = fresh.select(*parts)
-    if moved:
-        touched = touched.unionByName(dest.join(fresh.select(*keys), list(keys), "left_semi").select(*parts))
-    read = dest.join(touched.distinct(), list(parts), "left_semi")
-    return read.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh, allowMissingColumns=True)
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{p}").eqNullSafe(F.col(f"t.{p}")) for p in parts])
+    read = dest.alias("d").join(touched_rows(dest, fresh, keys, parts, moved).distinct().alias("t"), same, "left_semi")
+    return merge(read, fresh, keys)
 
 
 def insert_ignore(dest: DataFrame, rows: DataFrame, null_safe: bool = False) -> DataFrame:
@@ -95,22 +103,30 @@ def mirror(dest: DataFrame, source: DataFrame, key: str, full: bool = False, for
     return kept if full else kept.unionByName(dest.where((F.col(key) > top) | F.col(key).isNull()))
 
 
-def mirror_deleted(dest: DataFrame, source: DataFrame, key: str, full: bool = False) -> DataFrame:
-    """The destination rows that mirror() takes away."""
+def mirror_deleted(dest: DataFrame, source: DataFrame, key: str, full: bool = False, force: bool = False) -> DataFrame:
+    """The destination rows that mirror() takes away, with the same guard."""
     top = source.agg(F.max(key)).first()[0]
+    if top is None:
+        if not force:
+            raise ValueError("the source has no keys: nothing is deleted unless forced")
+        return dest if full else dest.limit(0)
     bound = dest if full else dest.where(F.col(key) <= F.lit(top))
     return bound.join(source.select(key).distinct(), key, "left_anti")
 
 
 def unexpired(df: DataFrame, now: Column, days: int = 0, hours: int = 0, stamp: str = "migration_snapshot_date") -> DataFrame:
-    """Snapshots younger than the expiry; at the very moment they go."""
+    """Snapshots younger than the expiry; at the very moment they go. Rows without a stamp stay."""
     cutoff = F.timestamp_add("HOUR", F.lit(-(24 * days + hours)), now.cast("timestamp_ntz"))
-    return df.where(F.col(stamp) > cutoff)
+    return df.where(F.coalesce(F.col(stamp) > cutoff, F.lit(True)))
 
 
-def reload_slices(dest: DataFrame, rows: DataFrame, slices: Sequence[str]) -> DataFrame:
-    """The destination with the slices of the given rows replaced by them."""
-    touched = rows.select(*slices).distinct()
+def reload_slices(dest: DataFrame, rows: DataFrame, slices: Sequence[str], cleared: DataFrame | None = None) -> DataFrame:
+    """The destination with slices replaced by the given rows: their own ones, and those of
+    `cleared`, which go whether or not rows come back for them."""
+    touched = rows.select(*slices)
+    if cleared is not None:
+        touched = touched.unionByName(cleared.select(*slices))
+    touched = touched.distinct()
     same = reduce(lambda a, b: a & b, [dest[c].eqNullSafe(touched[c]) for c in slices])
     return dest.join(touched, same, "left_anti").unionByName(rows, allowMissingColumns=True)
 
@@ -122,7 +138,3 @@ def drift(dest: T.StructType, source: T.StructType, dest_parts: Sequence[str] =
     if list(dest_parts) != list(source_parts) or any(new.get(k) != v for k, v in old.items()):
         return "reload"
     return "same" if len(old) == len(new) else "evolve"
-
-
-def in_range(df: DataFrame, key: str, low: Any, high: Any) -> DataFrame:
-    return df.where((F.col(key) > F.lit(low)) & (F.col(key) <= F.lit(high)))

@@ -7,13 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-STATISTICS = ("job_id", "table_name", "insertions", "updations", "total_records", "start_time", "total_time", "curr_megabytes_processed", "total_megabytes", "status")
-
-
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame, and its row count once it was written: no second pass."""
+def observed(df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, Observation]:
+    """The frame, and its row count (n) and further aggregates once it was written: no second pass."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *more), seen
 
 
 def n_records(df: DataFrame | None) -> int:

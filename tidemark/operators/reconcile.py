@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +13,9 @@ from tidemark.operators.select import earlier
 
 
 def sampled(df: DataFrame, key: str, of: int, take: int = 1) -> DataFrame:
-    """A repeatable sample by a hash of the key: take parts of `of`; no sort, and the
-    same rows on either side."""
-    return df.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(of)) < take)
+    """A repeatable sample by a digest of the key: take parts of `of`; no sort, and the
+    same rows on either side, whatever system draws them."""
+    return df.where(F.md5(F.col(key).cast("string").cast("binary")) < f"{(take << 32) // of:08x}")
 
 
 def due(key: Column, bookmark: Column | None, last_key: Any, last_run: Any, lag: int = 0) -> Column:
@@ -68,7 +67,3 @@ def summary(compared: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count_if(F.col("status") == "extra").alias("n_extra"),
         *counts,
     )
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

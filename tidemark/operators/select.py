@@ -40,10 +40,10 @@ def high_water(df: DataFrame, key: str) -> Any:
     return df.agg(F.max(key)).first()[0]
 
 
-def new_rows(key: Column, last: Any, current: Any) -> Column:
-    """Keys after the last one moved, up to the current largest; on a first run there is
-    no lower bound."""
-    upper = key <= literal(current)
+def new_rows(key: Column, last: Any, current: Any = None) -> Column:
+    """Keys after the last one moved, up to the current largest if one is given; on a first
+    run there is no lower bound. Null keys are no new ones."""
+    upper = key.isNotNull() if current is None else key <= literal(current)
     return upper if last is None else (key > literal(last)) & upper
 
 

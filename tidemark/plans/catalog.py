@@ -8,6 +8,7 @@ of the price where 5 divides the key. Run times are fixed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidemark.operators import change, flatten, metrics, reconcile, select
 from tidemark.plans import jobs
 from tidemark.sources import jdbc, readers
 from tidemark.sources.scratch import scratch_path
-from tidemark.sources.state import StateLog
+from tidemark.sources.state import JobLog, StateLog
 from tidemark.sources.store import Table
 from tidemark.streaming import router
 
@@ -78,17 +79,27 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 
 @query("select o_orderkey, o_totalprice, s as migration_snapshot_date from orders, (select unnest([timestamp '2001-01-01', timestamp '2001-01-02', timestamp '2001-01-03']) as s)")
 def snapshot_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three full snapshots in one table."""
+    """Three full snapshots in one table; a run that is done again replaces its own."""
     held = Table(spark, scratch_path(spark, "dump"))
-    for day in ("2001-01-01", "2001-01-02", "2001-01-03"):
+    for day in ("2001-01-01", "2001-01-02", "2001-01-02", "2001-01-03"):
         jobs.dump(readers.read_snapshot(spark, f"{sf_dir}/orders.parquet"), jobs.SyncSpec("orders", "o_orderkey"), held, day)
     return held.read().select("o_orderkey", "o_totalprice", "migration_snapshot_date")
 
 
-@query("select o_orderkey, s as migration_snapshot_date from orders, (select unnest([timestamp '2001-01-01 00:00:00', timestamp '2001-01-02 00:00:00', timestamp '2001-01-02 12:00:00', timestamp '2001-01-03 00:00:00']) as s) where s > timestamp '2001-01-02 00:00:00'")
+@query("select o_orderkey, s as migration_snapshot_date from orders, (select unnest([timestamp '2001-01-02 12:00:00', timestamp '2001-01-03 00:00:00']) as s)")
+def dump_with_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dump job keeps snapshots younger than a day; partitions of the others leave the table unread."""
+    held, spec = Table(spark, scratch_path(spark, "expiring")), jobs.SyncSpec("orders", "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    for at in ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-02 12:00:00", "2001-01-03 00:00:00"):
+        jobs.dump(orders, spec, held, at, {"days": 1})
+    return held.read().select("o_orderkey", "migration_snapshot_date")
+
+
+@query("select o_orderkey, s as migration_snapshot_date from orders, (select unnest([timestamp '2001-01-01 00:00:00', timestamp '2001-01-02 00:00:00', timestamp '2001-01-02 12:00:00', timestamp '2001-01-03 00:00:00', null]) as s) where s is null or s > timestamp '2001-01-02 00:00:00'")
 def expire_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots of a day or younger; the one at the cut-off goes."""
-    stamps = F.explode(F.array(*[select.moment(x) for x in ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-02 12:00:00", "2001-01-03 00:00:00")]))
+    """Snapshots of a day or younger; the one at the cut-off goes, rows without a stamp stay."""
+    stamps = F.explode(F.array(*[select.moment(x) for x in ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-02 12:00:00", "2001-01-03 00:00:00")], F.lit(None).cast("timestamp_ntz")))
     copies = table(spark, sf_dir, "orders").select("o_orderkey", stamps.alias(project.SNAPSHOT))
     return change.unexpired(copies, select.moment("2001-01-03 00:00:00"), days=1)
 
@@ -144,30 +155,31 @@ def sync_updates_grace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_orders(spark, sf_dir).where(select.updated_rows(okey(), odate(), mark, DAY)).select("o_orderkey", "o_orderdate")
 
 
-@query("select o_orderkey, o_orderdate from orders where o_orderkey <= 500 and o_orderdate > timestamp '2000-12-02' and o_orderdate <= timestamp '2001-01-01'")
+@query("select o_orderkey, o_orderdate from orders where o_orderdate > timestamp '2000-12-02' and o_orderdate <= timestamp '2001-01-01'")
 def sync_updates_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose bookmark lies in the month before the run."""
-    return table(spark, sf_dir, "orders").where(select.buffered_rows(okey(), odate(), RUN_AT, 30 * DAY, 500)).select("o_orderkey", "o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    return orders.where(select.buffered_rows(okey(), odate(), RUN_AT, 30 * DAY, select.high_water(orders, "o_orderkey"))).select("o_orderkey", "o_orderdate")
 
 
-@query(f"with {SRC} select o_orderkey, o_orderdate from src, h where o_orderkey > half and o_orderkey <= half + 2000 and o_orderdate > timestamp '1999-01-01'")
+@query(f"with {SRC} select o_orderkey, o_orderdate from src, h where o_orderkey > half and o_orderkey <= half + half // 4 and o_orderdate > timestamp '1999-01-01'")
 def sync_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a failed run had inserted and that changed since."""
     last = half(spark, sf_dir)
-    mark = select.Watermark(LAST_RUN, last, last + 2000, "1999-01-01")
+    mark = select.Watermark(LAST_RUN, last, last + last // 4, "1999-01-01")
     return source_orders(spark, sf_dir).where(select.recovered_rows(okey(), odate(), mark)).select("o_orderkey", "o_orderdate")
 
 
 @query(
     f"with {SRC} select o_orderkey, o_orderdate from src, h where o_orderkey <= half and o_orderdate > timestamp '1998-05-31' "
-    "or o_orderkey > half and o_orderkey <= half + 2000 and o_orderdate > timestamp '1999-01-01' "
-    "or o_orderkey <= half + 4000 and o_orderdate > timestamp '2000-12-02' and o_orderdate <= timestamp '2001-01-01'"
+    "or o_orderkey > half and o_orderkey <= half + half // 4 and o_orderdate > timestamp '1999-01-01' "
+    "or o_orderkey <= half + half // 2 and o_orderdate > timestamp '2000-12-02' and o_orderdate <= timestamp '2001-01-01'"
 )
 def sync_update_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three kinds of updates in one scan."""
     last = half(spark, sf_dir)
-    mark = select.Watermark(LAST_RUN, last, last + 2000, "1999-01-01")
-    return source_orders(spark, sf_dir).where(select.update_set(okey(), odate(), mark, RUN_AT, DAY, 30 * DAY, last + 4000)).select("o_orderkey", "o_orderdate")
+    mark = select.Watermark(LAST_RUN, last, last + last // 4, "1999-01-01")
+    return source_orders(spark, sf_dir).where(select.update_set(okey(), odate(), mark, RUN_AT, DAY, 30 * DAY, last + last // 2)).select("o_orderkey", "o_orderdate")
 
 
 @query(
@@ -302,7 +314,7 @@ def documents_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typing.conform_documents(docs, {"user_id": "int", "value": "float", "created_at": "datetime", "private": "bool", "__v": "int"})
 
 
-@query("select event_id, ts - interval 330 minute as local_in, date_trunc('second', ts) as from_epoch, date_trunc('second', ts) as from_text, date_trunc('second', ts) - interval 2 hour as from_offset, null::timestamp as junk from events")
+@query("select event_id, ts - interval 330 minute as local_in, date_trunc('second', ts) as from_epoch, date_trunc('second', ts) as from_short, date_trunc('second', ts) as from_text, date_trunc('second', ts) - interval 2 hour as from_offset, null::timestamp as junk from events")
 def datetime_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local times, epoch seconds, texts with and without an offset, junk."""
     ts, text = F.col("ts"), T.StringType()
@@ -311,6 +323,7 @@ def datetime_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         typing.to_utc(ts, T.TimestampNTZType(), "Asia/Kolkata").alias("local_in"),
         typing.to_utc(objectid.epoch_seconds(ts), T.LongType()).alias("from_epoch"),
+        typing.to_utc(objectid.epoch_seconds(ts).cast("int"), T.IntegerType()).alias("from_short"),
         typing.to_utc(F.date_format(second, "yyyy/MM/dd HH:mm:ss"), text).alias("from_text"),
         typing.to_utc(F.concat(F.date_format(second, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")), text).alias("from_offset"),
         typing.to_utc(F.concat(F.lit("on "), F.col("event_type")), text).alias("junk"),
@@ -364,8 +377,8 @@ def with_object_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select event_id, date_trunc('second', ts) as created, year(ts) as y, month(ts) as m, day(ts) as d from events")
 def objectid_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creation times out of object ids, and the partition that they give."""
-    made = objectid.created_at(F.col("_id"))
-    return with_object_id(spark, sf_dir).select("event_id", made.alias("created"), F.year(made).cast("bigint").alias("y"), F.month(made).cast("bigint").alias("m"), F.dayofmonth(made).cast("bigint").alias("d"))
+    out, made = project.partition_columns(with_object_id(spark, sf_dir), {"_id": "objectid"})
+    return out.select("event_id", objectid.created_at(F.col("_id")).alias("created"), *[F.col(c).alias(n) for c, n in zip(made, "ymd", strict=True)])
 
 
 @query("select event_id from events where date_trunc('second', ts) < date_trunc('second', (select min(ts) + (max(ts) - min(ts)) / 2 from events))")
@@ -456,13 +469,21 @@ def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = "l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc, l_discount desc, l_tax desc, l_returnflag desc, l_linestatus desc"
 
 
-@query(f"select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {LINE_ORDER}) as r from lineitem) where r = 1")
+LAST_LINES = f"select *, row_number() over (partition by l_orderkey, l_linenumber order by {LINE_ORDER}) as r from lineitem"
+
+
+@query(
+    f"with u as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice from ({LAST_LINES}) where r = 1 and l_orderkey % 3 <> 0), "
+    "d as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, 0.0 as l_extendedprice from lineitem where l_linenumber <= 3) "
+    "select * from u union all select * from d where (l_orderkey, l_linenumber) not in (select (l_orderkey, l_linenumber) from u)"
+)
 def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines by (order, number), the last of each, over a destination of older ones."""
+    """Lines by (order, number), the last of each, over a destination: of its lines those of
+    every third order stay, others of the same order but another number come in."""
     lines = table(spark, sf_dir, "lineitem")
     order = [F.col(c.split()[0]) for c in LINE_ORDER.split(", ")]
-    old = lines.where("l_linenumber = 1").dropDuplicates(["l_orderkey", "l_linenumber"]).withColumn("l_extendedprice", F.lit(0.0))
-    return change.upsert(old, lines, ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    old = lines.where("l_linenumber <= 3").withColumn("l_extendedprice", F.lit(0.0))
+    return change.upsert(old, lines.where("l_orderkey % 3 <> 0"), ["l_orderkey", "l_linenumber"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
 @query(f"with {SRC}, {DST}, u as (select * from src, h where o_orderkey > half - 3000) select o_orderkey, o_totalprice from u union all select o_orderkey, o_totalprice from dst where o_orderkey not in (select o_orderkey from u)")
@@ -488,32 +509,38 @@ def monthly(df: DataFrame) -> DataFrame:
     return df.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
 
 
+FIRST_MONTH = "strftime(o_orderdate, '%Y-%m') = (select min(strftime(o_orderdate, '%Y-%m')) from orders)"
+
+
 @query(
-    f"with {SRC}, {DST}, u as (select src.o_orderkey, o_totalprice + 1 as o_totalprice, case when src.o_orderkey % 2 = 0 then o_orderdate + interval 31 day else o_orderdate end as o_orderdate from src, h where o_orderkey % 50 = 1 and o_orderkey <= half) "
+    f"with {SRC}, {DST}, u as (select src.o_orderkey, o_totalprice + 1 as o_totalprice, case when src.o_orderkey % 2 = 0 or {FIRST_MONTH} then o_orderdate + interval 31 day else o_orderdate end as o_orderdate "
+    f"from orders src, h where (o_orderkey % 50 = 1 or {FIRST_MONTH}) and o_orderkey <= half) "
     "select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') as month from u union all select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') from dst where o_orderkey not in (select o_orderkey from u)"
 )
 def upsert_partition_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert into a table by months: only the months that updates leave or reach are
-    written again; rows that moved leave their old month."""
+    written again; rows that moved leave their old month, and the first month gets empty."""
     held = Table(spark, scratch_path(spark, "scoped"), ["month"])
     held.replace(monthly(dest_orders(spark, sf_dir)))
-    shifted = F.when(okey() % 2 == 0, odate() + F.expr("interval 31 day")).otherwise(odate())
-    updates = source_orders(spark, sf_dir).where((okey() % 50 == 1) & (half(spark, sf_dir) >= okey())).withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("o_orderdate", shifted)
-    before = held.read()
-    held.replace_partitions(change.upsert_touched(before.withColumn("month", F.col("month").cast("string")), monthly(updates), ["o_orderkey"], ["month"], [odate()]))
-    return held.read().select("o_orderkey", "o_totalprice", F.col("month").cast("string").alias("month"))
+    orders = monthly(table(spark, sf_dir, "orders").where(okey() <= half(spark, sf_dir)))
+    first = F.col("month") == table(spark, sf_dir, "orders").agg(F.min(F.date_format("o_orderdate", "yyyy-MM"))).first()[0]
+    shifted = F.when((okey() % 2 == 0) | first, odate() + F.expr("interval 31 day")).otherwise(odate())
+    updates = monthly(orders.where((okey() % 50 == 1) | first).withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("o_orderdate", shifted))
+    touched = held.values_of(change.touched_rows(held.read(), updates, ["o_orderkey"], ["month"]))
+    held.replace_partitions(change.upsert(held.read(touched), updates, ["o_orderkey"], [odate()]), touched)
+    return held.read().select("o_orderkey", "o_totalprice", "month")
 
 
 SYNCED = "case when o_orderkey > half or o_orderdate > timestamp '1998-05-31' then o_totalprice when o_orderkey % 5 = 0 then o_totalprice * 0.9 else o_totalprice end"
 
 
-def synced(spark: SparkSession, sf_dir: str, delete: bool) -> DataFrame:
+def synced(spark: SparkSession, sf_dir: str, delete: bool, log: JobLog | None = None) -> DataFrame:
     path = scratch_path(spark, "sync")
-    held, state = Table(spark, f"{path}/table"), StateLog(spark, f"{path}/state")
+    held, state = Table(spark, f"{path}/table", ["parquet_format_o_orderdate_year", "parquet_format_o_orderdate_month"]), StateLog(spark, f"{path}/state")
     spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderdate": "datetime"})
     held.replace(jobs.cleaned(dest_orders(spark, sf_dir), spec)[0])
     state.commit("orders", LAST_RUN, half(spark, sf_dir))
-    (jobs.mirror if delete else jobs.sync)(source_orders(spark, sf_dir), spec, held, state, RUN_AT)
+    (jobs.mirror if delete else jobs.sync)(source_orders(spark, sf_dir), spec, held, state, RUN_AT, log=log)
     return held.read().select(project.RECORD_KEY, *ORDER_COLUMNS, F.col("parquet_format_o_orderdate_year").alias("year"))
 
 
@@ -529,6 +556,41 @@ def mirror_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synced(spark, sf_dir, True)
 
 
+@query(
+    "with l as (select l_orderkey, l_shipdate, l_extendedprice, l_partkey, row_number() over (partition by l_orderkey order by l_shipdate desc) as r, count(*) over (partition by l_orderkey, l_shipdate) as ties from lineitem) "
+    "select l_orderkey, l_shipdate from l where r = 1"
+)
+def sync_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that holds a key many times: the row of the latest bookmark counts, in the
+    first run and in one that updates all keys."""
+    path = scratch_path(spark, "doubled")
+    held, state = Table(spark, f"{path}/table"), StateLog(spark, f"{path}/state")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
+    spec = jobs.SyncSpec("lines", "l_orderkey", bookmark="l_shipdate", grace=40 * 366 * DAY)
+    jobs.sync(lines.where("l_extendedprice < 30000"), spec, held, state, LAST_RUN)
+    jobs.sync(lines, spec, held, state, RUN_AT)
+    return held.read().select("l_orderkey", "l_shipdate")
+
+
+@query(
+    f"with {SRC} select 'evolve' as run, o_orderkey, case when o_orderkey % 17 <> 0 and (o_orderkey > half or o_orderdate > timestamp '1998-05-31') then o_orderpriority end as o_orderpriority from orders, h where o_orderkey % 17 <> 0 or o_orderkey <= half "
+    "union all select 'reload', o_orderkey, o_orderpriority from src"
+)
+def sync_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column more: rows that don't move hold null in it. A column less: the table is loaded anew."""
+    path, status, source = scratch_path(spark, "drift"), ["parquet_format_o_orderstatus"], source_orders(spark, sf_dir)
+    spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderstatus": "str"})
+    more, less = Table(spark, f"{path}/more", status), Table(spark, f"{path}/less", status)
+    state = {t: StateLog(spark, f"{t.path}-state") for t in (more, less)}
+    more.replace(jobs.cleaned(dest_orders(spark, sf_dir).drop("o_orderpriority"), spec)[0])
+    state[more].commit("orders", LAST_RUN, half(spark, sf_dir))
+    jobs.sync(source, spec, more, state[more], RUN_AT)
+    jobs.sync(source.where("o_orderkey % 2 = 0"), spec, less, state[less], LAST_RUN)
+    jobs.sync(source.drop("o_custkey"), spec, less, state[less], RUN_AT)
+    shown = lambda t, run: t.read().select(F.lit(run).alias("run"), "o_orderkey", "o_orderpriority")
+    return shown(more, "evolve").unionByName(shown(less, "reload"))
+
+
 @query(f"with {SRC}, {DST} select o_orderkey from dst where o_orderkey <= (select max(o_orderkey) from src) and o_orderkey not in (select o_orderkey from src)")
 def mirror_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change.mirror_deleted(dest_orders(spark, sf_dir), source_orders(spark, sf_dir), "o_orderkey").select("o_orderkey")
@@ -547,6 +609,21 @@ def sync_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.read().select("c_custkey", "c_name", "c_acctbal")
 
 
+@query(
+    "select 1 as run, count(*) filter (where c_custkey % 4 <> 0) as insertions, 0::bigint as updations, count(*) filter (where c_custkey % 4 <> 0) as total_records from customer union all "
+    "select 2, count(*) filter (where c_custkey % 4 = 0), count(*) filter (where c_custkey % 4 <> 0 and c_custkey % 3 = 0 and c_acctbal <> 0), count(*) from customer"
+)
+def sync_by_hash_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the runs of a sync by hashes move, from the job log: new and changed rows, no others."""
+    path = scratch_path(spark, "moves")
+    held, hashes, state, log = (Table(spark, f"{path}/table"), Table(spark, f"{path}/hashes"), StateLog(spark, f"{path}/state"), JobLog(spark, f"{path}/log"))
+    customer, spec = table(spark, sf_dir, "customer"), jobs.SyncSpec("customer", "c_custkey")
+    old = customer.where("c_custkey % 4 <> 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.lit(0.0)).otherwise(F.col("c_acctbal")))
+    jobs.sync(old, spec, held, state, LAST_RUN, hashes, log=log)
+    jobs.sync(customer, spec, held, state, RUN_AT, hashes, log=log)
+    return log.read().select(F.when(F.col("start_time") == LAST_RUN, 1).otherwise(2).alias("run"), "insertions", "updations", "total_records")
+
+
 @query("select o_orderkey, o_totalprice, null::varchar as channel from orders where o_orderkey % 2 = 0 union all select o_orderkey, o_totalprice, 'web' from orders where o_orderkey % 2 = 1")
 def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends to a partitioned table, the second with one more column."""
@@ -562,20 +639,19 @@ def slice_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days and types loaded again: what the slices held before is gone."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "value")
     again = events.where((F.dayofmonth("day") % 3 == 0) & F.col("event_type").isin("click", "view"))
-    kept = again.groupBy("day", "event_type").agg(F.count_if(F.col("event_id") % 7 != 0).alias("n")).where("n = 0")
     rows = again.where("event_id % 7 <> 0").withColumn("value", F.col("value") + 1)
-    out = change.reload_slices(events, rows, ["day", "event_type"])
-    # A slice that comes back empty is a slice to clear as well.
-    return out.join(kept.select("day", "event_type"), ["day", "event_type"], "left_anti")
+    # All slices asked for are cleared, also those that come back empty.
+    return change.reload_slices(events, rows, ["day", "event_type"], again)
 
 
-@query("select 'same' as plan, count(*) as n_rows from part union all select 'evolve', count(*) from part union all select 'reload', count(*) from part union all select 'reload', count(*) from part")
+@query("select p_partkey, case p_partkey % 4 when 0 then 'same' when 1 then 'evolve' else 'reload' end as plan, case when p_partkey % 4 = 1 then p_size + 1 end as p_extra from part")
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What to do as a table's columns change: nothing, a column more, a column less, a type."""
+    """Quarters of the parts by what their columns ask for: as they are, a column more, a
+    column less, another type."""
     part = table(spark, sf_dir, "part")
-    now = [part, part.withColumn("p_extra", F.lit(1)), part.drop("p_size"), part.withColumn("p_size", F.col("p_size").cast("string"))]
-    plans = F.explode(F.array(*[F.lit(change.drift(part.schema, x.schema)) for x in now]))
-    return part.select(plans.alias("plan"), F.col("p_partkey")).withColumn("k", F.lit(1)).groupBy("plan").agg(F.count(F.lit(1)).alias("total"), F.countDistinct("p_partkey").alias("n_rows")).select("plan", "n_rows", F.explode(F.sequence(F.lit(1).cast("long"), (F.col("total") / F.col("n_rows")).cast("long"))).alias("i")).drop("i")
+    now = [part, part.withColumn("p_extra", F.col("p_size") + 1), part.drop("p_size"), part.withColumn("p_size", F.col("p_size").cast("string"))]
+    quarter = lambda df, i: df.where(F.col("p_partkey") % 4 == i).select("p_partkey", F.lit(change.drift(part.schema, df.schema)).alias("plan"), (F.col("p_extra") if "p_extra" in df.columns else F.lit(None).cast("int")).alias("p_extra"))
+    return reduce(DataFrame.unionByName, [quarter(df, i) for i, df in enumerate(now)])
 
 
 # --- nested API records -----------------------------------------------------------------
@@ -615,47 +691,57 @@ def actions_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------
 
 
-@query("select event_type as type, 'audit_logs' as routed, user_id as user_id, value, ts as created_at, cast(json_extract_string(props, '$.k') as varchar) as k from events where event_type = 'purchase' union all select event_type, 'product_audit_logs', user_id, value, ts, cast(json_extract_string(props, '$.k') as varchar) from events where event_type <> 'purchase'")
+@query(
+    "select event_type as type, case event_type when 'purchase' then 'audit_logs' when 'error' then 'error_logs' when 'signup' then null else 'product_audit_logs' end as routed, user_id, "
+    "case when event_type <> 'signup' then value end as value, case when event_type <> 'signup' then ts end as created_at, case when event_type <> 'signup' then cast(json_extract_string(props, '$.k') as varchar) end as k from events"
+)
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream of JSON lines, routed by type to two tables by day."""
+    """Events as a stream of JSON lines, routed by type to tables by day. One route is in no
+    list; records without a route are set aside with what they hold."""
     path = scratch_path(spark, "stream")
     events = table(spark, sf_dir, "events")
     lines = F.to_json(F.struct(F.col("event_type").alias("type"), "user_id", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date"), F.col("props").alias("payload"), "event_id"))
     events.select(lines.alias("value")).write.text(f"{path}/in")
+    by_type = F.when(F.col("type") == "purchase", "audit_logs").when(F.col("type") == "error", "error_logs").when(F.col("type") != "signup", "product_audit_logs")
     sink = router.Router(
-        f"{path}/out", router.route_by("type", {"purchase": "audit_logs"}, "product_audit_logs"), ["audit_logs", "product_audit_logs"], router.lift_payload(["k"]),
+        f"{path}/out", lambda _: by_type, ["audit_logs", "product_audit_logs"], router.lift_payload(["k"]),
         {"user_id": "int", "value": "float", "date": "datetime", "event_id": "int"}, {"date": "datetime"}, {"date": "created_at"},
     )
     schema = "type string, user_id string, value string, date string, payload string, event_id long"
     router.run_router(router.read_lines(spark, f"{path}/in"), schema, sink, f"{path}/checkpoint").awaitTermination()
-    read = [spark.read.parquet(f"{path}/out/{name}").select("type", F.lit(name).alias("routed"), "user_id", "value", "created_at", "k") for name in sink.routes]
-    return read[0].unionByName(read[1])
+    read = [spark.read.parquet(f"{path}/out/{name}").select("type", F.lit(name).alias("routed"), "user_id", "value", "created_at", "k") for name in ("audit_logs", "error_logs", "product_audit_logs")]
+    lost = spark.read.parquet(f"{path}/out/_quarantine/routes").select(F.from_json("value", "type string, user_id string").alias("r"), "route")
+    null = [F.lit(None).cast(t).alias(n) for n, t in (("value", "double"), ("created_at", "timestamp_ntz"), ("k", "string"))]
+    return reduce(DataFrame.unionByName, read).unionByName(lost.select("r.type", F.col("route").alias("routed"), F.col("r.user_id").cast("long").alias("user_id"), *null))
 
 
 # --- reconciliation, statistics ------------------------------------------------------------
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    source = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 5")
+    """All orders, and a copy of them that lacks rows, differs in some and has more."""
+    source = table(spark, sf_dir, "orders")
     dest = source.where("o_orderkey % 10 <> 1").withColumn("o_totalprice", F.when(okey() % 10 == 2, F.col("o_totalprice") + 5).otherwise(F.col("o_totalprice") + 0.0))
     dest = dest.withColumn("o_orderstatus", F.when(okey() % 10 == 3, "?").otherwise(F.col("o_orderstatus"))).withColumn("o_orderdate", F.when(okey() % 10 == 4, odate() + F.expr("interval 1 day")).otherwise(odate()))
-    extra = table(spark, sf_dir, "orders").where("o_orderkey % 13 = 6 and o_orderkey % 10 = 0")
+    top = select.high_water(source, "o_orderkey")
+    extra = source.where("o_orderkey % 10 = 0").withColumn("o_orderkey", okey() + top + 1)
     return source, dest.unionByName(extra)
 
 
 STATUS = "case o_orderkey % 10 when 1 then 'missing' when 2 then 'mismatch' when 3 then 'mismatch' when 4 then 'mismatch' else 'ok' end"
+WRONG = "case o_orderkey % 10 when 2 then 'o_totalprice' when 3 then 'o_orderstatus' when 4 then 'o_orderdate' else '' end"
+COMPARED = f"select o_orderkey, {STATUS} as status, {WRONG} as wrong from orders union all select o_orderkey + (select max(o_orderkey) from orders) + 1, 'extra', '' from orders where o_orderkey % 10 = 0"
 
 
-@query(f"select o_orderkey, {STATUS} as status, case o_orderkey % 10 when 2 then 'o_totalprice' when 3 then 'o_orderstatus' when 4 then 'o_orderdate' else '' end as wrong from orders where o_orderkey % 13 = 5 union all select o_orderkey, 'extra', '' from orders where o_orderkey % 13 = 6 and o_orderkey % 10 = 0")
+@query(COMPARED)
 def reconcile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, dest = damaged(spark, sf_dir)
     return reconcile.compare(source, dest, "o_orderkey").withColumn("wrong", F.array_join("wrong", ","))
 
 
 @query(
-    "with a as (select o_orderkey % 10 as m from orders where o_orderkey % 13 = 5), e as (select count(*) as n from orders where o_orderkey % 13 = 6 and o_orderkey % 10 = 0) "
-    "select (select count(*) from a) + e.n as n_rows, (select count(*) from a where m in (1, 2, 3, 4)) as n_mismatches, (select count(*) from a where m = 1) as n_missing, e.n as n_extra, "
-    "(select count(*) from a where m = 2) as wrong_o_totalprice, (select count(*) from a where m = 3) as wrong_o_orderstatus, (select count(*) from a where m = 4) as wrong_o_orderdate from e"
+    "with a as (select o_orderkey % 10 as m from orders) select count(*) + count(*) filter (where m = 0) as n_rows, count(*) filter (where m in (1, 2, 3, 4)) as n_mismatches, count(*) filter (where m = 1) as n_missing, "
+    "count(*) filter (where m = 0) as n_extra, count(*) filter (where m = 2) as wrong_o_totalprice, count(*) filter (where m = 3) as wrong_o_orderstatus, count(*) filter (where m = 4) as wrong_o_orderdate from a"
 )
 def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, dest = damaged(spark, sf_dir)
@@ -669,7 +755,7 @@ def reconcile_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.where(reconcile.due(okey(), F.col("b"), half(spark, sf_dir), LAST_RUN, DAY)).select("o_orderkey")
 
 
-@query(None)
+@query(f"select * from ({COMPARED}) where md5(cast(o_orderkey as varchar)) < '19999999'")
 def reconcile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A repeatable sample of a tenth, the same keys on either side."""
     source, dest = (reconcile.sampled(x, "o_orderkey", 10) for x in damaged(spark, sf_dir))
@@ -678,15 +764,15 @@ def reconcile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"with {SRC} select 'orders' as table_name, count(*) filter (where o_orderkey > half) as insertions, count(*) filter (where o_orderkey <= half and o_orderdate > timestamp '1998-05-31') as updations, "
-    "count(*) as total_records, true as status from src, h"
+    "count(*) filter (where o_orderkey > half) + (select count(*) from orders, h where o_orderkey <= half) as total_records, true as status, true as timed, true as sized from src, h"
 )
 def job_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row of statistics of a sync, counted in the one pass that reads the changes."""
-    source, last = source_orders(spark, sf_dir), half(spark, sf_dir)
-    mark = select.Watermark(LAST_RUN, last)
-    fresh = select.new_rows(okey(), last, select.high_water(source, "o_orderkey"))
-    stale = select.updated_rows(okey(), odate(), mark, DAY)
-    return source.agg(F.count_if(fresh).alias("insertions"), F.count_if(stale).alias("updations"), F.count(F.lit(1)).alias("total_records")).select(F.lit("orders").alias("table_name"), "insertions", "updations", "total_records", F.lit(True).alias("status"))
+    """The statistics that a sync job leaves: counted as its changes are staged."""
+    path = scratch_path(spark, "stats")
+    log = JobLog(spark, f"{path}/log")
+    synced(spark, sf_dir, False, log)
+    sized = (F.col("curr_megabytes_processed") > 0) & (F.col("total_megabytes") >= F.col("curr_megabytes_processed"))
+    return log.read().select("table_name", "insertions", "updations", "total_records", "status", (F.col("total_time") > 0).alias("timed"), sized.alias("sized"))
 
 
 @query("with s as (select event_type as job_id, max(ts) as start_time from events group by 1) select s.job_id, s.start_time, max(e.event_id) as insertions from s join events e on e.event_type = s.job_id and e.ts = s.start_time group by all")
@@ -718,16 +804,43 @@ def count_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- databases, several destinations ----------------------------------------------------
 
 
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def database(path: str) -> str:
+    return "jdbc:derby:memory:" + path.rsplit("-", 1)[-1] + ";create=true"
+
+
 @query("select c_custkey, c_name, c_acctbal from customer")
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers staged, loaded into the embedded database, read back over key ranges."""
     path = scratch_path(spark, "jdbc")
-    url = "jdbc:derby:memory:" + path.rsplit("-", 1)[-1] + ";create=true"
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    how = {"options": {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}}
-    jdbc.load_through_stage(rows, f"{path}/stage", url, "customers", mode="overwrite", limits={"c_name": 64}, **how)
-    back = readers.read_jdbc(spark, url, "customers", "c_custkey", 4, how["options"])
-    return back.select(F.col("c_custkey"), F.col("c_name"), F.col("c_acctbal"))
+    jdbc.load_through_stage(rows, f"{path}/stage", database(path), "customers", mode="overwrite", limits={"c_name": 64}, options=DERBY)
+    return readers.read_jdbc(spark, database(path), "customers", "c_custkey", 4, DERBY).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("with k as (select o_orderkey, md5(cast(o_orderkey as varchar)) as uuid, case when o_orderkey % 9 > 0 then o_orderdate end as o_orderdate from orders) select 'text' as by_key, o_orderkey, uuid, o_orderdate from k union all select 'time', o_orderkey, uuid, o_orderdate from k union all select 'number', o_orderkey, uuid, o_orderdate from k")
+def jdbc_key_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read back over ranges of a text key, of a time (some null) and of a number: each row once."""
+    path = scratch_path(spark, "kinds")
+    time = F.when(okey() % 9 > 0, odate().cast("timestamp"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.md5(okey().cast("string").cast("binary")).alias("uuid"), time.alias("o_orderdate"))
+    jdbc.write_jdbc(rows, database(path), "keyed", mode="overwrite", limits={"uuid": 32}, options=DERBY)
+    read = lambda name, key: readers.read_jdbc(spark, database(path), "keyed", key, 5, DERBY).select(F.lit(name).alias("by_key"), "o_orderkey", "uuid", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+    return reduce(DataFrame.unionByName, [read("text", "uuid"), read("time", "o_orderdate"), read("number", "o_orderkey")])
+
+
+@query("select c_custkey, c_name, case when c_custkey % 3 = 0 then c_acctbal + 1 else c_acctbal end as c_acctbal from customer")
+def jdbc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed and new customers merged inside the database; of two rows of a key the last one counts."""
+    path = scratch_path(spark, "merge")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    how = {"limits": {"c_name": 64}, "options": DERBY}
+    jdbc.write_jdbc(rows.where("c_custkey % 5 <> 0"), database(path), "customers", mode="overwrite", **how)
+    new = rows.where("c_custkey % 3 = 0 or c_custkey % 5 = 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    jdbc.merge_jdbc(new.unionByName(new.withColumn("c_acctbal", F.lit(-1e9))), ["c_custkey"], database(path), "customers", [F.col("c_acctbal")], **how)
+    return readers.read_jdbc(spark, database(path), "customers", "c_custkey", 4, DERBY).select("c_custkey", "c_name", "c_acctbal")
 
 
 @query("select 'all' as dest, count(*) as n, sum(c_custkey)::bigint as keys from customer union all select 'rich', count(*), coalesce(sum(c_custkey), 0)::bigint from customer where c_acctbal > 5000")

@@ -2,12 +2,17 @@
 
 dump: a stamped copy of the source a run; log: new keys only; sync: new keys and
 changed rows, by a bookmark or else by row hashes; mirror: sync, and deletes.
+
+What a run moves is one scan of the source with one predicate, staged with its counts;
+all later steps read the staged rows. A table with partitions gets new files for the
+partitions that change, and for no others.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -15,14 +20,20 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.project import RECORD_KEY, SNAPSHOT, masked, partition_columns, with_record_key, with_snapshot
 from tidemark.functions.types import to_utc, typed
-from tidemark.operators import change, select
-from tidemark.sources.state import StateLog
+from tidemark.operators import change, metrics, select
+from tidemark.sources.scratch import megabytes, remove, scratch_path
+from tidemark.sources.state import JobLog, StateLog
 from tidemark.sources.store import Table
 
+#: The column of staged rows that tells new (I) from changed (U) ones.
+KIND = "_kind"
+
 
 @dataclass(frozen=True)
 class SyncSpec:
-    """What a job needs to know of a table."""
+    """What a job needs to know of a table. moves: whether a row's partition can change, so
+    that its old copy has to be looked for; drift: what a changed schema does ('apply': add
+    columns or load anew, as change.drift() says, or 'ignore')."""
 
     name: str
     key: str
@@ -37,13 +48,19 @@ class SyncSpec:
     zone: str = "UTC"
     grace: int = 0
     lag: int = 0
+    moves: bool = True
+    drift: str = "apply"
 
 
 @dataclass(frozen=True)
-class ChangeSet:
-    inserts: DataFrame
-    updates: DataFrame
-    high: Any = None
+class Moved:
+    """Rows to move, with their kind, staged at a path; their counts, and the largest key moved so far."""
+
+    rows: DataFrame
+    path: str
+    insertions: int
+    updations: int
+    high: Any
 
 
 def cleaned(df: DataFrame, spec: SyncSpec) -> tuple[DataFrame, list[str]]:
@@ -61,76 +78,160 @@ def bookmark_of(df: DataFrame, spec: SyncSpec) -> Column:
     return to_utc(col, df.schema[spec.bookmark].dataType, spec.zone)
 
 
-def select_changes(source: DataFrame, spec: SyncSpec, mark: select.Watermark, run_at: Any) -> ChangeSet:
-    """New keys and changed rows by bookmark: one predicate each, both pushed to the scan."""
-    high = select.high_water(source, spec.key)
+def select_changes(source: DataFrame, spec: SyncSpec, mark: select.Watermark, run_at: Any) -> DataFrame:
+    """New keys and changed rows by bookmark, with their kind: one predicate for one scan.
+    What is read is what there is, so that no upper bound is needed."""
     key = F.col(f"`{spec.key}`")
-    inserts = source.where(select.new_rows(key, mark.last_key, high)) if high is not None else source.limit(0)
+    fresh = select.new_rows(key, mark.last_key)
     if spec.bookmark is None:
-        return ChangeSet(inserts, source.limit(0), high)
-    updates = source.where(select.update_set(key, bookmark_of(source, spec), mark, run_at, spec.grace, spec.lag, high, spec.null_bookmark))
-    return ChangeSet(inserts, updates, high)
+        return source.where(fresh).withColumn(KIND, F.lit("I"))
+    stale = select.update_set(key, bookmark_of(source, spec), mark, run_at, spec.grace, spec.lag, key, spec.null_bookmark)
+    return source.where(fresh | stale).withColumn(KIND, F.when(fresh, "I").otherwise("U"))
+
 
+def hash_changes(source: DataFrame, spec: SyncSpec, known: DataFrame | None) -> DataFrame:
+    """New and changed rows by their hashes, with their kind and hash."""
+    if known is None:
+        return source.withColumn("sha", change.row_hash(source.columns)).withColumn(KIND, F.lit("I"))
+    return change.changed(source, known, spec.key, "both").withColumnRenamed("change", KIND)
 
-def merged(dest: DataFrame | None, changes: ChangeSet, spec: SyncSpec) -> DataFrame:
-    """The destination after the changes. A key that is both new and updated counts once."""
-    rows, _ = cleaned(changes.inserts.unionByName(changes.updates), spec)
-    order = [F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])]
-    return change.latest(rows, [RECORD_KEY], order) if dest is None else change.upsert(dest, rows, [RECORD_KEY], order)
 
+def staged(changes: DataFrame, spec: SyncSpec, mark: select.Watermark) -> Moved:
+    """The changes written down, counted as they are written."""
+    path = scratch_path(changes.sparkSession, spec.name)
+    kinds = [F.count_if(F.col(KIND) == k).alias(k) for k in ("I", "U")]
+    seen, counts = metrics.observed(changes, f"moved-{path.rsplit('-', 1)[-1]}", *kinds, F.max(f"`{spec.key}`").alias("high"))
+    seen.write.parquet(path)
+    got = counts.get
+    marks = [x for x in (mark.last_key, got["high"]) if x is not None]
+    return Moved(changes.sparkSession.read.schema(changes.schema).parquet(path), path, got["I"], got["U"], max(marks, default=None))
 
-def dump(source: DataFrame, spec: SyncSpec, table: Table, run_at: Any, expiry: Mapping[str, int] | None = None) -> None:
-    """One more stamped snapshot; with an expiry (days, hours), old ones go."""
-    rows, _ = cleaned(source, spec)
+
+def last_copies(moved: DataFrame, spec: SyncSpec) -> DataFrame:
+    """One row of each key that moves: the one of the latest bookmark; ties go by the
+    columns' hash, so that a rerun gives the same. Null keys all stay."""
+    order = [bookmark_of(moved, spec)] if spec.bookmark else []
+    return change.latest(moved, [spec.key], [*order, F.xxhash64(*[F.col(f"`{c}`") for c in moved.columns])])
+
+
+def dump(source: DataFrame, spec: SyncSpec, table: Table, run_at: Any, expiry: Mapping[str, int] | None = None, log: JobLog | None = None) -> None:
+    """One more stamped snapshot, a partition of its own; a run that is done again replaces
+    it. With an expiry (days, hours), partitions of old ones go, without reading any."""
+    began, spark = time.time(), source.sparkSession
+    rows, made = cleaned(source, spec)
     stamped = with_snapshot(rows, select.moment(run_at))
-    if not expiry:
-        return table.append(stamped)
-    held = table.read()
-    both = stamped if held is None else change.unexpired(held, select.moment(run_at), **expiry).unionByName(stamped, allowMissingColumns=True)
-    return table.replace(both)
+    if table.exists():
+        stamp = spark.range(1).select(select.moment(run_at).cast("string").alias("s")).first()["s"]
+        at = table.parts.index(SNAPSHOT)
+        own = {v for v in table.partitions() if v[at] == stamp}
+        table.replace_partitions(stamped, own)
+        if expiry:
+            held = [v for v in table.partitions() if v[at] is not None]
+            shown = spark.createDataFrame([(v[at], i) for i, v in enumerate(held)], "s string, i int").withColumn(SNAPSHOT, F.col("s").cast("timestamp_ntz"))
+            kept = {r["i"] for r in change.unexpired(shown, select.moment(run_at), **expiry).collect()}  # one row a snapshot
+            table.drop_partitions(v for i, v in enumerate(held) if i not in kept)
+    else:
+        table.replace(stamped, [SNAPSHOT, *made])
+    if log is not None:
+        n = table.read().where(F.col(SNAPSHOT) == select.moment(run_at)).count()
+        record(log, spec, n, 0, table, began, run_at, 0.0)
 
 
 def log(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_at: Any) -> None:
     """Append keys beyond the last one. A rerun after a crash adds nothing twice: rows that
     the table holds by key are left out."""
     mark = state.get(spec.name)
-    changes = select_changes(source, SyncSpec(**{**spec.__dict__, "bookmark": None}), mark, run_at)
-    rows, _ = cleaned(changes.inserts, spec)
+    moved = staged(select_changes(source, replace(spec, bookmark=None), mark, run_at), spec, mark)
+    rows, _ = cleaned(last_copies(moved.rows, replace(spec, bookmark=None)).drop(KIND), spec)
     held = table.read()
-    table.append(rows if held is None else rows.join(held.select(RECORD_KEY), RECORD_KEY, "left_anti").select(*rows.columns))
-    state.commit(spec.name, run_at, changes.high)
+    if held is not None:
+        key = spec.names.get(spec.key, spec.key)
+        beyond = held if mark.last_key is None else held.where(F.col(f"`{key}`") > F.lit(mark.last_key))  # what a lost run may have added
+        rows = rows.join(beyond.select(RECORD_KEY), RECORD_KEY, "left_anti").select(*rows.columns)
+    table.append(rows)
+    remove(source.sparkSession, moved.path)
+    state.commit(spec.name, run_at, moved.high)
 
 
-def sync(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_at: Any, hashes: Table | None = None, delete: bool = False) -> None:
+def sync(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_at: Any, hashes: Table | None = None, delete: bool = False, log: JobLog | None = None) -> None:
     """Upsert what is new or changed; with delete, rows gone from the source go too. Without
-    a bookmark, `hashes` holds the row hashes by which changes are found. State is
-    written last: a run that dies before is done again with the same result."""
-    mark, held = state.get(spec.name), table.read()
-    if spec.bookmark is None and hashes is not None:
-        known = hashes.read()
-        prints = change.fingerprints(source, spec.key)
-        if known is None:
-            changes = ChangeSet(source, source.limit(0), select.high_water(source, spec.key))
-        else:
-            found = change.changed(source, known, spec.key, "both").drop("sha", "change")
-            changes = ChangeSet(found, source.limit(0), select.high_water(source, spec.key))
-        next_hashes = prints
-    else:
-        changes, next_hashes = select_changes(source, spec, mark, run_at), None
-    if changes.high is not None:
-        state.mark_recovery(spec.name, changes.high, run_at)
-    out = merged(held, changes, spec)
+    a bookmark, `hashes` holds the row hashes by which changes are found. A source whose
+    columns don't fit the table any more is loaded anew. State is written last: a run that
+    dies before is done again with the same result."""
+    began, spark = time.time(), source.sparkSession
+    mark, by_hash = state.get(spec.name), spec.bookmark is None and hashes is not None
+    if drifted(source, spec, table) == "reload":
+        table.drop()
+        if hashes is not None:
+            hashes.drop()
+        state.reset(spec.name)
+        mark = select.Watermark()
+    known = hashes.read() if by_hash else None
+    moved = staged(hash_changes(source, spec, known) if by_hash else select_changes(source, spec, mark, run_at), spec, mark)
+    if moved.high is not None:
+        state.mark_recovery(spec.name, moved.high, run_at)
+    last = last_copies(moved.rows, spec).drop(KIND, "sha")
+    rows, _ = cleaned(last, spec)
+    key, keys = spec.names.get(spec.key, spec.key), None
     if delete:
-        key = spec.names.get(spec.key, spec.key)
-        out = change.mirror(out, typed(source.select(spec.key), {spec.key: spec.fields.get(spec.key, source.schema[spec.key].dataType.simpleString())}).withColumnRenamed(spec.key, key), key)
-    table.replace(out)
-    if next_hashes is not None:
-        hashes.replace(next_hashes)
-    state.commit(spec.name, run_at, changes.high)
-
-
-def mirror(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_at: Any, hashes: Table | None = None) -> None:
-    sync(source, spec, table, state, run_at, hashes, delete=True)
+        kind = spec.fields.get(spec.key, source.schema[spec.key].dataType.simpleString())
+        keys = typed(source.select(spec.key), {spec.key: kind}).withColumnRenamed(spec.key, key)
+    if table.exists():
+        merge_into(table, rows, spec, key, keys)
+    else:
+        table.replace(rows if keys is None else change.mirror(rows, keys, key), table.wanted)
+    if by_hash:
+        prints = moved.rows.select(F.col(f"`{spec.key}`").cast("string").alias("map_id"), "sha")
+        after = prints if known is None else change.next_state(known, prints)
+        if delete:
+            after = after.join(source.select(F.col(f"`{spec.key}`").cast("string").alias("map_id")).distinct(), "map_id", "left_semi")
+        hashes.replace(after)
+    state.commit(spec.name, run_at, moved.high)
+    if log is not None:
+        record(log, spec, moved.insertions, moved.updations, table, began, run_at, megabytes(spark, moved.path))
+    remove(spark, moved.path)
+
+
+def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, key: str, keys: DataFrame | None) -> None:
+    """Merge rows that hold a key once into the table, and take out keys that `keys` lacks."""
+    held, parts = table.read(), table.parts
+    gone = None if keys is None else change.mirror_deleted(held, keys, key)
+    if not parts:
+        out = change.merge(held, rows, [RECORD_KEY])
+        return table.replace(out if keys is None else change.mirror(out, keys, key))
+    touched = table.values_of(change.touched_rows(held, rows, [RECORD_KEY], parts, spec.moves))
+    if gone is not None:
+        touched |= table.values_of(gone)
+    if not touched:
+        return None
+    out = change.merge(table.read(touched), rows, [RECORD_KEY])
+    return table.replace_partitions(out if keys is None else change.mirror(out, keys, key), touched)
+
+
+def drifted(source: DataFrame, spec: SyncSpec, table: Table) -> str:
+    """What the source's schema asks for: 'same', 'evolve' or 'reload'."""
+    held = table.state()
+    if held is None or spec.drift == "ignore":
+        return "same"
+    rows, _ = cleaned(source.limit(0), spec)
+    return change.drift(held.schema, rows.schema, held.parts, table.wanted or held.parts)
+
+
+def record(log: JobLog, spec: SyncSpec, insertions: int, updations: int, table: Table, began: float, run_at: Any, moved_mb: float) -> None:
+    """The run's row in the job log. The whole table's megabytes are estimated from those
+    moved; if none were, they are as before."""
+    before = metrics.latest_statistics(log.read().where(F.col("job_id") == spec.name)).first()
+    total = metrics.n_records(table.read())
+    size = metrics.estimated_megabytes(F.lit(moved_mb), F.lit(insertions + updations), F.lit(total), F.lit(before["total_megabytes"] if before else 0.0).cast("double"))
+    one = log.spark.range(1).select(size.cast("double").alias("mb")).first()
+    log.put({
+        "job_id": spec.name, "table_name": spec.name, "insertions": insertions, "updations": updations, "total_records": total, "start_time": str(run_at),
+        "total_time": time.time() - began, "curr_megabytes_processed": moved_mb, "total_megabytes": one["mb"], "status": True,
+    })
+
+
+def mirror(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_at: Any, hashes: Table | None = None, log: JobLog | None = None) -> None:
+    sync(source, spec, table, state, run_at, hashes, delete=True, log=log)
 
 
 def fan_out(df: DataFrame, writes: Sequence[Callable[[DataFrame], None]]) -> None:
@@ -143,4 +244,4 @@ def fan_out(df: DataFrame, writes: Sequence[Callable[[DataFrame], None]]) -> Non
         kept.unpersist()
 
 
-__all__ = ["SNAPSHOT", "ChangeSet", "SyncSpec", "cleaned", "dump", "fan_out", "log", "merged", "mirror", "select_changes", "sync"]
+__all__ = ["SNAPSHOT", "Moved", "SyncSpec", "cleaned", "drifted", "dump", "fan_out", "log", "merge_into", "mirror", "select_changes", "sync"]

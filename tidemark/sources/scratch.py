@@ -1,4 +1,4 @@
-"""A fresh folder for a query that writes and reads back."""
+"""Folders that driver and executors share: fresh ones, their sizes, their end."""
 
 from __future__ import annotations
 
@@ -8,8 +8,39 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Only a session on one machine may do without
+    it and gets a temporary one; elsewhere executors would not see each other's files."""
+    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not told:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        told = spark.sparkContext.getCheckpointDir()
+    return told.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A path that driver and executors share: under spark.checkpoint.dir, or, where that is
-    unset (tests on one machine), in a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark/{tag}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it isn't there."""
+    store, where = _at(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(where)) if store.exists(where) else []
+
+
+def megabytes(spark: SparkSession, path: str) -> float:
+    """What the files of a folder take, 0 if it isn't there."""
+    store, where = _at(spark, path)
+    return store.getContentSummary(where).getLength() / 1e6 if store.exists(where) else 0.0
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, where = _at(spark, path)
+    store.delete(where, True)

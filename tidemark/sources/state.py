@@ -1,4 +1,4 @@
-"""What runs leave for the next one: times, keys, recovery points, statistics.
+"""What runs leave for the next one: times, keys, recovery points, and their statistics.
 
 States are appended as small JSON files and the last one counts; they are written
 after the data, so a run that dies between the two is done again.
@@ -6,17 +6,37 @@ after the data, so a run that dies between the two is done again.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+from collections.abc import Mapping
+from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.select import EPOCH, Watermark
 
+#: The fields of a run's statistics, by their names in the job log.
+STATISTICS = (
+    "job_id string, table_name string, insertions long, updations long, total_records long, start_time string, "
+    "total_time double, curr_megabytes_processed double, total_megabytes double, status boolean"
+)
 FIELDS = "job string, seq long, last_run string, last_key string, recovery_key string, recovery_time string"
 
 
+def packed(key: Any) -> str | None:
+    """A key as JSON; a time is told from a text."""
+    if key is None or isinstance(key, (int, float, str)):
+        return None if key is None else json.dumps(key)
+    return json.dumps({"time": key.isoformat(sep=" ")}) if isinstance(key, dt.datetime) else json.dumps(str(key))
+
+
+def unpacked(text: str | None) -> Any:
+    key = None if text is None else json.loads(text)
+    return dt.datetime.fromisoformat(key["time"]) if isinstance(key, dict) else key
+
+
 class StateLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -39,14 +59,12 @@ class StateLog:
     def _mark(row) -> Watermark:
         if row is None:
             return Watermark()
-        load = lambda x: None if x is None else json.loads(x)
-        return Watermark(row["last_run"] or EPOCH, load(row["last_key"]), load(row["recovery_key"]), row["recovery_time"])
+        return Watermark(row["last_run"] or EPOCH, unpacked(row["last_key"]), unpacked(row["recovery_key"]), row["recovery_time"])
 
     def _put(self, job: str, mark: Watermark, row) -> None:
         """Append a state after `row`, the last one."""
-        dump = lambda x: None if x is None else json.dumps(x if isinstance(x, (int, float, str)) else str(x))
         time = lambda x: None if x is None else str(x)
-        values = (job, (row["seq"] if row else 0) + 1, time(mark.last_run), dump(mark.last_key), dump(mark.recovery_key), time(mark.recovery_time))
+        values = (job, (row["seq"] if row else 0) + 1, time(mark.last_run), packed(mark.last_key), packed(mark.recovery_key), time(mark.recovery_time))
         names = [f.split()[0] for f in FIELDS.split(", ")]
         one = self.spark.range(1).select(*[F.lit(v).cast("long" if n == "seq" else "string").alias(n) for n, v in zip(names, values, strict=True)])
         one.coalesce(1).write.mode("append").json(self.path)
@@ -66,3 +84,21 @@ class StateLog:
 
     def reset(self, job: str) -> None:
         self._put(job, Watermark(), self._last(job))
+
+
+class JobLog:
+    """One row of statistics for each run, appended as a small file."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def put(self, stats: Mapping[str, Any]) -> None:
+        kinds = dict(f.split() for f in STATISTICS.split(", "))
+        one = self.spark.range(1).select(*[F.lit(stats[n]).cast(k).alias(n) for n, k in kinds.items()])
+        one.coalesce(1).write.mode("append").json(self.path)
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(STATISTICS).json(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], STATISTICS)

@@ -1,73 +1,175 @@
 """A versioned Parquet table.
 
-Every overwrite goes to a new directory; a small log of rows says which one is
-current. A path that is being read is never overwritten, and a run that dies before
-its log row is written leaves the table as it was.
+Every write goes to a new directory. A version is one small file that names the
+directories of its partitions, the schema and the partition columns; it is written
+last. So nothing that is being read is overwritten, a run that dies before leaves the
+table as it was, an upsert writes the touched partitions once, and dropping partitions
+writes no data at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
+
+from tidemark.sources.scratch import names, remove
+
+#: Values of the partition columns, as texts; None for null.
+Values = tuple[str | None, ...]
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: T.StructType
+    parts: list[str]
+    dirs: list[str]
+
+    def values(self, directory: str) -> Values:
+        own = [unquote(x.split("=", 1)[1]) for x in directory.split("/")[1:]]
+        return tuple(None if v == NULL_PARTITION else v for v in own)
 
 
 class Table:
     def __init__(self, spark: SparkSession, path: str, parts: Sequence[str] = ()):
-        self.spark, self.path, self.parts = spark, path.rstrip("/"), list(parts)
+        self.spark, self.path, self.wanted = spark, path.rstrip("/"), list(parts)
 
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("version long, rows_written long").json(f"{self.path}/_log_of_versions")
-        except AnalysisException:
-            return None
+    # --- versions
 
     def version(self) -> int:
         """The current version, 0 if the table isn't there."""
-        log = self._log()
-        return 0 if log is None else log.agg(F.max("version")).first()[0] or 0
+        done = [int(n[1:]) for n in names(self.spark, f"{self.path}/_log") if n[1:].isdigit() and "_SUCCESS" in names(self.spark, f"{self.path}/_log/{n}")]
+        return max(done, default=0)
+
+    def state(self) -> Version | None:
+        number = self.version()
+        if not number:
+            return None
+        held = json.loads(self.spark.read.text(f"{self.path}/_log/v{number}", wholetext=True).first()[0])
+        return Version(number, T.StructType.fromJson(held["schema"]), held["parts"], held["dirs"])
 
     def exists(self) -> bool:
         return self.version() > 0
 
-    def data_path(self, version: int | None = None) -> str:
-        return f"{self.path}/version={version or self.version():08d}"
-
-    def read(self) -> DataFrame | None:
-        version = self.version()
-        return self.spark.read.option("mergeSchema", "true").parquet(self.data_path(version)) if version else None
-
-    def _writer(self, df: DataFrame, mode: str):
-        if self.parts:
+    @property
+    def parts(self) -> list[str]:
+        """Partition columns: those of the table, or, before there is one, those asked for."""
+        held = self.state()
+        return held.parts if held else self.wanted
+
+    def _commit(self, before: Version | None, schema: T.StructType, parts: list[str], dirs: Iterable[str]) -> None:
+        number = before.number + 1 if before else 1
+        text = json.dumps({"schema": json.loads(schema.json()), "parts": parts, "dirs": sorted(dirs)})
+        # Of two writers the second one fails here, as the version is there already.
+        self.spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("error").text(f"{self.path}/_log/v{number}")
+
+    # --- reading
+
+    def read(self, only: Iterable[Values] | None = None) -> DataFrame | None:
+        """The current rows; with `only`, those of some partitions. The schema is known, so
+        no file is opened for it."""
+        held = self.state()
+        if held is None:
+            return None
+        dirs = held.dirs
+        if only is not None:
+            wanted = set(only)
+            dirs = [d for d in dirs if held.values(d) in wanted]
+        return self._frame(held.schema, dirs)
+
+    def _frame(self, schema: T.StructType, dirs: Sequence[str]) -> DataFrame:
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.path}/data"
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{d}" for d in dirs])
+        return rows.select(*[f"`{f.name}`" for f in schema.fields])
+
+    def values_of(self, df: DataFrame) -> set[Values]:
+        """The partitions that rows lie in: as many values as there are partitions at most."""
+        found = df.select(*[F.col(f"`{p}`").cast("string") for p in self.parts]).distinct().collect()
+        return {tuple(v or None for v in row) for row in found}
+
+    # --- writing
+
+    def _write(self, df: DataFrame, parts: list[str], number: int) -> list[str]:
+        own = f"_write={number:08d}-{uuid.uuid4().hex[:8]}"
+        out = df
+        if parts:
             # Rebalanced, not repartitioned by the partition columns: a day that holds most rows is split.
-            df = df.hint("rebalance", *self.parts)
-        writer = df.write.mode(mode).option("compression", "snappy")
-        return writer.partitionBy(*self.parts) if self.parts else writer
-
-    def _commit(self, version: int, rows: int) -> None:
-        one = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(rows).cast("long").alias("rows_written"))
-        one.coalesce(1).write.mode("append").json(f"{self.path}/_log_of_versions")
-
-    def replace(self, df: DataFrame) -> None:
+            out = df.hint("rebalance", *parts)
+        writer = out.write.option("compression", "snappy")
+        (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.path}/data/{own}")
+        files = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{own}").inputFiles()
+        # File names come as URLs: a partition's directory is what stands from the write's own on to the file.
+        return sorted({own + unquote(f).split(f"/{own}", 1)[1].rsplit("/", 1)[0] for f in files})
+
+    def replace(self, df: DataFrame, parts: Sequence[str] | None = None) -> None:
         """A new version of the whole table."""
-        version = self.version() + 1
-        self._writer(df, "overwrite").parquet(self.data_path(version))
-        self._commit(version, -1)
+        before = self.state()
+        parts = list(parts) if parts is not None else self.wanted or (before.parts if before else [])
+        self._commit(before, df.schema, parts, self._write(df, parts, before.number + 1 if before else 1))
 
     def append(self, df: DataFrame) -> None:
-        """More rows, possibly with more columns, in the current version."""
-        version = self.version()
-        self._writer(df, "append").parquet(self.data_path(version or 1))
-        if not version:
-            self._commit(1, -1)
-
-    def replace_partitions(self, df: DataFrame) -> None:
-        """Only the partitions that df holds; others stay. df may come from this table: it is
-        staged first, so nothing is read while it is overwritten."""
-        version = self.version()
-        stage = f"{self.path}/_stage/{version:08d}"
-        df.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.schema(df.schema).parquet(stage)
-        self._writer(staged, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path(version))
+        """More rows, possibly with more columns; those before hold null in them."""
+        before = self.state()
+        parts = before.parts if before else self.wanted
+        schema = widened(before.schema, df.schema) if before else df.schema
+        fresh = self._write(df, parts, before.number + 1 if before else 1)
+        self._commit(before, schema, parts, [*(before.dirs if before else []), *fresh])
+
+    def replace_partitions(self, df: DataFrame, touched: Iterable[Values] | None = None) -> None:
+        """Instead of the touched partitions (by default those that df has rows in) the rows
+        of df; a touched partition without rows is empty afterwards. Others stay as they
+        are, on disk as well. df may come from this table."""
+        before = self.state()
+        if before is None or not before.parts:
+            raise ValueError("the table has no partitions")
+        fresh = self._write(df, before.parts, before.number + 1)
+        gone = set(touched) if touched is not None else {before.values(d) for d in fresh}
+        kept = [d for d in before.dirs if before.values(d) not in gone]
+        self._commit(before, widened(before.schema, df.schema), before.parts, [*kept, *fresh])
+
+    def drop_partitions(self, gone: Iterable[Values]) -> None:
+        """Partitions out of the current version; no data is read or written."""
+        before, gone = self.state(), set(gone)
+        if before and any(before.values(d) in gone for d in before.dirs):
+            self._commit(before, before.schema, before.parts, [d for d in before.dirs if before.values(d) not in gone])
+
+    def partitions(self) -> set[Values]:
+        held = self.state()
+        return {held.values(d) for d in held.dirs} if held else set()
+
+    def drop(self) -> None:
+        """The table and all its versions."""
+        remove(self.spark, self.path)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Remove what none of the last `keep` versions names. Readers of older ones fail."""
+        last = self.version()
+        numbers = sorted((int(n[1:]) for n in names(self.spark, f"{self.path}/_log") if n[1:].isdigit()), reverse=True)
+        used = set()
+        for number in [n for n in numbers if n <= last][:keep]:
+            used |= set(json.loads(self.spark.read.text(f"{self.path}/_log/v{number}", wholetext=True).first()[0])["dirs"])
+        writes = {d.split("/")[0] for d in used}
+        for own in names(self.spark, f"{self.path}/data"):
+            if own not in writes:
+                remove(self.spark, f"{self.path}/data/{own}")
+        for number in [n for n in numbers if n <= last][keep:]:
+            remove(self.spark, f"{self.path}/_log/v{number}")
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, and those that only the new schema has. A column keeps its type."""
+    known = {f.name: f for f in old.fields}
+    for f in new.fields:
+        if f.name in known and f.dataType != known[f.name].dataType:
+            raise ValueError(f"{f.name} is {known[f.name].dataType.simpleString()} in the table, {f.dataType.simpleString()} in the rows")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in [*old.fields, *[f for f in new.fields if f.name not in known]]])
