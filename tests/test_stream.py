@@ -33,7 +33,7 @@ def test_restart_takes_only_new_files(spark, tmp_path):
     assert sorted(r["user_id"] for r in first.collect()) == [1, 3]
     assert sorted(r["name"] for r in rest.collect()) == ["n2", "n4"]
     assert "created_at" in first.columns and first.select(router.RECORD_KEY).distinct().count() == 2
-    assert spark.read.parquet(str(tmp_path / "out" / "_quarantine")).select("value").first()[0] == "no json {"
+    assert spark.read.parquet(str(tmp_path / "out" / "_quarantine" / "lines")).select("value").first()[0] == "no json {"
 
 
 def test_a_batch_run_again_leaves_the_same_rows(spark, tmp_path):
@@ -53,3 +53,30 @@ def test_plain_python_transform(spark, tmp_path):
     to = sink(tmp_path, upper)
     to(router.parsed(lines, SCHEMA)[0], 0)
     assert spark.read.parquet(str(tmp_path / "out" / "first")).select(F.col("payload")).first()[0] == '{"NAME": "N1"}'
+
+
+def test_no_record_is_lost(spark, tmp_path):
+    """Routes in no list get a table; those without a name for one are set aside with their route."""
+    put(tmp_path / "in", "1.json", [record(1), record(2, "b"), record(3, "c"), record(4, "../up"), record(5, None), record(6, "_odd")])
+    to = router.Router(str(tmp_path / "out"), lambda df: F.col("type"), ["a", "idle"], router.lift_payload(["name"]), {"user_id": "int", "date": "datetime"})
+    run(spark, tmp_path, to)
+    read = lambda n: sorted(r["user_id"] for r in spark.read.parquet(str(tmp_path / "out" / n)).collect())
+    assert (read("a"), read("b"), read("c"), read("idle")) == ([1], [2], [3], [])
+    lost = spark.read.parquet(str(tmp_path / "out" / "_quarantine" / "routes")).collect()
+    assert sorted((r["route"] or "", json.loads(r["value"])["user_id"]) for r in lost) == [("", "5"), ("../up", "4"), ("_odd", "6")]
+
+
+def test_another_checkpoint_keeps_what_is_there(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [record(i) for i in range(3)])
+    run(spark, tmp_path, sink(tmp_path))
+    (tmp_path / "in" / "1.json").rename(tmp_path / "old.json")
+    put(tmp_path / "in", "2.json", [record(9)])
+    router.run_router(router.read_lines(spark, str(tmp_path / "in")), SCHEMA, sink(tmp_path), str(tmp_path / "new-check")).awaitTermination()
+    assert sorted(r["user_id"] for r in spark.read.parquet(str(tmp_path / "out" / "first")).collect()) == [0, 1, 2, 9]
+
+
+def test_equal_lines_have_keys_of_their_own(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [record(1)] * 3 + [record(2)])
+    run(spark, tmp_path, sink(tmp_path))
+    out = spark.read.parquet(str(tmp_path / "out" / "first"))
+    assert out.count() == 4 and out.select(router.RECORD_KEY).distinct().count() == 4

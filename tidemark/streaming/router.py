@@ -23,20 +23,33 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, options: Mapping[s
 
 
 def read_lines(spark: SparkSession, path: str, files_a_batch: int = 100) -> DataFrame:
-    """Files of JSON lines as the same four columns. A line's place is its file and the
-    digest of the line, since a file has no offsets."""
+    """Files of JSON lines as the same four columns. A file has no offsets, so a line has its
+    digest there; records() tells equal lines apart by their place in the batch."""
     raw = spark.readStream.format("text").option("maxFilesPerTrigger", files_a_batch).load(path)
     return raw.select("value", F.col("_metadata.file_name").alias("topic"), F.lit(0).alias("partition"), F.sha2("value", 256).alias("offset"))
 
 
-def parsed(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(records with their key, lines that are no JSON)."""
+def records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """(key, value, r: the record, broken: whether the line is no JSON). Lines without an
+    offset are numbered as they stand in the batch: a batch that is run again numbers
+    them alike, and its files replace those of the first try."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*kind.fields, T.StructField("_corrupt", T.StringType())])
-    key = surrogate_key(F.col("topic"), F.col("partition"), F.col("offset")).alias(RECORD_KEY)
+    place = [F.monotonically_increasing_id()] if isinstance(lines.schema["offset"].dataType, T.StringType) else []
+    key = surrogate_key(F.col("topic"), F.col("partition"), F.col("offset"), *place).alias(RECORD_KEY)
     read = lines.select(key, "value", F.from_json("value", wide, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
-    broken = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
-    return read.where(~broken).select(RECORD_KEY, *[F.col(f"r.{f.name}").alias(f.name) for f in kind.fields]), read.where(broken).select(RECORD_KEY, "value")
+    return read.withColumn("broken", F.col("r").isNull() | F.col("r._corrupt").isNotNull())
+
+
+def split(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records with their key, lines that are no JSON)."""
+    names = [f for f in read.schema["r"].dataType.names if f != "_corrupt"]
+    return read.where(~F.col("broken")).select(RECORD_KEY, *[F.col(f"r.`{f}`").alias(f) for f in names]), read.where("broken").select(RECORD_KEY, "value")
+
+
+def parsed(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(records with their key, lines that are no JSON)."""
+    return split(records(lines, schema))
 
 
 def route_by(column: str, routes: Mapping[str, str], otherwise: str) -> Callable[[DataFrame], Column]:
@@ -69,36 +82,55 @@ def finished(df: DataFrame, fields: Mapping[str, str], parts: Mapping[str, str]
     return out.withColumnsRenamed(dict(names or {})), made
 
 
+#: What may be the name of a table's folder.
+FOLDER = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
+
+
 class Router:
-    """foreachBatch sink. A batch is persisted once and written to one directory a route;
-    the directory of a batch is overwritten, so that a batch which is run again after a
-    failure leaves the same rows."""
+    """foreachBatch sink. A batch is written to one directory a route: every route that its
+    records name, those in `routes` also where they get none. Records whose route is null
+    or no name for a folder go to <path>/_quarantine with their route. The directory of
+    a batch is overwritten, so that a batch which is run again after a failure leaves the
+    same rows; it bears the query's id, so that a query from another checkpoint, which
+    counts from 0 again, leaves it alone."""
 
     def __init__(self, path: str, route: Callable[[DataFrame], Column], routes: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None, fields: Mapping[str, str], parts: Mapping[str, str] | None = None, names: Mapping[str, str] | None = None):
         self.path, self.route, self.routes, self.transform = path.rstrip("/"), route, list(routes), transform
         self.fields, self.parts, self.names = fields, parts, names
 
     def __call__(self, batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        name = f"{query}-{number}" if query else str(number)
         routed = batch.withColumn("_route", self.route(batch)).persist()
         try:
-            for name in self.routes:
-                own = routed.where(F.col("_route") == name).drop("_route")
+            fits = F.coalesce(F.col("_route").rlike(FOLDER), F.lit(False))
+            named = {r["_route"] for r in routed.where(fits).select("_route").distinct().collect()}  # one row a table
+            for route in sorted({*self.routes, *named}):
+                own = routed.where(F.col("_route") == route).drop("_route")
                 own = self.transform(own) if self.transform else own
                 out, made = finished(own, self.fields, self.parts, self.names)
                 writer = out.hint("rebalance", *made).write if made else out.write
                 writer = writer.mode("overwrite")
-                (writer.partitionBy(*made) if made else writer).parquet(f"{self.path}/{name}/batch={number}")
+                (writer.partitionBy(*made) if made else writer).parquet(f"{self.path}/{route}/batch={name}")
+            lost = routed.where(~fits)
+            lost.select(RECORD_KEY, F.to_json(F.struct(*[f"`{c}`" for c in batch.columns if c != RECORD_KEY])).alias("value"), F.col("_route").alias("route")).write.mode("overwrite").parquet(f"{self.path}/_quarantine/routes/batch={name}")
         finally:
             routed.unpersist()
 
 
 def run_router(lines: DataFrame, schema: T.StructType | str, sink: Router, checkpoint: str, trigger: Mapping[str, object] | None = None):
-    """Start the stream; with no trigger it takes what is there and ends. Lines that are no
-    JSON go to <path>/_quarantine."""
+    """Start the stream; with no trigger it takes what is there and ends. A batch is parsed
+    once. Lines that are no JSON go to <path>/_quarantine/lines, records without a table
+    to <path>/_quarantine/routes."""
 
     def both(batch: DataFrame, number: int) -> None:
-        good, bad = parsed(batch, schema)
-        sink(good, number)
-        bad.write.mode("overwrite").parquet(f"{sink.path}/_quarantine/batch={number}")
+        read = records(batch, schema).persist()
+        try:
+            good, bad = split(read)
+            sink(good, number)
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            bad.write.mode("overwrite").parquet(f"{sink.path}/_quarantine/lines/batch={f'{query}-{number}' if query else number}")
+        finally:
+            read.unpersist()
 
     return lines.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
