@@ -489,46 +489,99 @@ def check_pieces(rows, lengths, length):
     return fills
 
 
-@pytest.mark.parametrize("weights", [None, {"a": 0.1, "b": 0.9}])
+@pytest.mark.parametrize("weights", [None, {"a": 0.1, "b": 0.9}, {"a": 0.0, "b": 5.0, "none": 1.0}])
 def test_packing_is_whole(spark, weights):
     rng = random.Random(8)
     docs = [(i, " ".join(rng.choice(["one", "two", "drei"]) for _ in range(rng.choice([0, 1, 30, 700]))), rng.choice(["a", "a", "a", "b", None])) for i in range(120)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(6)
     tokenizer = Encoder().tokenizer
     ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t, _ in docs}
-    rows = packing.pack(df, length=128, grain=32, weights=weights).collect()
+    rows = packing.pack(df, length=128, weights=weights).collect()
     check_pieces(rows, {k: len(v) for k, v in ids.items()}, 128)
     for r in rows:
         raw = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], dtype="<u4").tobytes()
         assert r["ids"] == raw and r["ids_crc32"] == zlib.crc32(raw) and r["doc_tokens"] == len(ids[r["doc_id"]])
-    if weights:  # as long as both last, windows hold the shares asked for
-        early = [r for r in rows if r["sequence_id"] < 20 and r["queue"] in weights]
-        share = sum(r["length"] for r in early if r["queue"] == "b") / sum(r["length"] for r in early)
-        assert 0.75 < share <= 1
     whole = packing.sequences(spark.createDataFrame(rows), 128)
     assert whole.agg(F.sum("n_tokens"), F.max(F.length("ids"))).first()[:] == (sum(map(len, ids.values())), 512)
 
 
+def window_shares(rows, length):
+    """Ids of each queue in each full window."""
+    found = {}
+    for r in rows:
+        own = found.setdefault(r["sequence_id"], {})
+        own[r["queue"]] = own.get(r["queue"], 0) + r["length"]
+    return {k: v for k, v in found.items() if sum(v.values()) == length}
+
+
+@pytest.mark.parametrize("weights", [None, {"s1": 0.4}])
+def test_every_window_has_the_mixture(spark, weights):
+    """Twenty sources: every window is within two ids of each share, as long as all sources last."""
+    rng = random.Random(1)
+    docs = [(i, " ".join(rng.choice(["one", "two", "drei"]) for _ in range(rng.randint(1, 400))), f"s{min(rng.randrange(26), 19)}") for i in range(1200)]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5), length=1024, weights=weights, with_ids=False).collect()
+    total = {}
+    for r in rows:
+        total[r["queue"]] = total.get(r["queue"], 0) + r["length"]
+    n = sum(total.values())
+    rest = n - sum(total[q] for q in weights or ())
+    target = {q: (weights or {}).get(q, t / rest * (1 - sum((weights or {}).values()))) for q, t in total.items()}
+    shares, last = window_shares(rows, 1024), min(t / target[q] for q, t in total.items())
+    lasting = [v for k, v in shares.items() if (k + 2) * 1024 < last]
+    apart = [sum(abs(v.get(q, 0) / 1024 - x) for q, x in target.items()) / 2 for v in lasting]
+    assert len(lasting) > 40 and max(abs(v.get(q, 0) - 1024 * x) for v in lasting for q, x in target.items()) < 2 and np.mean(apart) < 0.01
+    # Over many windows what falls short in one comes back in the next.
+    for q, x in target.items():
+        sent = np.cumsum([shares[k].get(q, 0) for k in range(len(lasting))])
+        assert np.abs(sent - 1024 * x * np.arange(1, len(lasting) + 1)).max() < 1.01
+
+
+def test_many_sources_keep_their_weights(spark):
+    docs = [(i, "some words of a short text " * 40, f"s{i % 1100}") for i in range(2200)] + [(5000 + i, "a longer one with more of them " * 400, "s1") for i in range(80)]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4), length=256, weights={"s1": 0.5}, with_ids=False).collect()
+    shares, total = window_shares(rows, 256), sum(r["length"] for r in rows if r["queue"] == "s1")
+    lasting = [v for k, v in shares.items() if (k + 2) * 128 < total]
+    assert len(lasting) > 300 and all(abs(v["s1"] - 128) < 2 for v in lasting)
+    sizes = {}
+    for r in rows:
+        sizes[r["doc_id"]] = r["doc_tokens"]
+    check_pieces(rows, sizes, 256)
+
+
 def test_packing_corner_cases(docs, empty):
     assert packing.pack(empty).count() == 0
     rows = packing.pack(docs.dropDuplicates(["doc_id"]), with_ids=False).collect()
     assert {r["doc_id"]: r["doc_tokens"] for r in rows}[2] == 1 and {r["queue"] for r in rows} == {"", "a", "b", "c"}
 
 
-def test_deficits_follow_round_robin():
-    """The closed form against the round-by-round loop."""
-    m = packing.Mixture.of({"a": 1000, "b": 317, "c": 33, "d": 5}, {"a": 0.2, "b": 0.5, "c": 0.2, "d": 0.1}, 8, 64)
-    sent, credit, order = dict.fromkeys(m.names, 0), dict.fromkeys(m.names, 0), []
-    while any(sent[n] < t // 8 for n, t in zip(m.names, m.totals, strict=True)):
-        for n, t, q in zip(m.names, m.totals, m.quanta, strict=True):
-            credit[n] += q
-            while credit[n] >= 8 * packing.UNIT and sent[n] < t // 8:
-                credit[n] -= 8 * packing.UNIT
-                order.append((n, sent[n]))
-                sent[n] += 1
-    for k, n in enumerate(m.names):
-        want = [i * 8 for i, (own, _) in enumerate(order) if own == n]
-        assert m.positions(k, np.arange(m.totals[k] // 8)).tolist() == want
+@pytest.mark.parametrize(("totals", "shares", "length"), [([1000, 317, 330, 55], [0.2, 0.5, 0.2, 0.1], 64), ([0, 900, 1, 70], [0.0, 0.9, 0.05, 0.05], 32), ([5], [1.0], 8), ([10**6, 3 * 10**6], [0.25, 0.75], 1024), ([3], [1.0], 8), ([40, 0, 500], [0.9, 0.1, 0.0], 16)])
+def test_deficits_follow_round_robin(totals, shares, length):
+    """The closed form against the window-by-window loop: carried credits, whole ids."""
+    m = packing.Mixture.of(totals, shares, length)
+    windows, sent = int(m.starts[-1]), [0] * len(totals)
+    assert windows == sum(totals) // length
+    for w in range(windows if windows < 2000 else 50):
+        run = int(np.searchsorted(m.starts, w, side="right")) - 1
+        n, ends = w - int(m.starts[run]), [int(x) for x in m.ends[run]]
+        quota = [((n + 1) * length * b // ends[-1] - n * length * b // ends[-1]) - ((n + 1) * length * a // ends[-1] - n * length * a // ends[-1]) for a, b in zip(ends, ends[1:], strict=False)]
+        assert min(quota) >= 0 and sum(quota) == length and all(s + k <= t for s, k, t in zip(sent, quota, totals, strict=True))
+        for q in range(len(totals)):
+            before, ahead = m.before(q, np.array([w]))
+            assert before[0] == sent[q] and ahead[0] == sum(quota[:q])
+            if quota[q]:
+                assert m.window(q, np.array([sent[q], sent[q] + quota[q] - 1])).tolist() == [w, w]
+        sent = [s + k for s, k in zip(sent, quota, strict=True)]
+    if windows < 2000:
+        for q, (s, t) in enumerate(zip(sent, totals, strict=True)):
+            assert m.before(q, np.array([windows]))[0][0] == s and m.window(q, np.arange(s, t)).tolist() == [windows] * (t - s)
+
+
+def test_windows_of_very_many_ids():
+    """No product overflows at a hundred trillion ids."""
+    m = packing.Mixture.of([6 * 10**13, 4 * 10**13 - 7, 10**11], [0.6, 0.4, 0.001], 1024)
+    ids = np.array([0, 10**9, 5 * 10**13, 6 * 10**13 - 3000], dtype=np.int64)
+    w = m.window(0, ids)
+    assert ((m.before(0, w)[0] <= ids) & (m.before(0, w + 1)[0] > ids)).all() and abs(int(w[2]) - 5 * 10**13 / 1024 / (0.6 / 1.001)) < 10**4
 
 
 # --- SimHash

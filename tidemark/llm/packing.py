@@ -1,13 +1,17 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
-Every queue (a source) is a stream of its documents' ids, cut into grains. In round
-r a queue has been credited r * quantum ids and has sent every whole grain that its
-credit covers; what is left of the credit, less than a grain, is its deficit, and is
-carried on. So the round of a grain, and its place in the whole order, follow from
-its number alone: no task needs another one's state, and the deficits carry over
-windows and partitions alike. Windows of `length` ids are cut from that order. What
-is left after the last full window goes into sequences whose lengths are powers of
-two, so that no sequence holds padding.
+Every queue (a source) is a stream of its documents' ids. In every window of `length` ids
+each queue is credited its share of the window and sends the whole ids that its credit
+covers; what is left of the credit, less than an id, is its deficit and is carried on to
+the next window. So what a queue has sent is within one id of its target after every window,
+and each window holds its target to within two; the deficits carry over windows and
+partitions alike. Credits are whole numbers, so how many ids a
+queue has sent before any window follows from the window's number alone: no task needs
+another one's state.
+
+When queues end, the others share their part: the shares hold for a run of windows, then
+for another one with fewer queues. What is left after the last full window goes into
+sequences whose lengths are powers of two, so that no sequence holds padding.
 """
 
 from __future__ import annotations
@@ -19,99 +23,117 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SLICE_ROWS, staged
 from tidemark.llm.tokens import process_encoder, vocabulary_path
 
-#: More sources than this share queues, by a hash of their names.
-MOST_QUEUES = 1024
-#: Rows of (task, queue) offsets that may be broadcast.
+#: Rows of (task, source) offsets that may be broadcast.
 MOST_BASES = 1_000_000
-#: Parts of an id in which credits are counted.
-UNIT = 1024
+#: Sources of fewer ids a window than this share a queue, which is credited for all of them.
+LEAST_IDS = 2
+#: Parts of a window in which shares are counted.
+UNIT = 1 << 30
 
 
 @dataclass(frozen=True)
 class Mixture:
-    """Credits of the queues: names in order, ids in each, ids credited a round."""
+    """What the queues have sent before any window. Runs of windows have shares of their
+    own: starts[r] is the first window of run r, ends[r] the sums of the shares of the queues
+    up to each one (ends[r][0] is 0, the last one stands for the whole window), and sent[r]
+    the ids that each queue has sent before."""
 
-    names: tuple[str, ...]
-    totals: tuple[int, ...]
-    quanta: tuple[int, ...]
-    grain: int
+    totals: np.ndarray
     length: int
+    starts: np.ndarray
+    ends: np.ndarray
+    sent: np.ndarray
 
     @classmethod
-    def of(cls, totals: dict[str, int], weights: dict[str, float] | None, grain: int, length: int) -> Mixture:
-        """weights: target shares of a window by queue; by default each queue's share
-        of all ids, so that all end together. A queue without a weight gets its share."""
-        names = tuple(sorted(totals))
-        total = sum(totals.values()) or 1
-        share = [max((weights or {}).get(n, totals[n] / total), 0.0) for n in names]
-        # Whole numbers keep the rounds exact; a queue with ids always gets some credit.
-        scale = length * UNIT
-        quanta = tuple(max(1, round(scale * s / (sum(share) or 1))) for s in share)
-        return cls(names, tuple(totals[n] for n in names), quanta, grain, length)
-
-    def __post_init__(self) -> None:
-        if self.grain <= 0 or self.length % self.grain:
-            raise ValueError("the grain must divide the length of a window")
-
-    def rounds(self, queue: int, grains: np.ndarray) -> np.ndarray:
-        """The round in which a queue's credit first covers these grains."""
-        return -(-(grains + 1) * (self.grain * UNIT) // self.quanta[queue])
-
-    def positions(self, queue: int, grains: np.ndarray) -> np.ndarray:
-        """Place of these grains in the whole order, in ids from 0."""
-        if not len(grains):
-            return np.zeros(0, dtype=np.int64)
-        whole = np.array([t // self.grain for t in self.totals], dtype=np.int64)
-        r = self.rounds(queue, grains)
-        before = np.zeros(len(grains), dtype=np.int64)
-        for k, (q, n) in enumerate(zip(self.quanta, whole.tolist(), strict=True)):
-            if k == queue:
-                before += np.minimum(grains, n)
-            elif n:
-                # Queues send in order of their names: earlier ones have had this round's credit.
-                through = r if k < queue else r - 1
-                ended = -(-n * self.grain * UNIT // q)
-                before += np.minimum(np.minimum(through, ended) * q // (self.grain * UNIT), n)
-        last = grains >= whole[queue]
-        if last.any():  # what is less than a grain comes after all whole grains
-            rest = [t % self.grain for t in self.totals]
-            before = np.where(last, 0, before * self.grain) + np.where(last, int(whole.sum()) * self.grain + sum(rest[:queue]), 0)
-            return before
-        return before * self.grain
+    def of(cls, totals: list[int], shares: list[float], length: int) -> Mixture:
+        """totals: ids of each queue; shares: its target share of a window."""
+        left = np.array(totals, dtype=np.int64)
+        # Every queue sends an id a window at least, so that none ever takes one back.
+        least = -(-UNIT * 101 // (100 * length))
+        wanted = np.maximum(np.round(UNIT * np.array(shares, dtype=float) / (sum(shares) or 1)).astype(np.int64), least)
+        starts, ends, sent, window = [], [], [], 0
+        while left.sum() >= length:
+            own = np.where(left > 0, wanted, 0)
+            run = np.concatenate([[0], np.cumsum(own)])
+            fits = lambda n, run=run: bool((np.diff(through(np.int64(n), run, length)) <= left).all())
+            low, high = 0, int(left.sum()) // length
+            while low < high:
+                mid = (low + high + 1) // 2
+                low, high = (mid, high) if fits(mid) else (low, mid - 1)
+            if not low:  # one window in which the queues that end give all they have
+                quota = np.minimum(np.diff(through(np.int64(1), run, length)), left)
+                while more := length - int(quota.sum()):
+                    open_ = np.flatnonzero(left > quota)
+                    extra = np.zeros(len(left), dtype=np.int64)
+                    extra[open_] = np.diff(through(np.int64(1), np.concatenate([[0], np.cumsum(own[open_])]), more))
+                    quota = np.minimum(quota + extra, left)
+                run, low = np.concatenate([[0], np.cumsum(quota)]), 1
+            starts.append(window)
+            ends.append(run)
+            sent.append(np.array(totals) - left)
+            left, window = left - np.diff(through(np.int64(low), run, length)), window + low
+        starts.append(window)
+        ends.append(np.arange(len(totals) + 1))
+        sent.append(np.array(totals) - left)
+        return cls(np.array(totals, dtype=np.int64), length, np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64).reshape(len(starts), -1), np.array(sent, dtype=np.int64).reshape(len(starts), -1))
+
+    def before(self, queue: int, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the queue sent before these windows, ids of earlier queues in them)."""
+        run = np.searchsorted(self.starts, window, side="right") - 1
+        at, past = self.ends[run, queue], self.ends[run, queue + 1]
+        whole, n = self.ends[run, -1], window - self.starts[run]
+        low = part(n, at, whole, self.length)
+        return self.sent[run, queue] + part(n, past, whole, self.length) - low, part(n + 1, at, whole, self.length) - low
+
+    def window(self, queue: int, ids: np.ndarray) -> np.ndarray:
+        """The windows that these ids of the queue lie in; past the last one, the number of windows."""
+        run = np.searchsorted(self.sent[:, queue], ids, side="right") - 1
+        last = len(self.starts) - 1
+        own, whole = self.ends[run, queue + 1] - self.ends[run, queue], self.ends[run, -1]
+        ideal = (ids - self.sent[run, queue]) / self.length * (whole / np.maximum(own, 1))
+        slack = 2 + whole // np.maximum(own * self.length, 1) + (ideal * 1e-12).astype(np.int64)
+        low = self.starts[run] + np.maximum(ideal.astype(np.int64) - slack, 0)
+        high = np.minimum(self.starts[run] + ideal.astype(np.int64) + slack, self.starts[np.minimum(run + 1, last)] - 1)
+        low, high = np.where(run < last, low, self.starts[last]), np.where(run < last, high, self.starts[last])
+        low = np.minimum(low, high)
+        while (low < high).any():
+            mid = (low + high) // 2
+            done = self.before(queue, mid + 1)[0] > ids
+            low, high = np.where(done | (low == high), low, mid + 1), np.where(done, mid, high)
+        return low
 
     def place(self, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sequence, offset, ids up to the sequence's end) of places in the order."""
-        total = sum(self.totals)
-        full, rest = divmod(total, self.length)
-        sequence, offset = position // self.length, position % self.length
-        left = self.length - offset
-        tail = np.flatnonzero(sequence >= full)
-        if len(tail):
-            sizes = [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-            starts = np.cumsum([0, *sizes])
-            own = position[tail] - full * self.length
-            k = np.searchsorted(starts, own, side="right") - 1
-            sequence[tail], offset[tail] = full + k, own - starts[k]
-            left[tail] = starts[k + 1] - own
-        return sequence, offset, left
+        """(sequence, offset, ids up to the sequence's end) of places after the last full window."""
+        full, rest = divmod(int(self.totals.sum()), self.length)
+        sizes = [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+        starts = np.cumsum([0, *sizes])
+        k = np.searchsorted(starts, position, side="right") - 1
+        return full + k, position - starts[k], starts[np.minimum(k + 1, len(starts) - 1)] - position
+
+
+def part(n: np.ndarray, share: np.ndarray, whole: np.ndarray, length: int) -> np.ndarray:
+    """Whole ids of n windows' ids that fall to a share of the whole; no product overflows."""
+    a, b = np.divmod(n * length, np.maximum(whole, 1))
+    return a * share + b * share // np.maximum(whole, 1)
+
+
+def through(n: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    return part(n, ends, ends[-1], length)
 
 
 ENCODED = "part int, queue string, at long, ids binary, n long"
 
 
 def encoded(docs: DataFrame, end_id: int, path: str | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Staged ids of every document, with its place in its partition's queue."""
-    n_sources = docs.select(source).distinct().count()
+    """Staged ids of every document, with its place among those of its source in its partition."""
     queue = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    if n_sources > MOST_QUEUES:
-        queue = F.concat(F.lit("queue "), F.pmod(F.xxhash64(queue), F.lit(MOST_QUEUES)).cast("string"))
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), *T.StructType.fromDDL(ENCODED).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,10 +159,31 @@ def encoded(docs: DataFrame, end_id: int, path: str | None = None, key: str = "d
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string, ids binary"
 
 
+def queues(shares: DataFrame, weights: dict[str, float] | None, length: int) -> tuple[dict[str, int], list[float]]:
+    """(numbers of the sources that have a queue of their own, target shares by number). The
+    queue of number 0 is that of all sources with less than LEAST_IDS ids a window."""
+    by_source = shares.groupBy("queue").agg(F.sum("n").alias("n"))
+    total = shares.agg(F.sum("n")).first()[0] or 1
+    given = {k: max(float(v), 0.0) for k, v in (weights or {}).items()}
+    held = {r["queue"]: r["n"] for r in by_source.where(F.col("queue").isin(list(given))).collect()} if given else {}
+    given = {k: v for k, v in given.items() if k in held}
+    # Sources without a weight share what the weights leave of a window, by their sizes; where
+    # the weights leave nothing, all are brought down together.
+    weight, rest = sum(given.values()), max(1 - sum(held.values()) / total, 0.0)
+    scale = (1 - weight) / rest if weight < 1 and rest > 0 else 1.0
+    whole = weight + rest * scale or 1.0
+    least = LEAST_IDS / length
+    others = by_source.where(~F.col("queue").isin(list(given))) if given else by_source
+    share = F.col("n") / total * scale / whole
+    large = {r["queue"]: r["share"] for r in others.withColumn("share", share).where(F.col("share") >= least).collect()}  # length / LEAST_IDS rows at most
+    large |= {k: v / whole for k, v in given.items() if v / whole >= least}
+    names = sorted(large)
+    return {n: i for i, n in enumerate(names, 1)}, [max(1 - sum(large.values()), 0.0), *(large[n] for n in names)]
+
+
 def pack(
     docs: DataFrame,
     length: int = 1024,
-    grain: int = 256,
     end_id: int = 0,
     weights: dict[str, float] | None = None,
     path: str | None = None,
@@ -151,98 +194,89 @@ def pack(
 ) -> DataFrame:
     """Pieces of documents in packed sequences: one row a piece.
 
+    weights: target shares of a window by source; sources without one share the rest by
+    their sizes. Where the weights make up one or more, all shares are brought down to one
+    together. While the queues last, a window holds each queue's share to within two ids,
+    and what it lacks comes later. Sources of less than LEAST_IDS ids a window share a
+    queue, credited with their shares together.
+
     A document is its ids and the end id; null and empty texts are the end id alone.
-    A null source is the queue ''. Repeated rows are packed as often as they stand;
-    an empty table gives no pieces; other columns are not read. The staged ids are
-    read once, and no ids are shuffled.
+    A null source is ''. Repeated rows are packed as often as they stand; an empty table
+    gives no pieces; other columns are not read. The staged ids are read once, and no ids
+    are shuffled.
     """
     path = path or vocabulary_path()
     rows = encoded(docs, end_id, path, key, text, source)
-    # A row for each partition and queue: bounded by tasks times queues, summed where it stands.
-    shares = rows.groupBy("part", "queue").agg(F.sum("n").alias("n"))
-    before = staged(
-        shares.alias("a")
-        .select("part", "queue", "n", F.coalesce(F.sum("n").over(_earlier()), F.lit(0)).alias("base")),
-        "bases",
-    )
-    totals = {r["queue"]: r["n"] for r in before.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MOST_QUEUES rows
-    mixture = Mixture.of(totals, weights, grain, length)
-    number = {n: i for i, n in enumerate(mixture.names)}
-    bases = before.select("part", "queue", "base")
+    # A row for each partition and source, at most one for each document.
+    shares = staged(rows.groupBy("part", "queue").agg(F.sum("n").alias("n")), "shares")
+    number, target = queues(shares, weights, length)
+    known = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])[F.col("queue")] if number else F.lit(None)
+    numbered = shares.withColumn("number", F.coalesce(known.cast("int"), F.lit(0)))
+    # Where a source's ids of a partition begin in its queue: after those of earlier partitions, and of sources before it.
+    by_part = numbered.groupBy("part", "number").agg(F.sum("n").alias("all"))
+    earlier = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    beside = Window.partitionBy("part", "number").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    based = by_part.withColumn("past", F.coalesce(F.sum("all").over(earlier), zero))
+    bases = numbered.withColumn("own", F.coalesce(F.sum("n").over(beside), zero)).join(based, ["part", "number"]).select("part", "queue", "number", (F.col("past") + F.col("own")).alias("base"))
+    bases = staged(bases, "bases")
+    found = {r["number"]: r["n"] for r in numbered.groupBy("number").agg(F.sum("n").alias("n")).collect()}  # one row a queue
+    mixture = Mixture.of([found.get(i, 0) for i in range(len(target))], target, length)
     # Some 40 bytes a row: sent to every task while that is little, else joined by a shuffle.
     bases = F.broadcast(bases) if bases.count() <= MOST_BASES else bases
-    dealt = rows.join(bases, ["part", "queue"]).select("key", "queue", (F.col("at") + F.col("base")).alias("at"), "ids", "n")
+    dealt = rows.join(bases, ["part", "queue"]).select("key", "queue", "number", (F.col("at") + F.col("base")).alias("at"), "ids", "n")
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *[f for f in T.StructType.fromDDL(PIECES).fields if with_ids or f.name != "ids"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):
-                out = _cut(batch.slice(i, SLICE_ROWS), mixture, number, with_ids)
+                out = _cut(batch.slice(i, SLICE_ROWS), mixture, with_ids)
                 for j in range(0, len(out[0]), 20_000):
                     yield pa.RecordBatch.from_arrays([x.slice(j, 20_000) for x in out], names=schema.names)
 
     return dealt.mapInArrow(run, schema)
 
 
-def _earlier():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _cut(rows: pa.RecordBatch, mixture: Mixture, number: dict[str, int], with_ids: bool) -> list[pa.Array]:
-    """Pieces of some documents, cut at grains and at the ends of sequences."""
-    keys, queues, at, raws, sizes = (rows.column(i) for i in range(5))
-    names, at, n = queues.to_pylist(), at.to_numpy(), sizes.to_numpy()
-    g = mixture.grain
-    doc: list[np.ndarray] = []
-    start: list[np.ndarray] = []
-    place: list[np.ndarray] = []
-    by_queue: dict[str, list[int]] = {}
-    for i, q in enumerate(names):
-        by_queue.setdefault(q, []).append(i)
-    for q, own in by_queue.items():
-        own = np.array(own)
-        first, last = at[own] // g, (at[own] + n[own] - 1) // g
+def _cut(rows: pa.RecordBatch, mixture: Mixture, with_ids: bool) -> list[pa.Array]:
+    """Pieces of some documents, cut at what their queues send to each window."""
+    keys, names, numbers, at, raws, sizes = (rows.column(i) for i in range(6))
+    numbers, at, n = numbers.to_numpy(), at.to_numpy(), sizes.to_numpy()
+    windows = int(mixture.starts[-1])
+    rest = mixture.totals - mixture.sent[-1]
+    parts: list[tuple[np.ndarray, ...]] = []
+    for q in np.unique(numbers).tolist():
+        own = np.flatnonzero(numbers == q)
+        first, last = mixture.window(q, at[own]), mixture.window(q, at[own] + n[own] - 1)
         count = last - first + 1
         d = np.repeat(own, count)
-        grains = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-        from_ = np.maximum(grains * g, at[d])
-        doc.append(d)
-        start.append(from_ - at[d])
-        place.append(mixture.positions(number[q], grains) + from_ - grains * g)
-    d, s, p = np.concatenate(doc), np.concatenate(start), np.concatenate(place)
-    order = np.lexsort((s, d))
-    d, s, p = d[order], s[order], p[order]
-    size = np.append(s[1:], 0)
-    size = np.where(np.append(d[1:] != d[:-1], True), n[d], size) - s
-    # A grain lies in one full window; only the last windows, of powers of two, cut it again.
-    parts: list[tuple[np.ndarray, ...]] = []
-    while len(d):
-        sequence, offset, left = mixture.place(p)
-        now = np.minimum(size, left)
-        parts.append((d, s, now, sequence, offset))
-        more = size > left
-        d, s, p, size = d[more], s[more] + left[more], p[more] + left[more], size[more] - left[more]
+        g = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        inside = g < windows
+        begun, ahead = mixture.before(q, g)
+        ended = np.where(inside, mixture.before(q, np.minimum(g + 1, windows))[0], mixture.totals[q])
+        from_, past = np.maximum(begun, at[d]), np.minimum(ended, at[d] + n[d])
+        full = inside & (past > from_)
+        parts.append((d[full], (from_ - at[d])[full], (past - from_)[full], g[full], (ahead + from_ - begun)[full]))
+        # After the last full window: places of the rest, cut where sequences end.
+        d, s, size, p = d[~inside], (from_ - at[d])[~inside], (past - from_)[~inside], (from_ - begun)[~inside] + int(rest[:q].sum())
+        while len(d):
+            sequence, offset, left = mixture.place(p)
+            now = np.minimum(size, left)
+            parts.append((d, s, now, sequence, offset))
+            more = size > left
+            d, s, p, size = d[more], s[more] + left[more], p[more] + left[more], size[more] - left[more]
     d, s, now, sequence, offset = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((s, d))
     d, s, now, sequence, offset = d[order], s[order], now[order], sequence[order], offset[order]
-    # Neighbouring pieces that stay together are one piece.
-    cut = np.ones(len(d), dtype=bool)
-    cut[1:] = (d[1:] != d[:-1]) | (sequence[1:] != sequence[:-1]) | (offset[1:] != offset[:-1] + now[:-1])
-    head = np.flatnonzero(cut)
-    now = np.add.reduceat(now, head)
-    d, s, sequence, offset = d[head], s[head], sequence[head], offset[head]
     texts = raws.to_pylist()
     width = [len(x) // k for x, k in zip(texts, n.tolist(), strict=True)]
     wide = [memoryview(np.frombuffer(x, dtype="<u2" if w == 2 else "<u4").astype("<u4")).cast("B") for x, w in zip(texts, width, strict=True)]
-    spans = list(zip(d.tolist(), s.tolist(), (s + now).tolist(), strict=True))
-    crc = [zlib.crc32(wide[i][4 * a : 4 * b]) for i, a, b in spans]
+    crc32, spans = zlib.crc32, list(zip(d.tolist(), (4 * s).tolist(), (4 * (s + now)).tolist(), strict=True))
+    crc = [crc32(wide[i][a:b]) for i, a, b in spans]
     out = [
         keys.take(pa.array(d)), pa.array(s), pa.array(now), pa.array(crc, pa.int64()), pa.array(n[d]),
-        pa.array(sequence), pa.array(offset), queues.take(pa.array(d)),
+        pa.array(sequence), pa.array(offset), names.take(pa.array(d)),
     ]
-    return [*out, pa.array([bytes(wide[i][4 * a : 4 * b]) for i, a, b in spans], pa.binary())] if with_ids else out
+    return [*out, pa.array([bytes(wide[i][a:b]) for i, a, b in spans], pa.binary())] if with_ids else out
 
 
 def sequences(pieces: DataFrame, length: int = 1024) -> DataFrame:
