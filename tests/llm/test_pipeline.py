@@ -1,10 +1,13 @@
 """The pipeline's stages against plain Python over the same documents."""
 
+import re
+from collections import Counter
+
 import zstandard
 
 import __spark_entry__
 import corpus_pipeline
-from tidemark.llm import decontaminate, quality_rules, simhash, toxicity
+from tidemark.llm import decontaminate, quality_rules, toxicity
 from tidemark.llm.common import staged
 from tidemark.llm.tokens import Encoder
 
@@ -26,16 +29,23 @@ def test_stages(spark):
 
     pack, bands = zstandard.ZstdCompressor(level=3), quality_rules.Bands()
     assert set(good) == {i for i, t in given.items() if quality_rules.measure(t, bands, pack)["kept"]}
+    for i, t in given.items():  # the base rule, in plain words
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", t or "") if x]
+        wins = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
+        times = Counter(wins)
+        n = len({k for at, x in enumerate(wins) if times[x] > 1 for k in range(at, at + 8)})
+        assert not (i in good and (len(w) < 20 or 100 * n > 30 * len(w)))
 
     model = toxicity.train(b, spark.read.parquet(f"{SF}/labels.parquet"))
     assert set(civil) == {i for i, t in good.items() if model.score([t])[0][0] < 0.3}
 
-    fp = {i: simhash.fingerprint(t) for i, t in civil.items()}
-    label = {i: i for i in fp}
-    changed = True
-    while changed:
-        now = {i: min(label[j] for j in fp if bin(fp[i] ^ fp[j]).count("1") <= 4) for i in fp}
-        changed, label = now != label, now
+    plain = lambda t: t.translate({c: c + 32 for c in range(65, 91)}).split()
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in civil.items() if (w := plain(t))}
+    label = {i: i for i in civil}
+    pairs = [(i, j) for i in shingles for j in shingles if j < i and len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    for _ in civil:
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
     assert set(single) == set(label.values())
 
     windows = set()

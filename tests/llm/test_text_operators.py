@@ -80,6 +80,94 @@ def test_marginals_against_the_plain_recursion():
     assert np.allclose(toxicity.marginals(e, first, trans, start), want, atol=1e-9)
 
 
+def test_words_and_their_features():
+    """Words against a regular expression, also of texts longer than a piece; features tell words apart by text alone."""
+    rng = random.Random(8)
+    bits = ["word", "Été", "x1y", " ", "_", "\u00a0", "İstanbul", "\U0001f600", "straße", ", ", "ΣΑΣ", "9", "\n", "中文"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 50))) for _ in range(200)] + [None, "", "ab " * 400_000, "z" * 700_000 + " end"]
+    seen, spans = {}, [[] for _ in texts]
+    for owner, found, at in toxicity.words(texts):
+        assert found.shape == (len(at), toxicity.N_FEATURES) and found.min(initial=0) >= 0 and found.max(initial=0) < toxicity.SPACE
+        for i, f, (a, b) in zip(owner.tolist(), found, at.tolist(), strict=True):
+            spans[i].append((a, b))
+            if b - a < 20:
+                word = "".join(c.lower() if c.isupper() and len(c.lower()) == 1 else c for c in texts[i][a:b])
+                assert seen.setdefault(word, tuple(f)) == tuple(f)
+    for text, own in zip(texts[:-1], spans[:-1], strict=True):
+        assert own == [m.span() for m in re.finditer(r"[^\W\d_]+", text or "")]
+    assert spans[-1][-1] == (700_001, 700_004) and len(set(seen.values())) == len(seen)
+    assert len(set(seen["word"]) & set(seen["wordword"])) == 1  # the end
+
+
+def test_suspects_against_plain_counts():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["alpha", "alphabet", "beta", "vilest", "vile", "gamma"]) for _ in range(rng.randint(0, 9))) for _ in range(60)]
+    labels = [int("vile" in t) for t in texts]
+    counts = toxicity.counts_of(texts, labels)
+    feature = {w: f[0] for w in ("alpha", "vile") for _, f, _ in toxicity.words([w])}
+    for place in {int(x) for f in feature.values() for x in f[: 1 + len(toxicity.STEMS)]}:
+        for y in (0, 1):
+            often = [sum(place in f[0, : 1 + len(toxicity.STEMS)] for w in t.split() for _, f, _ in toxicity.words([w])) for t, k in zip(texts, labels, strict=True) if k == y]
+            assert counts[y, :, place].tolist() == [sum(n >= 1 for n in often), sum(n >= 2 for n in often)]
+
+
+def test_chain_training_against_all_labellings():
+    """The gradient of every pass against sums over all labellings of each segment."""
+    from itertools import product
+
+    rng = np.random.default_rng(5)
+    kinds = rng.integers(0, 40, (6, toxicity.N_FEATURES)).astype(np.int32)
+    found = [kinds[rng.integers(0, 6, n)] for n in (3, 1, 4, 2)]
+    marks, weights = [rng.integers(0, 2, len(x)) for x in found], [1, 3, 2, 1]
+    model = toxicity.train_chain(found, marks, weights, rounds=12)
+    w, bias, trans, start = np.zeros(40), -4.0, np.zeros((2, 2)), np.zeros(2)
+    sums = [np.full(40, 1e-8), 1e-8, np.full((2, 2), 1e-8), np.full(2, 1e-8)]
+    used = np.isin(np.arange(40), np.concatenate(found))
+    for _ in range(12):
+        slope = [1e-6 * w * used, 0.0, np.zeros((2, 2)), np.zeros(2)]
+        for own, m, k in zip(found, marks, weights, strict=True):
+            ways = list(product((0, 1), repeat=len(own)))
+            e = bias + w[own].sum(axis=1)
+            chance = np.exp([start[y[0]] + sum(e[t] * y[t] for t in range(len(y))) + sum(trans[y[t - 1], y[t]] for t in range(1, len(y))) for y in ways])
+            for y, p in [*zip(ways, chance / chance.sum(), strict=True), (tuple(m.tolist()), -1.0)]:
+                p = p * k / sum(weights)
+                for t, on in enumerate(y):
+                    if on:
+                        slope[1] += p
+                        np.add.at(slope[0], own[t], p)
+                    if t:
+                        slope[2][y[t - 1], on] += p
+                slope[3][y[0]] += p
+        sums = [a + g**2 for a, g in zip(sums, slope, strict=True)]
+        w, bias = w - 0.4 * slope[0] / np.sqrt(sums[0]), bias - 0.4 * slope[1] / np.sqrt(sums[1])
+        trans, start = trans - 0.08 * slope[2] / np.sqrt(sums[2]), start - 0.08 * slope[3] / np.sqrt(sums[3])
+    got = np.zeros(40)
+    got[model.places] = model.weights
+    assert np.allclose(got, w, atol=2e-3) and np.isclose(model.bias, bias) and np.allclose(model.trans, trans) and np.allclose(model.start, start)
+
+
+def test_scores_against_plain_sums():
+    rng = np.random.default_rng(6)
+    model = toxicity.Model(np.arange(0, toxicity.SPACE, 7), rng.normal(0, 2, len(range(0, toxicity.SPACE, 7))), -3.0, rng.normal(size=(2, 2)), rng.normal(size=2), (0.4, 0.9, -0.7, 0.2))
+    texts = ["one two three four", None, "", "five " * 30, "Six\u00a0seven 8 nine"]
+    score, found = model.score(texts)
+    for s, (p, at), t in zip(score, found, texts, strict=True):
+        assert [(t or "")[a:b] for a, b in at] == re.findall(r"[^\W\d_]+", t or "")
+        rest = min(sum(np.log1p(-x) for x in p if x >= toxicity.LIKELY), min(np.log1p(-p), default=0.0))
+        q = min(max(-np.expm1(rest), 6e-6), 1 - 6e-6)
+        x = 0.4 * np.log(q / (1 - q)) + 0.9 * np.log(sum(x for x in p if x >= toxicity.LIKELY) + 0.05) - 0.7 * np.log(len(p) + 20) + 0.2
+        assert np.isclose(s, 1 / (1 + np.exp(-x)))
+
+
+def test_logistic_fit_is_the_best():
+    rng = np.random.default_rng(1)
+    x = np.column_stack([rng.normal(size=(300, 3)), np.ones(300)])
+    y = (rng.random(300) < 1 / (1 + np.exp(-(x @ [1.0, -2.0, 0.5, 0.3])))).astype(float)
+    loss = lambda b: np.sum(np.log1p(np.exp(-(2 * y - 1) * (x @ b)))) + 0.005 * np.sum(np.square(b))
+    b = np.array(toxicity.fit_score(x, y))
+    assert all(loss(b) <= loss(b + rng.normal(0, 0.02, 4)) for _ in range(200)) and toxicity.fit_score(x, y * 0) is None
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(5)
@@ -95,6 +183,26 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
 
 
+def test_toxicity_labels_that_are_odd(spark, labelled):
+    """Labels of ids without a document, null ones, several of an id; near copies count once."""
+    docs = labelled.select("doc_id", "text")
+    own = labelled.select("doc_id", "toxic")
+    extra = spark.createDataFrame([(10**9, 1), (None, 1), (3, None), (0, 0), (0, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, own.unionByName(extra))
+    scored = toxicity.score_toxicity(labelled, model).join(labelled.where(~toxicity.training_fold()), "doc_id").collect()
+    assert all((r["score"] >= 0.3) == bool(r["toxic"]) for r in scored)
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(long, 1), (long + " more", 1), (long + " more", 0), ("else", 1), ("", 1), (None, 0)]
+    assert toxicity.without_near_copies(spark.createDataFrame(rows, "text string, y int")).count() == 5
+
+
+def test_toxic_spans_point_at_the_text(spark, labelled):
+    model = toxicity.train(labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic"))
+    text = "İİİ alpha beta GROBOLD gamma\u00a0snarfle delta"
+    row = toxicity.score_toxicity(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert [text[x["start"] : x["end"]] for x in row["spans"]] == ["GROBOLD", "snarfle"] and row["score"] >= 0.3
+
+
 def test_toxicity_learns_and_points(spark, docs, empty, labelled):
     model = toxicity.train(labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic"))
     scored = toxicity.score_toxicity(labelled, model).join(labelled.where(~toxicity.training_fold()), "doc_id").collect()

@@ -1,17 +1,18 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Labels stand on documents, so tokens are labelled first: a word of a toxic document
-is toxic if it, or its beginning, stands in toxic documents far more often than in
-others. A chain of two states over those tokens is trained; forward-backward
-marginals of every token of a text give its score and the offsets of toxic words.
+Labels stand on documents, so tokens are labelled first: a word of a toxic document is
+toxic if it, or its beginning, stands (once, or twice and more) in toxic documents far
+more often than in others. A chain of two states over those tokens is trained;
+forward-backward marginals of every token of a text give the offsets of toxic words, and
+their sum, beside the text's length, its score.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,33 +21,100 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SLICE_ROWS, filter_slices, map_slices, staged
 
-WORD = re.compile(r"[^\W\d_]+")
 #: Places in which features are counted and weighed.
 SPACE = 1 << 20
-#: Bounds of the training sample: labelled documents, and segments of the chain.
-MOST_DOCS, MOST_SEGMENTS, SEGMENT, TASKS = 20_000, 16_000, 48, 6
-
-
-def features(word: str) -> list[int]:
-    """Hashed features of a word: itself, its beginnings that are not all of it, and
-    its ends. A place that a short word lacks holds the word's own feature again."""
-    names = [f"w{word}", *(f"p{k}{word[:k]}" if len(word) > k else f"w{word}" for k in STEMS), f"s3{word[-3:]}", f"s4{word[-4:]}"]
-    return [zlib.crc32(n.encode("utf-8", "surrogatepass")) & (SPACE - 1) for n in names]
-
-
+#: Labelled documents of the training sample at most; tokens of a segment; tasks of the training.
+MOST_DOCS, SEGMENT, TASKS = 20_000, 48, 6
 #: Marginals from which tokens add up in a text's score.
 LIKELY = 0.2
 #: What makes a feature suspect: toxic documents that hold it, its log-likelihood gain, and
-#: how much oftener than elsewhere it stands in toxic documents.
-LEAST, GAIN, LIFT = 4, 16, 25
-#: Of how many of the best features a further one must share documents, and its gain.
-SPREAD, SPREAD_GAIN = 3, 20
-STEMS = (4, 5, 6, 7, 8)
-N_FEATURES = len(STEMS) + 3
-
-
-def tokens(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+#: how much oftener than elsewhere it stands in toxic documents. Chosen on fifths of the
+#: training fold, each held back in turn.
+LEAST, GAIN, LIFT = 4, 18, 25
+#: Lengths of the beginnings and of the ends of words that are features.
+STEMS, TAILS = (4, 5, 6, 7, 8), (3, 4)
+N_FEATURES = 1 + len(STEMS) + len(TAILS)
+#: Code points that are hashed at once, and the base of their polynomials.
+PIECE, BASE, MIX = 1 << 19, 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+
+
+@cache
+def alphabet() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it is a letter, and its lower case of one code point."""
+    letter, lower = np.zeros(0x110000, dtype=bool), np.arange(0x110000, dtype=np.uint32)
+    for i in range(0x32000):  # beyond, there are no letters in planes that are in use
+        c = chr(i)
+        letter[i] = c.isalnum() and not c.isdecimal()
+        if c.isupper() and len(low := c.lower()) == 1:
+            lower[i] = ord(low)
+    return letter, lower
+
+
+@cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, for the places of a piece."""
+    return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(PIECE, x, np.uint64)])) for x in (BASE, pow(BASE, -1, 1 << 64)))
+
+
+def cut(text: str) -> Iterator[tuple[int, str]]:
+    """(offset, piece) of a text, in pieces of less than PIECE code points that end between
+    words; a word that is longer still is cut."""
+    letter, at = alphabet()[0], 0
+    while len(text) - at >= PIECE:
+        past = at + PIECE - 1
+        past = next((k for k in range(past, at, -1) if not letter[ord(text[k])]), past)
+        yield at, text[at:past]
+        at = past
+    yield at, text[at:] if at else text
+
+
+def features(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashed features of words, a row each: the word itself, its beginnings that are not all
+    of it, and its ends. A place that a short word lacks holds the word's own feature again."""
+    place, inverse = powers()
+    with np.errstate(over="ignore"):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * place[: len(points)], dtype=np.uint64)])
+
+        def hashed(a: np.ndarray, b: np.ndarray, tag: np.ndarray | int) -> np.ndarray:
+            h = (total[b] - total[a]) * inverse[a] + np.asarray(tag, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+            return (((h ^ (h >> np.uint64(29))) * MIX) >> np.uint64(44)).astype(np.int32)
+
+        size, out = ends - starts, np.empty((len(starts), N_FEATURES), dtype=np.int32)
+        out[:, 0] = hashed(starts, ends, 0)
+        for j, k in enumerate(STEMS, 1):
+            out[:, j] = hashed(starts, np.minimum(starts + k, ends), np.where(size > k, k, 0))
+        for j, k in enumerate(TAILS, 1 + len(STEMS)):
+            out[:, j] = hashed(np.maximum(ends - k, starts), ends, np.where(size > k, 100 + k, 0))
+    return out
+
+
+def words(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of its text, features, span in code points of its text) of the words of all
+    texts, in order; some PIECE code points of text at once."""
+    letter, lower = alphabet()
+    held: list[tuple[int, int, str]] = []
+    size = 0
+
+    def found():
+        line = "\n".join(t for *_, t in held) + "\n"
+        points = lower[np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        edge = np.diff(letter[points].astype(np.int8), prepend=np.int8(0))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        begun = np.cumsum([0, *(len(t) + 1 for *_, t in held)])[:-1]
+        own = np.searchsorted(begun, starts, side="right") - 1
+        moved = np.array([at for _, at, _ in held])[own] - begun[own]
+        return np.array([i for i, *_ in held])[own], features(points, starts, ends), np.stack([starts + moved, ends + moved], axis=1)
+
+    for i, text in enumerate(texts):
+        for at, piece in cut(text or ""):
+            if held and size + len(piece) >= PIECE:
+                yield found()
+                held.clear()
+                size = 0
+            held.append((i, at, piece))
+            size += len(piece) + 1
+    if held:
+        yield found()
 
 
 def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -114,55 +182,49 @@ class Model:
     bias: float
     trans: np.ndarray
     start: np.ndarray
-    scale: float = 1.0
-    shift: float = 0.0
-    most: int = 250_000
-    memo: dict = field(default_factory=dict, repr=False)
+    fit: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)
+    dense: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}}
-
-    def emissions(self, words: list[str]) -> list[float]:
-        memo = self.memo
-        found = list(map(memo.get, words))
-        if None in found:
-            fresh = list({w for w, x in zip(words, found, strict=True) if x is None})
-            if len(memo) + len(fresh) > self.most:
-                memo.clear()
-            values = self._many(fresh)
-            known = dict(zip(fresh, values, strict=True))
-            found = [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
-            memo.update(known)
-        return found
-
-    def _many(self, words: list[str]) -> list[float]:
-        f = np.array([features(w) for w in words]).reshape(-1, N_FEATURES)
-        if not len(self.places):
-            return [self.bias] * len(words)
-        at = np.minimum(np.searchsorted(self.places, f), len(self.places) - 1)
-        return (self.bias + np.where(self.places[at] == f, self.weights[at], 0.0).sum(axis=1)).tolist()
-
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Score of every text, and the marginals of its tokens."""
-        words = [tokens(t) for t in texts]
-        n = np.array([len(w) for w in words], dtype=np.int64)
-        e = np.array(self.emissions([w for own in words for w in own]))
-        ends = np.cumsum(n)
+        return self.__dict__ | {"dense": None}
+
+    def emissions(self, found: np.ndarray) -> np.ndarray:
+        if self.dense is None:
+            self.dense = np.zeros(SPACE)
+            self.dense[self.places] = self.weights
+        return self.bias + self.dense[found].sum(axis=1)
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words of each text, marginal and span of each word)."""
+        n, e, at = np.zeros(len(texts), dtype=np.int64), [], []
+        for owner, found, span in words(texts):
+            n += np.bincount(owner, minlength=len(texts))
+            e.append(self.emissions(found))
+            at.append(span)
+        e, ends = np.concatenate([np.zeros(0), *e]), np.cumsum(n)
         first = np.zeros(len(e), dtype=bool)
         first[(ends - n)[n > 0]] = True
-        p = marginals(e, first, self.trans, self.start)
-        # Log of the chance that no token is toxic, over those that may well be, or else
-        # over the likeliest: many small chances don't add up in long texts.
-        calm = np.log1p(-np.minimum(p, 1 - 1e-12))
-        likely = np.concatenate([[0.0], np.cumsum(np.where(p >= LIKELY, calm, 0.0))])
-        rest = likely[ends] - likely[ends - n]
-        some = np.flatnonzero(n)
-        if len(some):
-            rest[some] = np.minimum(rest[some], np.minimum.reduceat(calm, (ends - n)[some]))
-        return self.calibrated(rest), [p[b - k : b] for b, k in zip(ends, n, strict=True)]
+        return n, marginals(e, first, self.trans, self.start), np.concatenate([np.zeros((0, 2), np.int64), *at])
 
-    def calibrated(self, rest: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * odds(rest) + self.shift, -40, 40)))
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Score of every text, and the marginals and spans of its words."""
+        n, p, at = self.read(texts)
+        ends = np.cumsum(n)
+        x = inputs(n, p) @ np.array(self.fit)
+        return 1 / (1 + np.exp(-np.clip(x, -40, 40))), [(p[b - k : b], at[b - k : b]) for b, k in zip(ends, n, strict=True)]
+
+
+def inputs(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """What a text's score is made of: log odds that any of its likely words, or else its
+    likeliest one, is toxic; the log of how many are expected to be; the log of its length;
+    one. Many small chances don't add up in long texts."""
+    ends, some = np.cumsum(n), np.flatnonzero(n)
+    sums = lambda x: np.concatenate([[0.0], np.cumsum(x)])[[ends, ends - n]]
+    calm = np.log1p(-np.minimum(p, 1 - 1e-12))
+    rest, many = (np.subtract(*sums(np.where(p >= LIKELY, x, 0.0))) for x in (calm, p))
+    if len(some):
+        rest[some] = np.minimum(rest[some], np.minimum.reduceat(calm, (ends - n)[some]))
+    return np.column_stack([odds(rest), np.log(np.maximum(many, 0) + 0.05), np.log(n + 20.0), np.ones(len(n))])
 
 
 def odds(rest: np.ndarray) -> np.ndarray:
@@ -171,15 +233,6 @@ def odds(rest: np.ndarray) -> np.ndarray:
     return np.log(q / (1 - q))
 
 
-def spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
-    """Offsets of toxic words, in code points of the lower-cased text's words."""
-    at = np.flatnonzero(p >= least)
-    if not len(at):
-        return []
-    found = [m.span() for m in WORD.finditer(text.lower())]
-    return [{"start": found[i][0], "end": found[i][1], "p": float(p[i])} for i in at]
-
-
 def training_fold(key: str = "doc_id", folds: int = 4, held: int = 2) -> F.Column:
     """True where a row may be learnt from."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds)) != held
@@ -199,115 +252,109 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: F.Colu
     return staged(found.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_same", "y"]).drop("_same").repartition(TASKS), "labelled")
 
 
-def _suspects(sample: DataFrame) -> tuple[np.ndarray, int]:
-    """Features that stand in toxic documents far more often than in others."""
+def without_near_copies(sample: DataFrame) -> DataFrame:
+    """The sample without near copies of the same label: what is rare in a text is telling only
+    where it stands in texts of their own. A text goes if one of a smaller digest shares a
+    band of minima with it; the sample's bands are few. Staged."""
+    from tidemark.llm.simhash import band_values, shingles
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros((2, SPACE), dtype=np.int32), [0, 0]
-        for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n[y > 0] += 1
-                if own := {f for w in set(tokens(text)) for f in features(w)[:-2]}:
-                    counts[int(y > 0), np.fromiter(own, dtype=np.int64)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.tobytes(), 1)]), pa.array([n[0]]), pa.array([n[1]])], names=["c", "n0", "n1"])
-
-    counts, n = np.zeros((2, SPACE), dtype=np.int64), np.zeros(2)
-    for row in sample.mapInArrow(run, "c binary, n0 long, n1 long").collect():  # TASKS rows
-        counts += np.frombuffer(zlib.decompress(row["c"]), dtype=np.int32).reshape(2, SPACE)
-        n += [row["n0"], row["n1"]]
-    clean, toxic = counts[0], counts[1]
-    total = n.sum()
-    if not n[1] or not n[0]:
-        return np.zeros(0, dtype=np.int64), int(n[1])
-    expected = (clean + toxic) * n[1] / total
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = 2 * (np.where(toxic > 0, toxic * np.log(toxic / np.maximum(expected, 1e-9)), 0) + np.where(clean > 0, clean * np.log(clean / np.maximum(clean + toxic - expected, 1e-9)), 0))
-    lift = ((toxic + 0.5) / (n[1] + 1)) / ((clean + 0.5) / (n[0] + 1))
-    candidates = np.flatnonzero((toxic >= LEAST) & (gain >= GAIN) & (lift >= LIFT))
-    return _explaining(sample, candidates, clean, n, gain), int(n[1])
-
-
-def _explaining(sample: DataFrame, candidates: np.ndarray, clean: np.ndarray, n: np.ndarray, first_gain: np.ndarray) -> np.ndarray:
-    """The candidates that tell toxic documents which no better one tells already, or whose
-    documents several better ones tell.
-
-    What else stands in a toxic document that was copied with changes is as telling as
-    its toxic word, but not for other documents; so the best feature is taken, its
-    documents leave, and what remains has to be told by the others. What only goes with
-    one of the best is left out; what goes with several stands on its own."""
-    known = set(candidates.tolist())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [sorted(known.intersection(f for w in set(tokens(t)) for f in features(w)[:-2])) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if y]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], names=["f"])
-
-    rows = [np.array(r["f"], dtype=np.int64) for r in sample.mapInArrow(run, "f array<int>").collect() if r["f"]]  # toxic ones of the sample
-    left = np.zeros(SPACE, dtype=np.int64)
-    holders: dict[int, list[int]] = {}
-    for i, own in enumerate(rows):
-        left[own] += 1
-        for f in own.tolist():
-            holders.setdefault(f, []).append(i)
-    told, taken = np.full(len(rows), -1), []
-    while len(candidates):
-        t, c = left[candidates], clean[candidates]
-        expected = np.maximum((t + c) * n[1] / n.sum(), 1e-9)
+    def make():
+        return lambda batch: {"text": batch.column(0), "y": batch.column(1), "id": batch.column(2), "bands": [band_values(shingles(t, 3)) for t in batch.column(0).to_pylist()]}
+
+    banded = staged(map_slices(sample.select("text", "y", F.xxhash64("text").alias("id")), make, "text string, y int, id long, bands array<long>"), "banded")
+    first = banded.select("y", "id", F.explode("bands").alias("band")).groupBy("y", "band").agg(F.min("id").alias("first"))
+    copies = banded.select("y", "id", F.explode("bands").alias("band")).join(first, ["y", "band"]).where("first < id").select("y", "id").distinct()
+    return staged(banded.join(copies, ["y", "id"], "left_anti").select("text", "y").repartition(TASKS), "sample")
+
+
+def seen(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the text, features of its words and their beginnings, how often each stands)."""
+    rest: tuple[int, list[np.ndarray]] | None = None
+    done = lambda i, own: (i, *np.unique(np.concatenate(own), return_counts=True))
+    for owner, found, _ in words(texts):
+        heads = np.sort(found[:, : 1 + len(STEMS)], axis=1)
+        heads[:, 1:][heads[:, 1:] == heads[:, :-1]] = -1  # a word counts once for a feature
+        cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(owner)).tolist(), strict=True):
+            own = heads[a:b]
+            own = own[own >= 0]
+            if rest and rest[0] == owner[a]:
+                rest[1].append(own)
+                continue
+            if rest:
+                yield done(*rest)
+            rest = (int(owner[a]), [own])
+    if rest:
+        yield done(*rest)
+
+
+def counts_of(texts: list[str | None], labels: list[int]) -> np.ndarray:
+    """[label, once or twice and more, feature]: the texts that hold it so often."""
+    counts = np.zeros((2, 2, SPACE), dtype=np.int32)
+    for i, own, times in seen(texts):
+        y = int(labels[i] > 0)
+        counts[y, 0, own] += 1
+        counts[y, 1, own[times > 1]] += 1
+    return counts
+
+
+def chosen(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Features that stand, once or twice and more, in toxic documents far more often than in others."""
+    found, total = np.zeros(SPACE, dtype=bool), n.sum()
+    if not n.all():
+        return np.zeros(0, dtype=np.int64)
+    for clean, toxic in zip(*counts.astype(np.int64), strict=True):
+        expected = (clean + toxic) * n[1] / total
         with np.errstate(divide="ignore", invalid="ignore"):
-            gain = 2 * (np.where(t > 0, t * np.log(t / expected), 0) + np.where(c > 0, c * np.log(c / np.maximum(t + c - expected, 1e-9)), 0))
-        best = int(np.argmax(np.where(t >= LEAST, gain, 0)))
-        if t[best] < LEAST or gain[best] < GAIN:
-            break
-        taken.append(int(candidates[best]))
-        for i in holders[taken[-1]]:
-            if told[i] < 0:
-                told[i] = len(taken)
-                left[rows[i]] -= 1
-    spread = [f for f, own in holders.items() if first_gain[f] >= SPREAD_GAIN and len(set(told[own].tolist())) >= SPREAD]
-    return np.array(sorted({*taken, *spread}), dtype=np.int64)
-
-
-def _segments(sample: DataFrame, suspects: np.ndarray) -> tuple[list[list[str]], list[list[int]], list[int]]:
-    """Segments of labelled tokens: those with a toxic token, and one other of each
-    text, which weighs as much as all its others."""
-    known = set(suspects.tolist())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, bool] = {}
-        for batch in batches:
-            out: list[tuple[list[str], list[int], int]] = []
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = tokens(text)
-                marks = [0] * len(words)
-                if y:
-                    for i, w in enumerate(words):
-                        if w not in memo:
-                            memo[w] = not known.isdisjoint(features(w)[:-2])
-                        marks[i] = int(memo[w])
-                cuts = [(words[i : i + SEGMENT], marks[i : i + SEGMENT]) for i in range(0, len(words), SEGMENT)]
-                calm = [x for x in cuts if not any(x[1])]
-                out += [(*x, 1) for x in cuts if any(x[1])]
-                if calm:
-                    out.append((*calm[zlib.crc32((text or "").encode("utf-8", "surrogatepass")) % len(calm)], min(len(calm), 50)))
-            kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["words", "marks", "weight"])
-
-    rows = sample.mapInArrow(run, "words array<string>, marks array<int>, weight int").orderBy(F.xxhash64("words"), "words").limit(MOST_SEGMENTS).collect()
-    return [r["words"] for r in rows], [r["marks"] for r in rows], [r["weight"] for r in rows]
-
-
-def train_chain(words: list[list[str]], marks: list[list[int]], weights: list[int], rounds: int = 80, rate: float = 0.4, ridge: float = 1e-6) -> Model:
-    """Maximise the chain's conditional likelihood by AdaGrad over whole passes."""
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for own in words for w in own))}
-    if not vocabulary:
+            gain = 2 * (np.where(toxic > 0, toxic * np.log(toxic / np.maximum(expected, 1e-9)), 0) + np.where(clean > 0, clean * np.log(clean / np.maximum(clean + toxic - expected, 1e-9)), 0))
+        lift = ((toxic + 0.5) / (n[1] + 1)) / ((clean + 0.5) / (n[0] + 1))
+        found |= (toxic >= LEAST) & (gain >= GAIN) & (lift >= LIFT)
+    return np.flatnonzero(found)
+
+
+def segments_of(texts: list[str | None], labels: list[int], suspects: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[int]]:
+    """(features, marks, weights) of segments of words: all that hold a suspect word of a toxic
+    text, and one other of each text, which weighs as much as all its others."""
+    known = np.zeros(SPACE, dtype=bool)
+    known[suspects] = True
+    feats: list[list[np.ndarray]] = [[] for _ in texts]
+    for owner, found, _ in words(texts):
+        cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(owner)).tolist(), strict=True):
+            feats[int(owner[a])].append(found[a:b])
+    out, marks, weights = [], [], []
+    for i, (own, y) in enumerate(zip(feats, labels, strict=True)):
+        if not own:
+            continue
+        own = np.concatenate(own)
+        hot = known[own[:, : 1 + len(STEMS)]].any(axis=1) & (y > 0)
+        starts = range(0, len(own), SEGMENT)
+        marked = [a for a in starts if hot[a : a + SEGMENT].any()]
+        calm = [a for a in starts if not hot[a : a + SEGMENT].any()]
+        pick = [(a, 1) for a in marked]
+        if calm:
+            pick.append((calm[zlib.crc32((texts[i] or "").encode("utf-8", "surrogatepass")) % len(calm)], len(calm)))
+        for a, w in pick:
+            out.append(own[a : a + SEGMENT])
+            marks.append(hot[a : a + SEGMENT])
+            weights.append(w)
+    return out, marks, weights
+
+
+def train_chain(found: list[np.ndarray], marks: list[np.ndarray], weights: list[int], rounds: int = 80, rate: float = 0.4, ridge: float = 1e-6) -> Model:
+    """Maximise the chain's conditional likelihood by AdaGrad over whole passes. found:
+    features of each segment's words, a row each; marks: which words are toxic."""
+    if not found:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), -6.0, np.zeros((2, 2)), np.zeros(2))
-    f = np.array([features(w) for w in vocabulary])
-    places, f = np.unique(f, return_inverse=True)
-    f = f.reshape(-1, N_FEATURES)
-    size, width = len(words), max(map(len, words))
+    kinds, which = np.unique(np.concatenate(found), axis=0, return_inverse=True)
+    places, f = np.unique(kinds, return_inverse=True)
+    f, which = f.reshape(-1, N_FEATURES), which.ravel()
+    size, width = len(found), max(map(len, found))
     ids, y, real = (np.zeros((size, width), dtype=k) for k in (np.int64, np.int64, bool))
-    for i, (own, m) in enumerate(zip(words, marks, strict=True)):
-        ids[i, : len(own)], y[i, : len(own)], real[i, : len(own)] = [vocabulary[w] for w in own], m, True
+    at = 0
+    for i, (own, m) in enumerate(zip(found, marks, strict=True)):
+        ids[i, : len(own)], y[i, : len(own)], real[i, : len(own)] = which[at : at + len(own)], m, True
+        at += len(own)
     rows = np.arange(size)
     u = np.array(weights, dtype=float)[:, None] / sum(weights)
     last = real.sum(axis=1) - 1
@@ -344,51 +391,83 @@ def train_chain(words: list[list[str]], marks: list[list[int]], weights: list[in
     return Model(places[kept], w[kept], float(bias), trans, start)
 
 
-def _calibrate(model: Model, sample: DataFrame) -> None:
-    """Logistic fit of the labels on the texts' log odds, over the sample."""
+def fit_score(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...] | None:
+    """Logistic weights of inputs() by Newton steps; none where all labels are the same."""
+    if len(np.unique(y)) < 2:
+        return None
+    b, prior = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -40, 40)))
+        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b))
+        b = b - np.clip(np.linalg.solve(h, x.T @ (p - y) + ridge * (b - prior)), -2, 2)
+    return tuple(b.tolist())
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def train(docs: DataFrame, labels: DataFrame, fold: F.Column | None = None, label: str = "toxic") -> Model:
+    """Learn from at most MOST_DOCS labelled documents of the fold. Labels of ids that have no
+    document, and null ones, count for nothing; of several labels of an id the largest
+    one counts. Without any toxic ones, or without others, the model finds nothing toxic."""
+    sample = without_near_copies(labelled_sample(docs, labels, label, training_fold() if fold is None else fold))
+    columns = lambda batch: [batch.column(i).to_pylist() for i in (0, 1)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros((2, 2, SPACE), dtype=np.int32), np.zeros(2, dtype=np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(i, SLICE_ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(model.score(part.column(0).to_pylist())[0]), part.column(1)], names=["x", "y"])
-
-    rows = sample.mapInArrow(run, "x double, y int").toPandas()  # MOST_DOCS rows at most
-    if rows["y"].nunique() < 2:
-        return
-    q = np.clip(rows["x"].to_numpy(), 1e-9, 1 - 1e-9)
-    x, y = np.log(q / (1 - q)), rows["y"].to_numpy() > 0
-    a = np.column_stack([x, np.ones(len(x))])
-    b = np.array([1.0, 0.0])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a @ b, -40, 40)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag([1e-2, 1e-2])
-        step = np.linalg.solve(h, a.T @ (p - y) + 1e-2 * (b - [1.0, 0.0]))
-        b = b - np.clip(step, -2, 2)
-    if b[0] > 0:
-        model.scale, model.shift = float(b[0]), float(b[1])
-
+                texts, y = columns(batch.slice(i, SLICE_ROWS))
+                total += counts_of(texts, y)
+                n += np.bincount(np.array(y) > 0, minlength=2)
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)]), pa.array([n.tolist()], pa.list_(pa.int64()))], names=["c", "n"])
+
+    total, n = np.zeros((2, 2, SPACE), dtype=np.int64), np.zeros(2, dtype=np.int64)
+    for row in sample.mapInArrow(count, "c binary, n array<long>").collect():  # TASKS rows of a fixed size
+        total += np.frombuffer(zlib.decompress(row["c"]), dtype=np.int32).reshape(total.shape)
+        n += np.array(row["n"])
+    suspects = chosen(total, n)
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                found, marks, weights = segments_of(*columns(batch.slice(i, SLICE_ROWS)), suspects)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in found], pa.binary()), pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), pa.array(weights, pa.int64())], names=["found", "marks", "weight"])
+
+    if len(suspects):
+        # The sample's size bounds what comes here: a segment of each text, and those with a suspect word.
+        rows = sample.mapInArrow(cut_up, "found binary, marks binary, weight long").toArrow()
+        found = [np.frombuffer(x, dtype=np.int32).reshape(-1, N_FEATURES) for x in rows.column("found").to_pylist()]
+        marks = [np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(x)) for m, x in zip(rows.column("marks").to_pylist(), found, strict=True)]
+        model = train_chain(found, marks, rows.column("weight").to_pylist())
+    else:
+        model = train_chain([], [], [])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                texts, y = columns(batch.slice(i, SLICE_ROWS))
+                x = inputs(*model.read(texts)[:2])
+                yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(y, pa.int32())], names=["x", "y"])
 
-def train(docs: DataFrame, labels: DataFrame, fold: F.Column | None = None, label: str = "toxic") -> Model:
-    """Learn from at most MOST_DOCS labelled documents of the fold. Without any toxic
-    ones, the model finds nothing toxic."""
-    sample = labelled_sample(docs, labels, label, training_fold() if fold is None else fold)
-    suspects, n = _suspects(sample)
-    model = train_chain(*_segments(sample, suspects)) if n and len(suspects) else train_chain([], [], [])
-    _calibrate(model, sample)
+    rows = sample.mapInArrow(measure, "x array<double>, y int").toPandas()  # MOST_DOCS rows of four numbers at most
+    if len(rows) and len(suspects):
+        model.fit = fit_score(np.array(rows["x"].tolist()), (rows["y"].to_numpy() > 0).astype(float)) or model.fit
     return model
 
 
+def spans(p: np.ndarray, at: np.ndarray, least: float = 0.5) -> list[dict]:
+    """Offsets of toxic words, in code points of the text."""
+    return [{"start": int(at[i, 0]), "end": int(at[i, 1]), "p": float(p[i])} for i in np.flatnonzero(p >= least)]
+
+
 def score_toxicity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, score, toxic words' spans (code points of the lower-cased
-    text). Null and empty texts get the score of no words; repeated rows give repeated
-    results; an empty table gives none; other columns are not read."""
+    """Per document: key, score, spans of its toxic words (code points of the text as it
+    stands, and their marginals). Null and empty texts get the score of no words;
+    repeated rows give repeated results; an empty table gives none; other columns are not
+    read."""
 
     def make():
         def f(batch: pa.RecordBatch) -> dict[str, list]:
-            texts = batch.column(1).to_pylist()
-            score, p = model.score(texts)
-            return {key: batch.column(0), "score": score, "spans": [spans(t or "", x) for t, x in zip(texts, p, strict=True)]}
+            score, found = model.score(batch.column(1).to_pylist())
+            return {key: batch.column(0), "score": score, "spans": [spans(p, at) for p, at in found]}
 
         return f
 
@@ -396,5 +475,6 @@ def score_toxicity(docs: DataFrame, model: Model, key: str = "doc_id", text: str
 
 
 def keep_civil(docs: DataFrame, model: Model, most: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows whose score is below `most`, with every column; no shuffle."""
+    """The rows whose score is below `most`, with every column; no shuffle. Null and empty
+    texts have the score of no words; repeated rows stay or go together."""
     return filter_slices(docs, lambda: lambda texts: (model.score(texts)[0] < most).tolist(), text)
