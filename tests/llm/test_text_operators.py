@@ -469,13 +469,23 @@ def test_overlap_against_brute_force(spark, docs, empty):
     assert decontaminate.keep_clean(df, bench).count() == whole.where("size(spans) = 0").count()
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    texts = [(i, f"a b c d e f g h i j k l {i} m n o p") for i in range(6)]
-    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, f"{'c d' if i % 2 else 'e f g'} {'h' if i % 3 == 0 else ''}".strip()) for i in range(9)], "item_id long, text string")
-    total = lambda: sorted((r["doc_id"], r["n"], tuple(r["items"])) for r in decontaminate.find_overlap(df, bench).withColumn("n", decontaminate.word_total("spans")).collect())
-    one = total()
-    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", 12)
-    assert len(decontaminate.item_blocks(bench, "item_id", "text", 12)) > 1 and total() == one
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_blocks_of_items_give_the_same(spark, monkeypatch, kind):
+    """Items of very unequal sizes, one of them most of the benchmark, by ids of any type."""
+    texts = [(i % 5, f"a b c d e f g h i j k l {i} m n o p") for i in range(6)] + [(9, None), (None, "e f g h")]
+    items = [(str(i), f"{'c d' if i % 2 else 'e f g'} {'h' if i % 3 == 0 else ''}".strip()) for i in range(9)]
+    items += [("20", " ".join(f"x{i}" for i in range(3000)) + " a b c d e f g h i j"), (None, "m n"), ("21", None), ("22", "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string").select(F.col("item_id").cast(kind).alias("item_id"), "text")
+    total = lambda: sorted(((r["doc_id"] is None, r["doc_id"]), r["n"], tuple(r["items"])) for r in decontaminate.find_overlap(df, bench).withColumn("n", decontaminate.word_total("spans")).collect())
+    clean = lambda: sorted(((r["doc_id"] is None, r["doc_id"]), r["text"] or "") for r in decontaminate.keep_clean(df, bench).collect())
+    one, kept = total(), clean()
+    assert any("20" in map(str, r[2]) for r in one) and ((False, 9), "") in kept
+    monkeypatch.setattr(decontaminate, "BLOCK_SIGNS", 50_000)
+    blocks = decontaminate.blocks_of(bench, 10, "item_id", "text")
+    sizes = [sum(len(w) + 2 for w, _ in b.owners()) for b in blocks]
+    assert len(blocks) > 3 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert total() == one and clean() == kept
 
 
 # --- quality classifier

@@ -44,12 +44,12 @@ def staged(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
 def map_slices(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, list]]],
-    ddl: str,
+    schema: str | T.StructType,
     rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Run a function over slices of Arrow batches. make() runs once a task and
-    returns the function, which maps a slice to columns of the schema ddl."""
-    schema = T.StructType.fromDDL(ddl)
+    returns the function, which maps a slice to columns of the schema (or its DDL)."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)

@@ -7,19 +7,25 @@ word numbers and to code points of the original text.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import defaultdict
+import zlib
+from collections.abc import Iterator
+from typing import Any
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import filter_slices, map_slices, staged
+from tidemark.llm.common import SLICE_ROWS, filter_slices, map_slices, staged
 
-#: Bytes of item text that one automaton may hold; more items go to further ones.
-AUTOMATON_BYTES = 32_000_000
+#: Signs of distinct windows that one automaton holds about; further windows go to further
+#: ones. A sign takes some 45 bytes of a worker's memory (measured), so this is 180 MB.
+BLOCK_SIGNS = 4_000_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 #: ASCII to lower case letters and digits, all else below 128 to a space.
@@ -40,16 +46,12 @@ def windows(words: list[str], size: int) -> list[str]:
 
 
 class Scanner:
-    """Automata over the windows of (item_id, text) rows."""
+    """An automaton over (window, ids of the items that hold it)."""
 
-    def __init__(self, items: list[tuple[int, str | None]], size: int = 10):
-        owners: dict[str, set[int]] = defaultdict(set)
-        for item, text in items:
-            for w in windows(normal_words(text), size):
-                owners[w].add(item)
+    def __init__(self, owners: list[tuple[str, tuple]]):
         self.automaton = ahocorasick.Automaton()
-        for w, who in owners.items():
-            self.automaton.add_word(f" {w} ", (w.count(" ") + 1, tuple(who)))
+        for w, who in owners:
+            self.automaton.add_word(f" {w} ", (w.count(" ") + 1, who))
         self.empty = not owners
         if not self.empty:
             self.automaton.make_automaton()
@@ -82,41 +84,65 @@ def char_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
     return [(at[a][0], at[b - 1][1]) for a, b in spans]
 
 
-_built: dict[tuple, Scanner] = {}
+_built: dict[str, Scanner] = {}
 
 
-def scanner_of(key: tuple, items: list[tuple[int, str | None]], size: int) -> Scanner:
-    """One scanner a worker process for each block of items."""
-    if key not in _built:
-        _built.clear()
-        _built[key] = Scanner(items, size)
-    return _built[key]
-
+class Block:
+    """Windows of one automaton, packed and sent to tasks as Spark broadcasts are: in pieces,
+    from executor to executor, to disk where memory is short. Nothing stays in the driver."""
 
-def item_blocks(items: DataFrame, key: str, text: str, most: int = AUTOMATON_BYTES) -> list[list[tuple[int, str | None]]]:
-    """The items in blocks of a bounded size, in order of their ids.
+    def __init__(self, name: str, held: Broadcast | None):
+        self.name, self.held = name, held
 
-    A benchmark is a stated query set. Its size is looked up first; the driver
-    only ever holds the items of one range of ids and sends them on as a block.
-    """
-    total = items.agg(F.sum(F.octet_length(text)), F.min(key), F.max(key), F.count(F.lit(1))).first()
-    size, low, high, rows = total
-    if not rows:
-        return []
-    blocks, n = [], int(-(-(size or 0) // most)) or 1
-    if n == 1:
-        return [[(r[0], r[1]) for r in items.select(key, text).collect()]]
-    cuts = items.where(F.col(key).isNotNull()).approxQuantile(key, [i / n for i in range(1, n)], 0.001)
-    for a, b in zip([None, *cuts], [*cuts, None], strict=True):
-        part = items.select(key, text)
-        part = part.where(F.col(key) > a) if a is not None else part
-        if b is not None:
-            part = part.where(F.col(key) <= b if a is not None else F.col(key).isNull() | (F.col(key) <= b))
-        blocks.append([(r[0], r[1]) for r in part.collect()])
-    return [b for b in blocks if b]
+    def owners(self) -> list[tuple[str, tuple]]:
+        return pickle.loads(zlib.decompress(self.held.value)) if self.held else []
 
 
-HITS = "n_words long, spans array<struct<first: long, past: long>>, items array<long>, chars array<struct<start: long, end: long>>"
+def scanner_of(block: Block) -> Scanner:
+    """The block's scanner; a worker process holds one at a time."""
+    if block.name not in _built:
+        _built.clear()
+        _built[block.name] = Scanner(block.owners())
+    return _built[block.name]
+
+
+def blocks_of(items: DataFrame, size: int, key: str, text: str, most: int | None = None) -> list[Block]:
+    """The items' distinct windows in blocks of about BLOCK_SIGNS signs. Windows are dealt by
+    their hash, so blocks are even however long single items are. The driver holds one
+    block at a time, on its way to the executors."""
+    kind = T.StructType([T.StructField("item", items.schema[key].dataType), T.StructField("window", T.StringType())])
+    most, spark = most or BLOCK_SIGNS, items.sparkSession
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(i, SLICE_ROWS)
+                found = [(n, w) for n, t in enumerate(rows.column(1).to_pylist()) for w in dict.fromkeys(windows(normal_words(t), size))]
+                for j in range(0, len(found), 20_000):
+                    part = found[j : j + 20_000]
+                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array([n for n, _ in part], pa.int64())), pa.array([w for _, w in part], pa.string())], names=kind.names)
+
+    held = items.select(key, text).mapInArrow(cut, kind).groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    held = staged(held, "windows")
+    signs = held.agg(F.sum(F.char_length("window") + 2)).first()[0]
+    if not signs:
+        return [Block("none", None)]
+    n = -(-signs // most)
+    dealt = held.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(n)))
+    if n > 1:
+        dealt = staged(dealt.repartition(min(n, 200), "block").sortWithinPartitions("block"), "blocks")
+    found, name = [], dealt.inputFiles()[0] if n > 1 else held.inputFiles()[0]
+    for i in range(n):
+        rows = [(r["window"], tuple(r["items"])) for r in dealt.where(F.col("block") == i).select("window", "items").collect()]
+        found.append(Block(f"{name}#{i}", spark.sparkContext.broadcast(zlib.compress(pickle.dumps(rows, protocol=5), 1))))
+        del rows
+    return found
+
+
+def hits_schema(docs: DataFrame, items: DataFrame, key: str, item_key: str) -> T.StructType:
+    spans = T.StructType.fromDDL("n_words long, spans array<struct<first: long, past: long>>, chars array<struct<start: long, end: long>>").fields
+    item = T.StructField("items", T.ArrayType(items.schema[item_key].dataType))
+    return T.StructType([T.StructField(key, docs.schema[key].dataType), spans[0], spans[1], item, spans[2]])
 
 
 def find_overlap(docs: DataFrame, items: DataFrame, size: int = 10, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -124,43 +150,43 @@ def find_overlap(docs: DataFrame, items: DataFrame, size: int = 10, key: str = "
 
     Null and empty texts have no words and no hits; an empty benchmark hits
     nothing; repeated document rows give repeated results, repeated items count
-    once by id, and items without an id count for hits but not as items. Items
+    once by id, and items without an id count for hits but not as items. Windows
     beyond one automaton's size are scanned in blocks, whose results are merged by
     document. Other columns are not read.
     """
-    blocks = item_blocks(items, item_key, item_text)
-    kind = docs.schema[key].dataType.simpleString()
-
-    def over(df: DataFrame, block: list, number: int, kind: str = "bigint") -> DataFrame:
-        name = (number, size, len(block), hash(tuple(block)))
+    blocks = blocks_of(items, size, item_key, item_text)
+    schema = hits_schema(docs, items, key, item_key)
 
+    def over(df: DataFrame, block: Block, schema: T.StructType) -> DataFrame:
         def make():
-            scan = scanner_of(name, block, size).scan
+            scan = scanner_of(block).scan
 
             def f(batch: pa.RecordBatch) -> dict[str, list]:
-                out: dict[str, list] = {key: batch.column(0), "n_words": [], "spans": [], "items": [], "chars": []}
+                out: dict[str, Any] = {schema.names[0]: batch.column(0), "n_words": [], "spans": [], "items": [], "chars": []}
                 for t in batch.column(1).to_pylist():
                     n, spans, who = scan(t)
                     out["n_words"].append(n)
                     out["spans"].append([{"first": a, "past": b} for a, b in spans])
-                    out["items"].append(sorted(i for i in who if i is not None))
+                    out["items"].append(sorted(who))
                     out["chars"].append([{"start": a, "end": b} for a, b in char_spans(t, spans)] if spans else [])
                 return out
 
             return f
 
-        return map_slices(df, make, f"{key} {kind}, {HITS}")
+        return map_slices(df, make, schema)
 
     base = docs.select(key, text)
-    if len(blocks) <= 1:
-        return over(base, blocks[0] if blocks else [], 0, kind)
+    if len(blocks) == 1:
+        return over(base, blocks[0], schema)
     # Each row gets a number of its own, so that repeated rows stay apart when blocks are merged.
     numbered = staged(base.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    parts = None
-    for number, block in enumerate(blocks):
-        found = over(numbered.select(F.col("_row").alias(key), text), block, number)
-        parts = found if parts is None else parts.unionByName(found)
-    merged = parts.groupBy(F.col(key).alias("_row")).agg(
+    by_row = T.StructType([T.StructField("_row", T.LongType()), *schema.fields[1:]])
+    parts = [over(numbered.select("_row", text), block, by_row) for block in blocks]
+    first, rest = parts[0], parts[1].where("size(spans) > 0")
+    for part in parts[2:]:
+        rest = rest.unionByName(part.where("size(spans) > 0"))
+    # Only rows with hits go on to the merge; the first block's scan has every row.
+    merged = first.unionByName(rest).groupBy("_row").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -179,15 +205,24 @@ def word_total(spans: str) -> F.Column:
     return F.aggregate(F.col(spans), none, step, lambda acc: acc["n"])
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text") -> DataFrame:
-    """The rows without a hit, with every column as it was; no shuffle."""
-    kept = docs
-    for number, block in enumerate(item_blocks(items, "item_id", "text")):
-        name = (number, size, len(block), hash(tuple(block)))
+def keep_clean(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows without a hit, with every column as it was; no shuffle while the windows fit
+    one automaton. Null and empty texts stay; repeated rows stay or go together; an empty
+    benchmark takes nothing away."""
+    blocks = blocks_of(items, size, item_key, item_text)
 
-        def make(block=block, name=name):
-            scan = scanner_of(name, block, size).scan
-            return lambda texts: [not scan(t)[1] for t in texts]
-
-        kept = filter_slices(kept, make, text)
-    return kept
+    def hit(block: Block, wanted: bool):
+        def make():
+            scan = scanner_of(block).scan
+            return lambda texts: [bool(scan(t)[1]) == wanted for t in texts]
+
+        return make
+
+    if len(blocks) == 1:
+        return filter_slices(docs, hit(blocks[0], False), text)
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = [filter_slices(rows.select("_row", text), hit(block, True), text).select("_row") for block in blocks]
+    gone = found[0]
+    for part in found[1:]:
+        gone = gone.unionByName(part)
+    return rows.join(gone.distinct(), "_row", "left_anti").select(*docs.columns)
