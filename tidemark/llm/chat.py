@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import staged, unstage
 
 #: The template: what opens a turn, what follows its role, what closes it.
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
@@ -78,8 +78,11 @@ def best_paths(messages: DataFrame, n_best: int = 1) -> DataFrame:
     )
     # The message `above` steps up is reached by the jumps of that number's binary digits;
     # only rows that take a jump are joined.
+    held = None
     for k in reversed(range(len(jumps))):
-        held = staged(steps, "steps")
+        last, held = held, staged(steps, "steps")
+        if last is not None:
+            unstage(last)
         takes = F.shiftright("above", k).bitwiseAND(F.lit(1).cast("long")) == 1
         hop = jumps[k].where("up is not null").select("conv", F.col("id").alias("at"), F.col("up").alias("to"))
         moved = held.where(takes).join(hop, ["conv", "at"]).withColumn("at", F.col("to")).select(*held.columns)

@@ -2,43 +2,55 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.sources.scratch import remove, scratch_path
+
 #: Rows handed to Python code at once; keeps a worker's memory near this many texts.
 SLICE_ROWS = 256
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    Only where neither spark.checkpoint.dir nor a checkpoint directory is set
-    (tests on one machine) a temporary one is made and remembered.
-    """
-    told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not told:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        told = spark.sparkContext.getCheckpointDir()
-    return told.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
+#: Paths staged since each open cleared() began.
+_open: list[list[str]] = []
 
 
 def staged(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and lost
-    executors cost no recomputation."""
-    path = fresh_path(df.sparkSession, tag)
+    executors cost no recomputation. The frame knows its path."""
+    path = scratch_path(df.sparkSession, tag)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+    for made in _open:
+        made.append(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the files of a staged frame that nothing reads any more."""
+    remove(df.sparkSession, df.staged_at)
+    for made in _open:
+        if df.staged_at in made:
+            made.remove(df.staged_at)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove what is staged inside when it ends, but for paths taken off the list. Only
+    for work whose result is written inside: frames that are still lazy read those files."""
+    _open.append(made := [])
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+        for path in made:
+            remove(spark, path)
 
 
 def map_slices(

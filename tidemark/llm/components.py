@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import staged, unstage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def smallest_labels(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = staged(edges.select("u", "v").where("u <> v").distinct(), "edges")
     before = None
     for _ in range(most_rounds):
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, staged(_small_star(_large_star(edges)), "edges")
+        unstage(last)
         # A star forest that a round leaves as it was has one star a component.
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

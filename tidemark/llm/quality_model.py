@@ -165,5 +165,6 @@ def score_quality(docs: DataFrame, model: Model, key: str = "doc_id", text: str
 
 
 def keep_fine(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows whose score is `least` or more, with every column; no shuffle."""
+    """The rows whose score is `least` or more, with every column; no shuffle. Null and empty
+    texts have the score of zero statistics; repeated rows stay or go together."""
     return filter_slices(docs, lambda: lambda texts: (model.score(texts) >= least).tolist(), text)

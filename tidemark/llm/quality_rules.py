@@ -133,7 +133,8 @@ def quality_report(docs: DataFrame, bands: Bands | None = None, key: str = "doc_
 
 
 def keep_good(docs: DataFrame, bands: Bands | None = None, text: str = "text") -> DataFrame:
-    """The rows whose text passes, with every column as it was; no shuffle."""
+    """The rows whose text passes, with every column as it was; no shuffle. Null and empty
+    texts have no words and go; repeated rows stay or go together; an empty table stays empty."""
     bands = bands or Bands()
 
     def make():

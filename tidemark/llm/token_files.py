@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SLICE_ROWS, fresh_path, staged
+from tidemark.llm.common import SLICE_ROWS, staged
 from tidemark.llm.tokens import process_encoder, vocabulary_path
+from tidemark.sources.scratch import scratch_path
 
 #: Sequences in a record batch.
 BATCH_ROWS = 512
@@ -180,7 +181,7 @@ def read_checks(index: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def token_files(docs: DataFrame, **how) -> tuple[str, DataFrame]:
     """Write to a fresh shared folder; (folder, index)."""
-    folder = fresh_path(docs.sparkSession, "tokens")
+    folder = scratch_path(docs.sparkSession, "tokens")
     if "://" not in folder:
         folder = folder.replace("file:", "file://") if folder.startswith("file:") else f"file://{folder}"
     return folder, write_tokens(docs, folder, **how)
