@@ -429,14 +429,23 @@ def train(docs: DataFrame, labels: DataFrame, fold: F.Column | None = None, labe
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):
                 found, marks, weights = segments_of(*columns(batch.slice(i, SLICE_ROWS)), suspects)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in found], pa.binary()), pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), pa.array(weights, pa.int64())], names=["found", "marks", "weight"])
+                if found:  # each kind of word once, and numbers of kinds
+                    kinds, ids = np.unique(np.concatenate(found), axis=0, return_inverse=True)
+                    values = [kinds, ids.astype(np.int32), np.array([len(x) for x in found], dtype=np.int32), np.packbits(np.concatenate(marks)), np.array(weights, dtype=np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in values], names=names)
 
+    names = ["kinds", "ids", "sizes", "marks", "weights"]
     if len(suspects):
         # The sample's size bounds what comes here: a segment of each text, and those with a suspect word.
-        rows = sample.mapInArrow(cut_up, "found binary, marks binary, weight long").toArrow()
-        found = [np.frombuffer(x, dtype=np.int32).reshape(-1, N_FEATURES) for x in rows.column("found").to_pylist()]
-        marks = [np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(x)) for m, x in zip(rows.column("marks").to_pylist(), found, strict=True)]
-        model = train_chain(found, marks, rows.column("weight").to_pylist())
+        rows = sample.mapInArrow(cut_up, ", ".join(f"{n} binary" for n in names)).collect()
+        found, marks, weights = [], [], []
+        for row in rows:
+            own, ids, sizes = np.frombuffer(row["kinds"], np.int32).reshape(-1, N_FEATURES), np.frombuffer(row["ids"], np.int32), np.frombuffer(row["sizes"], np.int32)
+            ends = np.cumsum(sizes)[:-1]
+            found += np.split(own[ids], ends)
+            marks += np.split(np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(ids)), ends)
+            weights += np.frombuffer(row["weights"], np.int64).tolist()
+        model = train_chain(found, marks, weights)
     else:
         model = train_chain([], [], [])
 
