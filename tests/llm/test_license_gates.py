@@ -8,6 +8,7 @@ import pytest
 
 from tidemark.llm import licenses
 
+GATE = licenses.gate()
 PATTERNS = [(r[1], r[2], r[5]) for r in licenses.rule_list()]
 
 
@@ -40,7 +41,7 @@ def test_every_alternative_passes_its_filters():
         for text in samples(_parser.parse(pattern)):
             if re.search(pattern, text):
                 seen += 1
-                assert re.search(licenses.gate(), text) and any(k in text for k in keywords.split("|")), (label, text)
+                assert any(g in text for g in GATE) and any(k in text for k in keywords.split("|")), (label, text)
     assert seen > 3000
 
 

@@ -288,17 +288,28 @@ def rule_list() -> list[tuple[int, str, str, int, float, str]]:
     return [(i, *r) for i, r in enumerate(rules)]
 
 
-def gate() -> str:
-    """What a text must hold for any rule to match, checked before anything else: a word that
-    all names of licenses hold, or else a keyword of every rule."""
-    held = {LIC}
-    for _, keyword, name, _ in FAMILIES:
-        if not name.endswith(LIC) or "|do" in name:
-            held |= {re.escape(k) for k in keyword.split("|")}
-    for _, keyword, *_ in (*PLAIN, *SIGNATURES):
-        held |= {re.escape(k) for k in keyword.split("|")}
-    held |= {re.escape(k) for keys in BY_ID.values() for k in keys.split("|")}
-    return "(?i)" + "|".join(sorted(k for k in held if not any(o != k and o in k for o in held)))
+#: Words that most rules can't do without; the gate looks for these first.
+CORE = ("licen", "software", "copyright", "permission", "distribut", "warrant", "notice", "domain", "commons", ".org")
+
+
+def needed(pattern: str) -> str:
+    """What stands in every match of a pattern, as plain text: groups, optional signs and all
+    of a pattern with alternatives left out."""
+    plain = re.sub(r"\\(.)", lambda m: m[1] if m[1] == "." else " ", re.sub(r"\[[^\]]*\]\*?", " ", pattern))
+    keep = lambda m: " " if m[1] in ("?<!", "?!") or m[3] or "|" in m[2] else m[2]
+    while (shorter := re.sub(r"\((\?<!|\?!|\?s?:)?([^()]*)\)([?*]|\{[^}]*\})?", keep, plain)) != plain:
+        plain = shorter
+    return "" if "|" in plain else re.sub(r".(?:[?*]|\{0[^}]*\})", " ", plain)
+
+
+def gate() -> list[str]:
+    """Words of which a text must hold one for any rule to match, checked before anything
+    else: of every rule a core word that it can't do without, or else its keywords."""
+    held: set[str] = set()
+    for _, _, keywords, _, _, pattern in rule_list():
+        core = next((c for c in CORE if c in needed(pattern)), None)
+        held |= {core} if core else set(keywords.split("|"))
+    return sorted(k for k in held if not any(o != k and o in k for o in held))
 
 
 def rule_table(spark: SparkSession) -> DataFrame:
@@ -363,9 +374,11 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     body = F.coalesce(F.col(text), F.lit(""))
     phrase_gate = "(?i)" + "|".join(GAP.join(p.split()) for p, _ in PHRASES)
-    seen = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.regexp_count(body, F.lit(ANY_WORD)).cast("long").alias("n_words"),
-        F.when(body.rlike(gate()), ascii_lower(body)).alias("low"),
+    held = reduce(or_, [F.contains(F.col("small"), F.lit(k)) for k in gate()])
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), body.alias("body"), F.lower(body).alias("small"))
+    body = F.col("body")
+    seen = given.select(
+        "row", "key", F.regexp_count(body, F.lit(ANY_WORD)).cast("long").alias("n_words"), F.when(held, ascii_lower(body)).alias("low"),
         F.when(body.rlike(phrase_gate), F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(ascii_lower(body), F.lit(f"({WORD})"), F.lit(1)), "  "), F.lit(" "))).alias("line"),
     )
     n_base, first, last, labels = phrase_places(F.col("line"), F.col("n_words"))
