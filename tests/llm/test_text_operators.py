@@ -781,6 +781,10 @@ def test_token_files_round_trip(spark, docs, empty, tmp_path):
     one = token_files.TokenFile(index.orderBy("doc_id").first()["file"])
     ids, mask = one.sequence(1)
     assert len(ids) == 16 and mask.all() and not ids.flags.owndata
+    for i in (0, 1, 5):
+        (own, bits), (again, _) = one.arrays(i), one.arrays(i)
+        assert own.to_pylist() == one.sequence(i)[0].tolist() and bits.to_pylist() == one.sequence(i)[1].tolist()
+        assert [b.address for b in (own.buffers()[1], bits.buffers()[1])] == [b.address for b in (again.buffers()[1], one.arrays(i)[1].buffers()[1])]  # the mapped file's bytes
     assert token_files.read_checks(token_files.write_tokens(empty, f"file://{tmp_path}/e")).count() == 0
     assert token_files.read_checks(token_files.write_tokens(docs, f"file://{tmp_path}/d")).count() == 8
 

@@ -99,6 +99,13 @@ class TokenFile:
         ids, bits = self._batch(k)
         return ids[at : at + self.length], _unpacked(bits, at, at + self.length)
 
+    def arrays(self, i: int) -> tuple[pa.Array, pa.Array]:
+        """Ids and mask of a sequence as Arrow arrays over the file's own bytes, the mask as
+        its bits: nothing is copied or unpacked."""
+        k, at = divmod(i * self.length, self.per_batch)
+        ids, mask = (self.reader.get_batch(k).column(j).flatten() for j in range(2))
+        return ids.slice(at, self.length), mask.slice(at, self.length)
+
     def span(self, start: int, end: int) -> np.ndarray:
         parts = []
         while start < end:
