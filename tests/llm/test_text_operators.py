@@ -727,6 +727,7 @@ def test_bit_sliced_pairs():
 @pytest.mark.parametrize("cell_rows", [8192, 40])
 def test_components_against_brute_force(spark, monkeypatch, cell_rows):
     monkeypatch.setattr(simhash, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(simhash, "HOT_ROWS", cell_rows // 10)
     rng = random.Random(3)
     base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(12)]
     texts = []

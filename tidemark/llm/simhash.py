@@ -24,6 +24,9 @@ from tidemark.llm.components import smallest_labels
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Rows of one blocking value that a task compares at once.
 CELL_ROWS = 8192
+#: Rows from which a fingerprint's rows are no longer dealt to one task, and how many such
+#: fingerprints may be sent to every task.
+HOT_ROWS, MOST_HOT = 100_000, 1_000_000
 #: Planes after which finished words are taken out.
 LOOKS = (10, 13, 16, 20, 26, 34, 48)
 
@@ -208,11 +211,11 @@ def _signed(mask: int) -> F.Column:
 def grouped(docs: DataFrame, size: int, radius: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(key, fp) of every row, and per fingerprint its component_id."""
     marked = staged(fingerprints(docs, size, key, text), "fp")
-    groups = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "groups")
+    groups = staged(marked.groupBy("fp").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("n")), "groups")
     labels = smallest_labels(near_links(groups.select("fp"), radius, groups.count()))
-    reached = groups.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    reached = groups.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", "least", "n", F.coalesce("label", "fp").alias("label"))
     least = reached.groupBy("label").agg(F.min("least").alias("component_id"))
-    return marked, reached.select("fp", "least", "label").join(least, "label").select("fp", "least", "component_id")
+    return marked, reached.select("fp", "least", "n", "label").join(least, "label").select("fp", "least", "n", "component_id")
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,7 +226,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, key: str =
     A null key counts only where a component has no other.
     """
     marked, components = grouped(docs, size, radius, key, text)
-    return marked.join(components.select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    found = staged(components.select("fp", "n", "component_id"), "components")
+    # Of fingerprints with HOT_ROWS rows or more there is one in HOT_ROWS rows at most; these go to
+    # all tasks, so that no task gets all rows of one.
+    hot = found.where(F.col("n") >= HOT_ROWS).select("fp", "component_id")
+    hot = F.broadcast(hot) if hot.count() <= MOST_HOT else hot
+    many = marked.join(hot, "fp").select(key, "fp", "component_id")
+    few = marked.join(hot, "fp", "left_anti").join(found.where(F.col("n") < HOT_ROWS).select("fp", "component_id"), "fp")
+    return many.unionByName(few.select(key, "fp", "component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -395,11 +395,11 @@ def fit_score(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     """Logistic weights of inputs() by Newton steps; none where all labels are the same."""
     if len(np.unique(y)) < 2:
         return None
-    b, prior = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    b = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -40, 40)))
         h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b))
-        b = b - np.clip(np.linalg.solve(h, x.T @ (p - y) + ridge * (b - prior)), -2, 2)
+        b = b - np.clip(np.linalg.solve(h, x.T @ (p - y) + ridge * b), -2, 2)
     return tuple(b.tolist())
 
 
