@@ -46,8 +46,8 @@ class Table:
 
     def version(self) -> int:
         """The current version, 0 if the table isn't there."""
-        done = [int(n[1:]) for n in names(self.spark, f"{self.path}/_log") if n[1:].isdigit() and "_SUCCESS" in names(self.spark, f"{self.path}/_log/{n}")]
-        return max(done, default=0)
+        numbers = sorted((int(n[1:]) for n in names(self.spark, f"{self.path}/_log") if n[1:].isdigit()), reverse=True)
+        return next((n for n in numbers if "_SUCCESS" in names(self.spark, f"{self.path}/_log/v{n}")), 0)
 
     def state(self) -> Version | None:
         number = self.version()
