@@ -536,7 +536,7 @@ SYNCED = "case when o_orderkey > half or o_orderdate > timestamp '1998-05-31' th
 
 def synced(spark: SparkSession, sf_dir: str, delete: bool, log: JobLog | None = None) -> DataFrame:
     path = scratch_path(spark, "sync")
-    held, state = Table(spark, f"{path}/table", ["parquet_format_o_orderdate_year", "parquet_format_o_orderdate_month"]), StateLog(spark, f"{path}/state")
+    held, state = Table(spark, f"{path}/table", ["parquet_format_o_orderdate_year"]), StateLog(spark, f"{path}/state")
     spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderdate": "datetime"})
     held.replace(jobs.cleaned(dest_orders(spark, sf_dir), spec)[0])
     state.commit("orders", LAST_RUN, half(spark, sf_dir))

@@ -41,6 +41,7 @@ class Version:
 class Table:
     def __init__(self, spark: SparkSession, path: str, parts: Sequence[str] = ()):
         self.spark, self.path, self.wanted = spark, path.rstrip("/"), list(parts)
+        self._last: Version | None = None
 
     # --- versions
 
@@ -53,8 +54,10 @@ class Table:
         number = self.version()
         if not number:
             return None
-        held = json.loads(self.spark.read.text(f"{self.path}/_log/v{number}", wholetext=True).first()[0])
-        return Version(number, T.StructType.fromJson(held["schema"]), held["parts"], held["dirs"])
+        if self._last is None or self._last.number != number:  # a version never changes
+            held = json.loads(self.spark.read.text(f"{self.path}/_log/v{number}", wholetext=True).first()[0])
+            self._last = Version(number, T.StructType.fromJson(held["schema"]), held["parts"], held["dirs"])
+        return self._last
 
     def exists(self) -> bool:
         return self.version() > 0
@@ -150,6 +153,7 @@ class Table:
     def drop(self) -> None:
         """The table and all its versions."""
         remove(self.spark, self.path)
+        self._last = None
 
     def vacuum(self, keep: int = 2) -> None:
         """Remove what none of the last `keep` versions names. Readers of older ones fail."""
