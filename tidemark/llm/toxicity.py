@@ -424,6 +424,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: F.Column | None = None, labe
         total += np.frombuffer(zlib.decompress(row["c"]), dtype=np.int32).reshape(total.shape)
         n += np.array(row["n"])
     suspects = chosen(total, n)
+    del total
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,6 +446,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: F.Column | None = None, labe
             found += np.split(own[ids], ends)
             marks += np.split(np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(ids)), ends)
             weights += np.frombuffer(row["weights"], np.int64).tolist()
+        del rows
         model = train_chain(found, marks, weights)
     else:
         model = train_chain([], [], [])
