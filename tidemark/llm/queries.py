@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import format_conversations, masked_text, read_turns, threads
 from tidemark.llm.decontaminate import find_overlap, word_total
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.importance import resample
+from tidemark.llm.lexical import search
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.neighbours import nearest
 from tidemark.llm.packing import pack
 from tidemark.llm.quality_model import score_quality
 from tidemark.llm.quality_model import train as train_quality
@@ -117,6 +120,21 @@ def op10_fixed_size_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checks(index)
 
 
+def op11_payload_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the tenth that is drawn by it."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bag_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_signature_rules": op1_signature_rules,
     "op2_crf_marginals": op2_crf_marginals,
@@ -128,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_deficit_packing": op8_deficit_packing,
     "op9_bit_sliced_simhash": op9_bit_sliced_simhash,
     "op10_fixed_size_lists": op10_fixed_size_lists,
+    "op11_payload_automaton": op11_payload_automaton,
+    "op12_collision_counting": op12_collision_counting,
+    "op13_bag_classes": op13_bag_classes,
 }
 
 WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -162,5 +183,31 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length(head) + length(body) + 14)::bigint as formatted_chars
 from e group by conv_id
+""",
+    "op11_payload_automaton": f"""
+with t as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+d as (select row_number() over () as rid, doc_id, {WORDS_SQL} as w from documents),
+dw as (select rid, unnest(w) as word from d), bw as (select unnest({WORDS_SQL}) as word from benchmark),
+h as (select word, hex(encode(word)) as x from (select word from dw union select word from bw)),
+u as (select word, list_transform(range(length(x) // 2), lambda i: (instr('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', x[2 * i + 2]) - 1) as b from h),
+c as (select word, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 as bucket from u, t),
+s as (select bucket, count(*) as s from dw join c using (word) group by 1), q as (select bucket, count(*) as t from bw join c using (word) group by 1),
+g as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * ((select count(*) from dw) + 10000)::double / ((s + 1)::double * ((select count(*) from bw) + 10000)::double)))::bigint as gain from s left join q using (bucket)),
+w as (select rid, sum(gain)::bigint as weight from dw join c using (word) join g using (bucket) group by 1),
+r as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0) as weight, ('0x' || left(sha256('2024:' || coalesce(doc_id::varchar, '')), 8))::bigint as h from d left join w using (rid)),
+z as (select doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from r),
+k as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as k, count(*) over (partition by n_features >= 20) as n from z)
+select doc_id, n_features, weight, score, case when n_features >= 20 and k <= 10 * n // 100 then k end as rank from k
+""",
+    "op13_bag_classes": f"""
+with b as (select distinct item_id, unnest({WORDS_SQL}) as term from benchmark),
+d as (select row_number() over () as rid, doc_id, {WORDS_SQL} as w from documents),
+tot as (select count(*) as n_docs, sum(len(w))::bigint as n_terms from d where len(w) > 0),
+m as (select rid, doc_id, 50 + (50 * len(w) * n_docs) // n_terms as m from d, tot where len(w) > 0),
+f as (select rid, term, count(*) as tf from (select rid, unnest(w) as term from d) where term in (select term from b) group by all),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w from f, tot group by term, n_docs),
+s as (select item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score from b join w using (term) join f using (term) join m using (rid) group by all),
+r as (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id, rid) as rank from s join m using (rid) where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 50
 """,
 }
