@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import change, reconcile, select
 from tidemark.plans import jobs
-from tidemark.sources.state import JobLog, StateLog
+from tidemark.sources.state import HashState, JobLog, StateLog
 from tidemark.sources.store import Table
 
 ROWS = "k long, v string, at timestamp_ntz"
@@ -147,7 +147,7 @@ def source(spark, version):
 def test_two_runs_and_a_crash(spark, tmp_path, hashed):
     spec = jobs.SyncSpec("t", "k", bookmark=None if hashed else "at", fields={"k": "bigint", "v": "str", "at": "datetime"})
     held, state = Table(spark, str(tmp_path / "t")), StateLog(spark, str(tmp_path / "s"))
-    hashes = Table(spark, str(tmp_path / "h")) if hashed else None
+    hashes = HashState(spark, str(tmp_path / "h"), 4) if hashed else None
     jobs.sync(source(spark, 1), spec, held, state, "2020-01-15 00:00:00", hashes)
     assert rows(held.read(), "k", "v") == rows(source(spark, 1), "k", "v")
     jobs.sync(source(spark, 1), spec, held, state, "2020-01-16 00:00:00", hashes)  # nothing new: nothing changes

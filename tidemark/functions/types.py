@@ -7,7 +7,7 @@ strict ones keep them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,10 +125,11 @@ def cleaned(c: Column, kind: T.DataType, name: str, strict: bool = False, zone:
     return text if strict else F.coalesce(text, F.lit(""))
 
 
-def typed(df: DataFrame, fields: Mapping[str, str], strict: bool = False, zone: str = "UTC") -> DataFrame:
+def typed(df: DataFrame, fields: Mapping[str, str], strict: bool = False, zone: str = "UTC", keep: Sequence[str] = ()) -> DataFrame:
     """All columns typed in one projection and sorted by name; columns that aren't
-    declared become text."""
-    return df.select(*[cleaned(F.col(f"`{c}`"), df.schema[c].dataType, fields.get(c, "string"), strict, zone).alias(c) for c in sorted(df.columns)])
+    declared become text. Those to keep stay as they are."""
+    own = lambda c: F.col(f"`{c}`") if c in keep else cleaned(F.col(f"`{c}`"), df.schema[c].dataType, fields.get(c, "string"), strict, zone)
+    return df.select(*[own(c).alias(c) for c in sorted(df.columns)])
 
 
 def conform_documents(df: DataFrame, fields: Mapping[str, str], zone: str = "UTC", stamp: str = "yyyy/MM/dd'T'HH:mm:ss") -> DataFrame:
@@ -176,3 +177,22 @@ def at_path(c: Column, path: str, text: bool = True) -> Column:
     for s in steps:
         c = c.getField(s)
     return c
+
+
+#: Types by how much they hold; a type goes into a later one of its own row.
+WIDER = (
+    (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()),
+    (T.FloatType(), T.DoubleType()),
+    (T.DateType(), T.TimestampNTZType()),
+)
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type that holds values of both; None if there is none."""
+    if a == b:
+        return a
+    for x, y in ((a, b), (b, a)):
+        for row in WIDER:
+            if x in row and y in row and row.index(x) < row.index(y):
+                return y
+    return T.DoubleType() if {a, b} <= {*WIDER[0], *WIDER[1]} else None

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import wider
+
 
 def row_hash(columns: Iterable[str]) -> Column:
     """SHA-256 of a row's columns, sorted by name, as canonical JSON with nulls."""
@@ -20,35 +22,50 @@ def fingerprints(df: DataFrame, key: str, columns: Sequence[str] | None = None)
     return df.select(F.col(key).cast("string").alias("map_id"), row_hash(columns or df.columns).alias("sha"))
 
 
-def classify(df: DataFrame, state: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows with their hash and change: I (new), U (changed) or S (same). Only keys and
-    hashes of the state are joined."""
-    known = state.select(F.col("map_id").alias("_map_id"), F.col("sha").alias("_known"))
-    hashed = df.withColumn("_map_id", F.col(key).cast("string")).withColumn("sha", row_hash(columns or df.columns))
-    change = F.when(F.col("_known").isNull(), "I").when(F.col("_known") != F.col("sha"), "U").otherwise("S")
-    return hashed.join(known, "_map_id", "left").withColumn("change", change).drop("_map_id", "_known")
+def free_name(columns: Iterable[str], base: str) -> str:
+    """A column name that is none of the given ones, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
 
+def classify(df: DataFrame, state: DataFrame, key: str, columns: Sequence[str] | None = None, found: str = "found") -> DataFrame:
+    """Rows with one more column, a struct of their kind, I (new), U (changed) or S (same), and
+    their hash (sha). Its name must be none of theirs: free_name() makes one. Only keys and
+    hashes of the state are joined. Rows with a null key are new: the state never holds them."""
+    if found != free_name(df.columns, found):
+        raise ValueError(f"the rows have a column {found}")
+    own = free_name([*df.columns, found], "map_id")
+    known = state.select(F.col("map_id").alias(own), F.struct(F.col("sha")).alias(found))
+    hashed = df.select("*", F.col(f"`{key}`").cast("string").alias(own))
+    before, now = F.col(f"`{found}`.sha"), row_hash(columns or df.columns)
+    kind = F.when(before.isNull(), "I").when(before != now, "U").otherwise("S")
+    return hashed.join(known, own, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.struct(kind.alias("kind"), now.alias("sha")).alias(found))
 
-def changed(df: DataFrame, state: DataFrame, key: str, mode: str = "both", unknown: str = "skip") -> DataFrame:
-    """Rows to move. mode: 'insert', 'update' or 'both'; unknown: whether an update pass
-    leaves keys that the state doesn't hold ('skip') or takes them ('update')."""
-    found = classify(df, state, key)
+
+def changed(df: DataFrame, state: DataFrame, key: str, mode: str = "both", unknown: str = "skip", found: str = "found") -> DataFrame:
+    """Rows to move, as classify() gives them. mode: 'insert', 'update' or 'both'; unknown: whether an
+    update pass leaves keys that the state doesn't hold ('skip') or takes them ('update')."""
     takes = {"insert": ["I"], "update": ["U"] if unknown == "skip" else ["U", "I"], "both": ["I", "U"]}[mode]
-    return found.where(F.col("change").isin(*takes))
+    return classify(df, state, key, found=found).where(F.col(f"`{found}`.kind").isin(*takes))
 
 
 def next_state(state: DataFrame, moved: DataFrame) -> DataFrame:
-    """The hash state after rows (map_id, sha) were moved: changed ones replaced, new ones added."""
-    return upsert(state, moved, ["map_id"], [F.col("sha")])
+    """The hash state after rows (map_id, sha) were moved: changed ones replaced, new ones
+    added. Null keys leave no trace in it."""
+    return upsert(state, moved.where("map_id is not null"), ["map_id"], [F.col("sha")])
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The last row of each key by the order given; arrival has none in Spark. Rows with a
     null in their key match no other, so each of them stays."""
     whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
-    alone = df.withColumn("_alone", F.when(~whole, F.monotonically_increasing_id()))  # no two rows with nulls meet
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys], "_alone").orderBy(*[o.desc() for o in order])
-    return alone.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "_alone")
+    own = free_name(df.columns, "alone")
+    rank = free_name([*df.columns, own], "rank")
+    alone = df.withColumn(own, F.when(~whole, F.monotonically_increasing_id()))  # no two rows with nulls meet
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys], F.col(own)).orderBy(*[o.desc() for o in order])
+    return alone.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank, own)
 
 
 def merge(dest: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -114,6 +131,44 @@ def mirror_deleted(dest: DataFrame, source: DataFrame, key: str, full: bool = Fa
     return bound.join(source.select(key).distinct(), key, "left_anti")
 
 
+def digests(keys: DataFrame, key: str, ranges: int) -> DataFrame:
+    """(range, n, digest): keys are dealt to ranges of their hashes; of each range how many keys it
+    holds, and the exclusive or and the sum of their hashes."""
+    h = F.xxhash64(f"`{key}`")
+    own = keys.select(key_range(key, ranges).alias("range"), h.alias("h"))
+    return own.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.struct(F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38,0)"))).alias("digest"))
+
+
+def key_range(key: str, ranges: int) -> Column:
+    return F.pmod(F.xxhash64(f"`{key}`", F.lit("range")), F.lit(ranges))
+
+
+def differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The ranges whose digests differ, or that one side lacks."""
+    b = b.select("range", F.col("n").alias("m"), F.col("digest").alias("other"))
+    return a.join(b, "range", "full").where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("digest").eqNullSafe(F.col("other")))).select("range")
+
+
+#: Ranges that key sets are compared by: as many keys in each as this, in so many ranges at most.
+RANGE_KEYS, MOST_RANGES = 2_000, 1 << 18
+
+
+def keys_gone(dest: DataFrame, source: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows of dest whose key is none of the source's. Both key columns are digested by ranges;
+    only keys of ranges that differ are joined, so nothing is shuffled where the sides agree. n: about how many keys there are. Null keys stay."""
+    ranges = min(MOST_RANGES, max(16, n // RANGE_KEYS))
+    dest = dest.where(F.col(f"`{key}`").isNotNull())
+    apart = differing(digests(dest, key, ranges), digests(source, key, ranges)).collect()  # MOST_RANGES at most
+    if not apart:
+        return dest.limit(0)
+    if len(apart) > ranges // 2:
+        return dest.join(source.select(key).distinct(), key, "left_anti")
+    own = F.broadcast(dest.sparkSession.createDataFrame([(r["range"],) for r in apart], "range long"))
+    at = free_name(dest.columns, "range")
+    near = lambda df: df.withColumn(at, key_range(key, ranges)).join(own.withColumnRenamed("range", at), at, "left_semi").drop(at)
+    return near(dest).join(near(source.select(key)), key, "left_anti")
+
+
 def unexpired(df: DataFrame, now: Column, days: int = 0, hours: int = 0, stamp: str = "migration_snapshot_date") -> DataFrame:
     """Snapshots younger than the expiry; at the very moment they go. Rows without a stamp stay."""
     cutoff = F.timestamp_add("HOUR", F.lit(-(24 * days + hours)), now.cast("timestamp_ntz"))
@@ -132,9 +187,9 @@ def reload_slices(dest: DataFrame, rows: DataFrame, slices: Sequence[str], clear
 
 
 def drift(dest: T.StructType, source: T.StructType, dest_parts: Sequence[str] = (), source_parts: Sequence[str] = ()) -> str:
-    """'same', 'evolve' (columns were added) or 'reload' (a column went or changed its
-    type, or the partitions did)."""
-    old, new = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (dest, source))
-    if list(dest_parts) != list(source_parts) or any(new.get(k) != v for k, v in old.items()):
+    """'same', 'evolve' (columns were added, or hold more than before) or 'reload' (a column
+    went, or changed to a type that doesn't hold the old one's values, or the partitions did)."""
+    old, new = ({f.name: f.dataType for f in s.fields} for s in (dest, source))
+    if list(dest_parts) != list(source_parts) or any(k not in new or wider(v, new[k]) is None for k, v in old.items()):
         return "reload"
-    return "same" if len(old) == len(new) else "evolve"
+    return "same" if len(old) == len(new) and all(wider(v, new[k]) == v for k, v in old.items()) else "evolve"

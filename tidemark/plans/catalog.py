@@ -20,7 +20,7 @@ from tidemark.operators import change, flatten, metrics, reconcile, select
 from tidemark.plans import jobs
 from tidemark.sources import jdbc, readers
 from tidemark.sources.scratch import scratch_path
-from tidemark.sources.state import JobLog, StateLog
+from tidemark.sources.state import HashState, JobLog, StateLog
 from tidemark.sources.store import Table
 from tidemark.streaming import router
 
@@ -230,7 +230,7 @@ def customer_hashes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def hash_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New, changed and unchanged customers by row hash; a null differs from a value."""
     customer, state = customer_hashes(spark, sf_dir)
-    return change.classify(customer, state, "c_custkey").select("c_custkey", "change")
+    return change.classify(customer, state, "c_custkey").select("c_custkey", F.col("found.kind").alias("change"))
 
 
 @query(f"with c as (select c_custkey, {CUSTOMER_STATE} as s from customer) select c_custkey, 'insert' as mode from c where s = 'I' union all select c_custkey, 'skip' from c where s = 'U' union all select c_custkey, 'update' from c where s <> 'S'")
@@ -246,10 +246,10 @@ def hash_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hash_state_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After its changes are taken over, the state holds every customer as it is."""
     customer, state = customer_hashes(spark, sf_dir)
-    moved = change.fingerprints(change.changed(customer, state, "c_custkey").drop("sha", "change"), "c_custkey", customer.columns)
+    moved = change.fingerprints(change.changed(customer, state, "c_custkey").drop("found"), "c_custkey", customer.columns)
     after = change.next_state(state, moved)
     found = change.classify(customer, after, "c_custkey")
-    return found.select(F.col("c_custkey").cast("string").alias("map_id"), "change")
+    return found.select(F.col("c_custkey").cast("string").alias("map_id"), F.col("found.kind").alias("change"))
 
 
 # --- typing ---------------------------------------------------------------------------
@@ -600,7 +600,7 @@ def mirror_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of a sync without a bookmark: an older copy, then the customers as they are."""
     path = scratch_path(spark, "hashed")
-    held, hashes, state = (Table(spark, f"{path}/table"), Table(spark, f"{path}/hashes"), StateLog(spark, f"{path}/state"))
+    held, hashes, state = (Table(spark, f"{path}/table"), HashState(spark, f"{path}/hashes", 8), StateLog(spark, f"{path}/state"))
     customer = table(spark, sf_dir, "customer")
     spec = jobs.SyncSpec("customer", "c_custkey")
     old = customer.where("c_custkey % 4 <> 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.lit(0.0)).otherwise(F.col("c_acctbal")))
@@ -616,7 +616,7 @@ def sync_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_by_hash_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the runs of a sync by hashes move, from the job log: new and changed rows, no others."""
     path = scratch_path(spark, "moves")
-    held, hashes, state, log = (Table(spark, f"{path}/table"), Table(spark, f"{path}/hashes"), StateLog(spark, f"{path}/state"), JobLog(spark, f"{path}/log"))
+    held, hashes, state, log = (Table(spark, f"{path}/table"), HashState(spark, f"{path}/hashes", 8), StateLog(spark, f"{path}/state"), JobLog(spark, f"{path}/log"))
     customer, spec = table(spark, sf_dir, "customer"), jobs.SyncSpec("customer", "c_custkey")
     old = customer.where("c_custkey % 4 <> 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.lit(0.0)).otherwise(F.col("c_acctbal")))
     jobs.sync(old, spec, held, state, LAST_RUN, hashes, log=log)

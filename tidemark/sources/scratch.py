@@ -1,9 +1,12 @@
-"""Folders that driver and executors share: fresh ones, their sizes, their end."""
+"""Folders that driver and executors share, and the small files in them that the driver
+reads and writes by the file system itself, without a job."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +47,43 @@ def megabytes(spark: SparkSession, path: str) -> float:
 def remove(spark: SparkSession, path: str) -> None:
     store, where = _at(spark, path)
     store.delete(where, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    store, where = _at(spark, path)
+    stream = store.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A new file, whole as soon as it can be seen; False if there is one of that name
+    already. Of several writers one gets it: by a hard link on a local disk, by a rename
+    that doesn't overwrite elsewhere."""
+    store, where = _at(spark, path)
+    aside = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    _, temporary = _at(spark, aside)
+    stream = store.create(temporary, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if store.getScheme() == "file":
+            os.link(unquote(urlparse(aside).path), unquote(urlparse(path).path))
+            return True
+        jvm = spark.sparkContext._jvm
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        files.rename(temporary, where, none)
+        return True
+    except FileExistsError:
+        return False
+    except Exception:
+        if store.exists(where):
+            return False
+        raise
+    finally:
+        store.delete(temporary, False)
