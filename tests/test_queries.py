@@ -7,7 +7,7 @@ import pytest
 from tidemark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events conversations".split()
 
 
 @pytest.fixture(scope="module")

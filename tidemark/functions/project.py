@@ -28,18 +28,18 @@ def mask_digits(c: Column, n: int) -> Column:
     return x - F.pmod(x, F.lit(10**n).cast("bigint"))
 
 
+def veil(c: Column, kind: T.DataType, n: int) -> Column:
+    """A text or a whole number masked; other types are refused."""
+    if isinstance(kind, T.StringType):
+        return mask_text(c, n)
+    if isinstance(kind, T.IntegralType):
+        return mask_digits(c, n)
+    raise TypeError(f"no mask for {kind.simpleString()}")
+
+
 def masked(df: DataFrame, masks: Iterable[tuple[str, int]]) -> DataFrame:
     """Mask text and whole-number columns in place; other types are refused."""
-    out = {}
-    for c, n in masks:
-        kind = df.schema[c].dataType
-        if isinstance(kind, T.StringType):
-            out[c] = mask_text(F.col(f"`{c}`"), n)
-        elif isinstance(kind, T.IntegralType):
-            out[c] = mask_digits(F.col(f"`{c}`"), n)
-        else:
-            raise TypeError(f"{c}: no mask for {kind.simpleString()}")
-    return df.withColumns(out)
+    return df.withColumns({c: veil(F.col(f"`{c}`"), df.schema[c].dataType, n) for c, n in masks})
 
 
 def renamed(df: DataFrame, names: Mapping[str, str], limits: Mapping[str, int] | None = None) -> tuple[DataFrame, dict[str, int]]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.types import wider
+from tidemark.sources.scratch import local_rows
 
 
 def row_hash(columns: Iterable[str]) -> Column:
@@ -163,7 +164,7 @@ def keys_gone(dest: DataFrame, source: DataFrame, key: str, n: int) -> DataFrame
         return dest.limit(0)
     if len(apart) > ranges // 2:
         return dest.join(source.select(key).distinct(), key, "left_anti")
-    own = F.broadcast(dest.sparkSession.createDataFrame([(r["range"],) for r in apart], "range long"))
+    own = F.broadcast(local_rows(dest.sparkSession, [(r["range"],) for r in apart], "range long"))
     at = free_name(dest.columns, "range")
     near = lambda df: df.withColumn(at, key_range(key, ranges)).join(own.withColumnRenamed("range", at), at, "left_semi").drop(at)
     return near(dest).join(near(source.select(key)), key, "left_anti")

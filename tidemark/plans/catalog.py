@@ -8,6 +8,8 @@ of the price where 5 divides the key. Run times are fixed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,11 +106,19 @@ def expire_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change.unexpired(copies, select.moment("2001-01-03 00:00:00"), days=1)
 
 
-@query("select c_custkey, c_name, n_name as nation, c_acctbal as balance, c_acctbal > 0 as in_credit from customer join nation on c_nationkey = n_nationkey where c_mktsegment <> 'BUILDING'")
+@query(
+    "select c_custkey, c_name, n_name as nation, c_acctbal as balance, c_acctbal > 0 as in_credit, left(c_name, length(c_name) - 4) || 'XXXX' as veiled, c_custkey // 100 * 100 as century, "
+    "coalesce(cast(trunc(try_cast(case when c_custkey % 3 = 0 then 'none' else cast(c_acctbal as varchar) end as double)) as bigint), 0) as whole "
+    "from customer join nation on c_nationkey = n_nationkey where c_mktsegment <> 'BUILDING'"
+)
 def custom_query_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user's join as the source of a snapshot."""
-    sql = "SELECT c_custkey, c_name, n_name AS nation, c_acctbal AS balance, c_acctbal > 0 AS in_credit FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING'"
-    fields = {"c_custkey": "bigint", "c_name": "str", "nation": "str", "balance": "float", "in_credit": "bool"}
+    """A user's join as the source of a snapshot, with masks and a lenient cast called by name."""
+    sql = (
+        "SELECT c_custkey, c_name, n_name AS nation, c_acctbal AS balance, c_acctbal > 0 AS in_credit, mask_text(c_name, 4) AS veiled, mask_digits(c_custkey, 2) AS century, "
+        "lenient_int(CASE WHEN c_custkey % 3 = 0 THEN 'none' ELSE CAST(c_acctbal AS STRING) END) AS whole "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING'"
+    )
+    fields = {"c_custkey": "bigint", "c_name": "str", "nation": "str", "balance": "float", "in_credit": "bool", "veiled": "str", "century": "bigint", "whole": "bigint"}
     return readers.read_query(spark, sql, {n: table(spark, sf_dir, n) for n in ("customer", "nation")}, fields)
 
 
@@ -314,6 +324,25 @@ def documents_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typing.conform_documents(docs, {"user_id": "int", "value": "float", "created_at": "datetime", "private": "bool", "__v": "int"})
 
 
+@query(
+    "select 'event' as kind, event_id as id, event_type as name, cast(json_extract_string(props, '$.k') as bigint) as k, case when event_id % 2 = 0 then value end as score, "
+    "case when event_id % 3 = 0 then '[' || user_id || ']' end as members, case when event_id % 4 = 0 then case when event_id % 8 = 0 then cast(user_id as varchar) else event_type end end as mixed from events "
+    "union all select 'turn', conv_id, role, turn, null, null, null from conversations"
+)
+def documents_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of two kinds whose fields nobody declared: found, typed and read as columns."""
+    path, e = scratch_path(spark, "loose"), F.col("event_id")
+    own = [e.alias("id"), F.col("event_type").alias("name"), F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.when(e % 2 == 0, F.col("value")).alias("score"), F.when(e % 3 == 0, F.array("user_id")).alias("members")]
+    events = table(spark, sf_dir, "events").select(
+        F.when(e % 8 == 0, F.to_json(F.struct(*own, F.col("user_id").alias("mixed")))).when(e % 4 == 0, F.to_json(F.struct(*own, F.col("event_type").alias("mixed")))).otherwise(F.to_json(F.struct(*own))).alias("value")
+    )
+    turns = table(spark, sf_dir, "conversations").select(F.to_json(F.struct(F.col("conv_id").alias("id"), F.col("role").alias("name"), F.col("turn").alias("k"))).alias("value"))
+    for name, rows in (("event", events), ("turn", turns)):
+        rows.write.text(f"{path}/{name}")
+    docs = reduce(DataFrame.unionByName, [readers.read_loose_documents(spark, f"{path}/{n}").withColumn("kind", F.lit(n)) for n in ("event", "turn")])
+    return readers.typed_documents(docs).withColumn("members", F.to_json("members"))
+
+
 @query("select event_id, ts - interval 330 minute as local_in, date_trunc('second', ts) as from_epoch, date_trunc('second', ts) as from_short, date_trunc('second', ts) as from_text, date_trunc('second', ts) - interval 2 hour as from_offset, null::timestamp as junk from events")
 def datetime_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local times, epoch seconds, texts with and without an offset, junk."""
@@ -532,30 +561,167 @@ def upsert_partition_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SYNCED = "case when o_orderkey > half or o_orderdate > timestamp '1998-05-31' then o_totalprice when o_orderkey % 5 = 0 then o_totalprice * 0.9 else o_totalprice end"
+SYNC_ORDERS = f"with h as (select max(o_orderkey) // 2 as half from orders) select cast(o_orderkey as varchar) as unique_migration_record_id, o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 17 = 0 then case when o_orderkey % 5 = 0 then o_totalprice * 0.9 else o_totalprice end else {SYNCED} end as o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) as year from orders, h where o_orderkey % 17 <> 0 or o_orderkey <= half"
+MIRROR_ORDERS = f"with {SRC} select cast(o_orderkey as varchar) as unique_migration_record_id, o_orderkey, o_custkey, o_orderstatus, {SYNCED} as o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) as year from src, h"
 
 
-def synced(spark: SparkSession, sf_dir: str, delete: bool, log: JobLog | None = None) -> DataFrame:
+def synced_table(spark: SparkSession, sf_dir: str, delete: bool, log: JobLog | None = None, write: str = "rewrite") -> Table:
     path = scratch_path(spark, "sync")
-    held, state = Table(spark, f"{path}/table", ["parquet_format_o_orderdate_year"]), StateLog(spark, f"{path}/state")
-    spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderdate": "datetime"})
+    held, state = Table(spark, f"{path}/table", ["parquet_format_o_orderdate_year"], index="o_orderkey"), StateLog(spark, f"{path}/state")
+    spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderdate": "datetime"}, write=write)
     held.replace(jobs.cleaned(dest_orders(spark, sf_dir), spec)[0])
     state.commit("orders", LAST_RUN, half(spark, sf_dir))
     (jobs.mirror if delete else jobs.sync)(source_orders(spark, sf_dir), spec, held, state, RUN_AT, log=log)
+    return held
+
+
+def synced(spark: SparkSession, sf_dir: str, delete: bool, log: JobLog | None = None, write: str = "rewrite") -> DataFrame:
+    held = synced_table(spark, sf_dir, delete, log, write)
     return held.read().select(project.RECORD_KEY, *ORDER_COLUMNS, F.col("parquet_format_o_orderdate_year").alias("year"))
 
 
-@query(f"with h as (select max(o_orderkey) // 2 as half from orders) select cast(o_orderkey as varchar) as unique_migration_record_id, o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 17 = 0 then case when o_orderkey % 5 = 0 then o_totalprice * 0.9 else o_totalprice end else {SYNCED} end as o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) as year from orders, h where o_orderkey % 17 <> 0 or o_orderkey <= half")
+@query(SYNC_ORDERS)
 def sync_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sync job: new keys and changed rows merged into an older copy."""
     return synced(spark, sf_dir, False)
 
 
-@query(f"with {SRC} select cast(o_orderkey as varchar) as unique_migration_record_id, o_orderkey, o_custkey, o_orderstatus, {SYNCED} as o_totalprice, o_orderdate, o_orderpriority, year(o_orderdate) as year from src, h")
+@query(MIRROR_ORDERS)
 def mirror_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mirror job: a sync, and rows gone from the source go."""
     return synced(spark, sf_dir, True)
 
 
+@query(SYNC_ORDERS)
+def sync_orders_by_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sync job into a table that isn't written again: old copies are marked as deleted."""
+    return synced(spark, sf_dir, False, write="delta")
+
+
+@query(MIRROR_ORDERS)
+def mirror_orders_by_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return synced(spark, sf_dir, True, write="delta")
+
+
+@query(f"with {SRC}, {DST} select 'now' as version, count(*) as n, sum(o_orderkey)::bigint as keys from src union all select 'before', count(*), sum(o_orderkey)::bigint from dst union all select 'compacted', count(*), sum(o_orderkey)::bigint from src")
+def versions_after_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror by marks, then compaction: the current rows, those of the version before, and
+    those of the compacted table, which has a directory a year."""
+    held = synced_table(spark, sf_dir, True, write="delta")
+    shown = lambda name, df: df.agg(F.lit(name).alias("version"), F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    now, before = shown("now", held.read()), shown("before", held.read(version=1))
+    held.compact(order=["o_orderkey"])
+    if len(held.state().dirs) != len(held.partitions()):
+        raise AssertionError("a partition lies in several directories after compaction")
+    return now.unionByName(before).unionByName(shown("compacted", held.read()))
+
+
+@query("select o_orderkey, case when o_orderkey % 3 = 0 then o_totalprice + 2 when o_orderkey % 3 = 1 then o_totalprice + 1 else o_totalprice end as o_totalprice from orders where o_orderkey % 2 = 0 or o_orderkey % 3 <> 2")
+def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upserts of few keys into many directories without an order: those that can't hold a
+    key, by smallest and largest key and by their filters, aren't opened."""
+    held, state = Table(spark, scratch_path(spark, "indexed"), ["parquet_format_o_orderstatus"], index="o_orderkey"), StateLog(spark, scratch_path(spark, "state"))
+    spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=40 * 366 * DAY, parts={"o_orderstatus": "str"})
+    orders = table(spark, sf_dir, "orders")
+    jobs.sync(orders.where("o_orderkey % 2 = 0"), spec, held, state, LAST_RUN)
+    for rest, more in ((1, 1), (0, 2)):
+        jobs.sync(orders.where(okey() % 3 == rest).withColumn("o_totalprice", F.col("o_totalprice") + more), spec, held, state, RUN_AT)
+    return held.read().select("o_orderkey", "o_totalprice")
+
+
+@query("select o_orderkey, o_totalprice from orders")
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs at once on one table, with orders of even and of odd keys, which meet in all
+    partitions: each version goes on top of the other one's, and none is lost."""
+    path, orders = scratch_path(spark, "shared"), table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    spec = [jobs.SyncSpec(n, "o_orderkey", bookmark="o_orderdate", parts={"o_orderstatus": "str"}) for n in ("even", "odd")]
+    made = lambda: Table(spark, f"{path}/table", ["parquet_format_o_orderstatus"])
+    made().replace(jobs.cleaned(orders.limit(0), spec[0])[0])
+    run = lambda i: jobs.sync(orders.where(okey() % 2 == i), spec[i], made(), StateLog(spark, f"{path}/state"), RUN_AT)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(run, (0, 1)))
+    return made().read().select("o_orderkey", "o_totalprice")
+
+
+RESERVED = "o_orderstatus as sha, o_orderpriority as change, o_custkey as found, o_totalprice as _kind, o_orderkey % 9 as rank, o_orderkey % 5 as _row"
+
+
+@query(f"select 'hash' as mode, o_orderkey, {RESERVED} from orders union all select 'bookmark', o_orderkey, {RESERVED} from orders")
+def sync_reserved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a source may have the names that a job works with: two runs by hashes and
+    two by a bookmark keep them as they are."""
+    path = scratch_path(spark, "names")
+    now = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_orderstatus").alias("sha"), F.col("o_orderpriority").alias("change"), F.col("o_custkey").alias("found"),
+        F.col("o_totalprice").alias("_kind"), (okey() % 9).alias("rank"), (okey() % 5).alias("_row"),
+    )
+    old = now.where("o_orderkey % 4 <> 0").withColumn("change", F.when(okey() % 3 == 0, "old").otherwise(F.col("change")))
+    out = []
+    for mode, spec in (("hash", jobs.SyncSpec("o", "o_orderkey")), ("bookmark", jobs.SyncSpec("o", "o_orderkey", bookmark="o_orderdate", grace=40 * 366 * DAY))):
+        held, state, hashes = Table(spark, f"{path}/{mode}"), StateLog(spark, f"{path}/{mode}-state"), HashState(spark, f"{path}/{mode}-hashes", 8)
+        jobs.sync(old, spec, held, state, LAST_RUN, hashes)
+        jobs.sync(now, spec, held, state, RUN_AT, hashes)
+        out.append(held.read().select(F.lit(mode).alias("mode"), "o_orderkey", "sha", "change", "found", "_kind", "rank", "_row"))
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "with k as (select case when o_orderkey % 7 = 0 then null else o_orderkey - (select min(o_orderkey) from orders where o_orderkey % 7 <> 0) end as k, o_totalprice, o_orderkey from orders) "
+    "select m as mode, k, o_totalprice, (select count(*) from k where k is not null and m = 'hash') as n_hashes from k, (select unnest(['hash', 'bookmark', 'mirror']) as m) where k is not null"
+)
+def sync_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over orders of which some have no key and one has the key 0: rows without a key
+    are never moved, the key 0 is a key like others, and the hash state holds each key once."""
+    path, orders = scratch_path(spark, "nulls"), table(spark, sf_dir, "orders")
+    least = orders.where("o_orderkey % 7 <> 0").agg(F.min("o_orderkey")).first()[0]
+    now = orders.select(F.when(okey() % 7 != 0, okey() - least).alias("k"), "o_totalprice", "o_orderdate")
+    old = now.where("k is null or k % 5 <> 3").withColumn("o_totalprice", F.when(F.col("k") % 2 == 0, 0.0).otherwise(F.col("o_totalprice")))
+    out = []
+    for mode in ("hash", "bookmark", "mirror"):
+        held, state, hashes = Table(spark, f"{path}/{mode}"), StateLog(spark, f"{path}/{mode}-state"), HashState(spark, f"{path}/{mode}-hashes", 8)
+        spec = jobs.SyncSpec("o", "k", bookmark=None if mode != "bookmark" else "o_orderdate", grace=40 * 366 * DAY, fields={"k": "bigint", "o_totalprice": "float", "o_orderdate": "datetime"})
+        for source, at in ((old, LAST_RUN), (now, "1999-01-01 00:00:00"), (now, RUN_AT)):
+            jobs.sync(source, spec, held, state, at, hashes, delete=mode == "mirror")
+        n = hashes.read().count() if mode == "hash" else 0
+        out.append(held.read().select(F.lit(mode).alias("mode"), "k", "o_totalprice", F.lit(n).cast("long").alias("n_hashes")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(
+    "select 1 as run, count(*) filter (where c_custkey % 10 <> 1) as n_written, count(*) filter (where c_custkey % 10 <> 1) as n_state from customer union all "
+    "select 2, count(*) filter (where c_custkey % 10 in (1, 2)), count(*) from customer union all select 3, count(*) filter (where c_custkey % 10 = 4), count(*) filter (where c_custkey % 10 <> 4) from customer"
+)
+def hash_state_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs write into a bucketed hash state: all, then what is new or changed, then what
+    is gone, and how many keys it holds after each."""
+    customer, hashes, out = table(spark, sf_dir, "customer"), HashState(spark, scratch_path(spark, "hashes"), 8), []
+    old = customer.where("c_custkey % 10 <> 1").withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 2, F.col("c_acctbal") - 1).otherwise(F.col("c_acctbal")))
+    before = {}
+    for run in (1, 2, 3):
+        if run == 1:
+            hashes.put(change.fingerprints(old, "c_custkey", customer.columns))
+        elif run == 2:
+            moved = change.changed(customer, hashes.read(), "c_custkey")
+            hashes.put(moved.select(F.col("c_custkey").cast("string").alias("map_id"), "found.sha"))
+        else:
+            left = customer.where("c_custkey % 10 <> 4").select(F.col("c_custkey").cast("string").alias("map_id"))
+            gone = change.keys_gone(hashes.read().select("map_id"), left, "map_id", customer.count())
+            hashes.put(gone.select("map_id", F.lit(None).cast("string").alias("sha")))
+        now = {r["seq"]: r["n"] for r in hashes.written().collect()}
+        out.append((run, sum(n for s, n in now.items() if s not in before), hashes.read().count()))
+        before = now
+    return spark.createDataFrame(out, "run int, n_written long, n_state long")
+
+
+@query(f"with {SRC}, {DST} select o_orderkey from dst where o_orderkey not in (select o_orderkey from src)")
+def mirror_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys gone from the source, found by digests of ranges: only ranges that differ are joined."""
+    dest, source = dest_orders(spark, sf_dir).select("o_orderkey"), source_orders(spark, sf_dir).select("o_orderkey")
+    most = source.union(dest.where(F.col("o_orderkey") % 17 == 0)).distinct()
+    same = change.keys_gone(dest, most, "o_orderkey", dest.count())  # nothing is gone yet
+    return change.keys_gone(dest, source, "o_orderkey", 40 * dest.count()).unionByName(same)
+
+
 @query(
     "with l as (select l_orderkey, l_shipdate, l_extendedprice, l_partkey, row_number() over (partition by l_orderkey order by l_shipdate desc) as r, count(*) over (partition by l_orderkey, l_shipdate) as ties from lineitem) "
     "select l_orderkey, l_shipdate from l where r = 1"
@@ -573,22 +739,31 @@ def sync_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"with {SRC} select 'evolve' as run, o_orderkey, case when o_orderkey % 17 <> 0 and (o_orderkey > half or o_orderdate > timestamp '1998-05-31') then o_orderpriority end as o_orderpriority from orders, h where o_orderkey % 17 <> 0 or o_orderkey <= half "
-    "union all select 'reload', o_orderkey, o_orderpriority from src"
+    f"with {SRC} select 'evolve' as run, o_orderkey, case when o_orderkey % 17 <> 0 and (o_orderkey > half or o_orderdate > timestamp '1998-05-31') then o_orderpriority end as o_orderpriority, o_custkey::double as customer from orders, h where o_orderkey % 17 <> 0 or o_orderkey <= half "
+    "union all select 'reload', o_orderkey, o_orderpriority, null from src "
+    "union all select 'widen', o_orderkey, null, case when o_orderkey > half or o_orderdate > timestamp '1998-05-31' then o_custkey + 0.5 else o_custkey end from src, h"
 )
 def sync_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A column more: rows that don't move hold null in it. A column less: the table is loaded anew."""
+    """A column more: rows that don't move hold null in it. A column less: the table is loaded anew,
+    as a new version. A column that holds fractions now: rows that don't move stay as they
+    were written and are read as fractions."""
     path, status, source = scratch_path(spark, "drift"), ["parquet_format_o_orderstatus"], source_orders(spark, sf_dir)
     spec = jobs.SyncSpec("orders", "o_orderkey", bookmark="o_orderdate", grace=DAY, parts={"o_orderstatus": "str"})
-    more, less = Table(spark, f"{path}/more", status), Table(spark, f"{path}/less", status)
-    state = {t: StateLog(spark, f"{t.path}-state") for t in (more, less)}
+    more, less, wide = (Table(spark, f"{path}/{n}", status) for n in ("more", "less", "wide"))
+    state = {t: StateLog(spark, f"{t.path}-state") for t in (more, less, wide)}
     more.replace(jobs.cleaned(dest_orders(spark, sf_dir).drop("o_orderpriority"), spec)[0])
     state[more].commit("orders", LAST_RUN, half(spark, sf_dir))
     jobs.sync(source, spec, more, state[more], RUN_AT)
     jobs.sync(source.where("o_orderkey % 2 = 0"), spec, less, state[less], LAST_RUN)
     jobs.sync(source.drop("o_custkey"), spec, less, state[less], RUN_AT)
-    shown = lambda t, run: t.read().select(F.lit(run).alias("run"), "o_orderkey", "o_orderpriority")
-    return shown(more, "evolve").unionByName(shown(less, "reload"))
+    marked = replace(spec, write="delta")
+    wide.replace(jobs.cleaned(source.where(okey() <= half(spark, sf_dir)).drop("o_orderpriority"), spec)[0])
+    state[wide].commit("orders", LAST_RUN, half(spark, sf_dir))
+    jobs.sync(source.drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey") + F.lit(0.5).cast("double")), marked, wide, state[wide], RUN_AT)
+    if less.version() != 2 or wide.state(1).dirs.keys() - wide.state().dirs.keys():
+        raise AssertionError("a reload is a version more, and rows that don't move aren't written again")
+    shown = lambda t, run: t.read().select(F.lit(run).alias("run"), "o_orderkey", *[(F.col(c) if c in t.state().schema.names else F.lit(None)).cast(k).alias(n) for c, k, n in (("o_orderpriority", "string", "o_orderpriority"), ("o_custkey", "double", "customer"))])
+    return shown(more, "evolve").unionByName(shown(less, "reload")).unionByName(shown(wide, "widen"))
 
 
 @query(f"with {SRC}, {DST} select o_orderkey from dst where o_orderkey <= (select max(o_orderkey) from src) and o_orderkey not in (select o_orderkey from src)")
@@ -704,13 +879,13 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select(lines.alias("value")).write.text(f"{path}/in")
     by_type = F.when(F.col("type") == "purchase", "audit_logs").when(F.col("type") == "error", "error_logs").when(F.col("type") != "signup", "product_audit_logs")
     sink = router.Router(
-        f"{path}/out", lambda _: by_type, ["audit_logs", "product_audit_logs"], router.lift_payload(["k"]),
+        spark, f"{path}/out", lambda _: by_type, ["audit_logs", "product_audit_logs"], router.lift_payload(["k"]),
         {"user_id": "int", "value": "float", "date": "datetime", "event_id": "int"}, {"date": "datetime"}, {"date": "created_at"},
     )
     schema = "type string, user_id string, value string, date string, payload string, event_id long"
     router.run_router(router.read_lines(spark, f"{path}/in"), schema, sink, f"{path}/checkpoint").awaitTermination()
-    read = [spark.read.parquet(f"{path}/out/{name}").select("type", F.lit(name).alias("routed"), "user_id", "value", "created_at", "k") for name in ("audit_logs", "error_logs", "product_audit_logs")]
-    lost = spark.read.parquet(f"{path}/out/_quarantine/routes").select(F.from_json("value", "type string, user_id string").alias("r"), "route")
+    read = [sink.read(name).select("type", F.lit(name).alias("routed"), "user_id", "value", "created_at", "k") for name in ("audit_logs", "error_logs", "product_audit_logs")]
+    lost = sink.set_aside("routes").select(F.from_json("value", "type string, user_id string").alias("r"), "route")
     null = [F.lit(None).cast(t).alias(n) for n, t in (("value", "double"), ("created_at", "timestamp_ntz"), ("k", "string"))]
     return reduce(DataFrame.unionByName, read).unionByName(lost.select("r.type", F.col("route").alias("routed"), F.col("r.user_id").cast("long").alias("user_id"), *null))
 
@@ -739,6 +914,16 @@ def reconcile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.compare(source, dest, "o_orderkey").withColumn("wrong", F.array_join("wrong", ","))
 
 
+@query(f"select 'damaged' as pair, * from ({COMPARED}) union all select 'equal', o_orderkey, 'ok', '' from orders union all select 'few', o_orderkey, case when o_orderkey % 997 = 0 then 'mismatch' else 'ok' end, case when o_orderkey % 997 = 0 then 'o_orderpriority' else '' end from orders")
+def reconcile_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of key ranges first: the rows of reconcile_columns, a pair of equal tables, which
+    isn't joined at all, and one with few differences, of which few ranges are."""
+    source, dest = damaged(spark, sf_dir)
+    few = source.withColumn("o_orderpriority", F.when(okey() % 997 == 0, "?").otherwise(F.col("o_orderpriority")))
+    found = [reconcile.compare_tree(source, d, "o_orderkey", leaves=4096).withColumn("pair", F.lit(n)) for n, d in (("damaged", dest), ("equal", source), ("few", few))]
+    return reduce(DataFrame.unionByName, found).select("pair", "o_orderkey", "status", F.array_join("wrong", ",").alias("wrong"))
+
+
 @query(
     "with a as (select o_orderkey % 10 as m from orders) select count(*) + count(*) filter (where m = 0) as n_rows, count(*) filter (where m in (1, 2, 3, 4)) as n_mismatches, count(*) filter (where m = 1) as n_missing, "
     "count(*) filter (where m = 0) as n_extra, count(*) filter (where m = 2) as wrong_o_totalprice, count(*) filter (where m = 3) as wrong_o_orderstatus, count(*) filter (where m = 4) as wrong_o_orderdate from a"
@@ -831,6 +1016,20 @@ def jdbc_key_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [read("text", "uuid"), read("time", "o_orderdate"), read("number", "o_orderkey")])
 
 
+@query("with k as (select case when o_orderkey % 10 = 0 then o_orderkey * 1000 else o_orderkey end as k from orders) select k, 1 as n from k union all select null, 1 where (select count(*) from k) = 0")
+def jdbc_skewed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tenths of the keys lie in a thousandth of their range: by cut points that the database
+    answers, no range holds twice its share of the rows."""
+    path = scratch_path(spark, "skew")
+    key = F.when(okey() % 10 == 0, okey() * 1000).otherwise(okey())
+    jdbc.write_jdbc(table(spark, sf_dir, "orders").select(key.alias("k")), database(path), "skewed", mode="overwrite", options=DERBY)
+    back = readers.read_jdbc(spark, database(path), "skewed", "k", 8, DERBY, quantiles=readers.NUMBERED)
+    sizes = [r["n"] for r in back.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    if max(sizes) * 8 > 2 * sum(sizes):
+        raise AssertionError(f"rows of the ranges: {sizes}")
+    return back.select("k", F.lit(1).alias("n"))
+
+
 @query("select c_custkey, c_name, case when c_custkey % 3 = 0 then c_acctbal + 1 else c_acctbal end as c_acctbal from customer")
 def jdbc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changed and new customers merged inside the database; of two rows of a key the last one counts."""

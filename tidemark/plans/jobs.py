@@ -14,13 +14,14 @@ import datetime as dt
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.project import RECORD_KEY, SNAPSHOT, masked, partition_columns, with_snapshot
+from tidemark.functions.project import RECORD_KEY, SNAPSHOT, masked, partition_columns, veil, with_snapshot
 from tidemark.functions.types import cleaned as cleaned_key
 from tidemark.functions.types import to_utc, typed
 from tidemark.operators import change, metrics, select
@@ -61,7 +62,8 @@ class SyncSpec:
 @dataclass(frozen=True)
 class Moved:
     """Rows to move, one a key, staged at a path, with a struct column `found` of their kind and hash;
-    their counts, and the largest key moved so far."""
+    their counts, the largest key moved so far, and the smallest and largest key among them as
+    the destination holds it, as texts."""
 
     rows: DataFrame
     found: str
@@ -69,15 +71,25 @@ class Moved:
     insertions: int
     updations: int
     high: Any
+    bounds: tuple[str | None, str | None]
 
     def plain(self) -> DataFrame:
         return self.rows.drop(self.found)
 
 
 def record_key(df: DataFrame, spec: SyncSpec) -> Column:
-    """The key of the rows as text, as it is before typing: a null one stays null."""
+    """The key of the rows as text, masked, but as it is before typing: a null one stays null."""
     col, kind = F.col(f"`{spec.key}`"), df.schema[spec.key].dataType
-    return (to_utc(col, kind, spec.zone) if isinstance(kind, T.TimestampType) else col).cast("string")
+    shown = reduce(lambda c, m: veil(c, kind, m[1]), [m for m in spec.masks if m[0] == spec.key], col)
+    shown = to_utc(shown, kind, spec.zone) if isinstance(kind, T.TimestampType) else shown
+    return F.when(col.isNotNull(), shown.cast("string"))
+
+
+def typed_key(df: DataFrame, spec: SyncSpec) -> Column:
+    """The key of the rows as the destination holds it, masked and typed."""
+    kind = df.schema[spec.key].dataType
+    col = reduce(lambda c, m: veil(c, kind, m[1]), [m for m in spec.masks if m[0] == spec.key], F.col(f"`{spec.key}`"))
+    return cleaned_key(col, kind, spec.fields.get(spec.key, kind.simpleString()), spec.strict, spec.zone)
 
 
 def cleaned(df: DataFrame, spec: SyncSpec) -> tuple[DataFrame, list[str]]:
@@ -85,8 +97,8 @@ def cleaned(df: DataFrame, spec: SyncSpec) -> tuple[DataFrame, list[str]]:
     record key, typed, columns sorted, renamed."""
     fields = dict(spec.fields) or {f.name: f.dataType.simpleString() for f in df.schema.fields}
     own = change.free_name(df.columns, "record_key")
-    veiled = masked(df, spec.masks)
-    out = typed(veiled.withColumn(own, record_key(veiled, spec)), fields, spec.strict, spec.zone, keep=[own])
+    veiled = masked(df.withColumn(own, record_key(df, spec)), spec.masks)
+    out = typed(veiled, fields, spec.strict, spec.zone, keep=[own])
     out, made = partition_columns(out, spec.parts)
     out = out.withColumn(RECORD_KEY, F.col(own)).drop(own)
     return out.select(*sorted(out.columns)).withColumnsRenamed(dict(spec.names)), made
@@ -121,11 +133,14 @@ def staged(changes: DataFrame, spec: SyncSpec, mark: select.Watermark, found: st
     """The changes written down, one row of each key, counted as they are written."""
     path = scratch_path(changes.sparkSession, spec.name)
     kinds = [F.count_if(F.col(f"`{found}`.kind") == k).alias(k) for k in ("I", "U")]
-    seen, counts = metrics.observed(last_copies(changes, spec, found), f"moved-{path.rsplit('-', 1)[-1]}", *kinds, F.max(f"`{spec.key}`").alias("high"))
+    own = typed_key(changes, spec)
+    most = [F.max(f"`{spec.key}`").alias("high"), F.min(own).cast("string").alias("low_own"), F.max(own).cast("string").alias("high_own")]
+    seen, counts = metrics.observed(last_copies(changes, spec, found), f"moved-{path.rsplit('-', 1)[-1]}", *kinds, *most)
     seen.write.parquet(path)
     got = counts.get
     marks = [x for x in (mark.last_key, got["high"]) if x is not None]
-    return Moved(changes.sparkSession.read.schema(changes.schema).parquet(path), found, path, got["I"], got["U"], max(marks, default=None))
+    bounds = (got["low_own"], got["high_own"])
+    return Moved(changes.sparkSession.read.schema(changes.schema).parquet(path), found, path, got["I"], got["U"], max(marks, default=None), bounds)
 
 
 def last_copies(changes: DataFrame, spec: SyncSpec, found: str) -> DataFrame:
@@ -202,7 +217,7 @@ def sync(source: DataFrame, spec: SyncSpec, table: Table, state: StateLog, run_a
     rows, _ = cleaned(moved.plain(), spec)
     for left in reversed(range(TRIES)):
         try:
-            gone = merge_into(table, rows, spec, keys, anew)
+            gone = merge_into(table, rows, spec, keys, anew, (moved.insertions + moved.updations, *moved.bounds))
             break
         except Conflict:
             if not left:
@@ -236,11 +251,9 @@ class Keys:
     @classmethod
     def of(cls, source: DataFrame, spec: SyncSpec) -> Keys:
         spark, path = source.sparkSession, scratch_path(source.sparkSession, f"{spec.name}-keys")
-        kind, own = spec.fields.get(spec.key, source.schema[spec.key].dataType.simpleString()), [m for m in spec.masks if m[0] == spec.key]
-        whole = source.select(F.col(f"`{spec.key}`"), F.col(f"`{spec.key}`").cast("string").alias(raw := change.free_name([spec.key], "raw"))).where(f"{raw} is not null")
-        veiled = masked(whole, own)
-        typed_key = cleaned_key(F.col(f"`{spec.key}`"), veiled.schema[spec.key].dataType, kind, spec.strict, spec.zone)
-        keys = veiled.select(record_key(veiled, spec).alias("key"), F.col(raw).alias("raw"), typed_key.alias("own"))
+        whole = source.where(F.col(f"`{spec.key}`").isNotNull())
+        raw = F.col(f"`{spec.key}`").cast("string").alias("raw")
+        keys = whole.select(record_key(whole, spec).alias("key"), raw, typed_key(whole, spec).alias("own"))
         seen, counts = metrics.observed(keys, f"keys-{path.rsplit('-', 1)[-1]}", F.max("own").alias("top"))
         seen.write.parquet(path)
         if not counts.get["n"]:
@@ -249,10 +262,10 @@ class Keys:
         return cls(spark.read.schema(keys.schema).parquet(path), path, counts.get["n"], counts.get["top"])
 
 
-def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, keys: Keys | None, anew: bool = False) -> str | None:
+def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, keys: Keys | None, anew: bool = False, known: tuple[int, str | None, str | None] | None = None) -> str | None:
     """Merge rows that hold a key once into the table, and take out what `keys` lacks, up to its
     largest key; the path of what was staged on the way. Only directories that may hold
-    one of the keys are looked through for old copies."""
+    one of the keys are looked through for old copies. known: as Table.may_hold() takes it."""
     before, key, spark = table.state(), spec.names.get(spec.key, spec.key), rows.sparkSession
     if before is None or anew:
         table.replace(rows, table.wanted, before)
@@ -267,7 +280,7 @@ def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, keys: Keys | None,
         gone = spark.read.schema(lost.schema).parquet(path)
     delta = spec.write == "delta"
     out_of = rows.select(F.col(f"`{key}`"), RECORD_KEY)
-    dirs = table.may_hold(out_of.select(f"`{key}`")) if spec.moves or delta or not before.parts else []
+    dirs = table.may_hold(out_of.select(f"`{key}`"), known) if spec.moves or delta or not before.parts else []
     old = table.read_dirs(dirs, places=delta).join(out_of.select(RECORD_KEY), RECORD_KEY, "left_semi")
     if gone is not None:
         more = table.read_dirs(before.dirs, places=delta).join(gone, RECORD_KEY, "left_semi")
@@ -280,7 +293,7 @@ def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, keys: Keys | None,
         out = change.merge(held, rows, [RECORD_KEY])
         table.replace(out if gone is None else out.join(gone, RECORD_KEY, "left_anti").select(*out.columns), before=before)
         return path
-    touched = table.values_of(old) | table.values_of(rows)
+    touched = table.values_of(old.select(*before.parts).unionByName(rows.select(*before.parts)))
     if touched:
         out = change.merge(table.read(touched, before.number), rows, [RECORD_KEY])
         table.replace_partitions(out if gone is None else out.join(gone, RECORD_KEY, "left_anti").select(*out.columns), touched, before)

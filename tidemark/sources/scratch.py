@@ -6,9 +6,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
+from typing import Any
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +54,13 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(where, True)
 
 
+def local_rows(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: str) -> DataFrame:
+    """A few rows of the driver as a local relation: filters and projections of it need no job."""
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), type=k.type) for c, k in zip(columns, kinds, strict=True)], schema=kinds))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     store, where = _at(spark, path)
     stream = store.open(where)

@@ -160,6 +160,12 @@ class HashState:
         last = rows.groupBy("map_id").agg(F.max_by("sha", F.struct("seq", F.coalesce("sha", F.lit("")))).alias("sha"))
         return last.where("sha is not null")
 
+    def written(self) -> DataFrame:
+        """(seq, n): how many hashes each run wrote that the state still holds."""
+        held = self._held()
+        self.spark.catalog.refreshTable(self._table(held))
+        return self.spark.table(self._table(held)).where(F.col("seq").isin(held["seqs"])).groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
+
     def put(self, rows: DataFrame) -> None:
         """Take over (map_id, sha) of what was moved; a null sha takes a key out. Null keys leave no trace."""
         held = self._held()

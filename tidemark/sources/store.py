@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.types import wider
-from tidemark.sources.scratch import create_text, names, read_text, remove
+from tidemark.sources.scratch import create_text, local_rows, names, read_text, remove
 
 #: Values of the partition columns, as texts; None for null.
 Values = tuple[str | None, ...]
@@ -191,28 +191,28 @@ class Table:
         found = df.select(*[F.col(f"`{p}`").cast("string") for p in self.parts]).distinct().collect()
         return {tuple(v or None for v in row) for row in found}
 
-    def may_hold(self, keys: DataFrame) -> list[str]:
-        """The directories that may hold a row with one of these keys (the indexed column,
-        whatever its name): by the smallest and the largest key of each, and by its filter. Without an
-        index all of them."""
+    def may_hold(self, keys: DataFrame, known: tuple[int, Any, Any] | None = None) -> list[str]:
+        """The directories that may hold a row with one of these keys (of the indexed column's
+        values, whatever their name): by the smallest and largest key of each, and by its filter.
+        known: how many keys there are at most, the smallest and the largest as texts, where
+        they are known. Without an index all directories."""
         held = self.state()
-        known = {d: x for d, x in held.dirs.items() if "low" in x}
-        rest = [d for d in held.dirs if d not in known]
-        if not known or self.index is None:
+        marked = {d: x for d, x in held.dirs.items() if "low" in x}
+        if not marked or self.index is None or self.index not in held.schema.names:
             return list(held.dirs)
+        rest = [d for d in held.dirs if d not in marked]
         kind = held.schema[self.index].dataType
-        key = F.col(f"`{keys.columns[0]}`").cast(kind).alias("_key")
-        keys = keys.select(key).where("_key is not null").distinct()
-        low, high, n = keys.agg(F.min("_key").cast("string"), F.max("_key").cast("string"), F.count(F.lit(1))).first()
-        if not n:
+        keys = keys.select(F.col(f"`{keys.columns[0]}`").cast(kind).alias("_key")).where("_key is not null")
+        n, low, high = known or keys.agg(F.count(F.lit(1)), F.min("_key").cast("string"), F.max("_key").cast("string")).first()
+        if not n or low is None:
             return rest
-        # Bounds are compared by Spark, as values of the column's type.
-        rows = [(d, x["at"], x["low"], x["high"], x["blocks"]) for d, x in known.items()]
-        ranges = self.spark.createDataFrame(rows, "_dir string, _at string, low string, high string, _blocks long")
+        # Bounds are compared by Spark, as values of the column's type; a local relation needs no job.
+        rows = [(d, x["at"], x["low"], x["high"], x["blocks"]) for d, x in marked.items()]
+        ranges = local_rows(self.spark, rows, "_dir string, _at string, low string, high string, _blocks long")
         ranges = ranges.select("_dir", "_at", F.col("low").cast(kind).alias("_low"), F.col("high").cast(kind).alias("_high"), "_blocks")
         near = ranges.where((F.col("_high") >= F.lit(low).cast(kind)) & (F.col("_low") <= F.lit(high).cast(kind)))
-        found = {r["_dir"]: r["_at"] for r in near.select("_dir", "_at").collect()}
-        if n * len(found) > MOST_PROBES * max(held.rows, 1):
+        found = [r["_dir"] for r in near.select("_dir").collect()]
+        if not found or n * len(found) > MOST_PROBES * max(held.rows, 1):
             return [*rest, *found]
         pairs = keys.join(F.broadcast(near), F.col("_key").between(F.col("_low"), F.col("_high")))  # a row a directory at most, counted above
         paths = [f"{self.path}/index/{w}" for w in sorted({d.split("/")[0] for d in found})]
@@ -242,7 +242,7 @@ class Table:
             if indexed and r["low"] is not None:
                 entry |= {"low": r["low"], "high": r["high"], "blocks": -(-r["n"] // BLOCK_KEYS)}
         if indexed:
-            sizes = self.spark.createDataFrame([(x["at"], x["blocks"]) for x in out.values() if "low" in x] or [("", 1)], "_at string, _blocks long")
+            sizes = local_rows(self.spark, [(x["at"], x["blocks"]) for x in out.values() if "low" in x], "_at string, _blocks long")
             keyed = placed.where("_key is not null").join(F.broadcast(sizes), "_at").select("_at", *block_and_masks("_key", F.col("_blocks")))
             keyed.groupBy("_at", "block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(4)]).write.parquet(f"{self.path}/index/{own}")
         return out
@@ -393,10 +393,9 @@ def file_place() -> Column:
 def block_and_masks(key: str, blocks: Column) -> list[Column]:
     """The block of a key in a directory's filter, and the eight bits that it sets there, two
     in each of four words."""
-    first, bits = F.xxhash64(key), F.xxhash64(key, F.lit("bits"))
-    part = lambda i: F.call_function("shiftright", bits, F.lit(6 * i)).bitwiseAND(63).cast("int")
-    one = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), part(i))
-    return [F.pmod(first, blocks).alias("block"), *[one(2 * i).bitwiseOR(one(2 * i + 1)).alias(f"m{i}") for i in range(4)]]
+    bit = "shiftleft(1L, cast(shiftright(xxhash64({0}, 'bits'), {1}) & 63 as int))"
+    masks = [F.expr(f"{bit.format(key, 12 * i)} | {bit.format(key, 12 * i + 6)}").alias(f"m{i}") for i in range(4)]
+    return [F.pmod(F.xxhash64(key), blocks).alias("block"), *masks]
 
 
 def nullable(schema: T.StructType) -> T.StructType:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.project import partition_columns, surrogate_key
 from tidemark.functions.types import typed
+from tidemark.operators.change import free_name
+from tidemark.sources.store import Table
 
 RECORD_KEY = "dms_pkey"
 
@@ -34,16 +36,17 @@ def records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     offset are numbered as they stand in the batch: a batch that is run again numbers
     them alike, and its files replace those of the first try."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    wide = T.StructType([*kind.fields, T.StructField("_corrupt", T.StringType())])
+    corrupt = free_name(kind.names, "_corrupt")
+    wide = T.StructType([*kind.fields, T.StructField(corrupt, T.StringType())])
     place = [F.monotonically_increasing_id()] if isinstance(lines.schema["offset"].dataType, T.StringType) else []
     key = surrogate_key(F.col("topic"), F.col("partition"), F.col("offset"), *place).alias(RECORD_KEY)
-    read = lines.select(key, "value", F.from_json("value", wide, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
-    return read.withColumn("broken", F.col("r").isNull() | F.col("r._corrupt").isNotNull())
+    read = lines.select(key, "value", F.from_json("value", wide, {"columnNameOfCorruptRecord": corrupt}).alias("r"))
+    return read.withColumn("broken", F.col("r").isNull() | F.col(f"r.`{corrupt}`").isNotNull())
 
 
 def split(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records with their key, lines that are no JSON)."""
-    names = [f for f in read.schema["r"].dataType.names if f != "_corrupt"]
+    names = read.schema["r"].dataType.names[:-1]  # the last one holds lines that are no JSON
     return read.where(~F.col("broken")).select(RECORD_KEY, *[F.col(f"r.`{f}`").alias(f) for f in names]), read.where("broken").select(RECORD_KEY, "value")
 
 
@@ -82,54 +85,81 @@ def finished(df: DataFrame, fields: Mapping[str, str], parts: Mapping[str, str]
     return out.withColumnsRenamed(dict(names or {})), made
 
 
-#: What may be the name of a table's folder.
-FOLDER = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
+#: What may be the name of a route.
+ROUTE = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 
 
 class Router:
-    """foreachBatch sink. A batch is written to one directory a route: every route that its
-    records name, those in `routes` also where they get none. Records whose route is null
-    or no name for a folder go to <path>/_quarantine with their route. The directory of
-    a batch is overwritten, so that a batch which is run again after a failure leaves the
-    same rows; it bears the query's id, so that a query from another checkpoint, which
-    counts from 0 again, leaves it alone."""
-
-    def __init__(self, path: str, route: Callable[[DataFrame], Column], routes: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None, fields: Mapping[str, str], parts: Mapping[str, str] | None = None, names: Mapping[str, str] | None = None):
+    """foreachBatch sink. All records go to one versioned table, `records`, with the route as its
+    first partition column: a batch is one write and one version, so a reader sees all of
+    its routes or none. The version holds the query's id and the batch's number: a batch that is run again
+    after a failure adds nothing, and a query from another checkpoint, which counts from 0 again,
+    is told apart. Records whose route is null or no name go to the table `quarantine`,
+    with lines that are no JSON; its version comes first.
+
+    Routes in `routes` are there without a record as well."""
+
+    def __init__(self, spark: SparkSession, path: str, route: Callable[[DataFrame], Column], routes: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None, fields: Mapping[str, str], parts: Mapping[str, str] | None = None, names: Mapping[str, str] | None = None):
         self.path, self.route, self.routes, self.transform = path.rstrip("/"), route, list(routes), transform
         self.fields, self.parts, self.names = fields, parts, names
-
-    def __call__(self, batch: DataFrame, number: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        name = f"{query}-{number}" if query else str(number)
-        routed = batch.withColumn("_route", self.route(batch)).persist()
-        try:
-            fits = F.coalesce(F.col("_route").rlike(FOLDER), F.lit(False))
-            named = {r["_route"] for r in routed.where(fits).select("_route").distinct().collect()}  # one row a table
-            for route in sorted({*self.routes, *named}):
-                own = routed.where(F.col("_route") == route).drop("_route")
-                own = self.transform(own) if self.transform else own
-                out, made = finished(own, self.fields, self.parts, self.names)
-                writer = out.hint("rebalance", *made).write if made else out.write
-                writer = writer.mode("overwrite")
-                (writer.partitionBy(*made) if made else writer).parquet(f"{self.path}/{route}/batch={name}")
-            lost = routed.where(~fits)
-            lost.select(RECORD_KEY, F.to_json(F.struct(*[f"`{c}`" for c in batch.columns if c != RECORD_KEY])).alias("value"), F.col("_route").alias("route")).write.mode("overwrite").parquet(f"{self.path}/_quarantine/routes/batch={name}")
-        finally:
-            routed.unpersist()
+        self.records, self.quarantine = Table(spark, f"{self.path}/records"), Table(spark, f"{self.path}/quarantine", ["kind"])
+
+    def transaction(self, spark: SparkSession, number: int) -> tuple[str, int]:
+        return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch", number
+
+    def __call__(self, batch: DataFrame, number: int, bad: DataFrame | None = None) -> None:
+        """Records with their key, and lines that are no JSON (key, value)."""
+        once = self.transaction(batch.sparkSession, number)
+        if self.records.done(once):
+            return
+        own = free_name([*batch.columns, *self.fields], "route")
+        routed = batch.withColumn(own, self.route(batch))
+        fits = F.coalesce(F.col(own).rlike(ROUTE), F.lit(False))
+        text = F.to_json(F.struct(*[f"`{c}`" for c in batch.columns if c != RECORD_KEY]))
+        lost = routed.where(~fits).select(RECORD_KEY, text.alias("value"), F.col(own).alias("route"), F.lit("routes").alias("kind"))
+        if bad is not None:
+            lost = lost.unionByName(bad.select(RECORD_KEY, "value", F.lit(None).cast("string").alias("route"), F.lit("lines").alias("kind")))
+        self.quarantine.append(lost, once)
+        out, made = finished(self.transformed(routed.where(fits), own), {**self.fields, own: "str"}, self.parts, self.names)
+        if not self.records.exists():
+            self.records.wanted = [own, *made]
+        self.records.append(out, once)
+
+    def transformed(self, routed: DataFrame, own: str) -> DataFrame:
+        """The records through the transform, with their route. A transform that hands on columns it
+        doesn't know works on all routes at once; one with a fixed result on one after another."""
+        if self.transform is None:
+            return routed
+        out = self.transform(routed)
+        if own in out.columns:
+            return out
+        named = sorted(r[0] for r in routed.select(own).distinct().collect())  # one row a route
+        each = lambda r: self.transform(routed.where(F.col(own) == r).drop(own)).withColumn(own, F.lit(r))
+        return reduce(DataFrame.unionByName, [each(r) for r in named]) if named else self.transform(routed.drop(own)).withColumn(own, F.lit(None).cast("string"))
+
+    def read(self, route: str, version: int | None = None) -> DataFrame:
+        """The records of a route, without the column that names it."""
+        held = self.records.state(version)
+        if held is None:
+            raise ValueError("no batch was written yet")
+        own = {held.values(d) for d in held.dirs if held.values(d)[0] == route}
+        if not own and route not in self.routes:
+            raise ValueError(f"no route {route}")
+        return self.records.read(own, held.number).drop(held.parts[0])
+
+    def set_aside(self, kind: str) -> DataFrame:
+        """What no route has: 'routes' or 'lines'."""
+        return self.quarantine.read({(kind,)}).drop("kind")
 
 
 def run_router(lines: DataFrame, schema: T.StructType | str, sink: Router, checkpoint: str, trigger: Mapping[str, object] | None = None):
-    """Start the stream; with no trigger it takes what is there and ends. A batch is parsed
-    once. Lines that are no JSON go to <path>/_quarantine/lines, records without a table
-    to <path>/_quarantine/routes."""
+    """Start the stream; with no trigger it takes what is there and ends. A batch is parsed once."""
 
     def both(batch: DataFrame, number: int) -> None:
         read = records(batch, schema).persist()
         try:
             good, bad = split(read)
-            sink(good, number)
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            bad.write.mode("overwrite").parquet(f"{sink.path}/_quarantine/lines/batch={f'{query}-{number}' if query else number}")
+            sink(good, number, bad)
         finally:
             read.unpersist()
 
