@@ -132,22 +132,18 @@ def mirror_deleted(dest: DataFrame, source: DataFrame, key: str, full: bool = Fa
     return bound.join(source.select(key).distinct(), key, "left_anti")
 
 
-def digests(keys: DataFrame, key: str, ranges: int) -> DataFrame:
-    """(range, n, digest): keys are dealt to ranges of their hashes; of each range how many keys it
-    holds, and the exclusive or and the sum of their hashes."""
-    h = F.xxhash64(f"`{key}`")
-    own = keys.select(key_range(key, ranges).alias("range"), h.alias("h"))
-    return own.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.struct(F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38,0)"))).alias("digest"))
-
-
 def key_range(key: str, ranges: int) -> Column:
-    return F.pmod(F.xxhash64(f"`{key}`", F.lit("range")), F.lit(ranges))
+    return F.pmod(F.xxhash64(F.col(f"`{key}`").cast("string"), F.lit("range")), F.lit(ranges))
 
 
-def differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    """The ranges whose digests differ, or that one side lacks."""
-    b = b.select("range", F.col("n").alias("m"), F.col("digest").alias("other"))
-    return a.join(b, "range", "full").where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("digest").eqNullSafe(F.col("other")))).select("range")
+def ranges_apart(a: DataFrame, b: DataFrame) -> list[int]:
+    """The ranges in which two sides don't hold the same rows, of (range, h), h a hash of 64 bits:
+    their number, the exclusive or and the sum of their hashes differ. One aggregation of
+    both sides; a null hash sets its range apart. At most as many as there are ranges."""
+    both = a.select("range", "h", F.lit(1).alias("side")).unionByName(b.select("range", "h", F.lit(-1).alias("side")))
+    total = F.sum(F.col("h").cast("decimal(38,0)") * F.col("side"))
+    summed = both.groupBy("range").agg(F.sum("side").alias("n"), F.bit_xor("h").alias("x"), total.alias("s"), F.count_if(F.col("h").isNull()).alias("alone"))
+    return [r["range"] for r in summed.where("n <> 0 or x <> 0 or s <> 0 or alone > 0").select("range").collect()]
 
 
 #: Ranges that key sets are compared by: as many keys in each as this, in so many ranges at most.
@@ -159,12 +155,13 @@ def keys_gone(dest: DataFrame, source: DataFrame, key: str, n: int) -> DataFrame
     only keys of ranges that differ are joined, so nothing is shuffled where the sides agree. n: about how many keys there are. Null keys stay."""
     ranges = min(MOST_RANGES, max(16, n // RANGE_KEYS))
     dest = dest.where(F.col(f"`{key}`").isNotNull())
-    apart = differing(digests(dest, key, ranges), digests(source, key, ranges)).collect()  # MOST_RANGES at most
+    side = lambda df: df.select(key_range(key, ranges).alias("range"), F.xxhash64(f"`{key}`").alias("h"))
+    apart = ranges_apart(side(dest), side(source))
     if not apart:
         return dest.limit(0)
     if len(apart) > ranges // 2:
         return dest.join(source.select(key).distinct(), key, "left_anti")
-    own = F.broadcast(local_rows(dest.sparkSession, [(r["range"],) for r in apart], "range long"))
+    own = F.broadcast(local_rows(dest.sparkSession, [(r,) for r in apart], "range long"))
     at = free_name(dest.columns, "range")
     near = lambda df: df.withColumn(at, key_range(key, ranges)).join(own.withColumnRenamed("range", at), at, "left_semi").drop(at)
     return near(dest).join(near(source.select(key)), key, "left_anti")

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.change import MOST_RANGES, RANGE_KEYS, differing, free_name
+from tidemark.operators.change import MOST_RANGES, RANGE_KEYS, free_name, key_range, ranges_apart
 from tidemark.operators.select import earlier
-from tidemark.sources.scratch import local_rows, remove, scratch_path
+from tidemark.sources.scratch import local_rows
 
 
 def sampled(df: DataFrame, key: str, of: int, take: int = 1) -> DataFrame:
@@ -69,56 +69,28 @@ def canonical(c: Column, kind: T.DataType, side: str, seconds: int = 0) -> Colum
     return F.when(c.isNull(), "").otherwise(F.coalesce(F.concat(F.lit("="), shown.cast("string")), F.lit(side)))
 
 
-def checksums(df: DataFrame, key: str, columns: Sequence[str], kinds: T.StructType, side: str, leaves: int, seconds: int = 0) -> DataFrame:
-    """(range, n, digest) of each range of the keys' hashes: how many rows, and the exclusive or and
-    the sum of their hashes. Rows of a null key, which match none, make a range differ."""
-    row = F.xxhash64(F.col(f"`{key}`").cast("string"), *[canonical(F.col(f"`{c}`"), kinds[c].dataType, side, seconds) for c in columns])
-    held = df.select(leaf(key, leaves).alias("range"), row.alias("h"), F.when(F.col(f"`{key}`").isNull(), side).alias("alone"))
-    return held.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.struct(F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38,0)")), F.coalesce(F.max("alone"), F.lit(""))).alias("digest"))
-
-
-def leaf(key: str, leaves: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(f"`{key}`").cast("string"), F.lit("leaf")), F.lit(leaves))
-
-
-#: Leaves that are summed up in one node of the tree above them.
-FAN = 64
-
-
-def ranges_apart(a: DataFrame, b: DataFrame) -> list[int]:
-    """The ranges whose checksums differ. Nodes of FAN ranges are compared first, then the
-    ranges under nodes that differ alone."""
-    sums = lambda df: df.groupBy(F.floor(F.col("range") / FAN).alias("range")).agg(F.sum("n").alias("n"), F.bit_xor(F.xxhash64("range", "n", "digest")).alias("digest"))
-    nodes = [r["range"] for r in differing(sums(a), sums(b)).collect()]
-    if not nodes:
-        return []
-    under = lambda df: df.where(F.floor(F.col("range") / FAN).isin(nodes))
-    return [r["range"] for r in differing(under(a), under(b)).collect()]
-
-
 def compare_tree(source: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None, seconds: int = 0, leaves: int | None = None) -> DataFrame:
     """The rows of compare(), for keys that a side holds once. Both sides are summed up by
-    ranges of their keys' hashes; only ranges that differ are joined column by column, so tables that
-    are equal are compared without a join. leaves: how many ranges; by default one for
-    RANGE_KEYS rows, MOST_RANGES at most, which bounds what the driver sees."""
+    ranges of their keys' hashes, in one aggregation; only ranges that differ are joined column by
+    column, so tables that are equal are compared without a join. leaves: how many ranges; by
+    default one for RANGE_KEYS rows, MOST_RANGES at most, which bounds what the driver sees."""
     spark = source.sparkSession
     own = [c for c in columns or source.columns if c != key and not c.startswith("parquet_format")]
-    leaves = leaves or min(MOST_RANGES, max(FAN, source.count() // RANGE_KEYS))
-    sums = [scratch_path(spark, "checksums") for _ in range(2)]
-    for df, side, path in ((source, "source", sums[0]), (dest, "dest", sums[1])):
-        checksums(df, key, own, source.schema, side, leaves, seconds).write.parquet(path)
-    apart = ranges_apart(*[spark.read.parquet(path) for path in sums])
-    for path in sums:
-        remove(spark, path)
-    none = F.array().cast("array<string>")
-    shown = [F.col(f"`{key}`"), F.lit("ok").alias("status"), none.alias("wrong")]
+    leaves = leaves or min(MOST_RANGES, max(16, source.count() // RANGE_KEYS))
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        row = F.xxhash64(F.col(f"`{key}`").cast("string"), *[canonical(F.col(f"`{c}`"), source.schema[c].dataType, side, seconds) for c in own])
+        return df.select(key_range(key, leaves).alias("range"), F.when(F.col(f"`{key}`").isNotNull(), row).alias("h"))  # null keys match none
+
+    apart = ranges_apart(summed(source, "source"), summed(dest, "dest"))
+    shown = [F.col(f"`{key}`"), F.lit("ok").alias("status"), F.array().cast("array<string>").alias("wrong")]
     if not apart:
         return source.select(*shown)
     if len(apart) == leaves:
         return compare(source, dest, key, own, seconds)
     at = free_name([*source.columns, *dest.columns], "range")
     ranges = F.broadcast(local_rows(spark, [(r,) for r in apart], "range long").withColumnRenamed("range", at))
-    part = lambda df, how: df.withColumn(at, leaf(key, leaves)).join(ranges, at, how).drop(at)
+    part = lambda df, how: df.withColumn(at, key_range(key, leaves)).join(ranges, at, how).drop(at)
     return part(source, "left_anti").select(*shown).unionByName(compare(part(source, "left_semi"), part(dest, "left_semi"), key, own, seconds))
 
 
