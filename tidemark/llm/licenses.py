@@ -92,15 +92,30 @@ FAMILIES = (
 VERSION = rf",?{S}(?:version{S}|v\.?\s?)?\d{{1,2}}(?:\.\d{{1,2}})?"
 #: Forms that a license is told in: name, priority, confidence, pattern around {name} or {spdx}.
 FORMS = (
-    ("identifier", 5, 1.0, r"spdx-licen[cs]e-identifier:\s*(?:{spdx})"),
+    ("identifier", 5, 1.0, r"spdx-licen[cs]e-identifier:[\s(]*(?:{spdx})"),
+    ("left", 5, 1.0, r"(?<![a-z0-9.-])(?:{spdx})\)*\s{1,4}(?:or|and|with)\s"),
+    ("right", 5, 1.0, r"(?<![a-z0-9])(?:or|and)\s{1,4}\(*(?:{spdx})(?![a-z0-9])"),
     ("field", 4, 0.9, r"(?<![a-z])licen[cs]es?[\"']?\s*[:=]\s*[\"'(\[]{0,2}(?:{spdx})(?![a-z0-9])"),
     ("grant", 4, 0.95, r"(?:licensed|released|distributed|published|available|redistributed){s}under{s}(?:the{s}terms{s}of{s})?(?:the{s}|an?{s})?(?:{name})(?:{version})?"),
     ("version", 3, 0.85, r"(?:{name}){version}"),
     ("mention", 2, 0.7, r"(?:see|under|of|per|with){s}(?:the{s}|an?{s})(?:{name})"),
     ("name", 1, 0.5, r"(?:{name})"),
 )
-#: Forms that hold a license's id, and their keywords.
-BY_ID = {"identifier": "spdx", "field": "license|licence"}
+#: Forms that hold a license's id, and their keywords. Sides of an expression (mit or apache-2.0) count
+#: only in texts that hold an identifier.
+BY_ID = {"identifier": "spdx", "left": "spdx", "right": "spdx", "field": "license|licence"}
+#: What a name is followed by where no license is meant: a license plate, the license he took.
+NO_LICENSE = rf"(?!{S}(?:plates?|numbers?|holders?|he|she|they|we|i|was|he's){S}|{S}plates?(?![a-z]))"
+#: Licenses by their short names: label, keyword, what the name looks like. A number follows it.
+SHORT = (
+    ("gpl", "gpl", "gpl"), ("lgpl", "lgpl", "lgpl"), ("agpl", "agpl", "agpl"), ("apache", "apache", "apache"), ("mpl", "mpl", "mpl"), ("epl", "epl", "epl"),
+    ("cddl", "cddl", "cddl"), ("eupl", "eupl", "eupl"), ("cecill", "cecill", "cecill"),
+)
+#: Licenses as they are named in German, French and Spanish: label, keyword, name.
+ABROAD = (
+    ("mit", "mit", "mit"), ("apache", "apache", "apache"), ("gpl", "gpl", "(?:gnu[ -])?gpl"), ("lgpl", "lgpl", "(?:gnu[ -])?lgpl"), ("bsd", "bsd", "bsd"), ("mpl", "mozilla|mpl", "(?:mozilla(?:[ -]public)?|mpl)"),
+    ("eupl", "eupl", "eupl"), ("creative-commons", "commons", "creative[ -]commons"),
+)
 #: Rules of no one license: label, keywords, priority, confidence, pattern.
 PLAIN = (
     ("reserved", "reserved", 2, 0.8, rf"all{S}rights{S}(?:are{S})?reserved"),
@@ -116,6 +131,13 @@ PLAIN = (
     ("permissive", "permission", 2, 0.6, rf"permission{S}is{S}hereby{S}granted,?{S}free{S}of{S}charge"),
     ("permissive", "redistribution", 2, 0.6, rf"redistribution{S}and{S}use{S}in{S}source{S}and{S}binary{S}forms"),
     ("copyleft", "free", 2, 0.6, rf"free{S}software[;:,]?{S}you{S}can{S}redistribute{S}it"),
+    ("bsd", "clause", 3, 0.85, rf"(?<![a-z0-9])(?:bsd[ -][0234][ -]clause|[0234][ -]clause{S}bsd)(?![a-z0-9])"),
+    ("cc0", "cc0", 3, 0.8, rf"(?<![a-z0-9])cc0(?:[ -]1\.0)?(?![a-z0-9])"),
+    ("reserved", "rechte", 2, 0.8, rf"alle{S}rechte{S}(?:sind{S})?vorbehalten"),
+    ("reserved", "droits", 2, 0.8, rf"tous{S}droits{S}r(?:é|e)serv(?:é|e)s"),
+    ("reserved", "derechos", 2, 0.8, rf"todos{S}los{S}derechos{S}reservados"),
+    ("gpl", "allgemeine|générale|general", 3, 0.8, rf"(?:allgemeine{S}(?:öffentliche|public){S}lizenz|licence{S}publique{S}générale|licencia{S}p(?:ú|u)blica{S}general)(?:{S}(?:de{S})?gnu)?"),
+    ("public-domain", "gemeinfrei|public|público", 2, 0.5, rf"(?<![a-zäöüß])gemeinfrei(?![a-z])|dans{S}le{S}domaine{S}public|de{S}dominio{S}público"),
 )
 #: The wording of licenses, headers and notices, lower-cased; a space stands for
 #: any gap between two words, and <n> for up to n signs that differ from text to text.
@@ -281,9 +303,14 @@ def rule_list() -> list[tuple[int, str, str, int, float, str]]:
     for form, priority, confidence, around in FORMS:
         for label, keyword, name, spdx in FAMILIES:
             pattern = around.replace("{s}", S).replace("{version}", VERSION).replace("{name}", name).replace("{spdx}", spdx)
-            bounded = pattern if form in BY_ID else rf"(?<![a-z0-9]){pattern}(?![a-z0-9])"
+            bounded = pattern if form in BY_ID else rf"(?<![a-z0-9]){pattern}(?![a-z0-9])" + NO_LICENSE * (form in ("mention", "name"))
             rules.append((label, BY_ID.get(form, keyword), priority, confidence, bounded))
     rules += PLAIN
+    for label, keyword, name in SHORT:
+        number = rf"[ ,-]{{0,2}}(?:v(?:ersion{S})?\.?\s?)?[1-4](?:\.\d)?(?:\+|-or-later|-only)?(?![a-z0-9]|\.\d)"
+        rules.append((label, keyword, 3, 0.8, rf"(?<![a-z0-9])(?:(?:gnu|the|under|apache){S}){{0,2}}{name}{number}"))
+    for label, keyword, name in ABROAD:
+        rules.append((label, keyword, 2, 0.7, rf"(?<![a-zäöüß0-9])(?:{name}[ -]lizenz(?:en)?|licence{S}(?:publique{S})?{name}|licencia{S}(?:p(?:ú|u)blica{S})?{name})(?:{VERSION})?(?![a-z0-9])"))
     rules += [(label, keyword, priority, confidence, rf"(?<![a-z0-9]){told(pattern)}") for label, keyword, priority, confidence, pattern in SIGNATURES]
     return [(i, *r) for i, r in enumerate(rules)]
 
