@@ -78,8 +78,9 @@ def named_out(names: str, of: frozenset[str]) -> bool:
     return False
 
 
-def is_out(tag: str, rest: str, in_main: bool, by_name: bool = True) -> bool:
-    """Whether an element and all in it are no main text."""
+def is_out(tag: str, rest: str, in_main: bool, by_name: bool = True, loose: bool = False) -> bool:
+    """Whether an element and all in it are no main text. loose: an element that is named as
+    main text as well is, but for comments, whatever its other names say."""
     if tag in OUT or tag == "header" and not in_main:
         return True
     if not rest or "=" not in rest and "hidden" not in rest:
@@ -91,7 +92,7 @@ def is_out(tag: str, rest: str, in_main: bool, by_name: bool = True) -> bool:
         return True
     if tag in ("html", "body") or not (by_name or in_main):
         return False
-    return named_out(f"{found.get('class', '')} {found.get('id', '')}", COMMENTS if tag in MAIN else NAMES_OUT)
+    return named_out(f"{found.get('class', '')} {found.get('id', '')}", COMMENTS if tag in MAIN or loose and is_named(tag, rest) else NAMES_OUT)
 
 
 def is_named(tag: str, rest: str) -> bool:
@@ -108,16 +109,21 @@ def blocks_of(page: str | None) -> list[tuple[str, str]]:
 
     White space in a block is one space, character references are decoded, markup
     is gone. Unclosed elements end with the element around them, or the page. Where the
-    only main regions lie in elements that their names rule out, the names don't count."""
+    only main regions lie in elements that their names rule out, the names don't count; where
+    nothing else is left, elements named as main text count in spite of their other names, such as
+    those of a layout (content sidebar-right)."""
     page = page or ""
     found = _blocks(page, True)
+    if all(k == "out" for k, _ in found) and found:
+        again = _blocks(page, True, True)
+        found = again if any(k != "out" for k, _ in again) else found
     if not any(k == "main" for k, _ in found) and re.search(r"<(?:article|main)\b", page, re.I):
         again = _blocks(page, False)
         return again if any(k == "main" for k, _ in again) else found
     return found
 
 
-def _blocks(page: str, by_name: bool) -> list[tuple[str, str]]:
+def _blocks(page: str, by_name: bool, loose: bool = False) -> list[tuple[str, str]]:
     found: list[tuple[str, str]] = []
     text: list[str] = []
     out_tag, out_depth, main_depth, at, place = "", 0, 0, 0, "open"
@@ -157,7 +163,7 @@ def _blocks(page: str, by_name: bool) -> list[tuple[str, str]]:
                 out_depth += -1 if ends else not m["rest"].endswith("/")
                 if out_tag == "p" and not ends:  # a paragraph ends where the next begins
                     out_depth -= 1
-                    out_depth = 0 if not is_out(tag, m["rest"], main_depth > 0, by_name) else out_depth
+                    out_depth = 0 if not is_out(tag, m["rest"], main_depth > 0, by_name, loose) else out_depth
             elif out_tag == "p" and tag in BLOCK and tag != "br":
                 out_depth = 0
             elif ends and tag in ("body", "html") or ends and tag in MAIN and main_depth:
@@ -174,7 +180,7 @@ def _blocks(page: str, by_name: bool) -> list[tuple[str, str]]:
             elif named_depth and tag == named_tag:
                 named_depth -= 1
         elif tag not in VOID:
-            if is_out(tag, m["rest"], main_depth > 0, by_name):
+            if is_out(tag, m["rest"], main_depth > 0, by_name, loose):
                 if not m["rest"].endswith("/"):
                     close()
                     out_tag, out_depth = tag, 1
