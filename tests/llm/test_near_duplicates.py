@@ -12,9 +12,10 @@ def plain(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-@pytest.mark.parametrize("cell_rows", [8192, 8])
-def test_stage_against_all_pairs(spark, monkeypatch, cell_rows):
+@pytest.mark.parametrize("cell_rows,cell_bytes", [(8192, 64 << 20), (8, 64 << 20), (8192, 4000)])
+def test_stage_against_all_pairs(spark, monkeypatch, cell_rows, cell_bytes):
     monkeypatch.setattr(simhash, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(simhash, "CELL_BYTES", cell_bytes)
     rng, rows = np.random.default_rng(4), []
     for i in range(40):
         words = [f"w{x}" for x in rng.integers(0, 4000, 200)]

@@ -67,9 +67,23 @@ def test_corner_cases_go_through(spark, docs, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1}
 
 
+def test_columns_may_have_any_name(spark, monkeypatch, tmp_path):
+    """Columns of the names that stages use themselves come out as they went in, also with a
+    benchmark in several blocks."""
+    monkeypatch.setattr(decontaminate, "BLOCK_SIGNS", 60)
+    names = ["_row", "ROW", "row", "row_", "first", "label", "digest", "hit", "window", "items", "key", "score"]
+    say = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    docs = spark.createDataFrame([(i, say(i % 4), *[f"R{i}"] * (len(names) - 1)) for i in range(6)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names if n != "ROW"))
+    spark.createDataFrame([(i, f"{say(9)} {i} {say(3)}" if i == 5 else f"{say(20 + i)}") for i in range(8)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    single = corpus_pipeline.near_duplicates(spark, docs, "")
+    clean = corpus_pipeline.decontamination(spark, single, str(tmp_path))
+    assert single.columns == docs.columns == clean.columns
+    assert {(r["doc_id"], *r[2:]) for r in clean.collect()} == {(i, *[f"R{i}"] * (len(names) - 1)) for i in range(3)}
+
+
 def test_registered():
     known = __spark_entry__.queries()
-    assert "pipeline" in known and sum(n.startswith("op") and n[2].isdigit() for n in known) == 10
+    assert "pipeline" in known and sum(n.startswith("op") and n[2].isdigit() for n in known) == 13
     assert set(__spark_entry__.oracle_sql()) <= set(known)
 
 
@@ -85,7 +99,8 @@ def test_nulls_in_every_column(spark, tmp_path):
     }
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
-    of = {"op3_host_suffix_array": 2, "op7_reply_trees": 3, "op8_deficit_packing": None}
+    spark.createDataFrame([(None, None), (1, [1.0, 0.0]), (50, [0.0, 2.0])], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    of = {"op3_host_suffix_array": 2, "op7_reply_trees": 3, "op8_deficit_packing": None, "op12_collision_counting": 1, "op13_bag_classes": None}
     for name, query in __spark_entry__.queries().items():
         if name.startswith("op") and name[2].isdigit():
             n = len(query(spark, str(tmp_path)).collect())

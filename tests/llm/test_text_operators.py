@@ -802,3 +802,30 @@ def test_encoder_gives_the_librarys_ids():
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<div class='content sidebar-right'><h1>Head</h1><p>Body</p></div><div class='menu'>Home</div>", "Head Body"),
+        ("<body><div class='page-banner post'><p>Body</p></div></body>", "Body"),
+        ("<div id='post-related-content'><p>Body</p></div><footer>f</footer>", "Body"),
+        ("<div class='comment content'><p>said</p></div>", ""),
+        ("<div class='menu'>Home</div>", ""),
+        ("<div class='sidebar-right'>x</div><div class='content'><p>Body</p></div>", "Body"),
+    ],
+)
+def test_names_of_layouts(spark, page, text):
+    assert " ".join(t for k, t in html_text.blocks_of(page) if k != "out") == text
+
+
+def test_windows_of_many_items_fill_blocks(spark, monkeypatch):
+    """A window that stands in every item counts by the ids beside it; results are as with one block."""
+    line = " ".join(f"same{i}" for i in range(10))
+    items = spark.createDataFrame([(i, f"{line} own{i}") for i in range(300)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {line} own7"), (2, "none")], "doc_id long, text string")
+    shown = lambda: sorted((r["doc_id"], len(r["items"]), r["n"]) for r in decontaminate.find_overlap(docs, items).withColumn("n", decontaminate.word_total("spans")).collect())
+    want = shown()
+    assert want == [(1, 300, 11), (2, 0, 0)]
+    monkeypatch.setattr(decontaminate, "BLOCK_SIGNS", 12_000)
+    assert len(decontaminate.blocks_of(items, 10, "item_id", "text")) > 1 and shown() == want

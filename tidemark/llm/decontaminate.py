@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SLICE_ROWS, filter_slices, map_slices, staged
+from tidemark.operators.change import free_name
 
 #: Signs of distinct windows that one automaton holds about; further windows go to further
 #: ones. A sign takes some 45 bytes of a worker's memory (measured), so this is 180 MB.
 BLOCK_SIGNS = 4_000_000
+#: Signs that an item's id beside a window counts for.
+ID_SIGNS = 2
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 #: ASCII to lower case letters and digits, all else below 128 to a space.
@@ -124,7 +127,8 @@ def blocks_of(items: DataFrame, size: int, key: str, text: str, most: int | None
 
     held = items.select(key, text).mapInArrow(cut, kind).groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
     held = staged(held, "windows")
-    signs = held.agg(F.sum(F.char_length("window") + 2)).first()[0]
+    # An id beside a window counts as ID_SIGNS signs, so a window of very many items fills a block.
+    signs = held.agg(F.sum(F.char_length("window") + 2 + ID_SIGNS * F.size("items"))).first()[0]
     if not signs:
         return [Block("none", None)]
     n = -(-signs // most)
@@ -179,20 +183,21 @@ def find_overlap(docs: DataFrame, items: DataFrame, size: int = 10, key: str = "
     if len(blocks) == 1:
         return over(base, blocks[0], schema)
     # Each row gets a number of its own, so that repeated rows stay apart when blocks are merged.
-    numbered = staged(base.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    by_row = T.StructType([T.StructField("_row", T.LongType()), *schema.fields[1:]])
-    parts = [over(numbered.select("_row", text), block, by_row) for block in blocks]
+    own = free_name([key, text, *schema.names], "row")
+    numbered = staged(base.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    by_row = T.StructType([T.StructField(own, T.LongType()), *schema.fields[1:]])
+    parts = [over(numbered.select(own, text), block, by_row) for block in blocks]
     first, rest = parts[0], parts[1].where("size(spans) > 0")
     for part in parts[2:]:
         rest = rest.unionByName(part.where("size(spans) > 0"))
     # Only rows with hits go on to the merge; the first block's scan has every row.
-    merged = first.unionByName(rest).groupBy("_row").agg(
+    merged = first.unionByName(rest).groupBy(own).agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.flatten(F.collect_list("chars"))).alias("chars"),
     )
-    return numbered.select("_row", key).join(merged, "_row").drop("_row")
+    return numbered.select(own, key).join(merged, own).drop(own)
 
 
 def word_total(spans: str) -> F.Column:
@@ -220,9 +225,10 @@ def keep_clean(docs: DataFrame, items: DataFrame, size: int = 10, text: str = "t
 
     if len(blocks) == 1:
         return filter_slices(docs, hit(blocks[0], False), text)
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = [filter_slices(rows.select("_row", text), hit(block, True), text).select("_row") for block in blocks]
+    own = free_name(docs.columns, "row")
+    rows = staged(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    found = [filter_slices(rows.select(own, text), hit(block, True), text).select(own) for block in blocks]
     gone = found[0]
     for part in found[1:]:
         gone = gone.unionByName(part)
-    return rows.join(gone.distinct(), "_row", "left_anti").select(*docs.columns)
+    return rows.join(gone.distinct(), own, "left_anti").select(*docs.columns)

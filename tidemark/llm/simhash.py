@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_slices, staged
 from tidemark.llm.components import smallest_labels
+from tidemark.operators.change import free_name
 
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Rows of one blocking value that a task compares at once.
 CELL_ROWS = 8192
+#: Bytes of shingles of one blocking value that a task compares at once.
+CELL_BYTES = 64 << 20
 #: Rows from which a fingerprint's rows are no longer dealt to one task, and how many such
 #: fingerprints may be sent to every task.
 HOT_ROWS, MOST_HOT = 100_000, 1_000_000
@@ -326,15 +329,16 @@ def similar_forest(fp: np.ndarray, cell: np.ndarray, sets: list[np.ndarray], sim
 
 def similar_links(groups: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """(u, v): digests of texts of at least the similarity, whose closure is that of all such
-    pairs with a band in common. groups: digest, row, bands; texts: row, text."""
-    cells = groups.select("digest", F.explode("bands").alias("cell"))
-    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("digest")).alias("members")).where("n > 1")
-    # Cells of the same members are compared once.
-    counts = staged(counts.groupBy("members", "n").agg(F.min("cell").alias("cell")).select("cell", F.ceil(F.col("n") * 2 / CELL_ROWS).cast("int").alias("parts"), "n"), "cells")
+    pairs with a band in common. groups: digest, row, words (distinct shingles), bands; texts: row, text."""
+    cells = groups.select("digest", "words", F.explode("bands").alias("cell"))
+    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("words") * 8).alias("bytes"), F.bit_xor(F.xxhash64("digest")).alias("members")).where("n > 1")
+    # Cells of the same members are compared once. A task holds as many rows or bytes as half a cell may have, twice.
+    share = F.greatest(F.col("n") / CELL_ROWS, F.col("bytes") / CELL_BYTES)
+    counts = staged(counts.groupBy("members", "n", "bytes").agg(F.min("cell").alias("cell")).select("cell", F.least(F.ceil(share * 2), F.col("n")).cast("int").alias("parts"), share.alias("share")), "cells")
     dealt = cells.join(counts, "cell")
-    cold = dealt.where(F.col("n") <= CELL_ROWS).select("digest", "cell")
+    cold = dealt.where("share <= 1").select("digest", "cell")
     split = (
-        dealt.where(F.col("n") > CELL_ROWS)
+        dealt.where("share > 1")
         .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .where("part <> other")
@@ -382,23 +386,24 @@ def similar_links(groups: DataFrame, texts: DataFrame, size: int, similarity: fl
 def keep_distinct(docs: DataFrame, size: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of texts that a chain of pairs links whose distinct word
     shingles have a Jaccard similarity of at least the given one: that of the smallest
-    key, nulls last, and of the first such row. Every column stays as it was."""
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    texts = rows.select(F.col("_row").alias("row"), F.col(text).alias("text"))
+    key, nulls last, and of the first such row. Every column, whatever its name, stays as it was."""
+    own = free_name(docs.columns, "row")
+    rows = staged(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col(own).alias("row"), F.col(text).alias("text"))
 
     def make():
         def f(batch: pa.RecordBatch) -> dict[str, list]:
             sets = [shingles(t, size) for t in batch.column(2).to_pylist()]
             digest = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)
-            return {"row": batch.column(0), "key": batch.column(1), "digest": digest, "bands": [band_values(x) for x in sets]}
+            return {"row": batch.column(0), "key": batch.column(1), "digest": digest, "words": [len(x) for x in sets], "bands": [band_values(x) for x in sets]}
 
         return f
 
-    given = rows.select(F.col("_row").alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-    marks = map_slices(given, make, f"row long, key {docs.schema[key].dataType.simpleString()}, digest long, bands array<long>")
+    given = rows.select(F.col(own).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    marks = map_slices(given, make, f"row long, key {docs.schema[key].dataType.simpleString()}, digest long, words long, bands array<long>")
     first = F.struct(F.col("key").isNull().alias("none"), "key", "row")
-    groups = staged(marks.groupBy("digest").agg(F.min(first).alias("first"), F.min_by("bands", "row").alias("bands")), "groups")
-    labels = smallest_labels(similar_links(groups.select("digest", "first.row", "bands"), texts, size, similarity))
+    groups = staged(marks.groupBy("digest").agg(F.min(first).alias("first"), F.min_by("bands", "row").alias("bands"), F.max("words").alias("words")), "groups")
+    labels = smallest_labels(similar_links(groups.select("digest", "first.row", "words", "bands"), texts, size, similarity))
     reached = groups.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("first", F.coalesce("label", "digest").alias("label"))
-    kept = reached.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = reached.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias(own))
+    return rows.join(kept, own, "left_semi").select(*docs.columns)
