@@ -35,6 +35,26 @@ def test_merge_inside_the_database(spark, tmp_path):
     assert readers.read_jdbc(spark, url(tmp_path), "t", options=DERBY).count() == 3  # nothing of a failed transaction stays
 
 
+def test_mirror_and_expiry_inside_the_database(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (9, "z"), (None, "n")], "k long, v string")
+    jdbc.write_jdbc(rows, url(tmp_path), "t", mode="overwrite", limits={"v": 8}, options=DERBY)
+    keys = lambda: sorted(r["v"] for r in readers.read_jdbc(spark, url(tmp_path), "t", options=DERBY).collect())
+    source = spark.createDataFrame([(1,), (3,), (3,), (None,)], "k long")
+    for full, force in ((False, False), (True, False)):
+        with pytest.raises(ValueError):
+            jdbc.mirror_jdbc(source.limit(0), "k", url(tmp_path), "t", full, force, options=DERBY)
+    jdbc.mirror_jdbc(source.limit(0), "k", url(tmp_path), "t", force=True, options=DERBY)
+    assert keys() == ["a", "b", "c", "n", "z"]
+    jdbc.mirror_jdbc(source, "k", url(tmp_path), "t", options=DERBY)
+    assert keys() == ["a", "c", "n", "z"]
+    jdbc.mirror_jdbc(source, "k", url(tmp_path), "t", full=True, options=DERBY)
+    assert keys() == ["a", "c"]
+    with pytest.raises(Exception, match="t_|T_|nowhere|NOWHERE"):
+        jdbc.mirror_jdbc(source, "k", url(tmp_path), "nowhere", options=DERBY)  # the stage goes all the same
+    left = spark.read.format("jdbc").option("url", url(tmp_path)).options(**DERBY).option("query", "SELECT COUNT(*) AS n FROM SYS.SYSTABLES WHERE TABLETYPE = 'T' AND TABLENAME <> 'T'").load()
+    assert left.first()[0] == 0
+
+
 def test_bounds_of_keys():
     for low, high, kind in [(0, 100, T.LongType()), ("00ab", "ffee", T.StringType()), ("Zed", "abc", T.StringType()), (dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 9), T.TimestampNTZType()), (dt.date(2020, 1, 1), dt.date(2020, 1, 9), T.DateType()), (5, 5, T.LongType())]:
         found = readers.cuts(low, high, kind, 4)

@@ -130,7 +130,7 @@ def test_a_sync_of_few_keys_opens_few_directories(spark, tmp_path, monkeypatch):
     state = StateLog(spark, f"{tmp_path}/s")
     jobs.sync(made(20_000, 0), spec, table, state, "2020-01-01 00:00:00")
     opened, plain = [], Table.read_dirs
-    monkeypatch.setattr(Table, "read_dirs", lambda self, dirs, places=False: (opened.append(list(dirs)), plain(self, dirs, places))[1])
+    monkeypatch.setattr(Table, "read_dirs", lambda self, dirs, *more: (opened.append(list(dirs)), plain(self, dirs, *more))[1])
     few = made(20_000, 10**9).where("v % 4000 = 7").withColumn("p", F.lit("moved"))
     held = {str(r[0] % 40) for r in spark.range(20_000).selectExpr("id").where(f"(id + {10**9}) % 4000 = 7").collect()}
     jobs.sync(few, spec, table, state, "2020-01-02 00:00:00")

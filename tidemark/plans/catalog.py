@@ -7,6 +7,7 @@ of the price where 5 divides the key. Run times are fixed.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -395,12 +396,12 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", typing.at_path(F.col("props"), "k").cast("bigint").alias("k"), typing.at_path(doc, "a.b c").alias("spaced"), typing.at_path(doc, "a.x.y").alias("missing"))
 
 
-HEX_ID = "lower(lpad(to_hex(cast(epoch(date_trunc('second', ts)) as bigint)), 8, '0')) || lpad(to_hex(event_id), 16, '0')"
+HEX_ID = "lower(lpad(to_hex(cast(epoch(date_trunc('second', ts)) as bigint)), 8, '0') || lpad(to_hex(event_id), 16, '0'))"
 
 
-def with_object_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_object_id(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     seconds = F.lpad(F.lower(F.hex(objectid.epoch_seconds(F.col("ts")))), 8, "0")
-    return table(spark, sf_dir, "events").select("event_id", F.concat(seconds, F.lpad(F.lower(F.hex("event_id")), 16, "0")).alias("_id"))
+    return table(spark, sf_dir, "events").select("event_id", F.concat(seconds, F.lpad(F.lower(F.hex("event_id")), 16, "0")).alias("_id"), *more)
 
 
 @query("select event_id, date_trunc('second', ts) as created, year(ts) as y, month(ts) as m, day(ts) as d from events")
@@ -417,6 +418,16 @@ def objectid_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_object_id(spark, sf_dir).where(objectid.before(F.col("_id"), select.moment(low + (high - low) / 2))).select("event_id")
 
 
+@query(f"select {HEX_ID} as _id, event_type, s as migration_snapshot_date from events, (select unnest([(select min(ts) + (max(ts) - min(ts)) / 2 from events), (select max(ts) + interval 1 day from events)]) as s) where date_trunc('second', ts) < date_trunc('second', s)")
+def dump_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of documents at two moments: each holds those made before, by their ids."""
+    held, docs = Table(spark, scratch_path(spark, "documents")), with_object_id(spark, sf_dir, "event_type").drop("event_id")
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    for at in (low + (high - low) / 2, high + dt.timedelta(days=1)):
+        jobs.dump(docs, jobs.SyncSpec("events", "_id"), held, at, made_by="_id")
+    return held.read().select("_id", "event_type", "migration_snapshot_date")
+
+
 # --- projections ------------------------------------------------------------------------
 
 
@@ -1042,6 +1053,28 @@ def jdbc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_jdbc(spark, database(path), "customers", "c_custkey", 4, DERBY).select("c_custkey", "c_name", "c_acctbal")
 
 
+@query(
+    "with k as (select c_custkey from customer where c_custkey % 5 <> 0) select c_custkey, c_acctbal from customer where c_custkey % 5 <> 0 or c_custkey > (select max(c_custkey) from k)"
+)
+def jdbc_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers gone from the source go in the database as well; keys beyond the source's largest stay."""
+    path, rows = scratch_path(spark, "mirror"), table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    jdbc.write_jdbc(rows, database(path), "customers", mode="overwrite", options=DERBY)
+    jdbc.mirror_jdbc(rows.where("c_custkey % 5 <> 0"), "c_custkey", database(path), "customers", options=DERBY)
+    return readers.read_jdbc(spark, database(path), "customers", "c_custkey", 4, DERBY).select("c_custkey", "c_acctbal")
+
+
+@query("select o_orderkey, s as migration_snapshot_date from orders, (select unnest([timestamp '2001-01-02 12:00:00', timestamp '2001-01-03 00:00:00', null]) as s)")
+def jdbc_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots in a database that are older than a day, or just that old, go; rows without a stamp stay."""
+    path = scratch_path(spark, "expire")
+    stamps = F.explode(F.array(*[select.moment(x) for x in ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-02 12:00:00", "2001-01-03 00:00:00")], F.lit(None).cast("timestamp_ntz")))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", stamps.alias("s")).select("o_orderkey", F.col("s").cast("timestamp").alias(project.SNAPSHOT))
+    jdbc.write_jdbc(rows, database(path), "snapshots", mode="overwrite", options=DERBY)
+    jdbc.expire_jdbc(spark, database(path), "snapshots", "2001-01-03 00:00:00", days=1, options=DERBY)
+    return readers.read_jdbc(spark, database(path), "snapshots", "o_orderkey", 4, DERBY).select("o_orderkey", F.col(project.SNAPSHOT).cast("timestamp_ntz").alias(project.SNAPSHOT))
+
+
 @query("select 'all' as dest, count(*) as n, sum(c_custkey)::bigint as keys from customer union all select 'rich', count(*), coalesce(sum(c_custkey), 0)::bigint from customer where c_acctbal > 5000")
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source written to two tables, read once."""

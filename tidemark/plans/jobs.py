@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.objectid import before
 from tidemark.functions.project import RECORD_KEY, SNAPSHOT, masked, partition_columns, veil, with_snapshot
 from tidemark.functions.types import cleaned as cleaned_key
 from tidemark.functions.types import to_utc, typed
@@ -150,12 +151,13 @@ def last_copies(changes: DataFrame, spec: SyncSpec, found: str) -> DataFrame:
     return change.latest(changes, [spec.key], [*order, F.xxhash64(*[F.col(f"`{c}`") for c in changes.columns if c != found])])
 
 
-def dump(source: DataFrame, spec: SyncSpec, table: Table, run_at: Any, expiry: Mapping[str, int] | None = None, log: JobLog | None = None) -> None:
+def dump(source: DataFrame, spec: SyncSpec, table: Table, run_at: Any, expiry: Mapping[str, int] | None = None, log: JobLog | None = None, made_by: str | None = None) -> None:
     """One more stamped snapshot, a partition of its own, with all rows, those of a null key
     among them; a run that is done again replaces it. With an expiry (days, hours), partitions
-    of old ones go, without reading any."""
+    of old ones go, without reading any. made_by: a column of object ids; documents made
+    while the run goes on are left to the next one."""
     began, spark = time.time(), source.sparkSession
-    rows, made = cleaned(source, spec)
+    rows, made = cleaned(source if made_by is None else source.where(before(F.col(f"`{made_by}`"), select.moment(run_at))), spec)
     stamped = with_snapshot(rows, select.moment(run_at))
     if table.exists():
         stamp = spark.range(1).select(select.moment(run_at).cast("string").alias("s")).first()["s"]
@@ -266,37 +268,37 @@ def merge_into(table: Table, rows: DataFrame, spec: SyncSpec, keys: Keys | None,
     """Merge rows that hold a key once into the table, and take out what `keys` lacks, up to its
     largest key; the path of what was staged on the way. Only directories that may hold
     one of the keys are looked through for old copies. known: as Table.may_hold() takes it."""
-    before, key, spark = table.state(), spec.names.get(spec.key, spec.key), rows.sparkSession
-    if before is None or anew:
-        table.replace(rows, table.wanted, before)
+    held, key, spark = table.state(), spec.names.get(spec.key, spec.key), rows.sparkSession
+    if held is None or anew:
+        table.replace(rows, table.wanted, held)
         return None
     gone, path = None, None
     if keys is not None:
         top = select.moment(keys.top) if isinstance(keys.top, dt.datetime) else F.lit(keys.top)
-        bound = table.read(version=before.number).where(F.col(f"`{key}`") <= top)
-        lost = change.keys_gone(bound.select(RECORD_KEY), keys.rows.select(F.col("key").alias(RECORD_KEY)), RECORD_KEY, keys.n)
+        bound = table.read(version=held.number).where(F.col(f"`{key}`") <= top)
+        lost = change.keys_gone(bound.select(RECORD_KEY, f"`{key}`"), keys.rows.select(F.col("key").alias(RECORD_KEY)), RECORD_KEY, keys.n)
         path = scratch_path(spark, f"{spec.name}-gone")
         lost.distinct().write.parquet(path)
         gone = spark.read.schema(lost.schema).parquet(path)
     delta = spec.write == "delta"
     out_of = rows.select(F.col(f"`{key}`"), RECORD_KEY)
-    dirs = table.may_hold(out_of.select(f"`{key}`"), known) if spec.moves or delta or not before.parts else []
-    old = table.read_dirs(dirs, places=delta).join(out_of.select(RECORD_KEY), RECORD_KEY, "left_semi")
+    dirs = table.may_hold(out_of.select(f"`{key}`"), known, held) if spec.moves or delta or not held.parts else []
+    old = table.read_dirs(dirs, delta, held).join(out_of.select(RECORD_KEY), RECORD_KEY, "left_semi")
     if gone is not None:
-        more = table.read_dirs(before.dirs, places=delta).join(gone, RECORD_KEY, "left_semi")
+        more = table.read_dirs(table.may_hold(gone.select(f"`{key}`"), version=held), delta, held).join(gone, RECORD_KEY, "left_semi")
         old = old.unionByName(more)
     if delta:
-        table.delete_and_append(old.select("_file", "_row"), rows, before)
+        table.delete_and_append(old.select("_file", "_row"), rows, held)
         return path
-    held = table.read(version=before.number)
-    if not before.parts:
-        out = change.merge(held, rows, [RECORD_KEY])
-        table.replace(out if gone is None else out.join(gone, RECORD_KEY, "left_anti").select(*out.columns), before=before)
+    now = table.read(version=held.number)
+    if not held.parts:
+        out = change.merge(now, rows, [RECORD_KEY])
+        table.replace(out if gone is None else out.join(gone.select(RECORD_KEY), RECORD_KEY, "left_anti").select(*out.columns), before=held)
         return path
-    touched = table.values_of(old.select(*before.parts).unionByName(rows.select(*before.parts)))
+    touched = table.values_of(old.select(*held.parts).unionByName(rows.select(*held.parts)))
     if touched:
-        out = change.merge(table.read(touched, before.number), rows, [RECORD_KEY])
-        table.replace_partitions(out if gone is None else out.join(gone, RECORD_KEY, "left_anti").select(*out.columns), touched, before)
+        out = change.merge(table.read(touched, held.number), rows, [RECORD_KEY])
+        table.replace_partitions(out if gone is None else out.join(gone.select(RECORD_KEY), RECORD_KEY, "left_anti").select(*out.columns), touched, held)
     return path
 
 
@@ -312,11 +314,11 @@ def drifted(source: DataFrame, spec: SyncSpec, table: Table) -> str:
 def record(log: JobLog, spec: SyncSpec, insertions: int, updations: int, table: Table, began: float, run_at: Any, moved_mb: float) -> None:
     """The run's row in the job log. The whole table's megabytes are estimated from those
     moved; if none were, they are as before. Its rows are counted in its versions."""
-    before, total, changed = log.last(spec.name), table.n_rows(), insertions + updations
+    last, total, changed = log.last(spec.name), table.n_rows(), insertions + updations
     log.put({
         "job_id": spec.name, "table_name": spec.name, "insertions": insertions, "updations": updations, "total_records": total, "start_time": str(run_at),
         "total_time": time.time() - began, "curr_megabytes_processed": moved_mb,
-        "total_megabytes": moved_mb / changed * total if changed else before["total_megabytes"] if before else 0.0, "status": True,
+        "total_megabytes": moved_mb / changed * total if changed else last["total_megabytes"] if last else 0.0, "status": True,
     })
 
 

@@ -155,10 +155,10 @@ class Table:
         wanted = None if only is None else set(only)
         return self._frame(held, [d for d in held.dirs if wanted is None or held.values(d) in wanted])
 
-    def read_dirs(self, dirs: Iterable[str], places: bool = False) -> DataFrame:
-        """The rows of some directories of the current version; with places, where each stands
-        (_file, _row)."""
-        return self._frame(self.state(), list(dirs), places)
+    def read_dirs(self, dirs: Iterable[str], places: bool = False, version: Version | None = None) -> DataFrame:
+        """The rows of some directories of a version, by default the current one; with places,
+        where each stands (_file, _row)."""
+        return self._frame(version or self.state(), list(dirs), places)
 
     def _frame(self, held: Version, dirs: Sequence[str], places: bool = False) -> DataFrame:
         extra = [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())] if places else []
@@ -191,12 +191,12 @@ class Table:
         found = df.select(*[F.col(f"`{p}`").cast("string") for p in self.parts]).distinct().collect()
         return {tuple(v or None for v in row) for row in found}
 
-    def may_hold(self, keys: DataFrame, known: tuple[int, Any, Any] | None = None) -> list[str]:
+    def may_hold(self, keys: DataFrame, known: tuple[int, Any, Any] | None = None, version: Version | None = None) -> list[str]:
         """The directories that may hold a row with one of these keys (of the indexed column's
         values, whatever their name): by the smallest and largest key of each, and by its filter.
         known: how many keys there are at most, the smallest and the largest as texts, where
-        they are known. Without an index all directories."""
-        held = self.state()
+        they are known. Without an index all directories of the version."""
+        held = version or self.state()
         marked = {d: x for d, x in held.dirs.items() if "low" in x}
         if not marked or self.index is None or self.index not in held.schema.names:
             return list(held.dirs)
