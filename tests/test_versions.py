@@ -51,6 +51,11 @@ def test_writers_of_other_partitions_dont_meet(spark, tmp_path):
         two.replace_partitions(spark.createDataFrame([(1, "a", 4)], KV), before=before)
     two.append(spark.createDataFrame([(9, "a", 9)], KV))
     assert rows(two.read(), "k", "v") == [(1, 3), (2, 2), (9, 9)]
+    before = two.state()
+    one.append(spark.createDataFrame([(8, "b", 8)], KV))
+    with pytest.raises(Conflict):  # it would lose the row that came in
+        two.replace_partitions(spark.createDataFrame([(2, "b", 5)], KV), before=before)
+    one.replace_partitions(spark.createDataFrame([(2, "b", 6)], KV))
     fresh = [Table(spark, f"{tmp_path}/fresh") for _ in range(2)]
     threads = [threading.Thread(target=t.append, args=(spark.createDataFrame([(i, "x", i)], KV),)) for i, t in enumerate(fresh)]
     for t in threads:

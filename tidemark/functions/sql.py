@@ -33,7 +33,9 @@ FUNCTIONS = (
 
 
 def register(spark: SparkSession) -> list[str]:
-    """Make the functions known to the session; their names."""
+    """Make the functions known to the session; their names. A function of such a name that is
+    known already, also a user's own, stays."""
     for name, parameters, result, body in FUNCTIONS:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
+        if not spark.catalog.functionExists(name):
+            spark.sql(f"CREATE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
     return [f[0] for f in FUNCTIONS]

@@ -4,11 +4,11 @@ reads and writes by the file system itself, without a job."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
 from typing import Any
-from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -84,7 +84,7 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
         stream.close()
     try:
         if store.getScheme() == "file":
-            os.link(unquote(urlparse(aside).path), unquote(urlparse(path).path))
+            os.link(*(re.sub("^file:(//)?", "", p) for p in (aside, path)))
             return True
         jvm = spark.sparkContext._jvm
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())

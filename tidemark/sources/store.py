@@ -119,18 +119,19 @@ class Table:
         held = self.state()
         return held.parts if held else self.wanted
 
-    def _commit(self, before: Version | None, made: Callable[[Version | None], Version], touched: Iterable[Values] | None, transaction: tuple[str, int] | None = None) -> None:
+    def _commit(self, before: Version | None, made: Callable[[Version | None], Version], touched: Iterable[Values] | None, transaction: tuple[str, int] | None = None, adds: bool = False) -> None:
         """A new version out of the current one. `before` is the one that the writer has read:
-        if others came since, what they touched must not meet what this one touched (None: all)."""
+        if others came since, what they touched must not meet what this one touched (None: all),
+        unless it only adds rows, which hang on nothing that was there."""
         touched = None if touched is None else set(touched)
         while True:
             now = self.state()
             for number in range(before.number + 1 if before else 1, now.number + 1 if now else 1):
                 other = self.state(number)
-                same = before is not None and (other.parts == before.parts)
                 if transaction and other.transactions.get(transaction[0], -1) >= transaction[1]:
                     return
-                if not same or other.touched is None or touched is None or touched & set(other.touched):
+                same = before is not None and other.parts == before.parts
+                if not adds and (not same or other.touched is None or touched is None or touched & set(other.touched)):
                     raise Conflict(f"version {number} of {self.path} touched the same partitions")
             new = made(now)
             ids = {**(now.transactions if now else {}), **({transaction[0]: transaction[1]} if transaction else {})}
@@ -277,11 +278,7 @@ class Table:
                 raise ValueError(f"{self.path} has other partition columns now")
             return self._added(now, now.dirs if now else {}, fresh, widened(now.schema, df.schema) if now else nullable(df.schema), df.schema, parts)
 
-        while True:
-            try:
-                return self._commit(before, made, [], transaction)
-            except Conflict:
-                before = self.state()  # rows only come in: nothing that was read is out of date
+        self._commit(before, made, {Version.values(d) for d in fresh}, transaction, adds=True)
 
     def replace_partitions(self, df: DataFrame, touched: Iterable[Values] | None = None, before: Version | None = None) -> None:
         """Instead of the touched partitions (by default those that df has rows in) the rows
