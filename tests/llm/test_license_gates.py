@@ -145,7 +145,7 @@ def test_all_rules_against_the_plain_version(spark):
     "text,labels",
     [
         ("SPDX-License-Identifier: (MIT OR Apache-2.0)", ["apache", "mit"]), ("// SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", ["gpl"]), ("spdx-license-identifier: MIT AND (BSD-3-Clause OR ISC)", ["bsd", "isc", "mit"]),
-        ("BSD 3-Clause License", ["bsd"]), ("BSD-2-Clause", ["bsd"]), ("GPLv3", ["gpl"]), ("GNU LGPL v2.1", ["lgpl"]), ("Apache 2.0", ["apache"]), ("MPL 2.0", ["mpl"]), ("MIT-Lizenz", ["mit"]),
+        ("BSD 3-Clause License", ["bsd"]), ("BSD-2-Clause", ["bsd"]), ("GPLv3", ["gpl"]), ("GNU LGPL v2.1", ["lgpl"]), ("Apache 2.0", ["apache"]), ("MIT-Lizenz", ["mit"]),
         ("sous licence Creative Commons", ["creative-commons"]), ("bajo licencia Creative Commons Atribución", ["creative-commons"]), ("Alle Rechte vorbehalten", ["reserved"]), ("tous droits réservés", ["reserved"]),
         ("todos los derechos reservados", ["reserved"]), ("licencia pública general de GNU", ["gpl"]), ("the vim license plate", []), ("the artistic license he took", []), ("a car with apache horses 2", []), ("gplot 3", []),
     ],

@@ -108,13 +108,13 @@ BY_ID = {"identifier": "spdx", "left": "spdx", "right": "spdx", "field": "licens
 NO_LICENSE = rf"(?!{S}(?:plates?|numbers?|holders?|he|she|they|we|i|was|he's){S}|{S}plates?(?![a-z]))"
 #: Licenses by their short names: label, keyword, what the name looks like. A number follows it.
 SHORT = (
-    ("gpl", "gpl", "gpl"), ("lgpl", "lgpl", "lgpl"), ("agpl", "agpl", "agpl"), ("apache", "apache", "apache"), ("mpl", "mpl", "mpl"), ("epl", "epl", "epl"),
+    ("gpl", "gpl", "gpl"), ("lgpl", "lgpl", "lgpl"), ("agpl", "agpl", "agpl"), ("apache", "apache", "apache"),
     ("cddl", "cddl", "cddl"), ("eupl", "eupl", "eupl"), ("cecill", "cecill", "cecill"),
 )
-#: Licenses as they are named in German, French and Spanish: label, keyword, name.
+#: Licenses as they are named in German, French and Spanish: label, name.
 ABROAD = (
-    ("mit", "mit", "mit"), ("apache", "apache", "apache"), ("gpl", "gpl", "(?:gnu[ -])?gpl"), ("lgpl", "lgpl", "(?:gnu[ -])?lgpl"), ("bsd", "bsd", "bsd"), ("mpl", "mozilla|mpl", "(?:mozilla(?:[ -]public)?|mpl)"),
-    ("eupl", "eupl", "eupl"), ("creative-commons", "commons", "creative[ -]commons"),
+    ("mit", "mit"), ("apache", "apache"), ("gpl", "(?:gnu[ -])?gpl"), ("lgpl", "(?:gnu[ -])?lgpl"), ("bsd", "bsd"), ("mpl", "(?:mozilla(?:[ -]public)?|mpl)"), ("eupl", "eupl"),
+    ("creative-commons", "creative[ -]commons"),
 )
 #: Rules of no one license: label, keywords, priority, confidence, pattern.
 PLAIN = (
@@ -131,13 +131,17 @@ PLAIN = (
     ("permissive", "permission", 2, 0.6, rf"permission{S}is{S}hereby{S}granted,?{S}free{S}of{S}charge"),
     ("permissive", "redistribution", 2, 0.6, rf"redistribution{S}and{S}use{S}in{S}source{S}and{S}binary{S}forms"),
     ("copyleft", "free", 2, 0.6, rf"free{S}software[;:,]?{S}you{S}can{S}redistribute{S}it"),
-    ("bsd", "clause", 3, 0.85, rf"(?<![a-z0-9])(?:bsd[ -][0234][ -]clause|[0234][ -]clause{S}bsd)(?![a-z0-9])"),
+    ("bsd", "bsd", 3, 0.85, rf"(?<![a-z0-9])(?:bsd[ -][0234][ -]clause|[0234][ -]clause{S}bsd)(?![a-z0-9])"),
     ("cc0", "cc0", 3, 0.8, rf"(?<![a-z0-9])cc0(?:[ -]1\.0)?(?![a-z0-9])"),
-    ("reserved", "rechte", 2, 0.8, rf"alle{S}rechte{S}(?:sind{S})?vorbehalten"),
+    ("reserved", "vorbehalten", 2, 0.8, rf"alle{S}rechte{S}(?:sind{S})?vorbehalten"),
     ("reserved", "droits", 2, 0.8, rf"tous{S}droits{S}r(?:é|e)serv(?:é|e)s"),
     ("reserved", "derechos", 2, 0.8, rf"todos{S}los{S}derechos{S}reservados"),
-    ("gpl", "allgemeine|générale|general", 3, 0.8, rf"(?:allgemeine{S}(?:öffentliche|public){S}lizenz|licence{S}publique{S}générale|licencia{S}p(?:ú|u)blica{S}general)(?:{S}(?:de{S})?gnu)?"),
-    ("public-domain", "gemeinfrei|public|público", 2, 0.5, rf"(?<![a-zäöüß])gemeinfrei(?![a-z])|dans{S}le{S}domaine{S}public|de{S}dominio{S}público"),
+    ("gpl", "lizenz", 3, 0.8, rf"allgemeine{S}(?:öffentliche|public){S}lizenz"),
+    ("gpl", "licence", 3, 0.8, rf"licence{S}publique{S}générale(?:{S}gnu)?"),
+    ("gpl", "licencia", 3, 0.8, rf"licencia{S}p(?:ú|u)blica{S}general(?:{S}(?:de{S})?gnu)?"),
+    ("public-domain", "gemeinfrei", 2, 0.5, r"(?<![a-zäöüß])gemeinfrei(?![a-z])"),
+    ("public-domain", "domaine", 2, 0.5, rf"dans{S}le{S}domaine{S}public"),
+    ("public-domain", "dominio", 2, 0.5, rf"de{S}dominio{S}público"),
 )
 #: The wording of licenses, headers and notices, lower-cased; a space stands for
 #: any gap between two words, and <n> for up to n signs that differ from text to text.
@@ -309,14 +313,15 @@ def rule_list() -> list[tuple[int, str, str, int, float, str]]:
     for label, keyword, name in SHORT:
         number = rf"[ ,-]{{0,2}}(?:v(?:ersion{S})?\.?\s?)?[1-4](?:\.\d)?(?:\+|-or-later|-only)?(?![a-z0-9]|\.\d)"
         rules.append((label, keyword, 3, 0.8, rf"(?<![a-z0-9])(?:(?:gnu|the|under|apache){S}){{0,2}}{name}{number}"))
-    for label, keyword, name in ABROAD:
-        rules.append((label, keyword, 2, 0.7, rf"(?<![a-zäöüß0-9])(?:{name}[ -]lizenz(?:en)?|licence{S}(?:publique{S})?{name}|licencia{S}(?:p(?:ú|u)blica{S})?{name})(?:{VERSION})?(?![a-z0-9])"))
+    for label, name in ABROAD:
+        for keyword, pattern in (("lizenz", rf"{name}[ -]lizenz(?:en)?"), ("licence", rf"licence{S}(?:publique{S})?{name}"), ("licencia", rf"licencia{S}(?:p(?:ú|u)blica{S})?{name}")):
+            rules.append((label, keyword, 2, 0.7, rf"(?<![a-zäöüß0-9]){pattern}(?:{VERSION})?(?![a-z0-9])"))
     rules += [(label, keyword, priority, confidence, rf"(?<![a-z0-9]){told(pattern)}") for label, keyword, priority, confidence, pattern in SIGNATURES]
     return [(i, *r) for i, r in enumerate(rules)]
 
 
 #: Words that most rules can't do without; the gate looks for these first.
-CORE = ("licen", "software", "copyright", "permission", "distribut", "warrant", "notice", "domain", "commons", ".org")
+CORE = ("licen", "lizenz", "software", "copyright", "permission", "distribut", "warrant", "notice", "domain", "commons", ".org")
 
 
 def needed(pattern: str) -> str:
