@@ -137,7 +137,8 @@ def write_tokens(docs: DataFrame, folder: str, length: int = 2048, end_id: int =
     """
     path = path or vocabulary_path()
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *T.StructType.fromDDL(INDEX).fields])
-    ranged = docs.select(key, text).repartitionByRange(key).sortWithinPartitions(key, text)
+    # Rows of one key are dealt by how their texts begin, so that no task gets all that lack a key.
+    ranged = docs.select(key, text).repartitionByRange(F.col(key), F.left(F.col(text), F.lit(64))).sortWithinPartitions(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = process_encoder(path), TaskContext.get()
