@@ -49,6 +49,11 @@ def megabytes(spark: SparkSession, path: str) -> float:
     return store.getContentSummary(where).getLength() / 1e6 if store.exists(where) else 0.0
 
 
+def n_files(spark: SparkSession, path: str) -> int:
+    store, where = _at(spark, path)
+    return store.getContentSummary(where).getFileCount()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     store, where = _at(spark, path)
     store.delete(where, True)

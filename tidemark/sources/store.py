@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.types import wider
-from tidemark.sources.scratch import create_text, local_rows, names, read_text, remove
+from tidemark.sources.scratch import create_text, local_rows, n_files, names, read_text, remove
 
 #: Values of the partition columns, as texts; None for null.
 Values = tuple[str | None, ...]
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 #: Keys in a block of a directory's filter: 256 bits, of which a key sets eight.
 BLOCK_KEYS = 16
+#: Files whose rows are counted by one task; no column of them is read.
+FEW_FILES = 64
 #: Pairs of keys and directories that are looked up in filters, as a part of the table's
 #: rows; beyond, reading its keys is less work.
 MOST_PROBES = 0.5
@@ -236,7 +238,8 @@ class Table:
         indexed = self.index is not None and self.index in df.columns
         key = F.col(f"`{self.index}`") if indexed else F.lit(None)
         placed = back.select(F.regexp_replace(file_place(), "/[^/]*$", "").alias("_at"), key.alias("_key"))
-        known = placed.groupBy("_at").agg(F.count(F.lit(1)).alias("n"), F.min("_key").cast("string").alias("low"), F.max("_key").cast("string").alias("high"))
+        few = not indexed and n_files(self.spark, f"{base}/{own}") <= FEW_FILES
+        known = (placed.coalesce(1) if few else placed).groupBy("_at").agg(F.count(F.lit(1)).alias("n"), F.min("_key").cast("string").alias("low"), F.max("_key").cast("string").alias("high"))
         out = {}
         for r in known.collect():  # one row a directory
             entry = out[unquote(r["_at"])] = {"n": r["n"], "at": r["_at"]}
