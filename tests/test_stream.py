@@ -93,11 +93,11 @@ def test_a_reader_never_sees_half_a_batch(spark, tmp_path, monkeypatch):
     assert counts() == (1, 2, 1)
     plain, seen = type(to.records)._commit, []
 
-    def dies(self, *a):
+    def dies(self, *a, **how):
         seen.append(counts())
         if self is to.records and len(seen) == 2:
             raise RuntimeError("lost before the version")
-        return plain(self, *a)
+        return plain(self, *a, **how)
 
     monkeypatch.setattr(type(to.records), "_commit", dies)
     try:
