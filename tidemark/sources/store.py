@@ -237,9 +237,11 @@ class Table:
         back = self.spark.read.schema(df.schema).option("basePath", base).parquet(f"{base}/{own}")
         indexed = self.index is not None and self.index in df.columns
         key = F.col(f"`{self.index}`") if indexed else F.lit(None)
-        placed = back.select(F.regexp_replace(file_place(), "/[^/]*$", "").alias("_at"), key.alias("_key"))
+        placed = back.select(F.col("_metadata.file_path").alias("_path"), key.alias("_key"))
         few = not indexed and n_files(self.spark, f"{base}/{own}") <= FEW_FILES
-        known = (placed.coalesce(1) if few else placed).groupBy("_at").agg(F.count(F.lit(1)).alias("n"), F.min("_key").cast("string").alias("low"), F.max("_key").cast("string").alias("high"))
+        # Counted by file, then by directory: a file's path is taken apart once, not for each of its rows.
+        files = (placed.coalesce(1) if few else placed).groupBy("_path").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high"))
+        known = files.groupBy(directory(file_place("_path"), len(parts)).alias("_at")).agg(F.sum("n").alias("n"), F.min("low").cast("string").alias("low"), F.max("high").cast("string").alias("high"))
         out = {}
         for r in known.collect():  # one row a directory
             entry = out[unquote(r["_at"])] = {"n": r["n"], "at": r["_at"]}
@@ -247,7 +249,8 @@ class Table:
                 entry |= {"low": r["low"], "high": r["high"], "blocks": -(-r["n"] // BLOCK_KEYS)}
         if indexed:
             sizes = local_rows(self.spark, [(x["at"], x["blocks"]) for x in out.values() if "low" in x], "_at string, _blocks long")
-            keyed = placed.where("_key is not null").join(F.broadcast(sizes), "_at").select("_at", *block_and_masks("_key", F.col("_blocks")))
+            keyed = placed.where("_key is not null").select(directory(file_place("_path"), len(parts)).alias("_at"), "_key")
+            keyed = keyed.join(F.broadcast(sizes), "_at").select("_at", *block_and_masks("_key", F.col("_blocks")))
             keyed.groupBy("_at", "block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(4)]).write.parquet(f"{self.path}/index/{own}")
         return out
 
@@ -310,7 +313,7 @@ class Table:
         bits = bits.groupBy("_file", "_part").agg(F.bitmap_construct_agg(F.col("_row") % (1 << 15)).alias("bits"), F.count(F.lit(1)).alias("n"))
         bits.write.parquet(f"{self.path}/vectors/{own}")
         back = self.spark.read.schema(VECTOR + ", n long").parquet(f"{self.path}/vectors/{own}")
-        dead = {r["_at"]: r["n"] for r in back.groupBy(F.regexp_replace("_file", "/[^/]*$", "").alias("_at")).agg(F.sum("n").alias("n")).collect()}
+        dead = {r["_at"]: r["n"] for r in back.groupBy(directory(F.col("_file"), len(before.parts)).alias("_at")).agg(F.sum("n").alias("n")).collect()}
         fresh = self._write(df, before.parts, before.number + 1)
         hit = {d for d, x in before.dirs.items() if x["at"] in dead}
 
@@ -385,9 +388,15 @@ FILTER = "_at string, block long, w0 long, w1 long, w2 long, w3 long"
 VECTOR = "_file string, _part long, bits binary"
 
 
-def file_place() -> Column:
-    """The file of a row, from the table's own folder on, as URLs have it."""
-    return F.element_at(F.split(F.col("_metadata.file_path"), "/data/(?=_write=)"), -1)
+def file_place(path: str = "_metadata.file_path") -> Column:
+    """The file of a row, from the table's own folder on, as URLs have it. No pattern is
+    matched, since this may be asked of every row."""
+    return F.concat(F.lit("_write="), F.substring_index(F.col(path), "/data/_write=", -1))
+
+
+def directory(place: Column, parts: int) -> Column:
+    """The directory of a file's place in a table of so many partition columns."""
+    return F.substring_index(place, "/", 1 + parts)
 
 
 def block_and_masks(key: str, blocks: Column) -> list[Column]:
