@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import chat, decontaminate, html_text, licenses, packing, quality_model, quality_rules, simhash, token_files, toxicity
 from tidemark.llm.tokens import Encoder, vocabulary_path
@@ -842,3 +843,18 @@ def test_rows_of_one_key_are_dealt_to_many_files(spark):
     assert len({r["part"] for r in held if r["doc_id"] is None}) > 1
     assert [r["doc_id"] for r in held] == [None] * 400 + [3, 3, 3, 4]
     assert [r["start"] for r in held] == [sum(r["n_tokens"] for r in held[:i]) for i in range(len(held))]
+
+
+def test_a_folder_of_token_files_stands_alone(spark, tmp_path):
+    """The index is read from the folder's files; what a lost task left there counts for nothing."""
+    rows = [(f"k{i:03d}", "some words " * (i % 9), i) for i in range(60)] + [(None, "no key", 1), ("k001", None, 2)]
+    folder = f"file://{tmp_path}/t"
+    index = token_files.write_tokens(spark.createDataFrame(rows, "name string, text string, part int").repartition(4), folder, length=8, key="name")
+    want = sorted(tuple(r) for r in index.select(F.coalesce("name", F.lit("")), "start", "n_tokens").collect())
+    for lost in ("part-000000-99999.arrow", "part-000000-99999.index.arrow"):
+        (tmp_path / "t" / lost).write_bytes(b"half a file")
+    again = token_files.read_index(spark, folder)
+    assert again.schema == index.schema and again.schema["name"].dataType == T.StringType()
+    assert sorted(tuple(r) for r in again.select(F.coalesce("name", F.lit("")), "start", "n_tokens").collect()) == want
+    read = token_files.read_checks(again, key="name").collect()
+    assert len(read) == len(rows) and sum(r["n_tokens"] for r in read) == max(r["start"] + r["n_tokens"] for r in read)

@@ -3,11 +3,14 @@
 A file holds sequences of one length as rows of two fixed-size lists, ids and mask,
 so the ids of row i stand at i * length of one buffer: a memory map gives any
 sequence without copying; the mask takes a bit an id. Files follow the order of the keys; the last row of each
-is filled up and masked. An index table says where each document's ids are.
+is filled up and masked. Beside each file lies its index, an Arrow file as well, which says
+where each document's ids are; a manifest names the finished files and how many ids come
+before each. So a folder stands alone.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -15,13 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SLICE_ROWS, staged
+from tidemark.llm.common import SLICE_ROWS, staged, unstage
 from tidemark.llm.tokens import process_encoder, vocabulary_path
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import local_rows, scratch_path
 
 #: Sequences in a record batch.
 BATCH_ROWS = 512
@@ -124,47 +127,108 @@ def _unpacked(bits: np.ndarray, start: int, end: int) -> np.ndarray:
     return np.unpackbits(bits[start >> 3 : (end + 7) >> 3], bitorder="little")[start & 7 :][: end - start].astype(bool)
 
 
-INDEX = "part int, file string, at long, n_tokens long"
+FILES = "part int, file string, n_docs long, n_tokens long"
+INDEX = "part int, file string, at long, n_tokens long, start long"
+
+
+class TableWriter:
+    """Writes record batches of one schema, that of the first, as an Arrow file."""
+
+    def __init__(self, path: str):
+        store, place = fs.FileSystem.from_uri(path)
+        store.create_dir(place.rpartition("/")[0], recursive=True)
+        self.out, self.writer = store.open_output_stream(place), None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.writer = self.writer or pa.ipc.new_file(self.out, batch.schema)
+        self.writer.write_batch(batch)
+
+    def close(self) -> None:
+        if self.writer:
+            self.writer.close()
+        self.out.close()
+
+
+def table_batches(path: str) -> Iterator[pa.RecordBatch]:
+    """The record batches of an Arrow file, one at a time."""
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_file(place) as source:
+        reader = pa.ipc.open_file(source)
+        for i in range(reader.num_record_batches):
+            yield reader.get_batch(i)
+
+
+def index_path(file: str) -> str:
+    """Where the index of a file of ids lies."""
+    return file.removesuffix(".arrow") + ".index.arrow"
 
 
 def write_tokens(docs: DataFrame, folder: str, length: int = 2048, end_id: int = 2, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and write all documents in ascending key order; returns the index: key,
-    part, file, at (ids before it in its file), n_tokens, start (ids before it in all).
+    """Encode and write all documents in ascending key order; returns the index as
+    read_index() reads it from the folder.
 
     Null and empty texts are the end id alone. Rows of equal keys follow by their
-    texts; null keys come first. An empty table writes no files. A task that is run
-    again writes a file of its own, and the index names only finished ones.
+    texts; null keys come first. An empty table writes a manifest without files. A task that
+    is run again writes files of its own, and the manifest names only finished ones.
     """
     path = path or vocabulary_path()
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *T.StructType.fromDDL(INDEX).fields])
     # Rows of one key are dealt by how their texts begin, so that no task gets all that lack a key.
     ranged = docs.select(key, text).repartitionByRange(F.col(key), F.left(F.col(text), F.lit(64))).sortWithinPartitions(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = process_encoder(path), TaskContext.get()
         ending = np.array([end_id], dtype=encoder.dtype)
-        part, at, writer = task.partitionId(), 0, None
+        part, at, n_docs, writer, places = task.partitionId(), 0, 0, None, None
         name = f"{folder}/part-{part:06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE_ROWS):
                 rows = batch.slice(i, SLICE_ROWS)
                 starts, counts = [], []
-                writer = writer or TokenWriter(name, length, encoder.dtype)
+                writer, places = writer or TokenWriter(name, length, encoder.dtype), places or TableWriter(index_path(name))
                 for raw in encoder.encode(rows.column(1).to_pylist()):
                     ids = np.concatenate([np.frombuffer(raw, dtype=encoder.dtype), ending])
                     writer.add(ids)
                     starts.append(at)
                     counts.append(len(ids))
                     at += len(ids)
-                k = rows.num_rows
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([part] * k, pa.int32()), pa.array([name] * k), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], names=schema.names)
+                places.add(pa.RecordBatch.from_arrays([rows.column(0), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], names=["key", "at", "n_tokens"]))
+                n_docs += rows.num_rows
         if writer:
             writer.close()
+            places.close()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([n_docs], pa.int64()), pa.array([at], pa.int64())], names=["part", "file", "n_docs", "n_tokens"])
+
+    made = staged(ranged.mapInArrow(run, FILES), "files")
+    found = made.orderBy("part").toArrow()  # one row a file
+    unstage(made)
+    n = found.column("n_tokens").to_numpy()
+    manifest = TableWriter(f"{folder}/manifest.arrow")
+    held = found.append_column("start", pa.array(np.cumsum(n) - n, pa.int64()))
+    held = held.replace_schema_metadata({"key": json.dumps(docs.schema[key].jsonValue())}).combine_chunks()
+    for batch in held.to_batches() or [pa.RecordBatch.from_pylist([], schema=held.schema)]:
+        manifest.add(batch)
+    manifest.close()
+    return read_index(docs.sparkSession, folder)
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """A row a document from the index files of a folder: its key (named as it was), part,
+    file, at (ids before it in its file), n_tokens, start (ids before it in all). The driver reads
+    the manifest alone, a row a file."""
+    held = pa.Table.from_batches(table_batches(f"{folder}/manifest.arrow"))
+    own = T.StructField.fromJson(json.loads(held.schema.metadata[b"key"]))
+    schema = T.StructType([T.StructField(own.name, own.dataType), *T.StructType.fromDDL(INDEX).fields])
 
-    index = staged(ranged.mapInArrow(run, schema), "index")
-    totals = index.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row a file
-    first = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return index.join(totals.select("part", first.alias("base")), "part").withColumn("start", F.col("at") + F.col("base")).drop("base")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for files in batches:
+            for f in files.to_pylist():
+                for rows in table_batches(index_path(f["file"])):
+                    k, at = rows.num_rows, rows.column(1)
+                    start = pa.array(at.to_numpy() + f["start"], pa.int64())
+                    yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([f["part"]] * k, pa.int32()), pa.array([f["file"]] * k), at, rows.column(2), start], names=schema.names)
+
+    files = list(zip(*(held.column(c).to_pylist() for c in ("part", "file", "start")), strict=True))
+    return local_rows(spark, files, "part int, file string, start long").mapInArrow(run, schema)
 
 
 def read_checks(index: DataFrame, key: str = "doc_id") -> DataFrame:
