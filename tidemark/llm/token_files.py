@@ -211,44 +211,39 @@ def write_tokens(docs: DataFrame, folder: str, length: int = 2048, end_id: int =
     return read_index(docs.sparkSession, folder)
 
 
-def read_index(spark: SparkSession, folder: str) -> DataFrame:
+def read_index(spark: SparkSession, folder: str, checks: bool = False) -> DataFrame:
     """A row a document from the index files of a folder: its key (named as it was), part,
-    file, at (ids before it in its file), n_tokens, start (ids before it in all). The driver reads
-    the manifest alone, a row a file."""
+    file, at (ids before it in its file), n_tokens, start (ids before it in all). With checks, its ids
+    are read back from their file too, and n_tokens (as read) is followed by ids_crc32. The driver
+    reads the manifest alone, a row a file. The frame knows its folder."""
     held = pa.Table.from_batches(table_batches(f"{folder}/manifest.arrow"))
     own = T.StructField.fromJson(json.loads(held.schema.metadata[b"key"]))
-    schema = T.StructType([T.StructField(own.name, own.dataType), *T.StructType.fromDDL(INDEX).fields])
+    more = [T.StructField("ids_crc32", T.LongType())] if checks else []
+    schema = T.StructType([T.StructField(own.name, own.dataType), *T.StructType.fromDDL(INDEX).fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
             for f in files.to_pylist():
+                ids = TokenFile(f["file"]) if checks else None
                 for rows in table_batches(index_path(f["file"])):
-                    k, at = rows.num_rows, rows.column(1)
-                    start = pa.array(at.to_numpy() + f["start"], pa.int64())
-                    yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([f["part"]] * k, pa.int32()), pa.array([f["file"]] * k), at, rows.column(2), start], names=schema.names)
+                    k, at, n = rows.num_rows, rows.column(1).to_numpy(), rows.column(2)
+                    out = [rows.column(0), pa.array([f["part"]] * k, pa.int32()), pa.array([f["file"]] * k), rows.column(1), n, pa.array(at + f["start"], pa.int64())]
+                    if checks:
+                        read = [ids.span(a, a + m) for a, m in zip(at.tolist(), n.to_pylist(), strict=True)]
+                        out[4] = pa.array(map(len, read), pa.int64())
+                        out.append(pa.array((zlib.crc32(x.astype("<u4").tobytes()) for x in read), pa.int64()))
+                    yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     files = list(zip(*(held.column(c).to_pylist() for c in ("part", "file", "start")), strict=True))
-    return local_rows(spark, files, "part int, file string, start long").mapInArrow(run, schema)
+    found = local_rows(spark, files, "part int, file string, start long").mapInArrow(run, schema)
+    found.folder = folder
+    return found
 
 
 def read_checks(index: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Read every document's ids back from its file: key, start, n_tokens, ids_crc32."""
-    kinds = T.StructType([T.StructField(key, index.schema[key].dataType), *T.StructType.fromDDL("start long, n_tokens long, ids_crc32 long").fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, file = None, None
-        for batch in batches:
-            names, at, n = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            crc, read = [], []
-            for f, a, k in zip(names, at, n, strict=True):
-                if f != name:
-                    name, file = f, TokenFile(f)
-                ids = file.span(a, a + k)
-                read.append(len(ids))
-                crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), pa.array(read, pa.int64()), pa.array(crc, pa.int64())], names=kinds.names)
-
-    return index.select(key, "file", "at", "n_tokens", "start").mapInArrow(run, kinds)
+    """Every document's ids, read back from the files of the index's folder: key, start, n_tokens,
+    ids_crc32. One map reads index and ids, so a task has one Python worker."""
+    return read_index(index.sparkSession, index.folder, checks=True).select(key, "start", "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, **how) -> tuple[str, DataFrame]:
