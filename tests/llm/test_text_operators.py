@@ -6,12 +6,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import chat, decontaminate, html_text, licenses, packing, quality_model, quality_rules, simhash, token_files, toxicity
+from tidemark.llm.common import text_slices
 from tidemark.llm.tokens import Encoder, vocabulary_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -801,6 +803,42 @@ def test_encoder_gives_the_librarys_ids():
         assert np.frombuffer(raw, dtype=encoder.dtype).tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_words_are_encoded_once(monkeypatch):
+    """Words met before, whatever newline or marks stand beside them, aren't handed to the library again."""
+    encoder, rng, given = Encoder(), random.Random(4), []
+    words = ["alpha", "beta", "Gamma", "délta", "x1"]
+    marks = ["", ".", ",", ".***", "!", "%%%", "|"]
+    encoder.encode(["start " + " ".join(w + m for w in words for m in marks) + "".join("\n" + w + m for w in words for m in marks)])
+    texts = ["start" + "".join(rng.choice(" \n") + rng.choice(words) + rng.choice(marks) for _ in range(200)) for _ in range(50)]
+    want = encoder._whole(texts)
+    own = encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, batch, **how):
+            given.extend(batch)
+            return own.encode_batch_fast(batch, **how)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counted())
+    assert encoder.encode(texts) == want and given == ["start"] * 50
+
+
+def test_encoder_splits_like_the_library_at_every_letter():
+    """What Python takes for a letter or white space is so for the library's splitting, too."""
+    encoder = Encoder()
+    chars = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x14700), *range(0x16800, 0x18D10), *range(0x1B000, 0x20000, 3)]]
+    texts = [f"x a{c}.\n{c}b, a{c}\nq{c}!? {c}\n{c} y\n\n{c}\n'{c}''." for c in chars]
+    assert encoder.encode(texts) == encoder._whole(texts)
+    assert encoder.encode([]) == [] and encoder.encode([None, "", " ", "\n", "a\nb"]) == encoder._whole(["", "", " ", "\n", "a\nb"])
+
+
+def test_slices_by_bytes_of_text():
+    texts = ["x" * n for n in (0, 3, 9, 40, 1)] + [None, "é" * 6, "", "y" * 10]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    parts = [x.column(0).to_pylist() for x in text_slices(batch, 1, 16)]
+    assert sum(parts, []) == list(range(len(texts))) and len(parts) == 3
+    assert [x.num_rows for x in text_slices(batch, 1)] == [9] and list(text_slices(batch.slice(0, 0), 1)) == []
+
+
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import SLICE_ROWS, staged, unstage
+from tidemark.llm.common import staged, text_slices, unstage
 from tidemark.llm.tokens import process_encoder, vocabulary_path
 from tidemark.sources.scratch import local_rows, scratch_path
 
@@ -181,8 +181,7 @@ def write_tokens(docs: DataFrame, folder: str, length: int = 2048, end_id: int =
         part, at, n_docs, writer, places = task.partitionId(), 0, 0, None, None
         name = f"{folder}/part-{part:06d}-{task.taskAttemptId()}.arrow"
         for batch in batches:
-            for i in range(0, batch.num_rows, SLICE_ROWS):
-                rows = batch.slice(i, SLICE_ROWS)
+            for rows in text_slices(batch, 1):
                 starts, counts = [], []
                 writer, places = writer or TokenWriter(name, length, encoder.dtype), places or TableWriter(index_path(name))
                 for raw in encoder.encode(rows.column(1).to_pylist()):
